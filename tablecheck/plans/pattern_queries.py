@@ -120,11 +120,11 @@ def right_outer(spark, sf):
        "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > "
        "(SELECT avg(o_totalprice) * 1.5 FROM orders)")
 def scalar_subquery(spark, sf):
-    """Rows above 1.5x the global average: a one-row aggregate joined back (broadcast of 1 row)."""
+    """Rows above 1.5x the global average: the average is a scalar subquery
+    (one aggregate evaluated once), compared in the scan's filter."""
     o = _t(spark, sf, "orders")
-    avg = o.agg((F.avg("o_totalprice") * 1.5).alias("__lim"))
-    return o.crossJoin(F.broadcast(avg)).filter(F.col("o_totalprice") > F.col("__lim")) \
-        .select("o_orderkey", "o_totalprice")
+    limit = o.agg(F.avg("o_totalprice") * 1.5).scalar()
+    return o.filter(F.col("o_totalprice") > limit).select("o_orderkey", "o_totalprice")
 
 
 # =========================================================================== aggregates
