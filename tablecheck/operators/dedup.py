@@ -157,9 +157,12 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
                          if c in keys[:-1] and types[c] == "string" else F.col(f"`{c}`")
                          for c in original])
 
-    dups = best.filter(F.col("_n") > 1)
-    # rows of duplicated keys only; the join is keyed, AQE splits a hot key's side
-    joined = ranked.join(dups, on=kcols, how="inner")
+    dups = best.filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_d{k}") for k in kcols],
+                                               *[c for c in best.columns if c not in kcols])
+    # rows of duplicated keys only; null keys form a group (null-safe join);
+    # the join is keyed, and AQE splits the big side of a hot key
+    cond = [ranked[k].eqNullSafe(dups[f"_d{k}"]) for k in kcols]
+    joined = ranked.join(dups, cond, "inner").drop(*[f"_d{k}" for k in kcols])
     is_w = F.col("_r") == F.col("_w")
     if all_losers:
         # every row except one winner instance

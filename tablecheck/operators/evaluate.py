@@ -120,9 +120,13 @@ def evaluate(df: DataFrame, rules: list[Rule], ctx: CheckContext | None = None,
 
     ok = apply_fixes(src.filter(ok_predicate(rules)), rules, data_columns)
 
-    vio = F.filter(F.array(*[F.when(_bad(r), _violation_struct(r)) for r in rules
-                             if r.action in (BLOCK, REPORT)]),
-                   lambda x: x.isNotNull())
+    reported = [r for r in rules if r.action in (BLOCK, REPORT)]
+    if reported:
+        vio = F.filter(F.array(*[F.when(_bad(r), _violation_struct(r)) for r in reported]),
+                       lambda x: x.isNotNull())
+    else:  # only DROP rules: the report is empty but keeps its schema
+        vio = F.array(F.struct(*[F.lit(None).cast("string").alias(n) for n in
+                                 ("check_passed", "check_column_name", "check_column_value", "error_type")]))
     failing = src.filter(fail_predicate(rules))
     report_cols = [
         F.lit(ctx.name).alias("object_name"),
