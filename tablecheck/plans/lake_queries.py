@@ -259,3 +259,71 @@ def lambda_view(spark, sf):
     speed = o.filter(F.col("o_orderdate") > F.lit(dt.datetime(1999, 1, 1)))
     served = C.lambda_view(batch, speed, "o_orderdate", dt.datetime(1999, 1, 1))
     return served.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+# =========================================================================== versioned tables, evolution, projection
+def _scratch(spark, name):
+    import uuid
+    from tablecheck.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _versions(spark, sf):
+    from tablecheck.sources.versions import VersionedTable
+    vt = VersionedTable(spark, _scratch(spark, "vt"))
+    base = table(spark, sf, "customer")
+    vt.publish(base, operation="LOAD")
+    vt.publish(C.upsert(vt.read(), _staging(spark, sf), ["c_custkey"]), operation="MERGE",
+               validate=lambda staged: not staged.isEmpty())
+    return vt
+
+
+@query("time_travel", ("M09", "M10", "S10"), f"SELECT {_C} FROM customer")
+def time_travel(spark, sf):
+    """Stage -> validate -> publish two versions; read version 0 back."""
+    return _versions(spark, sf).read(version=0)
+
+
+@query("version_latest", ("M09", "M10", "M01"),
+       f"SELECT {_C} FROM customer c WHERE NOT EXISTS (SELECT 1 FROM {_STAGING_SQL} s WHERE s.c_custkey = c.c_custkey) "
+       f"UNION ALL SELECT {_C} FROM {_STAGING_SQL}")
+def version_latest(spark, sf):
+    """The latest published version (the merged state)."""
+    return _versions(spark, sf).read()
+
+
+@query("schema_evolution", ("M11", "S20"),
+       "SELECT count(*) AS n_rows, count(CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END) AS n_status FROM orders")
+def schema_evolution(spark, sf):
+    """Two appends with different schemas read back with mergeSchema."""
+    path = _scratch(spark, "evolve")
+    o = table(spark, sf, "orders")
+    o.filter(F.col("o_orderkey") % 2 == 0).select("o_orderkey", "o_custkey").write.mode("append").parquet(path)
+    o.filter(F.col("o_orderkey") % 2 == 1).select("o_orderkey", "o_custkey", "o_orderstatus") \
+        .write.mode("append").parquet(path)
+    back = spark.read.option("mergeSchema", "true").parquet(path)
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.count("o_orderstatus").alias("n_status"))
+
+
+@query("partition_projection", ("S18", "S01", "S20", "M12"),
+       f"SELECT {_YM}, count(*) AS n_rows FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) IN (2, 3, 4) "
+       "GROUP BY 1, 2")
+def partition_projection(spark, sf):
+    """Land six months as year=/month= partitions (twice: idempotent), then
+    read three of them by explicit partition paths (no full listing)."""
+    from tablecheck.sources.readers import read_month_range
+    root = _scratch(spark, "landed")
+    parts = _orders_parts(spark, sf)
+    I.land(parts, root, I.months_predicate(1997, 1, 6))
+    I.land(parts, root, I.months_predicate(1997, 1, 6))
+    back = read_month_range(spark, root, I.month_sequence(spark, 1997, 2, 3))
+    return back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("query_in_place", ("S16", "S15"),
+       "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus")
+def query_in_place(spark, sf):
+    """SQL directly over the Parquet file (no table registration)."""
+    from tablecheck.sources.readers import query_files
+    return query_files(spark, f"{sf.rstrip('/')}/orders.parquet",
+                       "SELECT o_orderstatus, count(*) AS n_orders FROM {src} GROUP BY o_orderstatus")

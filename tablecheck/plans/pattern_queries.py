@@ -542,3 +542,18 @@ def order_limit(spark, sf):
     """Top 100 by a multi-key order (LIMIT is the feature: TakeOrderedAndProject)."""
     return _t(spark, sf, _ORD).select("o_orderkey", "o_totalprice", "o_orderdate") \
         .orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(100)
+
+
+@query("filter_null_logic", "P02",
+       "WITH f AS (SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderstatus END AS status, "
+       "CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_totalprice END AS price, o_orderkey FROM orders) "
+       "SELECT o_orderkey, status, price FROM f WHERE (status = 'F' OR status IS NULL) AND price IS NOT NULL "
+       "AND NOT (price < 1000 AND status IS NULL)")
+def filter_null_logic(spark, sf):
+    """AND / OR / IS NULL under three-valued logic."""
+    o = _t(spark, sf, _ORD).select(
+        F.when(F.col("o_orderkey") % 97 == 0, None).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_orderkey") % 89 == 0, None).otherwise(F.col("o_totalprice")).alias("price"), "o_orderkey")
+    cond = ((F.col("status") == "F") | F.col("status").isNull()) & F.col("price").isNotNull() & \
+        ~((F.col("price") < 1000) & F.col("status").isNull())
+    return o.filter(cond).select("o_orderkey", "status", "price")

@@ -118,3 +118,17 @@ def expectation_warnings(spark, sf):
     rules = [R.expectation("value_above_one", "value > 1", R.REPORT),
              R.expectation("known_type", F.col("event_type").isin("click", "view", "purchase"), R.DROP)]
     return evaluate(_events(spark, sf), rules, with_json=False, extra_cols=["event_id"]).fail
+
+
+@query("bronze_silver_gold", ("T14", "T13", "T03"),
+       "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR "
+       "AS window_end, event_type, count(*) AS n_events, " + _SUM +
+       " FROM events WHERE event_type IN ('click', 'view', 'purchase') AND value IS NOT NULL GROUP BY 1, 2, 3")
+def bronze_silver_gold(spark, sf):
+    """Bronze (raw) -> silver (expectations: drop unknown types / missing values)
+    -> gold (hourly aggregates); each hop a plain function, same on streams."""
+    bronze = _events(spark, sf)
+    rules = [R.expectation("known_type", F.col("event_type").isin("click", "view", "purchase"), R.DROP),
+             R.expectation("has_value", F.col("value").isNotNull(), R.DROP)]
+    silver = evaluate(bronze, rules).ok
+    return S.tumbling_agg(silver, "ts", "1 hour", ["event_type"], "value")
