@@ -17,7 +17,9 @@ def spark():
     b = SparkSession.builder.master("local[*]").appName("tablecheck-tests")
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
-    s = b.config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    wh = tempfile.mkdtemp(prefix="tablecheck-wh-", dir="/tmp")
+    s = (b.config("spark.sql.shuffle.partitions", "8").config("spark.sql.warehouse.dir", wh)
+         .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s
