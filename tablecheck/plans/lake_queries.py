@@ -327,3 +327,46 @@ def query_in_place(spark, sf):
     from tablecheck.sources.readers import query_files
     return query_files(spark, f"{sf.rstrip('/')}/orders.parquet",
                        "SELECT o_orderstatus, count(*) AS n_orders FROM {src} GROUP BY o_orderstatus")
+
+
+@query("reference_csv", ("S05", "S26", "S19"), "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def reference_csv(spark, sf):
+    """A lookup landed as CSV with a header, read back with an explicit schema."""
+    path = _scratch(spark, "zones-csv")
+    table(spark, sf, "nation").write.option("header", True).csv(path)
+    return I.read_reference_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+
+
+@query("master_items", ("S12", "S13", "S14", "A03"),
+       "SELECT DISTINCT c_mktsegment FROM customer WHERE c_acctbal > 0")
+def master_items(spark, sf):
+    """Active master items: main filter, fallback only when it selects nothing."""
+    from tablecheck.sources.readers import master_items as items
+    return items(table(spark, sf, "customer"), "c_mktsegment", where="c_acctbal > 1e12",
+                 fallback_where="c_acctbal > 0")
+
+
+@query("generic_ingest", ("S24", "S26"),
+       "SELECT 'orders' AS source_name, count(*) AS n_rows FROM orders UNION ALL "
+       "SELECT 'customer', count(*) FROM customer")
+def generic_ingest(spark, sf):
+    """Metadata-driven ingest: one config row per source (format, target,
+    partition columns); each source is an ordinary read/write job."""
+    root = _scratch(spark, "generic")
+    cfg = spark.createDataFrame(
+        [("orders", "parquet", f"{sf}/orders.parquet", f"{root}/orders", ["o_orderstatus"]),
+         ("customer", "parquet", f"{sf}/customer.parquet", f"{root}/customer", [])],
+        "source_name string, file_format string, source_url string, target_prefix string, partition_cols array<string>")
+    done = I.generic_ingest(spark, cfg)
+    parts = [spark.read.parquet(f"{root}/{n}").agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(n).alias("source_name"), "n_rows") for n in done]
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("new_files", ("S03", "S04", "M07", "M08"))
+def new_files(spark, sf):
+    """Files not yet in the ledger (anti join on path) — metadata only; rows-only check."""
+    inv = I.file_inventory(spark, sf)
+    ledger = I.ledger_rows(inv.filter(F.col("path").rlike("(orders|customer)\\.parquet$")), "run-0")
+    return I.new_files(inv, ledger)

@@ -132,3 +132,59 @@ def bronze_silver_gold(spark, sf):
              R.expectation("has_value", F.col("value").isNotNull(), R.DROP)]
     silver = evaluate(bronze, rules).ok
     return S.tumbling_agg(silver, "ts", "1 hour", ["event_type"], "value")
+
+
+# =========================================================================== real streaming runs
+def _stage_events(spark, sf):
+    """Write ``events`` as one folder of files per day into the shared scratch
+    folder (the stream's source directory)."""
+    import uuid
+    from tablecheck.session import scratch_path
+    root = scratch_path(spark, f"events-src-{uuid.uuid4().hex[:12]}")
+    e = S.event_time(_events(spark, sf), "ts")
+    e.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(root)
+    return root, e.schema, root + "-ckpt"
+
+
+def _memory_name(prefix):
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@query("stream_tumbling", ("T01", "T03", "T08", "T12", "T15"),
+       "WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS window_start, event_type, count(*) AS n_events, "
+       f"{_SUM} FROM events GROUP BY 1, 2) SELECT window_start, window_start + INTERVAL 5 MINUTES AS window_end, "
+       "event_type, n_events, sum_value FROM w WHERE window_start + INTERVAL 5 MINUTES <= "
+       "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTES")
+def stream_tumbling(spark, sf):
+    """A real Structured Streaming run: file source (available-now trigger,
+    checkpoint), 10-minute watermark, append mode -> closed windows only."""
+    src, schema, ckpt = _stage_events(spark, sf)
+    stream = S.file_stream(spark, src, schema, max_files_per_trigger=8)
+    agg = S.tumbling_agg(stream, "ts", "5 minutes", ["event_type"], "value", watermark="10 minutes")
+    name = _memory_name("tumble")
+    S.run_available_now(agg, ckpt, None, "append", fmt="memory", query_name=name)
+    return spark.table(name).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                    F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                                    "event_type", "n_events", "sum_value")
+
+
+@query("stream_upsert", ("T11", "T15", "M01"), "SELECT event_id, ts, value FROM events")
+def stream_upsert(spark, sf):
+    """foreachBatch merge into a versioned table, one version per micro-batch,
+    replays skipped by batch id; the final table equals the source."""
+    import uuid
+    from tablecheck.session import scratch_path
+    from tablecheck.sources.versions import VersionedTable
+    src, schema, ckpt = _stage_events(spark, sf)
+    vt = VersionedTable(spark, scratch_path(spark, f"stream-vt-{uuid.uuid4().hex[:12]}"))
+    stream = S.file_stream(spark, src, schema, max_files_per_trigger=10).select("event_id", "ts", "value")
+    S.run_available_now(stream, ckpt, S.upsert_sink(vt, ["event_id"]))
+    return vt.read().select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
+@query("json_body", "T02",
+       "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_body(spark, sf):
+    """Message bodies (JSON text) parsed to typed columns with a declared schema."""
+    return S.parse_json_body(_events(spark, sf), "k bigint", body_col="props", keep=["event_id"])
