@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tablecheck.operators import chunked as CH
 from tablecheck.operators import patterns as P
 from tablecheck.operators.lookup import broadcast_if_bounded
 from tablecheck.plans.fixtures import table
@@ -246,12 +247,11 @@ _ORD = "orders"
        "rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS rnk, "
        "dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS drnk FROM orders")
 def rank_row_number(spark, sf):
-    w = Window.partitionBy("o_custkey").orderBy(F.col("o_totalprice").desc())
-    return _t(spark, sf, _ORD).select(
-        "o_orderkey", "o_custkey", "o_totalprice",
-        F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.col("o_totalprice").desc(),
-                                                                    "o_orderkey")).alias("rn"),
-        F.rank().over(w).alias("rnk"), F.dense_rank().over(w).alias("drnk"))
+    """Chunked by price band (descending), so one customer's rows spread over tasks."""
+    o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice")
+    return CH.chunked_rank(o, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")],
+                           -F.floor(F.col("o_totalprice") / 50000), order_cols_for_distinct=["o_totalprice"],
+                           rank_order=[F.col("o_totalprice").desc()])
 
 
 @query("lag_lead", ("W06", "W07"),
@@ -260,18 +260,23 @@ def rank_row_number(spark, sf):
        "lead(o_totalprice, 1, 0) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price "
        "FROM orders")
 def lag_lead(spark, sf):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice",
-                                      F.lag("o_totalprice", 1, 0).over(w).alias("prev_price"),
-                                      F.lead("o_totalprice", 1, 0).over(w).alias("next_price"))
+    """Chunked by order year: in-chunk lag/lead, neighbour chunks at the edges."""
+    o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    out = CH.chunked_lag_lead(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate"),
+                              "o_totalprice", "prev_price", "next_price", default=0.0)
+    return out.select("o_orderkey", "o_custkey", "o_totalprice", "prev_price", "next_price")
 
 
 @query("ntile", "W08",
        "SELECT c_custkey, c_mktsegment, ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) "
        "AS quartile FROM customer")
 def ntile(spark, sf):
-    w = Window.partitionBy("c_mktsegment").orderBy("c_acctbal", "c_custkey")
-    return _t(spark, sf, "customer").select("c_custkey", "c_mktsegment", F.ntile(4).over(w).alias("quartile"))
+    """Quartiles inside 5 large segments: chunked by balance band, so a
+    segment is not one task."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    out = CH.chunked_ntile(c, ["c_mktsegment"], [F.col("c_acctbal"), F.col("c_custkey")],
+                           F.floor(F.col("c_acctbal") / 1000), 4, "quartile")
+    return out.select("c_custkey", "c_mktsegment", "quartile")
 
 
 @query("first_last", "W09",
@@ -294,22 +299,24 @@ def first_last(spark, sf):
        "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total "
        "FROM orders")
 def running_rows(spark, sf):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return _t(spark, sf, _ORD).select("o_orderkey", "o_custkey",
-                                      F.sum(F.col("o_totalprice").cast("decimal(18,2)")).over(w).cast("double")
-                                      .alias("running_total"))
+    """Running total per customer, chunked by order month (offset = earlier months' sum)."""
+    o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
+                                 F.year("o_orderdate") * 12 + F.month("o_orderdate"),
+                                 F.col("o_totalprice").cast("decimal(18,2)"), "running_total", "rows")
+    return out.select("o_orderkey", "o_custkey", F.col("running_total").cast("double").alias("running_total"))
 
 
 @query("running_range", "W11",
        "SELECT o_orderkey, o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey "
        "ORDER BY o_orderdate) AS DOUBLE) AS running_total FROM orders")
 def running_range(spark, sf):
-    """Default frame = RANGE: rows with the same order date share the sum."""
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate")
-    return _t(spark, sf, _ORD).select("o_orderkey", "o_custkey",
-                                      F.sum(F.col("o_totalprice").cast("decimal(18,2)")).over(w).cast("double")
-                                      .alias("running_total"))
+    """Default frame = RANGE: rows with the same order date share the sum (chunked by month)."""
+    o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate")],
+                                 F.year("o_orderdate") * 12 + F.month("o_orderdate"),
+                                 F.col("o_totalprice").cast("decimal(18,2)"), "running_total", "range")
+    return out.select("o_orderkey", "o_custkey", F.col("running_total").cast("double").alias("running_total"))
 
 
 _DAILY = ("WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, "

@@ -61,3 +61,31 @@ def test_top_n_plan_has_group_limit(spark):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString() or \
         "WindowGroupLimit" in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.count() == 20
+
+
+def test_chunked_windows_equal_plain_windows_on_a_hot_key(spark):
+    from tablecheck.operators import chunked as CH
+    # key 1 holds ~a third of the rows; a null key is a group too; values tie often
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 50 == 1, F.lit(None))
+        .otherwise(F.col("id") % 40).alias("k"),
+        (F.col("id") * 7919 % 500).alias("v"), F.col("id").alias("tie"))
+    chunk = F.floor(F.col("v") / 37)
+    w_total = Window.partitionBy("k").orderBy("v", "tie")
+    w_rank = Window.partitionBy("k").orderBy("v")
+    exp = df.select("*", F.row_number().over(w_total).alias("rn"), F.rank().over(w_rank).alias("rnk"),
+                    F.dense_rank().over(w_rank).alias("drnk"),
+                    F.sum("v").over(w_total.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"),
+                    F.sum("v").over(w_rank).alias("rg"),
+                    F.lag("v", 1, -1).over(w_total).alias("prev"), F.lead("v", 1, -1).over(w_total).alias("next"),
+                    F.ntile(7).over(w_total).alias("nt"))
+    got = CH.chunked_rank(df, ["k"], [F.col("v"), F.col("tie")], chunk, order_cols_for_distinct=["v"],
+                          rank_order=[F.col("v")])
+    got = CH.chunked_running_sum(got, ["k"], [F.col("v"), F.col("tie")], chunk, F.col("v"), "rs", "rows")
+    got = CH.chunked_running_sum(got, ["k"], [F.col("v")], chunk, F.col("v"), "rg", "range")
+    got = CH.chunked_lag_lead(got, ["k"], ["v", "tie"], chunk, "v", "prev", "next", default=-1)
+    got = CH.chunked_ntile(got, ["k"], [F.col("v"), F.col("tie")], chunk, 7, "nt")
+    cols = ["k", "v", "tie", "rn", "rnk", "drnk", "rs", "rg", "prev", "next", "nt"]
+    got, exp = got.select(*cols), exp.select(*cols)
+    assert got.count() == 6000
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
