@@ -11,6 +11,7 @@ fixed handful of numbers.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -89,22 +90,40 @@ def session_agg(df: DataFrame, ts_col: str, gap: str, keys: list[str], value_col
 
 
 def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int,
-                          max_seconds: int) -> DataFrame:
+                          max_seconds: int, chunk_seconds: int = 86400) -> DataFrame:
     """T07 batch: gap sessions split into pieces of at most ``max_seconds``
     measured from the session start.  Output: keys, piece_start, piece_end
-    (first/last event of the piece), n_events."""
+    (first/last event of the piece), n_events.
+
+    Sessionizing with one window per key sends a hot key to one task.  Here
+    time is cut into chunks: sessions are first found inside each
+    (key, chunk) — parallel — as *fragments*; fragments (one row per
+    session piece of a chunk, far fewer than events) are then stitched across
+    chunk borders in key order, which gives every fragment its global session
+    start; pieces are a final aggregate keyed by (key, session start, piece).
+    """
+    gap_us, max_us, chunk_us = gap_seconds * 1_000_000, max_seconds * 1_000_000, chunk_seconds * 1_000_000
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    w = Window.partitionBy(*keys).orderBy(ts_col)
-    s = df.select(*keys, F.col(ts_col), t.alias("__t"))
-    s = s.withColumn("__new", F.coalesce((F.col("__t") - F.lag("__t").over(w)) > gap_seconds * 1_000_000,
-                                         F.lit(True)).cast("int"))
-    s = s.withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.withColumn("__s0", F.min("__t").over(Window.partitionBy(*keys, "__sid")))
-    s = s.withColumn("__piece", F.floor((F.col("__t") - F.col("__s0")) / F.lit(max_seconds * 1_000_000)))
-    return (s.groupBy(*keys, "__sid", "__piece")
+    d = df.select(*keys, F.col(ts_col), t.alias("__t")).withColumn("__c", F.floor(F.col("__t") / chunk_us))
+    w = Window.partitionBy(*keys, "__c").orderBy("__t")
+    brk = F.coalesce((F.col("__t") - F.lag("__t").over(w)) > gap_us, F.lit(False)).cast("int")
+    d = d.withColumn("__ls", F.sum(brk).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    frags = d.groupBy(*keys, "__c", "__ls").agg(F.min("__t").alias("__fs"), F.max("__t").alias("__fe"))
+    wf = Window.partitionBy(*keys).orderBy("__fs")
+    new = (F.col("__ls") > 0) | F.lag("__fe").over(wf).isNull() | \
+        ((F.col("__fs") - F.lag("__fe").over(wf)) > gap_us)
+    frags = frags.withColumn("__new", new.cast("int"))
+    frags = frags.withColumn("__sid", F.sum("__new").over(wf.rowsBetween(Window.unboundedPreceding, 0)))
+    frags = frags.withColumn("__s0", F.min("__fs").over(Window.partitionBy(*keys, "__sid")))
+    f = frags.select(*[F.col(k).alias(f"__f_{k}") for k in keys], F.col("__c").alias("__f_c"),
+                     F.col("__ls").alias("__f_ls"), "__s0")
+    cond = [d[k].eqNullSafe(f[f"__f_{k}"]) for k in keys] + [d["__c"] == f["__f_c"], d["__ls"] == f["__f_ls"]]
+    rows = d.join(f, reduce(lambda a, b: a & b, cond), "inner")
+    rows = rows.withColumn("__piece", F.floor((F.col("__t") - F.col("__s0")) / F.lit(max_us)))
+    return (rows.groupBy(*keys, "__s0", "__piece")
             .agg(F.min(ts_col).alias("piece_start"), F.max(ts_col).alias("piece_end"),
                  F.count(F.lit(1)).alias("n_events"))
-            .drop("__sid", "__piece"))
+            .drop("__s0", "__piece"))
 
 
 def sessions_max_duration_stream(df: DataFrame, ts_col: str, key: str, gap_seconds: int, max_seconds: int,
