@@ -111,7 +111,7 @@ def scd2(dim: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str
     """M05 type 2. ``dim`` has keys + tracked + effective_from, effective_to,
     is_current.  Changed keys: the current row is closed at ``load_ts`` and a
     new current row opens; new keys open a row; unchanged rows stay."""
-    ts = F.lit(load_ts).cast("timestamp")
+    ts = F.lit(load_ts).cast(dim.schema["effective_from"].dataType)
     hist = dim.filter(~F.col("is_current"))
     cur = dim.filter(F.col("is_current")).withColumn("__h", row_hash(tracked))
     inc = snapshot.select(*keys, *tracked).withColumn("__h", row_hash(tracked))
@@ -130,7 +130,7 @@ def scd2(dim: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str
     # 2) new current rows for changed and new keys
     opened = j.filter(changed | (~in_c & in_i)).select(
         *[F.col(f"i__{x}").alias(x) for x in dim_cols], ts.alias("effective_from"),
-        F.lit(None).cast("timestamp").alias("effective_to"), F.lit(True).alias("is_current"))
+        F.lit(None).cast(dim.schema["effective_to"].dataType).alias("effective_to"), F.lit(True).alias("is_current"))
     cols = dim_cols + ["effective_from", "effective_to", "is_current"]
     return hist.select(*cols).unionByName(old.select(*cols)).unionByName(opened.select(*cols))
 

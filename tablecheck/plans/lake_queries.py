@@ -109,7 +109,7 @@ def size_report(spark, sf):
 def incremental_load(spark, sf):
     """Rows newer than the stored watermark, and the next watermark."""
     o = table(spark, sf, "orders")
-    new = I.incremental_since(o, "o_orderdate", dt.datetime(2000, 1, 1))
+    new = I.incremental_since(o, "o_orderdate", "2000-01-01 00:00:00")
     return new.agg(F.count(F.lit(1)).alias("n_rows"), F.max("o_orderdate").alias("watermark"))
 
 
@@ -233,10 +233,10 @@ def _snapshot(spark, sf):
 def scd2(spark, sf):
     """SCD type 2: changed rows closed and re-opened at the load time, new keys opened."""
     dim = table(spark, sf, "customer").select(
-        *_CUST, F.lit(dt.datetime(1990, 1, 1)).cast("timestamp").alias("effective_from"),
-        F.lit(None).cast("timestamp").alias("effective_to"), F.lit(True).alias("is_current"))
+        *_CUST, F.lit("1990-01-01 00:00:00").cast("timestamp_ntz").alias("effective_from"),
+        F.lit(None).cast("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"))
     return C.scd2(dim, _snapshot(spark, sf), ["c_custkey"], ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-                  dt.datetime(2024, 1, 1))
+                  "2024-01-01 00:00:00")
 
 
 @query("scd3", "M05",
@@ -255,9 +255,10 @@ def scd3(spark, sf):
 def lambda_view(spark, sf):
     """Serving view: batch layer up to the cut + speed layer after it (= full daily counts)."""
     o = table(spark, sf, "orders")
-    batch = o.filter(F.col("o_orderdate") <= F.lit(dt.datetime(1999, 1, 1)))
-    speed = o.filter(F.col("o_orderdate") > F.lit(dt.datetime(1999, 1, 1)))
-    served = C.lambda_view(batch, speed, "o_orderdate", dt.datetime(1999, 1, 1))
+    cut = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
+    batch = o.filter(F.col("o_orderdate") <= cut)
+    speed = o.filter(F.col("o_orderdate") > cut)
+    served = C.lambda_view(batch, speed, "o_orderdate", "1999-01-01 00:00:00")
     return served.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_orders"))
 
 

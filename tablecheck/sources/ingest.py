@@ -233,8 +233,11 @@ def generic_ingest(spark: SparkSession, config: DataFrame, readers: dict | None
 
 
 def incremental_since(df: DataFrame, watermark_col: str, last_value) -> DataFrame:
-    """Rows strictly newer than the stored watermark."""
-    return df if last_value is None else df.filter(F.col(watermark_col) > F.lit(last_value))
+    """Rows strictly newer than the stored watermark (the stored
+    value is cast to the column's type; pass text for time zone-free values)."""
+    if last_value is None:
+        return df
+    return df.filter(F.col(watermark_col) > F.lit(last_value).cast(df.schema[watermark_col].dataType))
 
 
 def next_watermark(df: DataFrame, watermark_col: str) -> DataFrame:
