@@ -42,3 +42,24 @@ def test_lookup_dimension_is_broadcast_after_size_check(spark):
 def test_dedup_is_an_aggregate_not_a_window(spark):
     plan = _plan(QUERIES["dq_duplicates_ok"](spark, SF))
     assert "Window" not in plan and "Aggregate" in plan
+
+
+# Queries whose single-partition exchange only carries a global aggregate's
+# partial results or a window over per-period / per-batch totals.
+SMALL_GLOBAL = {"dq_rule_counts", "dq_threshold", "dq_reconcile", "dq_layer_debug", "pii_scan", "column_stats",
+                "latest_month", "latest_month_fallback", "done_marker", "size_report", "incremental_load",
+                "scalar_subquery", "null_semantics", "describe", "moving_avg7", "mom_change", "mom_drop",
+                "late_split", "schema_evolution", "current_slice", "historical_slice"}
+WRITES = {"stream_tumbling", "stream_upsert", "time_travel", "version_latest", "schema_evolution",
+          "partition_projection", "reference_csv", "generic_ingest"}
+
+
+def test_no_cross_products_python_or_single_task_row_work(spark):
+    for name, fn in QUERIES.items():
+        if name in WRITES:
+            continue
+        plan = _plan(fn(spark, SF))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in plan, (name, bad)
+        if name not in SMALL_GLOBAL:
+            assert "SinglePartition" not in plan, name
