@@ -13,7 +13,7 @@ newest ``order_col`` first (oldest when the object name contains
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,14 +157,13 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
                          if c in keys[:-1] and types[c] == "string" else F.col(f"`{c}`")
                          for c in original])
 
-    dups = best.filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_d{k}") for k in kcols],
-                                               *[c for c in best.columns if c not in kcols])
-    # rows of duplicated keys only; null keys form a group (null-safe join);
-    # the join is keyed, and AQE splits the big side of a hot key
-    cond = [ranked[k].eqNullSafe(dups[f"_d{k}"]) for k in kcols]
-    joined = ranked.join(dups, cond, "inner").drop(*[f"_d{k}" for k in kcols])
-    is_w = F.col("_r") == F.col("_w")
     if all_losers:
+        dups = best.filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_d{k}") for k in kcols],
+                                                   *[c for c in best.columns if c not in kcols])
+        # rows of duplicated keys only; null keys form a group (null-safe join);
+        # the join is keyed, and AQE splits the big side of a hot key
+        cond = [ranked[k].eqNullSafe(dups[f"_d{k}"]) for k in kcols]
+        joined = ranked.join(dups, cond, "inner").drop(*[f"_d{k}" for k in kcols])
         # every row except one winner instance
         losers = (joined.groupBy(*kcols, "_r")
                   .agg(F.count(F.lit(1)).alias("_c"), F.first("_w").alias("_w"),
@@ -174,11 +173,18 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
                   .withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_c"))))
                   .withColumn("_l", F.col("_r")))
     else:
-        extra = [F.first("_folders").alias("_folders")] if "_folders" in dups.columns else []
-        per_key = (joined.groupBy(*kcols)
-                   .agg(F.sum(is_w.cast("int")).alias("_nw"), F.first("_w").alias("_w"),
-                        F.min(F.when(~is_w, F.col("_r"))).alias("_l2"), *extra))
-        losers = per_key.withColumn("_l", F.when(F.col("_nw") >= 2, F.col("_w")).otherwise(F.col("_l2")))
+        # The first loser per key is the second row in preference order: a
+        # row_number window filtered to 2, which Spark limits on the map side
+        # (WindowGroupLimit) — each task forwards at most two rows per key, so
+        # a hot key never lands whole in one task, and no join is needed.
+        # Identical rows are interchangeable, so ties need no further order.
+        w2 = Window.partitionBy(*kcols).orderBy("_r")
+        losers = ranked.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") == 2) \
+            .withColumnRenamed("_r", "_l")
+        if delete_by_path and folder_col in df.columns:
+            folders = best.filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_d{k}") for k in kcols], "_folders")
+            cond = [losers[k].eqNullSafe(folders[f"_d{k}"]) for k in kcols]
+            losers = losers.join(folders, cond, "inner")
     row = _unpack("_l", where, original)
     lrow = losers.select(*row, *([F.col("_folders")] if "_folders" in losers.columns else []))
     report = [
