@@ -130,23 +130,29 @@ def evaluate(df: DataFrame, rules: list[Rule], ctx: CheckContext | None = None,
     ok = apply_fixes(src.filter(ok_predicate(rules) & gate), rules, data_columns)
 
     reported = [r for r in rules if r.action in (BLOCK, REPORT)]
+    # One array slot per reported rule, null where the rule holds; exploded
+    # and null-filtered (plain Generate + Filter, no higher-order function).
     if reported:
-        vio = F.filter(F.array(*[F.when(_bad(r), _violation_struct(r)) for r in reported]),
-                       lambda x: x.isNotNull())
+        vio = F.array(*[F.when(_bad(r), _violation_struct(r)) for r in reported])
     else:  # only DROP rules: the report is empty but keeps its schema
-        vio = F.array(F.struct(*[F.lit(None).cast("string").alias(n) for n in
-                                 ("check_passed", "check_column_name", "check_column_value", "error_type")]))
+        vio = F.array(F.lit(None).cast("struct<check_passed:string,check_column_name:string,"
+                                       "check_column_value:string,error_type:string>"))
     failing = src.filter(fail_predicate(rules) & gate)
+    carried = [_idpipeline(df).alias("idpipeline")]
+    if with_json:  # built once per failing row, before the explode
+        carried.append(json_row(data_columns).alias("json_row_data"))
+    carried += [F.col(f"`{c}`") for c in (extra_cols or [])]
     report_cols = [
         F.lit(ctx.name).alias("object_name"),
         F.col("v.check_passed"), F.col("v.check_column_name"), F.col("v.check_column_value"),
-        F.col("v.error_type"), _idpipeline(df).alias("idpipeline"),
+        F.col("v.error_type"), "idpipeline",
     ]
     if with_json:
-        report_cols.append(json_row(data_columns).alias("json_row_data"))
+        report_cols.append("json_row_data")
     report_cols += [F.col(f"`{c}`") for c in (extra_cols or [])]
     fail = (failing
-            .select("*", F.explode(vio).alias("v"))
+            .select(*carried, F.explode(vio).alias("v"))
+            .filter(F.col("v").isNotNull())
             .select(*report_cols))
     return Evaluation(ok=ok, fail=fail, tagged=src, observation=obs)
 
