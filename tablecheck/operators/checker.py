@@ -117,6 +117,17 @@ class TableChecker:
         rows = self.pk_config.filter(F.col("object_name") == self.name).select("PK").collect()
         return [r["PK"] for r in rows]
 
+    def apply_master_prefilter(self, rules: list[dict], env_col: str = "environment"):
+        """Q19: keep only rows present in every configured master — applied only
+        when the object carries an ``environment`` column (as the reference
+        gates it).  Row counts per step come from Observations, not counts."""
+        if env_col not in self.data.columns or not rules:
+            return self.data, []
+        observations: list = []
+        ok, _ = master_filters(self.data, rules, self.ctx, with_json=False, observations=observations)
+        self.data = ok
+        return ok, observations
+
     def check_master_filters(self, rules: list[dict]):
         if not rules:
             return self.data, self._empty_report()

@@ -89,7 +89,8 @@ def semi_anti(df: DataFrame, column: str, lookup: DataFrame, lookup_column: str
 
 
 def master_filters(df: DataFrame, rules: list[dict], ctx: CheckContext | None = None,
-                   with_json: bool = True, extra_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                   with_json: bool = True, extra_cols: list[str] | None = None,
+                   observations: list | None = None) -> tuple[DataFrame, DataFrame]:
     """Q20 (and Q19 without the report). Sequential master filters.
 
     Each rule is a dict: ``filtered_column``, ``master`` (DataFrame),
@@ -101,7 +102,13 @@ def master_filters(df: DataFrame, rules: list[dict], ctx: CheckContext | None =
     original = list(df.columns)
     current = df
     fails = []
-    for r in rules:
+    for i, r in enumerate(rules):
+        if observations is not None:
+            # Rows entering each rule, counted by the job that runs anyway
+            from pyspark.sql import Observation
+            obs = Observation(f"master_{ctx.name}_{i}_{id(observations)}")
+            current = current.observe(obs, F.count(F.lit(1)).alias("rows_in"))
+            observations.append(obs)
         master = r["master"]
         where = r.get("where") or None
         if where is not None and not _names_other_side(where, current, master):

@@ -377,3 +377,19 @@ def dq_layer_debug(spark, sf_dir):
     raw = f1(spark, sf_dir)
     silver = evaluate(raw, _rules_main(), CTX).ok
     return layer_stats({"bronze": raw, "silver": silver}, key=F.upper(F.col("order_id")))
+
+
+@query("ruleset", "Q27",
+       "SELECT 'IsComplete' AS rule, 'o_custkey' AS column_name, CAST(count(*) - count(o_custkey) AS BIGINT) AS metric "
+       "FROM orders UNION ALL SELECT 'IsUnique', 'o_orderkey', CAST(count(o_orderkey) - count(DISTINCT o_orderkey) AS "
+       "BIGINT) FROM orders UNION ALL SELECT 'ColumnValues > 1000', 'o_totalprice', CAST(count(*) FILTER (WHERE "
+       "o_totalprice <= 1000) AS BIGINT) FROM orders UNION ALL SELECT 'ColumnLength between 8 and 15', "
+       "'o_orderpriority', CAST(count(*) FILTER (WHERE length(o_orderpriority) NOT BETWEEN 8 AND 15) AS BIGINT) "
+       "FROM orders UNION ALL SELECT 'IsUnique', 'o_custkey', CAST(count(o_custkey) - count(DISTINCT o_custkey) AS "
+       "BIGINT) FROM orders")
+def ruleset(spark, sf):
+    """Declarative dataset rules evaluated in one aggregate (status PASS when the metric is 0)."""
+    from tablecheck.operators import ruleset as RS
+    rules = [RS.is_complete("o_custkey"), RS.is_unique("o_orderkey"), RS.column_values("o_totalprice", ">", 1000),
+             RS.column_length_between("o_orderpriority", 8, 15), RS.is_unique("o_custkey")]
+    return RS.evaluate_ruleset(table(spark, sf, "orders"), rules).drop("status")

@@ -93,3 +93,38 @@ def test_q20_master_repeat_key_no_multiplication_and_mixed_where(spark):
                                         where="lvl < 5 OR flag = 'A'")], CheckContext("o"))
     assert sorted(r["k"] for r in ok.collect()) == [1, 3]
     assert [r["check_column_value"] for r in fail.collect()] == ["2"]
+
+
+def test_q03_pk_from_config_and_q19_gate_with_observations(spark):
+    from tablecheck.operators.checker import TableChecker
+    df = spark.createDataFrame([(1, "a", "prod", T1), (1, "a", "prod", T2), (2, "b", "prod", T1)],
+                               "k int, u string, environment string, _timestamp timestamp")
+    cfg = spark.createDataFrame([("obj", "k"), ("other", "x")], "object_name string, PK string")
+    chk = TableChecker(df, "obj", pk_config=cfg)
+    ok, fail = chk.check_duplicates_with_PKs(False, ["u"])
+    assert ok.count() == 2 and [r["check_column_name"] for r in fail.collect()] == ["Multiple PKs"]
+    master = spark.createDataFrame([(1,)], "mk int")
+    ok, obs = chk.apply_master_prefilter([dict(filtered_column="k", master=master, curated_column="mk")])
+    assert ok.count() == 2 and obs[0].get["rows_in"] == 3
+    no_env = TableChecker(df.drop("environment"), "obj")
+    same, obs = no_env.apply_master_prefilter([dict(filtered_column="k", master=master, curated_column="mk")])
+    assert same.count() == 3 and obs == []
+
+
+def test_a14_observed_rule_counts(spark):
+    from tablecheck.operators import rules as R
+    df = spark.createDataFrame([("a",), (None,), ("",)], "c string")
+    ev = evaluate(df, [R.null_check("c")], observe=True)
+    assert ev.ok.count() == 1
+    vals = ev.observation.get
+    assert vals["rows"] == 3 and vals["0:check_nulls:c"] == 2
+
+
+def test_q27_ruleset_schema_and_data_rules(spark):
+    from tablecheck.operators import ruleset as RS
+    df = spark.createDataFrame([(1, "ab"), (1, None), (2, "abcdef")], "k int, s string")
+    out = {r["rule"] + ":" + r["column_name"]: (r["metric"], r["status"]) for r in RS.evaluate_ruleset(df, [
+        RS.is_complete("s"), RS.is_unique("k"), RS.column_values("k", ">=", 1),
+        RS.column_length_between("s", 1, 3), RS.column_count(2)]).collect()}
+    assert out == {"IsComplete:s": (1, "FAIL"), "IsUnique:k": (1, "FAIL"), "ColumnValues >= 1:k": (0, "PASS"),
+                   "ColumnLength between 1 and 3:s": (1, "FAIL"), "ColumnCount = 2:*": (2, "PASS")}
