@@ -47,6 +47,15 @@ _SESS = ("WITH e AS (SELECT user_id, ts, value, CASE WHEN lag(ts) OVER (PARTITIO
        _SESS + "SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTES AS session_end, user_id, "
        f"count(*) AS n_events, {_SUM} FROM s GROUP BY user_id, sid")
 def session(spark, sf):
+    """Gap sessions per user; batch form stitched from per-day fragments, so a
+    very active user is not one task (streams use ``session_window``)."""
+    return S.sessions_batch(_events(spark, sf), "ts", ["user_id"], 1800, "value")
+
+
+@query("session_window_builtin", "T06", _SESS + "SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTES AS "
+       f"session_end, user_id, count(*) AS n_events, {_SUM} FROM s GROUP BY user_id, sid")
+def session_window_builtin(spark, sf):
+    """The same sessions with Spark's ``session_window`` (the streaming form)."""
     return S.session_agg(_events(spark, sf), "ts", "30 minutes", ["user_id"], "value")
 
 

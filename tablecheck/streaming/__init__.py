@@ -8,6 +8,6 @@ refuse, so ``event_time`` casts to TIMESTAMP (session zone is UTC).
 
 from tablecheck.streaming.stream import (  # noqa: F401
     dedup_within_watermark, event_time, file_stream, hopping_agg, keep_first, late_split_batch,
-    parse_json_body, route_late_batch, run_available_now, session_agg, sessions_max_duration,
+    parse_json_body, route_late_batch, run_available_now, session_agg, sessions_batch, sessions_max_duration,
     sessions_max_duration_stream, tumbling_agg, upsert_sink,
 )

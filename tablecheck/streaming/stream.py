@@ -89,22 +89,20 @@ def session_agg(df: DataFrame, ts_col: str, gap: str, keys: list[str], value_col
         .withColumnRenamed("window_end", "session_end")
 
 
-def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int,
-                          max_seconds: int, chunk_seconds: int = 86400) -> DataFrame:
-    """T07 batch: gap sessions split into pieces of at most ``max_seconds``
-    measured from the session start.  Output: keys, piece_start, piece_end
-    (first/last event of the piece), n_events.
-
-    Sessionizing with one window per key sends a hot key to one task.  Here
-    time is cut into chunks: sessions are first found inside each
-    (key, chunk) — parallel — as *fragments*; fragments (one row per
-    session piece of a chunk, far fewer than events) are then stitched across
-    chunk borders in key order, which gives every fragment its global session
-    start; pieces are a final aggregate keyed by (key, session start, piece).
+def _session_starts(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, chunk_seconds: int,
+                    carry: list[str] | None = None) -> DataFrame:
+    """Every row with ``__s0`` = the start (µs) of its gap session.
+
+    One window per key would send a hot key to one task.  Instead time is cut
+    into chunks: sessions are found inside each (key, chunk) — in parallel —
+    as *fragments*; fragments (one row per session part of a chunk, far fewer
+    than events) are stitched across chunk borders in key order, which gives
+    each its global session start; rows get it back by a keyed join.
     """
-    gap_us, max_us, chunk_us = gap_seconds * 1_000_000, max_seconds * 1_000_000, chunk_seconds * 1_000_000
+    gap_us, chunk_us = gap_seconds * 1_000_000, chunk_seconds * 1_000_000
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    d = df.select(*keys, F.col(ts_col), t.alias("__t")).withColumn("__c", F.floor(F.col("__t") / chunk_us))
+    d = df.select(*keys, F.col(ts_col), *(carry or []), t.alias("__t")) \
+        .withColumn("__c", F.floor(F.col("__t") / chunk_us))
     w = Window.partitionBy(*keys, "__c").orderBy("__t")
     brk = F.coalesce((F.col("__t") - F.lag("__t").over(w)) > gap_us, F.lit(False)).cast("int")
     d = d.withColumn("__ls", F.sum(brk).over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -118,8 +116,32 @@ def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_secon
     f = frags.select(*[F.col(k).alias(f"__f_{k}") for k in keys], F.col("__c").alias("__f_c"),
                      F.col("__ls").alias("__f_ls"), "__s0")
     cond = [d[k].eqNullSafe(f[f"__f_{k}"]) for k in keys] + [d["__c"] == f["__f_c"], d["__ls"] == f["__f_ls"]]
-    rows = d.join(f, reduce(lambda a, b: a & b, cond), "inner")
-    rows = rows.withColumn("__piece", F.floor((F.col("__t") - F.col("__s0")) / F.lit(max_us)))
+    return d.join(f, reduce(lambda a, b: a & b, cond), "inner") \
+        .drop(*[f"__f_{k}" for k in keys], "__f_c", "__f_ls")
+
+
+def sessions_batch(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, value_col: str | None = None,
+                   chunk_seconds: int = 86400) -> DataFrame:
+    """T06 batch twin of ``session_agg`` that stays parallel inside a hot key:
+    session_start = first event, session_end = last event + gap (Spark's
+    ``session_window`` values), n_events, exact sum."""
+    rows = _session_starts(df, ts_col, keys, gap_seconds, chunk_seconds, [value_col] if value_col else None)
+    out = rows.groupBy(*keys, "__s0").agg(
+        F.min(ts_col).alias("session_start"),
+        (F.max(ts_col) + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("session_end"), *_measure_aggs(value_col))
+    return out.select("session_start", "session_end", *keys, *[c for c in out.columns
+                                                               if c in ("n_events", "sum_value")])
+
+
+def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int,
+                          max_seconds: int, chunk_seconds: int = 86400) -> DataFrame:
+    """T07 batch: gap sessions split into pieces of at most ``max_seconds``
+    measured from the session start.  Output: keys, piece_start, piece_end
+    (first/last event of the piece), n_events.  Sessions come from the
+    chunked stitching of ``_session_starts``; pieces are a final aggregate
+    keyed by (key, session start, piece)."""
+    rows = _session_starts(df, ts_col, keys, gap_seconds, chunk_seconds)
+    rows = rows.withColumn("__piece", F.floor((F.col("__t") - F.col("__s0")) / F.lit(max_seconds * 1_000_000)))
     return (rows.groupBy(*keys, "__s0", "__piece")
             .agg(F.min(ts_col).alias("piece_start"), F.max(ts_col).alias("piece_end"),
                  F.count(F.lit(1)).alias("n_events"))
