@@ -23,10 +23,6 @@ OP_UPDATE = "U"
 OP_DELETE = "D"
 
 
-def _key_cond(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[k] == b[k] for k in keys])
-
-
 def assert_unique_keys(df: DataFrame, keys: list[str], what: str = "source") -> None:
     """MERGE semantics: a target row may match at most one source row."""
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

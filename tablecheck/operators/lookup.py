@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 from tablecheck import functions as tf
 from tablecheck.operators.evaluate import CheckContext, _idpipeline, json_row
-from tablecheck.operators.rules import (CRITICAL, FLAG_ISIN, FLAG_MASTER, BLOCK, REPORT, Rule,
-                                        WARNING, marker_rule)
+from tablecheck.operators.rules import CRITICAL, FLAG_ISIN, FLAG_MASTER, Rule, marker_rule
 
 # Lookups with at most this many distinct keys are broadcast.
 DEFAULT_BROADCAST_ROWS = 1_000_000

@@ -7,8 +7,6 @@ existence checks without full counts).
 
 from __future__ import annotations
 
-import importlib.util
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
