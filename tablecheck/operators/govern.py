@@ -8,6 +8,7 @@ unpivoted with ``stack``.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,16 @@ PII_PATTERNS = {
     "card_number": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
     "secret_assignment": r"(?i)(api[_-]?key|secret|password|token)[ ]*[:=]",
 }
+# Necessary conditions of the patterns above (a match cannot exist without
+# them): literal characters of which one must occur, and whether a digit must.
+# Checked first with a byte search, so the regex runs only on candidate texts.
+PII_HINTS = {
+    "email": (["@"], False),
+    "phone": ([], True),
+    "ipv4": (["."], True),
+    "card_number": ([], True),
+    "secret_assignment": ([":", "="], False),
+}
 
 
 def mask_columns(df: DataFrame, columns: list[str], salt: str = "", drop: list[str] | None = None) -> DataFrame:
@@ -59,12 +70,24 @@ def masked_view(df: DataFrame, role: str, unmasked_roles: set[str], masked: list
 def pii_scan(df: DataFrame, columns: list[str] | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
     """Per (column, pattern): rows matching and hit rate — one scan,
     one aggregate, whole values (never a prefix)."""
+    hints = PII_HINTS if patterns is None else {}
     patterns = patterns or PII_PATTERNS
     columns = columns or [n for n, t in df.dtypes if t == "string"]
     aggs, labels = [F.count(F.lit(1)).alias("__n")], []
     for i, c in enumerate(columns):
+        x = F.col(f"`{c}`")
+        has_digit = x.rlike("[0-9]")
         for j, (name, rx) in enumerate(patterns.items()):
-            aggs.append(F.sum(F.coalesce(F.col(f"`{c}`").rlike(rx), F.lit(False)).cast("long")).alias(f"h{i}_{j}"))
+            hit = x.rlike(rx)
+            if name in hints:
+                lits, digit = hints[name]
+                pre = F.lit(True)
+                if lits:
+                    pre = pre & reduce(lambda a, b: a | b, [F.instr(x, ch) > 0 for ch in lits])
+                if digit:
+                    pre = pre & has_digit
+                hit = F.when(pre, hit).otherwise(F.lit(False))
+            aggs.append(F.sum(F.coalesce(hit, F.lit(False)).cast("long")).alias(f"h{i}_{j}"))
             labels.append((c, name, f"h{i}_{j}"))
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{c}', '{p}', {h}" for c, p, h in labels)
