@@ -52,6 +52,7 @@ def json_row(columns: list[str]) -> Column:
 
 
 def _violation_struct(r: Rule) -> Column:
+    """Q25: the check tag of one violation (rule flag, column, value as text, severity)."""
     return F.struct(
         F.lit(r.flag).alias("check_passed"),
         F.lit(r.column).alias("check_column_name"),
@@ -96,7 +97,8 @@ class Evaluation:
 def evaluate(df: DataFrame, rules: list[Rule], ctx: CheckContext | None = None,
              observe: bool = False, with_json: bool = True, persist: bool = False,
              extra_cols: list[str] | None = None, fence: bool = True) -> Evaluation:
-    """Evaluate all rules in one pass.
+    """Evaluate all rules in one pass (``observe`` counts rows and
+    violations per rule with an Observation instead of extra count jobs).
 
     OK has exactly the input columns (minus system ids) in input order.
     FAIL has the report schema ``REPORT_COLUMNS``: one row per (row, violated rule).
@@ -198,7 +200,7 @@ def enrich_report(fail: DataFrame, file_name: str | None, folder_path: str | Non
 
 def build_final_fail(*fails: DataFrame, file_name: str | None = None,
                      folder_path: str | None = None) -> DataFrame:
-    """Q24. Union of reports by name, duplicates dropped, JSON enriched."""
+    """Q24 (U03, U05). Union of reports by name, duplicates dropped, JSON enriched."""
     if not fails:
         raise ValueError("build_final_fail needs at least one report")
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fails)
@@ -207,7 +209,7 @@ def build_final_fail(*fails: DataFrame, file_name: str | None = None,
 
 
 def build_final_output(*oks: DataFrame, distinct: bool = True) -> DataFrame:
-    """Q23 set form: intersection of OK outputs (set semantics when ``distinct``).
+    """Q23 set form (U01): intersection of OK outputs (set semantics when ``distinct``).
 
     Prefer ``evaluate(...).ok`` (one pass, row semantics).  This helper is kept
     for callers that combine outputs of separate checks."""

@@ -37,7 +37,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 def add_lookup_marker(df: DataFrame, columns: str | list[str], lookup: DataFrame,
                       lookup_columns: str | list[str] | None = None, marker: str = "_m_0",
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Add boolean ``marker``: the row's (tuple of) column value(s) is in ``lookup``.
+    """Add boolean ``marker``: the row's (tuple of) column value(s) is in ``lookup``.
 
     Null in any key part never matches (D11/D12).  The lookup is reduced to
     distinct keys first, so the left join cannot multiply rows.
@@ -75,7 +75,7 @@ def rows_lookup(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
 
 def semi_anti(df: DataFrame, column: str, lookup: DataFrame, lookup_column: str | None = None,
               condition: Column | str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows with a match, rows without) — no row multiplication.
+    """(rows with a match, rows without) — no row multiplication.
 
     ``condition`` may name columns of either side (D22): it becomes part of
     the semi/anti join condition.
@@ -137,7 +137,7 @@ def _names_other_side(condition: str, data: DataFrame, master: DataFrame) -> boo
 
 
 def config_lookup(spark: SparkSession, config_row: dict, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Q21: one allowed-values set from a config row = lookup table values ∪ literals.
+    """One allowed-values set from a config row = lookup table values ∪ literals.
 
     ``allowed_values`` is a ', '-separated list; it becomes rows through
     ``explode(split())`` — never spliced into SQL text (D25)."""

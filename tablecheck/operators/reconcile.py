@@ -53,7 +53,7 @@ def threshold_status(df: DataFrame, rules: list[Rule], max_bad_pct: float = 1.0)
 
 
 def assert_not_empty(df: DataFrame, what: str = "output") -> None:
-    """Q31: raise if ``df`` has no rows (``isEmpty`` reads at most one row)."""
+    """Raise if ``df`` has no rows (``isEmpty`` reads at most one row)."""
     if df.isEmpty():
         raise ValueError(f"{what} is empty")
 

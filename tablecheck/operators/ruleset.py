@@ -59,7 +59,7 @@ def column_count(n: int) -> DatasetRule:
 
 
 def evaluate_ruleset(df: DataFrame, rules: list[DatasetRule]) -> DataFrame:
-    """One aggregate for all data rules (metric = violations, PASS when 0),
+    """Q27: one aggregate for all data rules (metric = violations, PASS when 0),
     unpivoted with ``stack``; schema rules are literal rows.  Lazy: nothing
     is collected to the driver."""
     parts = []

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 
 def rename_cast(df: DataFrame, mapping: list[tuple[str, str, str]], safe: bool = False) -> DataFrame:
-    """``[(source, type, target), ...]`` -> one select of casts.
+    """``[(source, type, target), ...]`` -> one select of casts.
     ``safe=True`` uses try_cast (bad values become null instead of failing)."""
     cols = []
     for src, typ, dst in mapping:

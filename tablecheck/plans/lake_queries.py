@@ -302,7 +302,8 @@ def schema_evolution(spark, sf):
     o.filter(F.col("o_orderkey") % 2 == 0).select("o_orderkey", "o_custkey").write.mode("append").parquet(path)
     o.filter(F.col("o_orderkey") % 2 == 1).select("o_orderkey", "o_custkey", "o_orderstatus") \
         .write.mode("append").parquet(path)
-    back = spark.read.option("mergeSchema", "true").parquet(path)
+    from tablecheck.sources.readers import read_evolving
+    back = read_evolving(spark, path)
     return back.agg(F.count(F.lit(1)).alias("n_rows"), F.count("o_orderstatus").alias("n_status"))
 
 

@@ -27,7 +27,10 @@ BASE_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tablecheck", extra: dict | None = None) -> SparkSession:
-    """Return the active session or build a local one for tests/bench."""
+    """Return the active session or build a local one for tests/bench.
+
+    J07: AQE with skew-join splitting is on; partition coalescing follows
+    the real shuffle sizes."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active

@@ -115,7 +115,8 @@ def union_types(frames: dict[str, DataFrame], type_col: str = "trip_type") -> Da
 
 def land(df: DataFrame, target: str, predicate: Column | None = None, fmt: str = "parquet",
          max_records_per_file: int | None = None) -> None:
-    """Write the selected months as Hive partitions year=/month=.
+    """Write the selected months as Hive partitions year=/month=
+    (repartitioned by the partition columns: one writer per month).
 
     Dynamic partition overwrite: only partitions present in ``df`` are
     replaced, so a re-run (or backfill) of the same months is idempotent."""

@@ -55,7 +55,7 @@ def active_master_filters(config: DataFrame, object_name: str, flag_col: str = "
 # --------------------------------------------------------------------------- reading
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet", schema: T.StructType | str | None = None,
                options: dict | None = None) -> DataFrame:
-    """Path or catalog table in any available format.
+    """Path or catalog table in any available format.
 
     Delta/Iceberg/Avro need external jars; they are used only when the
     format's data source is on the classpath, otherwise a clear error."""
@@ -83,6 +83,12 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
     return True
 
 
+def read_evolving(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Files appended with drifting schemas read as one frame
+    (``mergeSchema``: union of the columns, missing ones null)."""
+    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+
+
 def query_files(spark: SparkSession, path: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
     """Query files in place: ``SELECT ... FROM {src}`` over ``fmt.`path```."""
     if fmt not in BUILTIN_FORMATS:

@@ -57,7 +57,7 @@ class VersionedTable:
     # -- write -----------------------------------------------------------------
     def publish(self, df: DataFrame, operation: str = "WRITE", batch_id: int | None = None,
                 validate=None) -> int:
-        """Write ``df`` as the next version, validate it, then append the log row.
+        """Write ``df`` as the next version, validate it, then append the log row.
 
         ``validate(staged_df) -> bool``; a failing validation leaves the
         version unpublished (rollback = never listed)."""
@@ -139,7 +139,7 @@ def save_snapshot(df: DataFrame, table_name: str) -> tuple[DataFrame, int]:
 
 @contextmanager
 def bronze_snapshot(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """S11 bronze snapshot: persisted for the duration of a block, released after."""
+    """S11/G06 bronze snapshot: persisted for the duration of a block, released after."""
     snap = df.persist(level)
     try:
         yield snap

@@ -284,7 +284,8 @@ def expectations_stream(df: DataFrame, rules: list[Rule]):
 
 def run_available_now(df: DataFrame, checkpoint: str, sink: str | Callable, output_mode: str = "append",
                       fmt: str = "parquet", query_name: str | None = None):
-    """Process everything available now, then stop.  Progress
+    """Process everything available now, then stop (any
+    output mode: append, complete, update).  Progress
     lives in ``checkpoint`` (must be shared storage on a cluster)."""
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
