@@ -245,3 +245,38 @@ def next_watermark(df: DataFrame, watermark_col: str) -> DataFrame:
     """The new watermark value (one aggregate) — persist it only after
     the data write succeeded."""
     return df.agg(F.max(watermark_col).alias("watermark"))
+
+
+# --------------------------------------------------------------------------- failure isolation
+STATUS_FAILED = "FAILED"
+
+
+def _norm_path(c: Column) -> Column:
+    """file:/x, file:///x and /x name the same file."""
+    return F.regexp_replace(c, r"^file:(//)?", "file:")
+
+
+def read_isolating_failures(spark: SparkSession, root: str, run_id: str, fmt: str = "parquet",
+                            glob: str = "*.parquet", schema: T.StructType | str | None = None
+                            ) -> tuple[DataFrame, DataFrame]:
+    """Read every file under ``root``; a corrupt file does not stop the
+    job, and is *not* silent: the returned ledger marks it FAILED.
+
+    Returns (data, ledger).  Corrupt files are skipped by the reader
+    (``ignoreCorruptFiles``); files that contributed no row are FAILED in the
+    ledger (an empty but valid file is reported the same way, which is the
+    safe side).  The data keeps the source path in ``_source_file``."""
+    inv = file_inventory(spark, root, glob)
+    reader = (spark.read.format(fmt).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", glob))
+    # without a declared schema, infer it from every readable footer (a corrupt
+    # first file must not decide the schema)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+    data = reader.load(root).withColumn("_source_file", F.col("_metadata.file_path"))
+    seen = data.select(_norm_path(F.col("_source_file")).alias("__p")).distinct().withColumn("__ok", F.lit(True))
+    led = inv.join(seen, _norm_path(inv["path"]) == seen["__p"], "left")
+    status = F.when(F.col("__ok"), F.lit(STATUS_SUCCESS)).otherwise(F.lit(STATUS_FAILED))
+    ledger = led.select("path", F.col("year").cast("int"), F.col("month").cast("int"), "size_bytes",
+                        F.col("modification_time").cast("timestamp"), status.alias("status"),
+                        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("landed_at"))
+    return data, ledger

@@ -93,3 +93,16 @@ def test_snapshots_and_checkpoint(spark):
     with bronze_snapshot(df) as snap:
         assert snap.count() == 10 and snap.storageLevel.useMemory
     assert cut_lineage(df.filter("id > 4")).count() == 5
+
+
+def test_s04_corrupt_file_is_isolated_and_reported(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "src")
+    spark.read.parquet(f"{SF}/region.parquet").write.parquet(os.path.join(root, "good"))
+    os.makedirs(os.path.join(root, "bad"), exist_ok=True)
+    with open(os.path.join(root, "bad", "part-broken.parquet"), "wb") as fh:
+        fh.write(b"PAR1 this is not a parquet file PAR1")
+    data, ledger = I.read_isolating_failures(spark, root, "run-9")
+    assert data.count() == 5
+    st = {os.path.basename(r["path"]): r["status"] for r in ledger.collect()}
+    assert st["part-broken.parquet"] == "FAILED"
+    assert [v for k, v in st.items() if k != "part-broken.parquet"] == ["SUCCESS"] * (len(st) - 1)
