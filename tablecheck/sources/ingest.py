@@ -120,10 +120,9 @@ def land(df: DataFrame, target: str, predicate: Column | None = None, fmt: str =
 
     Dynamic partition overwrite: only partitions present in ``df`` are
     replaced, so a re-run (or backfill) of the same months is idempotent."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = df.filter(predicate) if predicate is not None else df
-    w = out.repartition(*PARTITION_COLS).write.mode("overwrite").partitionBy(*PARTITION_COLS).format(fmt)
+    w = (out.repartition(*PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*PARTITION_COLS).format(fmt))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(target)
@@ -226,8 +225,7 @@ def generic_ingest(spark: SparkSession, config: DataFrame, readers: dict | None
         cols = r.get("partition_cols") or []
         w = df.write.mode("overwrite")
         if cols:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            w = w.partitionBy(*cols)
+            w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
         w.parquet(r["target_prefix"])
         done.append(r["source_name"])
     return done
