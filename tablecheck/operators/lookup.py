@@ -19,19 +19,30 @@ from tablecheck import functions as tf
 from tablecheck.operators.evaluate import CheckContext, _idpipeline, json_row
 from tablecheck.operators.rules import CRITICAL, FLAG_ISIN, FLAG_MASTER, Rule, marker_rule
 
-# Lookups with at most this many distinct keys are broadcast.
+# A lookup side is broadcast only when a bounded probe shows at most this many
+# rows AND this many bytes of key data (the probe reads at most max_rows + 1 rows).
 DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows per partition (local limit), never the whole side."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size proof; else plain (AQE decides)."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def is_bounded(df: DataFrame, max_rows: int, max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (and, when given, at most
+    ``max_bytes`` of column data as text).  Each task stops after
+    ``max_rows + 1`` rows (local limit), so the probe never reads a big side whole."""
+    probe = df.limit(max_rows + 1)
+    size = F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+                      for c in df.columns), F.lit(0)))
+    row = probe.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
+    if row["n"] > max_rows:
+        return False
+    return max_bytes is None or (row["b"] or 0) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                         max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a size proof (rows and bytes); else the
+    plain frame, and Catalyst/AQE choose the join from real sizes."""
+    return F.broadcast(df) if is_bounded(df, max_rows, max_bytes) else df
 
 
 def add_lookup_marker(df: DataFrame, columns: str | list[str], lookup: DataFrame,

@@ -128,3 +128,13 @@ def test_q27_ruleset_schema_and_data_rules(spark):
         RS.column_length_between("s", 1, 3), RS.column_count(2)]).collect()}
     assert out == {"IsComplete:s": (1, "FAIL"), "IsUnique:k": (1, "FAIL"), "ColumnValues >= 1:k": (0, "PASS"),
                    "ColumnLength between 1 and 3:s": (1, "FAIL"), "ColumnCount = 2:*": (2, "PASS")}
+
+
+def test_broadcast_only_behind_row_and_byte_bounds(spark):
+    from tablecheck.operators.lookup import broadcast_if_bounded, is_bounded
+    small = spark.range(100).selectExpr("id", "repeat('x', 10) AS s")
+    assert is_bounded(small, 1000) and not is_bounded(small, 50)
+    assert not is_bounded(small, 1000, max_bytes=500)   # 100 rows x ~12 bytes > 500
+    big = spark.range(100).select("id")
+    plan = big.join(broadcast_if_bounded(small, 1000), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
