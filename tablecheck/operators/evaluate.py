@@ -112,34 +112,43 @@ def evaluate(df: DataFrame, rules: list[Rule], ctx: CheckContext | None = None,
 
     src = df
     if fence:
-        # Optimisation fence: a nondeterministic column that the predicates
-        # reference keeps Catalyst from pushing the rule predicates below the
-        # input's projection.  Without it, every rule that reads a *computed*
-        # input column (a view, a cast, a CASE) re-evaluates that expression
-        # once per reference; with it, inputs are computed once per row.
+        # Optimisation fence: the rule flags are computed in one projection
+        # together with a nondeterministic column that the filters reference,
+        # so Catalyst cannot push the predicates below the input's projection.
+        # Each flag (and each computed input column, and each parse shared by
+        # several rules) is then evaluated once per row — the projection gets
+        # common-subexpression elimination — instead of once per reference.
         # Costs one int per row; filters meant for the scan belong before evaluate().
-        src = src.withColumn("__fence", F.spark_partition_id())
+        src = src.select("*", F.spark_partition_id().alias("__fence"),
+                         *[_bad(r).alias(f"__b{i}") for i, r in enumerate(rules)])
+        flags = [F.col(f"__b{i}") for i in range(len(rules))]
+    else:
+        flags = [_bad(r) for r in rules]
     obs = None
     if observe:
         obs = Observation(f"tablecheck_{ctx.name}")
         aggs = [F.count(F.lit(1)).alias("rows")]
-        aggs += [F.sum(_bad(r).cast("long")).alias(f"{i}:{r.flag}:{r.column}") for i, r in enumerate(rules)]
+        aggs += [F.sum(f.cast("long")).alias(f"{i}:{r.flag}:{r.column}") for i, (r, f) in enumerate(zip(rules, flags))]
         src = src.observe(obs, *aggs)
     if persist:
         src = src.persist()
 
     gate = (F.col("__fence") >= 0) if fence else F.lit(True)
-    ok = apply_fixes(src.filter(ok_predicate(rules) & gate), rules, data_columns)
+    stop = [~f for r, f in zip(rules, flags) if r.action in (BLOCK, DROP)]
+    ok_pred = reduce(and_, stop) if stop else F.lit(True)
+    ok = apply_fixes(src.filter(ok_pred & gate), rules, data_columns)
 
-    reported = [r for r in rules if r.action in (BLOCK, REPORT)]
+    reported = [(r, f) for r, f in zip(rules, flags) if r.action in (BLOCK, REPORT)]
     # One array slot per reported rule, null where the rule holds; exploded
     # and null-filtered (plain Generate + Filter, no higher-order function).
     if reported:
-        vio = F.array(*[F.when(_bad(r), _violation_struct(r)) for r in reported])
+        vio = F.array(*[F.when(f, _violation_struct(r)) for r, f in reported])
+        fail_pred = reduce(or_, [f for _, f in reported])
     else:  # only DROP rules: the report is empty but keeps its schema
         vio = F.array(F.lit(None).cast("struct<check_passed:string,check_column_name:string,"
                                        "check_column_value:string,error_type:string>"))
-    failing = src.filter(fail_predicate(rules) & gate)
+        fail_pred = F.lit(False)
+    failing = src.filter(fail_pred & gate)
     carried = [_idpipeline(df).alias("idpipeline")]
     if with_json:  # built once per failing row, before the explode
         carried.append(json_row(data_columns).alias("json_row_data"))
