@@ -89,48 +89,93 @@ def session_agg(df: DataFrame, ts_col: str, gap: str, keys: list[str], value_col
         .withColumnRenamed("window_end", "session_end")
 
 
-def _session_starts(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, chunk_seconds: int,
-                    carry: list[str] | None = None) -> DataFrame:
-    """Every row with ``__s0`` = the start (µs) of its gap session.
-
-    One window per key would send a hot key to one task.  Instead time is cut
-    into chunks: sessions are found inside each (key, chunk) — in parallel —
-    as *fragments*; fragments (one row per session part of a chunk, far fewer
-    than events) are stitched across chunk borders in key order, which gives
-    each its global session start; rows get it back by a keyed join.
+def _nonnull_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Null-safe key columns usable in plain equi-joins: per key a value with
+    nulls replaced by a typed default plus an is-null flag.  Windows, the
+    chunk summary and the join back then all partition on the same columns,
+    so the event side is shuffled once."""
+    cols, names = [], []
+    for i, k in enumerate(keys):
+        dt = df.schema[k].dataType
+        if isinstance(dt, T.StringType):
+            dflt = F.lit("")
+        elif isinstance(dt, (T.NumericType, T.BooleanType)):
+            dflt = F.lit(0).cast(dt)
+        else:
+            dflt, dt = F.lit(""), T.StringType()
+        cols += [F.coalesce(F.col(k).cast(dt), dflt).alias(f"__k{i}"), F.col(k).isNull().alias(f"__n{i}")]
+        names += [f"__k{i}", f"__n{i}"]
+    return df.select("*", *cols), names
+
+
+def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, chunk_seconds: int,
+                     value_col: str | None = None) -> DataFrame:
+    """Gap sessions from per-(key, gap bucket) partial aggregates.
+
+    Time is cut into buckets as wide as the gap: events inside one bucket are
+    never split by a gap, so a bucket's (first, last, count, sum) decides the
+    sessions — a plain aggregate with map-side combine, so the shuffle carries
+    at most one row per (key, bucket) however many events there are.  Buckets
+    are grouped into chunks; inside a chunk only the *first* session fragment
+    can continue a session from an earlier chunk (later fragments follow an
+    in-chunk gap), so the cross-chunk stitching needs one summary row per
+    (key, chunk).  Every window is bounded by time span (buckets per chunk,
+    chunks per key), never by a hot key's event count.  Returns one row per
+    (key, bucket) with ``__s0``, the start (µs) of its session.  Rows with a
+    null timestamp belong to no session (as with ``session_window``).
     """
-    gap_us, chunk_us = gap_seconds * 1_000_000, chunk_seconds * 1_000_000
+    gap_us = gap_seconds * 1_000_000
+    per_chunk = max(1, chunk_seconds // gap_seconds)
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    d = df.select(*keys, F.col(ts_col), *(carry or []), t.alias("__t")) \
-        .withColumn("__c", F.floor(F.col("__t") / chunk_us))
-    w = Window.partitionBy(*keys, "__c").orderBy("__t")
-    brk = F.coalesce((F.col("__t") - F.lag("__t").over(w)) > gap_us, F.lit(False)).cast("int")
-    d = d.withColumn("__ls", F.sum(brk).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    frags = d.groupBy(*keys, "__c", "__ls").agg(F.min("__t").alias("__fs"), F.max("__t").alias("__fe"))
-    wf = Window.partitionBy(*keys).orderBy("__fs")
-    new = (F.col("__ls") > 0) | F.lag("__fe").over(wf).isNull() | \
-        ((F.col("__fs") - F.lag("__fe").over(wf)) > gap_us)
-    frags = frags.withColumn("__new", new.cast("int"))
-    frags = frags.withColumn("__sid", F.sum("__new").over(wf.rowsBetween(Window.unboundedPreceding, 0)))
-    frags = frags.withColumn("__s0", F.min("__fs").over(Window.partitionBy(*keys, "__sid")))
-    f = frags.select(*[F.col(k).alias(f"__f_{k}") for k in keys], F.col("__c").alias("__f_c"),
-                     F.col("__ls").alias("__f_ls"), "__s0")
-    cond = [d[k].eqNullSafe(f[f"__f_{k}"]) for k in keys] + [d["__c"] == f["__f_c"], d["__ls"] == f["__f_ls"]]
-    return d.join(f, reduce(lambda a, b: a & b, cond), "inner") \
-        .drop(*[f"__f_{k}" for k in keys], "__f_c", "__f_ls")
+    aggs = [F.min("__t").alias("__lo"), F.max("__t").alias("__hi"), F.count(F.lit(1)).alias("__n")]
+    if value_col:
+        aggs.append(F.sum(F.col(value_col).cast("decimal(18,2)")).alias("__v"))
+    bk = df.select(*keys, *([value_col] if value_col else []), t.alias("__t")) \
+        .filter(F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / gap_us)) \
+        .groupBy(*keys, "__b").agg(*aggs)
+    bk, nk = _nonnull_keys(bk, keys)
+    bk = bk.withColumn("__c", F.floor(F.col("__b") / per_chunk))
+    w = Window.partitionBy(*nk, "__c").orderBy("__b")
+    prev_hi = F.lag("__hi").over(w)
+    # start (µs) of the bucket's fragment: the latest bucket that follows a gap
+    mark = F.when(prev_hi.isNull() | ((F.col("__lo") - prev_hi) > gap_us), F.col("__lo"))
+    bk = bk.withColumn("__lfs", F.max(mark).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    summ = bk.groupBy(*nk, "__c").agg(F.min("__lo").alias("__fs0"), F.max("__lfs").alias("__fsl"),
+                                      F.max("__hi").alias("__fel"))
+    ws = Window.partitionBy(*nk).orderBy("__c")
+    p_fel, p_fsl, p_fs0 = F.lag("__fel").over(ws), F.lag("__fsl").over(ws), F.lag("__fs0").over(ws)
+    cont = p_fel.isNotNull() & ((F.col("__fs0") - p_fel) <= gap_us)
+    # A chain of continuing chunks restarts where the previous chunk's last
+    # fragment began a session of its own (it had an in-chunk gap).
+    summ = summ.withColumn("__head", F.when(~cont, F.col("__fs0")).when(p_fsl > p_fs0, p_fsl))
+    summ = summ.withColumn("__s", F.last("__head", ignorenulls=True)
+                           .over(ws.rowsBetween(Window.unboundedPreceding, 0)))
+    summ = summ.select(*[F.col(c).alias(f"__j{c}") for c in nk + ["__c"]], "__fs0", "__s")
+    cond = [bk[c] == summ[f"__j{c}"] for c in nk + ["__c"]]
+    out = bk.join(summ, reduce(lambda a, b: a & b, cond), "inner")
+    out = out.withColumn("__s0", F.when(F.col("__lfs") == F.col("__fs0"), F.col("__s")).otherwise(F.col("__lfs")))
+    return out.drop(*[f"__j{c}" for c in nk + ["__c"]], *nk, "__fs0", "__s", "__lfs", "__c")
 
 
 def sessions_batch(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, value_col: str | None = None,
                    chunk_seconds: int = 86400) -> DataFrame:
     """T06 batch twin of ``session_agg`` that stays parallel inside a hot key:
     session_start = first event, session_end = last event + gap (Spark's
-    ``session_window`` values), n_events, exact sum."""
-    rows = _session_starts(df, ts_col, keys, gap_seconds, chunk_seconds, [value_col] if value_col else None)
-    out = rows.groupBy(*keys, "__s0").agg(
-        F.min(ts_col).alias("session_start"),
-        (F.max(ts_col) + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("session_end"), *_measure_aggs(value_col))
-    return out.select("session_start", "session_end", *keys, *[c for c in out.columns
-                                                               if c in ("n_events", "sum_value")])
+    ``session_window`` values), n_events, exact sum — all merged from the
+    per-bucket partial aggregates of ``_session_buckets``; the events
+    themselves are scanned and shuffled once, pre-aggregated."""
+    bk = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds, value_col)
+    ts_type = df.schema[ts_col].dataType
+    aggs = [F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"), F.sum("__n").alias("n_events")]
+    if value_col:
+        aggs.append(F.sum("__v").cast("double").alias("sum_value"))
+    out = bk.groupBy(*keys, "__s0").agg(*aggs)
+    start = F.timestamp_micros("__lo")
+    end = F.timestamp_micros("__hi") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    if isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
+        start, end = start.cast(ts_type), end.cast(ts_type)
+    return out.select(start.alias("session_start"), end.alias("session_end"), *keys,
+                      *[c for c in out.columns if c in ("n_events", "sum_value")])
 
 
 def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int,
@@ -138,9 +183,19 @@ def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_secon
     """T07 batch: gap sessions split into pieces of at most ``max_seconds``
     measured from the session start.  Output: keys, piece_start, piece_end
     (first/last event of the piece), n_events.  Sessions come from the
-    chunked stitching of ``_session_starts``; pieces are a final aggregate
-    keyed by (key, session start, piece)."""
-    rows = _session_starts(df, ts_col, keys, gap_seconds, chunk_seconds)
+    bucket stitching of ``_session_buckets``; each event gets its session
+    start by a join on (key, gap bucket) — a hot key spreads over its
+    buckets — and pieces are a final aggregate keyed by (key, session start,
+    piece)."""
+    gap_us = gap_seconds * 1_000_000
+    starts = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds).select(*keys, "__b", "__s0")
+    starts, nk = _nonnull_keys(starts, keys)
+    starts = starts.select(*[F.col(c).alias(f"__j{c}") for c in nk + ["__b"]], "__s0")
+    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    ev = df.select(*keys, ts_col, t.alias("__t")).filter(F.col("__t").isNotNull()) \
+        .withColumn("__b", F.floor(F.col("__t") / gap_us))
+    ev, _ = _nonnull_keys(ev, keys)
+    rows = ev.join(starts, reduce(lambda a, b: a & b, [ev[c] == starts[f"__j{c}"] for c in nk + ["__b"]]), "inner")
     rows = rows.withColumn("__piece", F.floor((F.col("__t") - F.col("__s0")) / F.lit(max_seconds * 1_000_000)))
     return (rows.groupBy(*keys, "__s0", "__piece")
             .agg(F.min(ts_col).alias("piece_start"), F.max(ts_col).alias("piece_end"),

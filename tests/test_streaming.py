@@ -105,3 +105,58 @@ def test_keyed_change_log_sink_merge_on_read(spark, tmp_dir):
     assert log.compact() == 0
     assert log.read().count() == e.count() and {r["event_id"]: r["value"] for r in
                                                 log.read().filter("event_id < 10").collect()} == want
+
+
+def _sessions_brute(rows, gap_s):
+    """Plain per-key scan: new session when the gap to the previous event is
+    larger than ``gap_s``; rows with a null timestamp are in no session."""
+    by_key = {}
+    for k, ts, v in rows:
+        if ts is not None:
+            by_key.setdefault(k, []).append((ts, v))
+    out = set()
+    for k, evs in by_key.items():
+        evs.sort(key=lambda e: e[0])
+        start, last, n, tot = evs[0][0], evs[0][0], 0, 0.0
+        for ts, v in evs:
+            if (ts - last).total_seconds() > gap_s:
+                out.add((k, start, last, n, round(tot, 6)))
+                start, n, tot = ts, 0, 0.0
+            last, n, tot = ts, n + 1, tot + v
+        out.add((k, start, last, n, round(tot, 6)))
+    return out
+
+
+def test_t06_chunked_sessions_on_a_hot_key_equal_brute_force(spark):
+    """One hot key with thousands of short sessions and sessions that
+    cross many chunk borders (chunk 10 min, gap 5 min), ties, a null key and
+    null timestamps: the chunk-summary stitching equals a per-key scan."""
+    import datetime as dt
+    import random
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows, t = [], base
+    for _ in range(4000):  # hot key: mix of long runs (gaps < 5 min) and breaks
+        t += dt.timedelta(seconds=rnd.choice([0, 30, 120, 290, 300, 310, 900, 4000]))
+        rows.append(("hot", t, float(rnd.randint(1, 9))))
+    for k in ["a", "b", None]:
+        t = base
+        for _ in range(200):
+            t += dt.timedelta(seconds=rnd.choice([10, 200, 299, 301, 3600]))
+            rows.append((k, t, 1.0))
+    rows += [("hot", None, 5.0), (None, None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v double")
+    got = S.sessions_batch(df, "ts", ["k"], 300, "v", chunk_seconds=600)
+    have = {(r.k, r.session_start, r.session_end - dt.timedelta(seconds=300), r.n_events, round(r.sum_value, 6))
+            for r in got.collect()}
+    assert got.count() == len(have)
+    assert have == _sessions_brute(rows, 300)
+    pieces = S.sessions_max_duration(df, "ts", ["k"], 300, 1200, chunk_seconds=600)
+    want = {}
+    for k, start, last, _, _ in _sessions_brute(rows, 300):
+        for kk, ts, _ in rows:
+            if kk == k and ts is not None and start <= ts <= last:
+                p = want.setdefault((k, start, int((ts - start).total_seconds() // 1200)), [ts, ts, 0])
+                p[0], p[1], p[2] = min(p[0], ts), max(p[1], ts), p[2] + 1
+    got_p = sorted((r.k or "", r.piece_start, r.piece_end, r.n_events) for r in pieces.collect())
+    assert got_p == sorted((k or "", a, b, n) for (k, _, _), (a, b, n) in want.items())
