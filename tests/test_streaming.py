@@ -128,7 +128,7 @@ def _sessions_brute(rows, gap_s):
 
 
 def test_t06_chunked_sessions_on_a_hot_key_equal_brute_force(spark):
-    """One hot key with thousands of short sessions and sessions that
+    """One hot key with thousands of short sessions and sessions that
     cross many chunk borders (chunk 10 min, gap 5 min), ties, a null key and
     null timestamps: the chunk-summary stitching equals a per-key scan."""
     import datetime as dt
