@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tablecheck.operators.chunked import with_join_keys
 from tablecheck.operators.evaluate import evaluate
 from tablecheck.operators.rules import Rule
 
@@ -89,25 +90,6 @@ def session_agg(df: DataFrame, ts_col: str, gap: str, keys: list[str], value_col
         .withColumnRenamed("window_end", "session_end")
 
 
-def _nonnull_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    """Null-safe key columns usable in plain equi-joins: per key a value with
-    nulls replaced by a typed default plus an is-null flag.  Windows, the
-    chunk summary and the join back then all partition on the same columns,
-    so the event side is shuffled once."""
-    cols, names = [], []
-    for i, k in enumerate(keys):
-        dt = df.schema[k].dataType
-        if isinstance(dt, T.StringType):
-            dflt = F.lit("")
-        elif isinstance(dt, (T.NumericType, T.BooleanType)):
-            dflt = F.lit(0).cast(dt)
-        else:
-            dflt, dt = F.lit(""), T.StringType()
-        cols += [F.coalesce(F.col(k).cast(dt), dflt).alias(f"__k{i}"), F.col(k).isNull().alias(f"__n{i}")]
-        names += [f"__k{i}", f"__n{i}"]
-    return df.select("*", *cols), names
-
-
 def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, chunk_seconds: int,
                      value_col: str | None = None) -> DataFrame:
     """Gap sessions from per-(key, gap bucket) partial aggregates.
@@ -133,7 +115,7 @@ def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: i
     bk = df.select(*keys, *([value_col] if value_col else []), t.alias("__t")) \
         .filter(F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / gap_us)) \
         .groupBy(*keys, "__b").agg(*aggs)
-    bk, nk = _nonnull_keys(bk, keys)
+    bk, nk = with_join_keys(bk, keys)
     bk = bk.withColumn("__c", F.floor(F.col("__b") / per_chunk))
     w = Window.partitionBy(*nk, "__c").orderBy("__b")
     prev_hi = F.lag("__hi").over(w)
@@ -189,12 +171,12 @@ def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_secon
     piece)."""
     gap_us = gap_seconds * 1_000_000
     starts = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds).select(*keys, "__b", "__s0")
-    starts, nk = _nonnull_keys(starts, keys)
+    starts, nk = with_join_keys(starts, keys)
     starts = starts.select(*[F.col(c).alias(f"__j{c}") for c in nk + ["__b"]], "__s0")
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
     ev = df.select(*keys, ts_col, t.alias("__t")).filter(F.col("__t").isNotNull()) \
         .withColumn("__b", F.floor(F.col("__t") / gap_us))
-    ev, _ = _nonnull_keys(ev, keys)
+    ev, _ = with_join_keys(ev, keys)
     rows = ev.join(starts, reduce(lambda a, b: a & b, [ev[c] == starts[f"__j{c}"] for c in nk + ["__b"]]), "inner")
     rows = rows.withColumn("__piece", F.floor((F.col("__t") - F.col("__s0")) / F.lit(max_seconds * 1_000_000)))
     return (rows.groupBy(*keys, "__s0", "__piece")

@@ -65,11 +65,13 @@ def test_top_n_plan_has_group_limit(spark):
 
 def test_chunked_windows_equal_plain_windows_on_a_hot_key(spark):
     from tablecheck.operators import chunked as CH
-    # key 1 holds ~a third of the rows; a null key is a group too; values tie often
+    # key 1 holds ~a third of the rows; a null key is a group too; values tie often;
+    # null values form a (first) null chunk
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 50 == 1, F.lit(None))
         .otherwise(F.col("id") % 40).alias("k"),
-        (F.col("id") * 7919 % 500).alias("v"), F.col("id").alias("tie"))
+        F.when(F.col("id") % 97 == 5, F.lit(None)).otherwise(F.col("id") * 7919 % 500).alias("v"),
+        F.col("id").alias("tie"))
     chunk = F.floor(F.col("v") / 37)
     w_total = Window.partitionBy("k").orderBy("v", "tie")
     w_rank = Window.partitionBy("k").orderBy("v")
