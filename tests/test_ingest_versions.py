@@ -89,6 +89,7 @@ def test_zorder_keeps_rows(spark):
 
 
 def test_snapshots_and_checkpoint(spark):
+    """Bronze snapshot persisted and released; lineage cut by a reliable checkpoint."""
     df = spark.range(10)
     with bronze_snapshot(df) as snap:
         assert snap.count() == 10 and snap.storageLevel.useMemory
