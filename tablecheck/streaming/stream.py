@@ -109,10 +109,11 @@ def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: i
     gap_us = gap_seconds * 1_000_000
     per_chunk = max(1, chunk_seconds // gap_seconds)
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    aggs = [F.min("__t").alias("__lo"), F.max("__t").alias("__hi"), F.count(F.lit(1)).alias("__n")]
+    aggs = [F.min("__t").alias("__lo"), F.max("__t").alias("__hi"), F.count(F.lit(1)).alias("__n"),
+            F.min(ts_col).alias("__lo_ts"), F.max(ts_col).alias("__hi_ts")]  # in the input's own type
     if value_col:
         aggs.append(F.sum(F.col(value_col).cast("decimal(18,2)")).alias("__v"))
-    bk = df.select(*keys, *([value_col] if value_col else []), t.alias("__t")) \
+    bk = df.select(*keys, ts_col, *([value_col] if value_col else []), t.alias("__t")) \
         .filter(F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / gap_us)) \
         .groupBy(*keys, "__b").agg(*aggs)
     bk, nk = with_join_keys(bk, keys)
@@ -147,16 +148,13 @@ def sessions_batch(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int
     per-bucket partial aggregates of ``_session_buckets``; the events
     themselves are scanned and shuffled once, pre-aggregated."""
     bk = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds, value_col)
-    ts_type = df.schema[ts_col].dataType
-    aggs = [F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"), F.sum("__n").alias("n_events")]
+    aggs = [F.min("__lo_ts").alias("session_start"),
+            (F.max("__hi_ts") + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("session_end"),
+            F.sum("__n").alias("n_events")]
     if value_col:
         aggs.append(F.sum("__v").cast("double").alias("sum_value"))
     out = bk.groupBy(*keys, "__s0").agg(*aggs)
-    start = F.timestamp_micros("__lo")
-    end = F.timestamp_micros("__hi") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    if isinstance(ts_type, (T.TimestampType, T.TimestampNTZType)):
-        start, end = start.cast(ts_type), end.cast(ts_type)
-    return out.select(start.alias("session_start"), end.alias("session_end"), *keys,
+    return out.select("session_start", "session_end", *keys,
                       *[c for c in out.columns if c in ("n_events", "sum_value")])
 
 
