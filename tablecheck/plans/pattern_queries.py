@@ -247,11 +247,13 @@ _ORD = "orders"
        "rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS rnk, "
        "dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS drnk FROM orders")
 def rank_row_number(spark, sf):
-    """Chunked by price band (descending), so one customer's rows spread over tasks."""
+    """Hot customers chunked by 1000-wide price bands (descending), so their
+    rows spread over tasks; other customers are one chunk each."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice")
-    return CH.chunked_rank(o, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")],
-                           -F.floor(F.col("o_totalprice") / 50000), order_cols_for_distinct=["o_totalprice"],
-                           rank_order=[F.col("o_totalprice").desc()])
+    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], -F.floor(F.col("o_totalprice") / 1000))
+    out = CH.chunked_rank(o, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")],
+                          chunk, order_cols_for_distinct=["o_totalprice"], rank_order=[F.col("o_totalprice").desc()])
+    return out.drop("__hot")
 
 
 @query("lag_lead", ("W06", "W07"),
@@ -260,9 +262,11 @@ def rank_row_number(spark, sf):
        "lead(o_totalprice, 1, 0) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price "
        "FROM orders")
 def lag_lead(spark, sf):
-    """Chunked by order year: in-chunk lag/lead, neighbour chunks at the edges."""
+    """Hot customers chunked by order day: in-chunk lag/lead, neighbour chunks
+    at the edges; other customers are one chunk each."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    out = CH.chunked_lag_lead(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate"),
+    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], F.unix_date(F.to_date("o_orderdate")))
+    out = CH.chunked_lag_lead(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], chunk,
                               "o_totalprice", "prev_price", "next_price", default=0.0)
     return out.select("o_orderkey", "o_custkey", "o_totalprice", "prev_price", "next_price")
 
@@ -271,11 +275,11 @@ def lag_lead(spark, sf):
        "SELECT c_custkey, c_mktsegment, ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) "
        "AS quartile FROM customer")
 def ntile(spark, sf):
-    """Quartiles inside 5 large segments: chunked by balance band, so a
-    segment is not one task."""
+    """Quartiles inside 5 large segments: a segment above the hot-key
+    threshold is chunked by balance (1-wide bands), so it is not one task."""
     c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    out = CH.chunked_ntile(c, ["c_mktsegment"], [F.col("c_acctbal"), F.col("c_custkey")],
-                           F.floor(F.col("c_acctbal") / 1000), 4, "quartile")
+    c, chunk = CH.hot_key_chunk(c, ["c_mktsegment"], F.floor(F.col("c_acctbal")))
+    out = CH.chunked_ntile(c, ["c_mktsegment"], [F.col("c_acctbal"), F.col("c_custkey")], chunk, 4, "quartile")
     return out.select("c_custkey", "c_mktsegment", "quartile")
 
 
@@ -299,10 +303,11 @@ def first_last(spark, sf):
        "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total "
        "FROM orders")
 def running_rows(spark, sf):
-    """Running total per customer, chunked by order month (offset = earlier months' sum)."""
+    """Running total per customer; hot customers chunked by order day
+    (offset = earlier days' sum), other customers one chunk each."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
-                                 F.year("o_orderdate") * 12 + F.month("o_orderdate"),
+    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], F.unix_date(F.to_date("o_orderdate")))
+    out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], chunk,
                                  F.col("o_totalprice").cast("decimal(18,2)"), "running_total", "rows")
     return out.select("o_orderkey", "o_custkey", F.col("running_total").cast("double").alias("running_total"))
 
@@ -311,10 +316,11 @@ def running_rows(spark, sf):
        "SELECT o_orderkey, o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey "
        "ORDER BY o_orderdate) AS DOUBLE) AS running_total FROM orders")
 def running_range(spark, sf):
-    """Default frame = RANGE: rows with the same order date share the sum (chunked by month)."""
+    """Default frame = RANGE: rows with the same order date share the sum
+    (hot customers chunked by day, so ties never span chunks)."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate")],
-                                 F.year("o_orderdate") * 12 + F.month("o_orderdate"),
+    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], F.unix_date(F.to_date("o_orderdate")))
+    out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate")], chunk,
                                  F.col("o_totalprice").cast("decimal(18,2)"), "running_total", "range")
     return out.select("o_orderkey", "o_custkey", F.col("running_total").cast("double").alias("running_total"))
 
