@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, quality, secrets, token_counts, warc
+from . import bpe, chaining, jaccard, packing, pstable, quality, secrets, token_counts, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +38,24 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", F.round("severity", 6).alias("severity"), F.round("p_toxic", 6).alias("p_toxic"), "grade", "toxic")
+
+
+def op6_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(_read(spark, sf_dir, "documents")).drop("version").withColumnRenamed("ref_id", "ref_doc_id")
+
+
+def op7_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(_read(spark, sf_dir, "documents"))
+
+
+def op8_pstable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counter = token_counts.Counter(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), counter)
@@ -52,6 +70,10 @@ QUERIES = {
     "op2_min_slack_packing": op2_min_slack_packing,
     "op3_warc_chunks": op3_warc_chunks,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_ordinal_toxicity": op5_ordinal_toxicity,
+    "op6_collinear_chaining": op6_collinear_chaining,
+    "op7_grouped_prefix_join": op7_grouped_prefix_join,
+    "op8_pstable_vectors": op8_pstable_vectors,
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
 }
