@@ -55,15 +55,20 @@ def _candidates(text: Column, kind: int, pattern: str, may: Column, group: int,
     return F.when(may, spans).otherwise(none)
 
 
+def version_of(text_col: str) -> Column:
+    """Hash of a row's text: tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo: Column | None = None) -> DataFrame:
-    """``(id, owner, repo, spans)``: base spans and generic candidates of every row, with the hash of each value."""
+    """``(id, version, owner, repo, spans)``: base spans and generic candidates of every row, with the hash of each value."""
     repo = F.coalesce(repo if repo is not None else F.col(owner_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(owner_col), F.lit("")).alias("owner"), repo.alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(owner_col), F.lit("")).alias("owner"), repo.alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), version_of(text_col).alias("version"))
     # A run of at least the smallest length decides cheaply whether a text is searched for positions at all; a maximal run
     # of that length is the same match as an unbounded one that passes, so the bounded pattern is used for those kinds.
     text = F.col("text")
     rows = rows.select(
-        "id", "owner", "repo",
+        "id", "version", "owner", "repo",
         F.concat(
             _candidates(text, 0, ASSIGN, (text.contains(":") | text.contains("=")) & text.rlike(ASSIGN), 1, MIN_ASSIGN),
             _candidates(text, 1, ACCESS[:-1] + "{%d,}" % (MIN_ACCESS - 4), text.contains("AKIA"), 0, MIN_ACCESS),
@@ -73,10 +78,10 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ow
     )
     mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
     base = F.filter("found", lambda s: s["kind"] < 3)
-    rows = rows.select("id", "owner", "repo", base.alias("base"), F.filter("found", lambda s: (s["kind"] == 3) & mixed(s)).alias("generic"))
+    rows = rows.select("id", "version", "owner", "repo", base.alias("base"), F.filter("found", lambda s: (s["kind"] == 3) & mixed(s)).alias("generic"))
     apart = F.filter("generic", lambda g: ~F.exists("base", lambda b: (b["start"] < g["stop"]) & (g["start"] < b["stop"])))
     spans = F.transform(F.array_sort(F.concat("base", apart)), lambda s: F.struct(s["start"], s["kind"], s["stop"], F.sha2(s["value"], 256).alias("hash"), (F.size(F.array_distinct(F.split(s["value"], ""))) > 6).alias("random")))
-    return rows.select("id", "owner", "repo", spans.alias("spans"))
+    return rows.select("id", "version", "owner", "repo", spans.alias("spans"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -91,7 +96,7 @@ def _list(spans: Column) -> Column:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo: Column | None = None, example_owners: int = 3) -> DataFrame:
-    """``(id, spans)`` for every row: an array of ``(start, kind, stop, hash, n_owners, n_repos, live)``.
+    """``(id, version, spans)`` for every row: an array of ``(start, kind, stop, hash, n_owners, n_repos, live)``.
 
     A value held by at least ``example_owners`` owners is an example; any other whose value
     has more than five different characters is live.  Generic spans that are not live are dropped.
@@ -102,7 +107,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_co
     counts = seen.join(ownership(found), "hash").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("hash", F.struct("n_owners", "n_repos")))).alias("counts"))
     rows = found.join(counts.withColumnRenamed("id", "marked"), F.col("id").eqNullSafe(F.col("marked")), "left")
     judged = F.transform("spans", lambda s: F.struct(s["start"], s["kind"], s["stop"], s["hash"], F.col("counts")[s["hash"]]["n_owners"].alias("n_owners"), F.col("counts")[s["hash"]]["n_repos"].alias("n_repos"), (s["random"] & (F.col("counts")[s["hash"]]["n_owners"] < example_owners)).alias("live")))
-    return rows.select(F.col("id").alias(id_col), F.filter(judged, lambda s: (s["kind"] < 3) | s["live"]).alias("spans"))
+    return rows.select(F.col("id").alias(id_col), "version", F.filter(judged, lambda s: (s["kind"] < 3) | s["live"]).alias("spans"))
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -121,10 +126,10 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def redact(df: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every live span replaced by ``mark``; overlapping spans become one mark."""
-    live = scanned.select(F.col(id_col).alias("marked"), F.filter("spans", lambda s: s["live"]).alias("live")).where(F.size("live") > 0).groupBy("marked").agg(F.first("live").alias("live"))
+    live = scanned.select(F.col(id_col).alias("marked"), F.col("version").alias("marked_version"), F.filter("spans", lambda s: s["live"]).alias("live")).where(F.size("live") > 0).groupBy("marked", "marked_version").agg(F.first("live").alias("live"))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col(text_col)
     step = lambda acc, s: F.when(s["stop"] <= acc["at"], acc).otherwise(F.struct(s["stop"].alias("at"), F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out")))
     cut = F.aggregate("live", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    joined = df.join(live, F.col(id_col).eqNullSafe(F.col("marked")), "left")
-    return joined.withColumn(text_col, F.when(F.col("live").isNotNull() & text.isNotNull(), cut).otherwise(text)).drop("marked", "live")
+    joined = df.join(live, F.col(id_col).eqNullSafe(F.col("marked")) & (version_of(text_col) == F.col("marked_version")), "left")
+    return joined.withColumn(text_col, F.when(F.col("live").isNotNull() & text.isNotNull(), cut).otherwise(text)).select(*df.columns)
