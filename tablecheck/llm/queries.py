@@ -78,4 +78,65 @@ QUERIES = {
     "op10_quality_cascade": op10_quality_cascade,
 }
 
-ORACLES: dict[str, str] = {}
+
+def _secret_spans(kind: int, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""SELECT doc_id, owner, repo, {kind} AS kind, i, hits[i] AS hit, vals[i] AS val,
+      list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+      SELECT doc_id, owner, repo, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS hits, regexp_extract_all(text, '{pattern}', {group}) AS vals
+      FROM d WHERE regexp_matches(text, '{pattern}')))
+    WHERE length(vals[i]) >= {least}"""
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op1_secret_ownership": f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repo, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(_secret_spans(*x) for x in ((0, secrets.ASSIGN, 1, 6), (1, "AKIA[A-Z0-9]{16,}", 0, 20), (2, "[0-9a-f]{24,}", 0, 24), (3, "[A-Za-z0-9+/_-]{20,}", 0, 20)))}),
+spans AS (SELECT *, start + length(hit) AS stop FROM found WHERE kind < 3 OR (regexp_matches(val, '[0-9]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[A-Z]'))),
+apart AS (SELECT * FROM spans s WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind < 3 AND b.start < s.stop AND s.start < b.stop)),
+owned AS (SELECT val, count(DISTINCT owner) AS n_owners FROM apart GROUP BY val),
+judged AS (SELECT *, n_owners < 3 AND len(list_distinct(string_split(val, ''))) > 5 AS live, ['assign', 'access', 'hex', 'generic'][kind + 1] || ':' || start || ':' || stop AS name FROM apart JOIN owned USING (val)),
+kept AS (SELECT * FROM judged WHERE kind < 3 OR live),
+lists AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(name, ',' ORDER BY start, kind) AS spans,
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM documents LEFT JOIN lists USING (doc_id)""",
+    "op3_warc_chunks": f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest),
+r AS (SELECT p.*, CASE WHEN first <> page_id THEN first END AS refers_to FROM p LEFT JOIN f USING (digest))
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+  true AS intact, CASE WHEN refers_to IS NULL THEN greatest(1, CAST(ceil(n / {warc.CHUNK_BYTES}.0) AS BIGINT)) ELSE 1 END AS n_chunks FROM r""",
+    "op7_grouped_prefix_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, t.b FROM reach r JOIN both_ways t ON r.b = t.a)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id FROM s""",
+    "op8_pstable_vectors": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+reach AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+c AS (SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM v)
+SELECT *, vec_id = component_id AS kept FROM c""",
+    "op10_quality_cascade": rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) > 4)),
+twice AS (SELECT doc_id, gram FROM g GROUP BY doc_id, gram HAVING count(*) > 1),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM g JOIN twice USING (doc_id, gram), range(5) t(j) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+c AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ 	-]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(r.n, 0) AS n_repeat_words,
+  length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^!]', '', 'g')) AS n_marks
+  FROM w LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > word_chars OR 10 * n_dup_lines > 3 * n_lines OR 2 * n_upper > n_letters OR 10 * n_marks > 3 * n_words OR NOT word_chars BETWEEN 2 * n_words AND 20 * n_words) AS kept FROM b""",
+}

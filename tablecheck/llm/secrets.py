@@ -80,7 +80,7 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ow
     base = F.filter("found", lambda s: s["kind"] < 3)
     rows = rows.select("id", "version", "owner", "repo", base.alias("base"), F.filter("found", lambda s: (s["kind"] == 3) & mixed(s)).alias("generic"))
     apart = F.filter("generic", lambda g: ~F.exists("base", lambda b: (b["start"] < g["stop"]) & (g["start"] < b["stop"])))
-    spans = F.transform(F.array_sort(F.concat("base", apart)), lambda s: F.struct(s["start"], s["kind"], s["stop"], F.sha2(s["value"], 256).alias("hash"), (F.size(F.array_distinct(F.split(s["value"], ""))) > 6).alias("random")))
+    spans = F.transform(F.array_sort(F.concat("base", apart)), lambda s: F.struct(s["start"], s["kind"], s["stop"], F.sha2(s["value"], 256).alias("hash"), (F.size(F.array_distinct(F.split(s["value"], ""))) > 5).alias("random")))
     return rows.select("id", "version", "owner", "repo", spans.alias("spans"))
 
 
@@ -114,9 +114,10 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts by kind, the digest of the base spans and the list of all spans."""
     base = F.filter("spans", lambda s: s["kind"] < 3)
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of_kind = lambda k: count(lambda s: s["kind"] == k)
     return scanned.select(
         id_col,
-        *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        *[of_kind(k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_list(base), 256).alias("base_sha256"),
         _list(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),

@@ -192,8 +192,8 @@ class _Lines:
         return line
 
     def read(self, n: int) -> bytes:
-        if self.at == len(self.buffer):
-            self._more()
+        while len(self.buffer) - self.at < n and self._more():
+            pass
         data = self.buffer[self.at : self.at + n]
         self.at += len(data)
         return data
