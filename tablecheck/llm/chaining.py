@@ -30,10 +30,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, mix, shingle_hashes, signed, word_hashes
+from .common import free_name, materialise, mix, shingle_hashes, signed, word_hashes
 
 K, WINDOW, MIN_WORDS, PERCENT = 5, 20, 50, 80
 GAP_COST = 0.1
+#: Words that an edit may replace, on either side, smallest first.
+EDITS = sorted(((i, j) for i in range(5) for j in range(5) if i or j), key=lambda e: (max(e), sum(e)))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -130,7 +132,7 @@ def matched(x: list, y: list) -> int:
 
 
 def extend(x: list, y: list, i: int, j: int, step: int, again: int = 4) -> tuple[int, int, int]:
-    """Walk from ``(i, j)`` while words match; one edit is passed if ``again`` words match after it.  Returns the ends and the matches."""
+    """Walk from ``(i, j)`` while words match; an edit of up to four words is passed if ``again`` words match after it.  Returns the ends and the matches."""
     n = 0
 
     def runs(a: int, b: int) -> bool:
@@ -139,7 +141,7 @@ def extend(x: list, y: list, i: int, j: int, step: int, again: int = 4) -> tuple
     while True:
         while 0 <= i < len(x) and 0 <= j < len(y) and x[i] == y[j]:
             i, j, n = i + step, j + step, n + 1
-        for di, dj in ((1, 1), (1, 0), (0, 1), (2, 2)):
+        for di, dj in EDITS:
             if runs(i + step * di, j + step * dj):
                 i, j = i + step * di, j + step * dj
                 break
@@ -255,8 +257,9 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def cut_passages(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with every found passage cut from the later document; rows whose text loses all its words go."""
-    spans = found.groupBy(F.col(id_col).alias("cut_id")).agg(F.collect_list(F.struct("start", "stop", "version")).alias("cut"))  # at most one document's chains
-    rows = df.join(spans, F.col(id_col) == F.col("cut_id"), "left").select(*df.columns, "cut")
+    cut_id, cuts = free_name(df, "cut_id"), free_name(df, "cut")
+    spans = found.groupBy(F.col(id_col).alias(cut_id)).agg(F.collect_list(F.struct("start", "stop", "version")).alias(cuts))  # at most one document's chains
+    rows = df.join(spans, F.col(id_col) == F.col(cut_id), "left").select(*df.columns, cuts)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

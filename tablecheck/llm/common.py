@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 class Memo(dict):
     """``memo[key]`` computes and keeps a value; two generations bound its size to ``2 * limit``.
 
@@ -70,17 +77,11 @@ class Memo(dict):
         return key in self or key in self.old
 
 
-def blocks(values: Iterable, weights: Iterable[int], most: int) -> Iterator[list]:
-    """Consecutive runs of ``values`` whose weights add up to about ``most``."""
-    block, total = [], 0
-    for v, w in zip(values, weights):
-        block.append(v)
-        total += w
-        if total >= most:
-            yield block
-            block, total = [], 0
-    if block:
-        yield block
+def byte_alphabet() -> str:
+    """The character that byte-level tokenizers show each byte as: itself if it is printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise
+from .common import free_name, materialise
 
 #: Base kinds in the order they are listed (fixed patterns).
 ASSIGN = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -127,10 +127,11 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def redact(df: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every live span replaced by ``mark``; overlapping spans become one mark."""
-    live = scanned.select(F.col(id_col).alias("marked"), F.col("version").alias("marked_version"), F.filter("spans", lambda s: s["live"]).alias("live")).where(F.size("live") > 0).groupBy("marked", "marked_version").agg(F.first("live").alias("live"))
+    marked, version, live = (free_name(df, n) for n in ("marked", "marked_version", "live"))
+    spans = scanned.select(F.col(id_col).alias(marked), F.col("version").alias(version), F.filter("spans", lambda s: s["live"]).alias(live)).where(F.size(live) > 0).groupBy(marked, version).agg(F.first(live).alias(live))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col(text_col)
     step = lambda acc, s: F.when(s["stop"] <= acc["at"], acc).otherwise(F.struct(s["stop"].alias("at"), F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out")))
-    cut = F.aggregate("live", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    joined = df.join(live, F.col(id_col).eqNullSafe(F.col("marked")) & (version_of(text_col) == F.col("marked_version")), "left")
-    return joined.withColumn(text_col, F.when(F.col("live").isNotNull() & text.isNotNull(), cut).otherwise(text)).select(*df.columns)
+    cut = F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    joined = df.join(spans, F.col(id_col).eqNullSafe(F.col(marked)) & (version_of(text_col) == F.col(version)), "left")
+    return joined.withColumn(text_col, F.when(F.col(live).isNotNull() & text.isNotNull(), cut).otherwise(text)).select(*df.columns)

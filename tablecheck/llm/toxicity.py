@@ -146,9 +146,9 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     return Model({f: (float(w[i]), float(w[i + len(kept)])) for f, i in place.items()}, tuple(map(float, cuts)))
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` with ``severity``, ``p_toxic``, ``grade`` and ``toxic``."""
-    own = StructType([StructField("severity", DoubleType()), StructField("p_toxic", DoubleType()), StructField("grade", IntegerType()), StructField("toxic", BooleanType())])
+def score(df: DataFrame, model: Model, text_col: str = "text", prefix: str = "") -> DataFrame:
+    """``df`` with ``severity``, ``p_toxic``, ``grade`` and ``toxic``, each name after ``prefix``."""
+    own = StructType([StructField(prefix + name, kind) for name, kind in (("severity", DoubleType()), ("p_toxic", DoubleType()), ("grade", IntegerType()), ("toxic", BooleanType()))])
     df = df.drop(*own.names)
     shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)  # at most max_features weights
 
