@@ -28,7 +28,10 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("not toxic").select(*docs.columns)
+    prefix = "model_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return toxicity.score(docs, model, prefix=prefix).where(f"not {prefix}toxic").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
