@@ -25,6 +25,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import accumulate
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from .common import Memo, materialise
+from .common import Memo, byte_alphabet, materialise
 
 #: A word whose letters and trailing ASCII signs are separate pre-tokens.
 LETTERS_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:-;=?@\[-`{}~]*)").fullmatch
@@ -59,9 +60,14 @@ class WordEncoder:
     def tokenizer(self) -> Tokenizer:
         return Tokenizer.from_str(self.config)
 
+    @cached_property
+    def alphabet(self) -> dict[int, str]:
+        return dict(enumerate(byte_alphabet()))
+
     @cached_property
     def parts(self) -> Memo:
-        return Memo(self._encode, 200_000)
+        merge = self.tokenizer.model.tokenize  # of one normalised pre-token in the byte alphabet
+        return Memo(lambda part: np.array([t.id for t in merge(part.encode().decode("latin-1").translate(self.alphabet))], "<u4").tobytes(), 400_000)
 
     @cached_property
     def words(self) -> Memo:
@@ -73,10 +79,13 @@ class WordEncoder:
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         found = LETTERS_SIGNS(text)
-        if not found or "Σ" in text or "İ" in text:
+        if not found or not text.isascii() and ("Σ" in text or "İ" in text or not is_normalized("NFC", text)):
             return self._encode(text)
         letters, signs = found.groups()
-        return self.parts[letters.lower()] + (self.parts[signs] if signs else b"")
+        letters = letters.lower()
+        if not letters.isalpha() or not is_normalized("NFC", letters):
+            return self._encode(text)
+        return self.parts[letters] + (self.parts[signs] if signs else b"")
 
     def __call__(self, text: str | None) -> bytes:
         words = self.words

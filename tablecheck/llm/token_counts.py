@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .bpe import CHUNK, PIECE, chunks, long_chunks
-from .common import Memo
+from .common import Memo, byte_alphabet
 
 #: Latin, Greek and Cyrillic blocks, assigned since early Unicode versions.
 COMMON = re.compile("[\x00-ȳͰ-ϿЀ-ӿ]*").fullmatch
@@ -43,6 +43,10 @@ class Counter:
     def tokenizer(self) -> Tokenizer:
         return Tokenizer.from_str(self.config)
 
+    @cached_property
+    def alphabet(self) -> dict[int, str]:
+        return dict(enumerate(byte_alphabet()))
+
     @cached_property
     def split(self) -> regex.Pattern:
         return regex.compile(self.pattern)
@@ -66,12 +70,11 @@ class Counter:
         return frozenset(t for t, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False)) if len(e.ids) == 1)
 
     def count_chunk(self, chunk: str) -> int:
-        encode = self.tokenizer.encode
         if not COMMON(chunk):
-            return len(encode(chunk, add_special_tokens=False).ids)
-        whole, total = self.whole, 0
+            return len(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        whole, merge, total = self.whole, self.tokenizer.model.tokenize, 0
         for token in self.split.findall(chunk):
-            total += 1 if token in whole else len(encode(token, add_special_tokens=False).ids)
+            total += 1 if token in whole else len(merge(token.encode().decode("latin-1").translate(self.alphabet)))
         return total
 
     @cached_property
