@@ -35,6 +35,18 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def micros(df, name: str) -> Column:
+    """Microseconds of a timestamp column since 1970.  A TIMESTAMP_NTZ is taken apart into its
+    date and time of day, so the session's time zone (and its missing or repeated hours)
+    never moves it."""
+    c = F.col(name)
+    if df.schema[name].dataType.typeName() != "timestamp_ntz":
+        return F.unix_micros(c.cast("timestamp"))
+    day = F.unix_date(c.cast("date")).cast("long")
+    seconds = (day * 24 + F.hour(c)) * 3600 + F.minute(c) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+
+
 def is_blank(c) -> Column:
     """Null or the empty string (a value of any type is compared as text)."""
     c = col_of(c)

@@ -18,7 +18,8 @@ exactly:
 
 The summary has one row per (key, chunk); the join back is on (key, chunk),
 the same partitioning as the chunk window, so the big side is not shuffled
-again.
+again.  Every key is chunked, whatever its size: nothing is counted first and no
+row count changes the plan.
 """
 
 from __future__ import annotations
@@ -52,29 +53,6 @@ def with_join_keys(df: DataFrame, cols: list[str], prefix: str = "__k") -> tuple
     return df.select("*", *out), names
 
 
-def hot_key_chunk(df: DataFrame, keys: list[str], fine: Column, min_rows: int = 1_000_000,
-                  max_hot: int = 10_000, coarse: Column | None = None) -> tuple[DataFrame, Column]:
-    """A chunk column that is fine only inside *hot* keys.
-
-    Chunks only need to be non-decreasing along the window order *within a
-    key*, so each key may use its own granularity.  Keys with more than
-    ``min_rows`` rows (counted by a partial aggregate: a hot key collapses
-    map-side) get ``fine`` chunks (e.g. the day, or a narrow value band);
-    every other key gets one ``coarse`` chunk (default: one chunk per key,
-    i.e. the plain window, with a one-row summary).  The hot-key set is the
-    top ``max_hot`` keys by count — a proven bound, so it is broadcast; keys
-    beyond it stay exact with coarse chunks.  Returns the frame with a
-    ``__hot`` flag (drop it after the window) and the chunk column."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > min_rows)
-    hot = counts.orderBy(F.col("__cnt").desc()).limit(max_hot) \
-        .select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys])
-    out = df.join(F.broadcast(hot), cond, "left").drop(*[f"__h_{k}" for k in keys]) \
-        .withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False)))
-    base = coarse if coarse is not None else F.lit(0)
-    return out, F.when(F.col("__hot"), fine.cast("long")).otherwise(base.cast("long"))
-
-
 def _with_chunk(df: DataFrame, keys: list[str], chunk: Column) -> tuple[DataFrame, list[str], list[str]]:
     """Adds the chunk and the normalised (key, chunk) columns; returns the
     frame, the (key, chunk) partition columns and the key-only columns."""
@@ -97,7 +75,8 @@ def chunked_rank(df: DataFrame, keys: list[str], order: list[Column], chunk: Col
     deterministic result); ``rank_order`` (default ``order``) orders rank and
     dense_rank; ``order_cols_for_distinct`` names the columns whose distinct
     combinations dense_rank counts (the rank ORDER BY columns); ``total``
-    names an optional output with the key's row count (from the summary)."""
+    names an optional output with the key's row count (from the summary).
+    All numbers are long."""
     d, part, kk = _with_chunk(df, keys, chunk)
     w = Window.partitionBy(*part).orderBy(*order)
     wr = Window.partitionBy(*part).orderBy(*(rank_order or order))
@@ -119,11 +98,11 @@ def chunked_rank(df: DataFrame, keys: list[str], order: list[Column], chunk: Col
                              *([F.sum("__n").over(Window.partitionBy(*kk)).alias(total)] if total else []))
     out = _join_summary(local, summary, part)
     if row_number:
-        out = out.withColumn(row_number, (F.col("__off_n") + F.col("__lrn")).cast("int"))
+        out = out.withColumn(row_number, (F.col("__off_n") + F.col("__lrn")).cast("long"))
     if rank:
-        out = out.withColumn(rank, (F.col("__off_n") + F.col("__lrk")).cast("int"))
+        out = out.withColumn(rank, (F.col("__off_n") + F.col("__lrk")).cast("long"))
     if dense_rank:
-        out = out.withColumn(dense_rank, (F.col("__off_d") + F.col("__ldr")).cast("int"))
+        out = out.withColumn(dense_rank, (F.col("__off_d") + F.col("__ldr")).cast("long"))
     return out.drop("__lrn", "__lrk", "__ldr", "__off_n", "__off_d", _C, *part)
 
 

@@ -1,6 +1,8 @@
 """Key-level duplicate handling.
 
-Survivor selection is an *aggregation*, not a window: ``min(struct(order key,
+Keys that repeat are found by a narrow count per key (hash aggregate, combined on the map
+side).  Rows of other keys pass by an anti join and are never sorted; only rows of
+repeated keys reach the survivor selection, an *aggregation*: ``min(struct(order key,
 row))`` per key is partially aggregated on the map side, so a key holding a
 third of all rows collapses to one struct per map task before the shuffle.
 A ``row_number()`` window would sort that whole key inside one task.
@@ -13,12 +15,17 @@ newest ``order_col`` first (oldest when the object name contains
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablecheck import functions as tf
+from tablecheck.operators.chunked import with_join_keys
 from tablecheck.operators.evaluate import CheckContext, _idpipeline, json_row
-from tablecheck.operators.rules import CRITICAL, FLAG_DUPLICATES, WARNING
+from tablecheck.operators.rules import CRITICAL, FLAG_DUPLICATES, FLAG_NULLS, WARNING
 
 # Report texts of the duplicate check.
 MULTIPLE_PKS_NAME = "Multiple PKs"
@@ -44,7 +51,7 @@ def _order_value(df: DataFrame, c: str, descending: bool) -> list[Column]:
     dtype = df.schema[c].dataType
     v = F.col(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        num = F.unix_micros(v.cast("timestamp"))
+        num = tf.micros(df, c)
     elif isinstance(dtype, T.DateType):
         num = F.unix_date(v)
     elif isinstance(dtype, T.BooleanType):
@@ -86,6 +93,16 @@ def _unpack(struct_col: str, where: dict, columns: list[str]) -> list[Column]:
     return [F.col(f"{struct_col}.{where[c]}").alias(c) for c in columns]
 
 
+def _split_repeated(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys that occur once, rows of keys that repeat); case-insensitive keys,
+    nulls are one key."""
+    names = [f"{_UP}{i}" for i in range(len(keys))]
+    keyed, on = with_join_keys(df.select("*", *_key_exprs(df, keys)), names, "__j")
+    dup = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*on)
+    helpers = [*names, *on]
+    return keyed.join(dup, on, "left_anti").drop(*helpers), keyed.join(dup, on, "left_semi").drop(*helpers)
+
+
 def dedup_keep(df: DataFrame, keys: list[str], order_col: str | None = "_timestamp",
                object_name: str = "", folders_col: str | None = None) -> DataFrame:
     """Survivors: exactly one row per case-insensitive key, original columns.
@@ -95,11 +112,12 @@ def dedup_keep(df: DataFrame, keys: list[str], order_col: str | None = "_timesta
     oldest = OLDEST_FIRST_MARKER in (object_name or "")
     if order_col is not None and order_col not in df.columns:
         order_col = None
-    rank, where = _rank_struct(df, order_col, oldest)
-    best = (df.select(*_key_exprs(df, keys), rank.alias("_r"))
+    once, repeated = _split_repeated(df, keys)
+    rank, where = _rank_struct(repeated, order_col, oldest)
+    best = (repeated.select(*_key_exprs(repeated, keys), rank.alias("_r"))
             .groupBy(*[f"{_UP}{i}" for i in range(len(keys))])
             .agg(F.min("_r").alias("_w")))
-    return best.select(*_unpack("_w", where, list(df.columns)))
+    return once.select(*df.columns).unionByName(best.select(*_unpack("_w", where, list(df.columns))))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], case_insensitive: bool = False) -> DataFrame:
@@ -121,9 +139,10 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
                      extra_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Q02–Q05. Returns (ok, fail).
 
-    * ok: one survivor per case-insensitive key (original columns).  With
-      ``null_pk='blank'`` null key parts are shown as '' (reference behaviour);
-      with ``'fail'`` they are kept as null (and grouped together).
+    * ok: one survivor per case-insensitive key (original columns).
+    * ``null_pk``: with ``'fail'`` every row with a null key part leaves OK and is reported
+      under the null rule; with ``'group'`` nulls are one key value; with
+      ``'blank'`` they are one key value and shown as '' (reference behaviour).
     * fail: one report row per duplicated key (the first loser), or every
       loser with ``all_losers=True``.  ``delete_by_path`` adds
       ``source_file_name_agg`` = "Raw Folder : a -- Duplicates Folder : b"
@@ -138,19 +157,26 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
     oldest = OLDEST_FIRST_MARKER in ctx.name
     if order_col is not None and order_col not in df.columns:
         order_col = None
+    if null_pk not in ("fail", "group", "blank"):
+        raise ValueError("null_pk must be 'fail', 'group' or 'blank'")
     kcols = [f"{_UP}{i}" for i in range(len(keys))]
     original = list(df.columns)
+    no_key = None
+    if null_pk == "fail":
+        missing = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+        no_key, df = df.filter(missing), df.filter(~missing)
+    once, repeated = _split_repeated(df, keys)
 
     rank, where = _rank_struct(df, order_col, oldest)
-    ranked = df.select(*_key_exprs(df, keys), rank.alias("_r"),
-                       *([F.col(folder_col)] if delete_by_path and folder_col in df.columns else []))
+    ranked = repeated.select(*_key_exprs(df, keys), rank.alias("_r"),
+                             *([F.col(folder_col)] if delete_by_path and folder_col in df.columns else []))
     aggs = [F.min("_r").alias("_w"), F.count(F.lit(1)).alias("_n")]
     if delete_by_path and folder_col in df.columns:
         # distinct folders per key: bounded by the number of files, not rows
         aggs.append(F.array_sort(F.collect_set(folder_col)).alias("_folders"))
     best = ranked.groupBy(*kcols).agg(*aggs)
 
-    ok = best.select(*_unpack("_w", where, original))
+    ok = once.select(*original).unionByName(best.select(*_unpack("_w", where, original)))
     if null_pk == "blank":
         types = dict(df.dtypes)
         ok = ok.select(*[F.coalesce(F.col(c), F.lit("")).alias(c)
@@ -186,10 +212,13 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
             cond = [losers[k].eqNullSafe(folders[f"_d{k}"]) for k in kcols]
             losers = losers.join(folders, cond, "inner")
     row = _unpack("_l", where, original)
-    lrow = losers.select(*row, *([F.col("_folders")] if "_folders" in losers.columns else []))
+    lrow = losers.select(*row, *([F.col("_folders")] if "_folders" in losers.columns else []),
+                         F.lit(FLAG_DUPLICATES).alias("_flag"))
+    if no_key is not None:
+        lrow = lrow.unionByName(no_key.select(*original, F.lit(FLAG_NULLS).alias("_flag")), allowMissingColumns=True)
     report = [
         F.lit(ctx.name).alias("object_name"),
-        F.lit(FLAG_DUPLICATES).alias("check_passed"),
+        F.col("_flag").alias("check_passed"),
         F.lit(colname).alias("check_column_name"),
         F.col(uniq).cast("string").alias("check_column_value"),
         F.lit(WARNING if is_warning else CRITICAL).alias("error_type"),
@@ -199,8 +228,8 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
         report.append(json_row(original).alias("json_row_data"))
     report += [F.col(f"`{c}`") for c in (extra_cols or [])]
     if "_folders" in lrow.columns:
-        report.append(F.concat(F.lit(RAW_FOLDER_PREFIX),
-                               F.concat_ws(DUPLICATES_FOLDER_SEP, F.col("_folders"))).alias("source_file_name_agg"))
+        folders = F.concat(F.lit(RAW_FOLDER_PREFIX), F.concat_ws(DUPLICATES_FOLDER_SEP, F.col("_folders")))
+        report.append(F.when(F.col("_folders").isNotNull(), folders).alias("source_file_name_agg"))
     fail = lrow.select(*report)
     return ok, fail
 

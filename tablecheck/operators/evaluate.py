@@ -42,6 +42,13 @@ class CheckContext:
             raise ValueError("layer must be 'Silver' or 'Bronze'")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def _idpipeline(df: DataFrame) -> Column:
     return F.col("idpipeline").cast("string") if "idpipeline" in df.columns else F.lit(None).cast("string")
 
@@ -78,12 +85,14 @@ def fail_predicate(rules: list[Rule]) -> Column:
 
 def apply_fixes(df: DataFrame, rules: list[Rule], columns: list[str]) -> DataFrame:
     """Value edits (warning dummy, marker removal) on OK rows, keeping column order.
-    Every fix is computed from the *original* values, so rules never see edits."""
-    fixes = {}
+
+    Rules never see edits.  Fixes of one column compose in rule order: a fix is a
+    function of the column, and a later one works on what the earlier ones left."""
+    fixed: dict[str, Column] = {}
     for r in rules:
-        for name, expr in r.fixes:
-            fixes[name] = expr
-    return df.select(*[fixes[c].alias(c) if c in fixes else F.col(f"`{c}`") for c in columns])
+        for name, fix in r.fixes:
+            fixed[name] = fix(fixed.get(name, F.col(f"`{name}`")))
+    return df.select(*[fixed[c].alias(c) if c in fixed else F.col(f"`{c}`") for c in columns])
 
 
 @dataclass
@@ -107,8 +116,8 @@ def evaluate(df: DataFrame, rules: list[Rule], ctx: CheckContext | None = None,
     if not rules:
         raise ValueError("evaluate() needs at least one rule")
     columns = [c for c in df.columns if c not in SYSTEM_ID_COLUMNS]
-    marker_cols = [c for c in df.columns if c.startswith("_m_")]
-    data_columns = [c for c in columns if c not in marker_cols]
+    markers = {r.marker for r in rules if r.marker}
+    data_columns = [c for c in columns if c not in markers]
 
     src = df
     if fence:

@@ -1,10 +1,8 @@
 """Allowed-value lookups and master-data filters.
 
 Lookups are joins, never ``collect()`` + ``isin``: the allowed values can be a
-whole dimension.  A lookup side is broadcast only after a bounded probe
-(``limit(cap+1).count()``) proves it has at most ``cap`` distinct keys;
-otherwise the join is left to Catalyst/AQE (sort-merge, or a runtime
-broadcast if the real size turns out small).
+whole dimension.  They are plain equi-joins on distinct keys: Catalyst and AQE
+choose a broadcast or a sort-merge join from the sizes they know or measure.
 """
 
 from __future__ import annotations
@@ -16,43 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck import functions as tf
-from tablecheck.operators.evaluate import CheckContext, _idpipeline, json_row
+from tablecheck.operators.evaluate import CheckContext, _idpipeline, free_name, json_row
 from tablecheck.operators.rules import CRITICAL, FLAG_ISIN, FLAG_MASTER, Rule, marker_rule
 
-# A lookup side is broadcast only when a bounded probe shows at most this many
-# rows AND this many bytes of key data (the probe reads at most max_rows + 1 rows).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def is_bounded(df: DataFrame, max_rows: int, max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (and, when given, at most
-    ``max_bytes`` of column data as text).  Each task stops after
-    ``max_rows + 1`` rows (local limit), so the probe never reads a big side whole."""
-    probe = df.limit(max_rows + 1)
-    size = F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-                      for c in df.columns), F.lit(0)))
-    row = probe.agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
-    if row["n"] > max_rows:
-        return False
-    return max_bytes is None or (row["b"] or 0) <= max_bytes
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                         max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only behind a size proof (rows and bytes); else the
-    plain frame, and Catalyst/AQE choose the join from real sizes."""
-    return F.broadcast(df) if is_bounded(df, max_rows, max_bytes) else df
-
-
 def add_lookup_marker(df: DataFrame, columns: str | list[str], lookup: DataFrame,
-                      lookup_columns: str | list[str] | None = None, marker: str = "_m_0",
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      lookup_columns: str | list[str] | None = None, marker: str = "_m_0") -> DataFrame:
     """Add boolean ``marker``: the row's (tuple of) column value(s) is in ``lookup``.
 
     Null in any key part never matches (D11/D12).  The lookup is reduced to
     distinct keys first, so the left join cannot multiply rows.
     """
+    if marker in df.columns:
+        raise ValueError(f"column {marker!r} exists already; pass another marker name")
     cols = [columns] if isinstance(columns, str) else list(columns)
     lcols = cols if lookup_columns is None else ([lookup_columns] if isinstance(lookup_columns, str)
                                                  else list(lookup_columns))
@@ -60,7 +33,6 @@ def add_lookup_marker(df: DataFrame, columns: str | list[str], lookup: DataFrame
             .where(reduce(lambda a, b: a & b, [F.col(f"__lk{i}").isNotNull() for i in range(len(lcols))]))
             .distinct()
             .withColumn(marker, F.lit(True)))
-    keys = broadcast_if_bounded(keys, max_broadcast_rows)
     cond = reduce(lambda a, b: a & b, [df[c] == keys[f"__lk{i}"] for i, c in enumerate(cols)])
     out = df.join(keys, cond, "left")
     return out.drop(*[f"__lk{i}" for i in range(len(lcols))]) \
@@ -188,7 +160,7 @@ def config_isin(df: DataFrame, spark: SparkSession, config: DataFrame, ctx: Chec
     rules = []
     for i, row in enumerate(rows):
         lk = config_lookup(spark, row, tables)
-        m = f"_m_cfg{i}"
+        m = free_name(data, f"_m_cfg{i}")
         data = add_lookup_marker(data.withColumn("__cast", F.col(row["bronze_column"]).cast("string")),
                                  "__cast", lk, row["bronze_column"], m).drop("__cast")
         rules.append(lookup_rule(row["bronze_column"], m))

@@ -9,7 +9,7 @@ boolean marker column and then become row rules on that marker.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,12 +49,12 @@ class Rule:
     value: Column                  # report value (cast to string by the evaluator)
     error_type: str = CRITICAL
     action: str = BLOCK
-    fixes: tuple = field(default_factory=tuple)   # ((column, Column), ...) applied to OK rows
+    fixes: tuple = field(default_factory=tuple)   # ((column, Column -> Column), ...) applied to OK rows
     needs: tuple = field(default_factory=tuple)   # columns the rule reads
+    marker: str | None = None      # helper column the rule reads; it leaves with the evaluation
 
     def with_action(self, action: str) -> "Rule":
-        return Rule(self.flag, self.column, self.bad, self.value, self.error_type, action,
-                    self.fixes, self.needs)
+        return replace(self, action=action)
 
 
 def _sev(is_warning: bool) -> str:
@@ -66,7 +66,7 @@ def null_check(column: str, is_warning: bool = False, dummy: str = "") -> Rule:
     replaced by ``dummy``; the violations are still reported as WARNING."""
     bad = tf.is_blank(column)
     if is_warning:
-        fix = ((column, F.when(bad, F.lit(dummy)).otherwise(F.col(column).cast("string"))),)
+        fix = ((column, lambda c: F.when(bad, F.lit(dummy)).otherwise(c.cast("string"))),)
         return Rule(FLAG_NULLS_WARNING, column, bad, F.col(column), WARNING, REPORT, fix, (column,))
     return Rule(FLAG_NULLS, column, bad, F.col(column), CRITICAL, BLOCK, (), (column,))
 
@@ -86,7 +86,7 @@ def marker_rule(flag: str, column: str, marker_col: str, value: Column | None =
     action = REPORT if keep_in_successful_output else BLOCK
     bad = ~F.coalesce(F.col(marker_col), F.lit(False))
     return Rule(flag, column, bad, value if value is not None else F.col(column),
-                _sev(is_warning), action, (), (marker_col,))
+                _sev(is_warning), action, (), (marker_col,), marker_col)
 
 
 def number_check(column: str, nullable: bool = True, allow_negative: bool = False) -> Rule:
@@ -134,9 +134,10 @@ def pattern_check(column: str, pattern: str, mode: str = "match_correct",
     value = F.col(column)
     fixes = ()
     if remove_marker:
-        cleaned = F.regexp_replace(F.col(column).cast("string"), F.lit(pattern), F.lit("$1"))
-        value = cleaned
-        fixes = ((column, cleaned),)
+        def clean(c: Column) -> Column:
+            return F.regexp_replace(c.cast("string"), F.lit(pattern), F.lit("$1"))
+        value = clean(F.col(column))
+        fixes = ((column, clean),)
     return Rule(FLAG_PATTERN, column, bad, value, CRITICAL, BLOCK, fixes, (column,))
 
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from tablecheck.operators import chunked as CH
 from tablecheck.operators import patterns as P
-from tablecheck.operators.lookup import broadcast_if_bounded
 from tablecheck.plans.fixtures import table
 from tablecheck.plans.registry import query
 
@@ -58,15 +57,14 @@ def exists(spark, sf):
                      "(SELECT c_custkey FROM __customer_j10 WHERE c_acctbal < 0)")
 
 
-@query("broadcast_dim", ("J05", "A04", "S25"),
+@query("broadcast_dim", ("J05", "A04"),
        "SELECT n.n_name, r.r_name, count(*) AS n_customers, "
        "CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total_acctbal "
        "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey "
        "GROUP BY n.n_name, r.r_name")
 def broadcast_dim(spark, sf):
-    """Fact x small dimensions; dimensions broadcast only after a size check."""
-    nation = broadcast_if_bounded(_t(spark, sf, "nation"), 100_000)
-    region = broadcast_if_bounded(_t(spark, sf, "region"), 100_000)
+    """Fact x small dimensions: the planner broadcasts them by their known file size."""
+    nation, region = _t(spark, sf, "nation"), _t(spark, sf, "region")
     c = _t(spark, sf, "customer")
     j = c.join(nation, c.c_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey)
     return j.groupBy("n_name", "r_name").agg(F.count(F.lit(1)).alias("n_customers"),
@@ -241,19 +239,23 @@ def describe(spark, sf):
 _ORD = "orders"
 
 
+def _month():
+    return F.year("o_orderdate") * 12 + F.month("o_orderdate")
+
+
 @query("rank_row_number", ("W03", "W04", "W05"),
        "SELECT o_orderkey, o_custkey, o_totalprice, "
        "row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn, "
        "rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS rnk, "
        "dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS drnk FROM orders")
 def rank_row_number(spark, sf):
-    """Hot customers chunked by 1000-wide price bands (descending), so their
-    rows spread over tasks; other customers are one chunk each."""
+    """Every customer chunked by 10000-wide price bands (descending), so a hot
+    customer's rows spread over tasks."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice")
-    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], -F.floor(F.col("o_totalprice") / 1000))
+    chunk = -F.floor(F.col("o_totalprice") / 10000)
     out = CH.chunked_rank(o, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")],
                           chunk, order_cols_for_distinct=["o_totalprice"], rank_order=[F.col("o_totalprice").desc()])
-    return out.drop("__hot")
+    return out
 
 
 @query("lag_lead", ("W06", "W07"),
@@ -262,10 +264,10 @@ def rank_row_number(spark, sf):
        "lead(o_totalprice, 1, 0) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price "
        "FROM orders")
 def lag_lead(spark, sf):
-    """Hot customers chunked by order day: in-chunk lag/lead, neighbour chunks
-    at the edges; other customers are one chunk each."""
+    """Customers chunked by order month: in-chunk lag/lead, neighbour chunks
+    at the edges."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], F.unix_date(F.to_date("o_orderdate")))
+    chunk = _month()
     out = CH.chunked_lag_lead(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], chunk,
                               "o_totalprice", "prev_price", "next_price", default=0.0)
     return out.select("o_orderkey", "o_custkey", "o_totalprice", "prev_price", "next_price")
@@ -275,10 +277,10 @@ def lag_lead(spark, sf):
        "SELECT c_custkey, c_mktsegment, ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) "
        "AS quartile FROM customer")
 def ntile(spark, sf):
-    """Quartiles inside 5 large segments: a segment above the hot-key
-    threshold is chunked by balance (1-wide bands), so it is not one task."""
+    """Quartiles inside 5 large segments, chunked by balance (10-wide bands), so a
+    segment is not one task."""
     c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    c, chunk = CH.hot_key_chunk(c, ["c_mktsegment"], F.floor(F.col("c_acctbal")))
+    chunk = F.floor(F.col("c_acctbal") / 10)
     out = CH.chunked_ntile(c, ["c_mktsegment"], [F.col("c_acctbal"), F.col("c_custkey")], chunk, 4, "quartile")
     return out.select("c_custkey", "c_mktsegment", "quartile")
 
@@ -303,10 +305,9 @@ def first_last(spark, sf):
        "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total "
        "FROM orders")
 def running_rows(spark, sf):
-    """Running total per customer; hot customers chunked by order day
-    (offset = earlier days' sum), other customers one chunk each."""
+    """Running total per customer, chunked by order month (offset = earlier months' sum)."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], F.unix_date(F.to_date("o_orderdate")))
+    chunk = _month()
     out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], chunk,
                                  F.col("o_totalprice").cast("decimal(18,2)"), "running_total", "rows")
     return out.select("o_orderkey", "o_custkey", F.col("running_total").cast("double").alias("running_total"))
@@ -317,9 +318,9 @@ def running_rows(spark, sf):
        "ORDER BY o_orderdate) AS DOUBLE) AS running_total FROM orders")
 def running_range(spark, sf):
     """Default frame = RANGE: rows with the same order date share the sum
-    (hot customers chunked by day, so ties never span chunks)."""
+    (customers chunked by month, so ties never span chunks)."""
     o = _t(spark, sf, _ORD).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    o, chunk = CH.hot_key_chunk(o, ["o_custkey"], F.unix_date(F.to_date("o_orderdate")))
+    chunk = _month()
     out = CH.chunked_running_sum(o, ["o_custkey"], [F.col("o_orderdate")], chunk,
                                  F.col("o_totalprice").cast("decimal(18,2)"), "running_total", "range")
     return out.select("o_orderkey", "o_custkey", F.col("running_total").cast("double").alias("running_total"))

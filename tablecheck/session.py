@@ -8,6 +8,7 @@ tests and the bench; on a cluster the caller's session is used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,15 +49,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def is_one_machine(master: str) -> bool:
+    """A plain local master: driver and executor threads share one disk."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used unchanged.  Only when it is unset (local tests) do we point it
-    at a fresh scratch folder.
+    and is used unchanged; unset, it is an error, since executors could not read back
+    what others wrote to their own disks.  Only with a local master, one machine, is a
+    fresh scratch folder made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not is_one_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tablecheck-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

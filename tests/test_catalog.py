@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 from tablecheck.plans.fixtures import TABLES  # noqa: E402
+from tablecheck.plans.catalog import ORACLES, QUERIES  # noqa: E402
 from tablecheck.plans.registry import IDS  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -24,9 +25,8 @@ def duck():
 
 
 def test_every_query_names_survey_ids():
-    qs = entry.queries()
-    assert len(qs) >= 100
-    for name in qs:
+    assert len(QUERIES) >= 100 and set(QUERIES) <= set(entry.queries())
+    for name in QUERIES:
         assert IDS[name], name
         assert "pipeline" not in name and not name.startswith("op")
 
@@ -36,7 +36,7 @@ def test_entry_smoke(spark):
     assert df.count() == 7 and df.columns == ["check_passed", "check_column_name", "n_fail"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]

@@ -1,6 +1,7 @@
 """Q02–Q05 duplicates and Q07–Q09, Q19–Q21 lookups."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +18,7 @@ def _dups(spark):
 
 
 def test_q02_keep_latest_case_insensitive(spark):
-    ok, fail = check_duplicates(_dups(spark), [], CheckContext("obj"), uniqueness_col="k")
+    ok, fail = check_duplicates(_dups(spark), [], CheckContext("obj"), uniqueness_col="k", null_pk="group")
     got = sorted((r["k"] or "", r["_timestamp"]) for r in ok.collect())
     assert got == [("", T2), ("A", T3)]
     assert fail.count() == 2  # one report row per duplicated key
@@ -26,7 +27,7 @@ def test_q02_keep_latest_case_insensitive(spark):
 
 
 def test_q02_split_temp_keeps_oldest(spark):
-    ok, _ = check_duplicates(_dups(spark), [], CheckContext("x_split_temp"), uniqueness_col="k")
+    ok, _ = check_duplicates(_dups(spark), [], CheckContext("x_split_temp"), uniqueness_col="k", null_pk="group")
     got = sorted((r["k"] or "", r["_timestamp"]) for r in ok.collect())
     assert got == [("", T1), ("a", T1)]
 
@@ -130,11 +131,68 @@ def test_q27_ruleset_schema_and_data_rules(spark):
                    "ColumnLength between 1 and 3:s": (1, "FAIL"), "ColumnCount = 2:*": (2, "PASS")}
 
 
-def test_broadcast_only_behind_row_and_byte_bounds(spark):
-    from tablecheck.operators.lookup import broadcast_if_bounded, is_bounded
-    small = spark.range(100).selectExpr("id", "repeat('x', 10) AS s")
-    assert is_bounded(small, 1000) and not is_bounded(small, 50)
-    assert not is_bounded(small, 1000, max_bytes=500)   # 100 rows x ~12 bytes > 500
-    big = spark.range(100).select("id")
-    plan = big.join(broadcast_if_bounded(small, 1000), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
+def test_lookup_join_is_left_to_the_planner(spark):
+    """No hint and no probe: a lookup of unknown size is a plain equi-join."""
+    big = spark.range(100).selectExpr("id AS k")
+    lookup = spark.range(50).selectExpr("id AS k").repartition(3)
+    plan = add_lookup_marker(big, "k", lookup)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint" not in plan and "strategy=broadcast" not in plan and "Limit" not in plan
+
+
+def test_columns_named_like_markers_stay(spark):
+    df = spark.createDataFrame([(1, 5), (2, 6)], "id int, _m_price int")
+    data = add_lookup_marker(df, "id", spark.createDataFrame([(1,)], "v int"), "v", "_m_0")
+    ev = evaluate(data, [lookup_rule("id", "_m_0")])
+    assert ev.ok.columns == ["id", "_m_price"] and [tuple(r) for r in ev.ok.collect()] == [(1, 5)]
+    assert '"_m_price":6' in ev.fail.first()["json_row_data"]
+    with pytest.raises(ValueError):
+        add_lookup_marker(data, "id", df, "id", "_m_0")
+
+
+def test_q02_null_pk_modes(spark):
+    df = spark.createDataFrame([("a", 1), ("A", 2), (None, 1), (None, 2)], "k string, _timestamp int")
+    ok, fail = check_duplicates(df, [], uniqueness_col="k", null_pk="fail")
+    assert [tuple(r) for r in ok.collect()] == [("A", 2)]
+    assert sorted((r["check_passed"], r["check_column_value"]) for r in fail.collect() if r["check_column_value"]) == [("check_duplicates", "a")]
+    assert [r["check_passed"] for r in fail.collect() if r["check_column_value"] is None] == ["check_nulls"] * 2
+    ok, fail = check_duplicates(df, [], uniqueness_col="k", null_pk="group")
+    assert ok.count() == 2 and fail.count() == 2
+
+
+def test_dedup_order_on_ntz_ignores_the_session_zone(spark):
+    """02:30 does not exist in this zone on that day; it is still before 03:30."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT 'a' AS k, TIMESTAMP_NTZ '2024-03-10 02:30:00.000001' AS _timestamp UNION ALL SELECT 'a', TIMESTAMP_NTZ '2024-03-10 03:30:00'")
+        got = dedup_keep(df, ["k"]).select(F.col("_timestamp").cast("string")).first()[0]
+        ok, _ = check_duplicates(df, [], uniqueness_col="k")
+        assert got == "2024-03-10 03:30:00" == ok.select(F.col("_timestamp").cast("string")).first()[0]
+        from tablecheck.functions import micros
+        assert df.select(micros(df, "_timestamp")).first()[0] == 1710037800000001
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_evaluate_all_equals_the_rule_by_rule_intersection(spark):
+    from tablecheck.operators.checker import TableChecker
+    df = spark.createDataFrame([("x", "1", 1), ("y", "2", 2), ("z", None, 3), ("x", "3", 4), ("w", "4", 5)], "k string, n string, _timestamp int")
+    c = TableChecker(df, "t")
+    parts = [c.check_nulls(False, ["n"]), c.check_isin_value(False, [["k", spark.createDataFrame([("x",), ("y",), ("z",)], "k string")]]),
+             c.check_duplicates_with_PKs(False, ["k"]), c.check_master_filters([dict(filtered_column="n", master=spark.createDataFrame([("2",), ("3",)], "m string"), curated_column="m")])]
+    ev = c.evaluate_all()
+    want = c.build_final_output(*[ok for ok, _ in parts])
+    assert sorted(map(tuple, ev.ok.collect())) == sorted(map(tuple, want.collect())) == [("x", "3", 4), ("y", "2", 2)]
+    got = sorted((r["check_passed"], r["check_column_value"] or "") for r in ev.fail.collect())
+    assert got == sorted((r["check_passed"], r["check_column_value"] or "") for _, f in parts for r in f.collect())
+    with pytest.raises(ValueError):
+        TableChecker(df.drop("n"), "t").evaluate_all()
+
+
+def test_two_fixes_of_one_column_compose(spark):
+    from tablecheck.operators import rules as R
+    df = spark.createDataFrame([("",), ("<b>x</b>",), ("y",)], "c string")
+    dummy = R.null_check("c", is_warning=True, dummy="N/A")
+    fix = R.pattern_check("c", "<b>(.*)</b>", "match_incorrect", remove_marker=True).with_action(R.REPORT)
+    assert sorted(r[0] for r in evaluate(df, [dummy, fix]).ok.collect()) == ["N/A", "x", "y"]
+    assert sorted(r[0] for r in evaluate(df, [fix, dummy]).ok.collect()) == ["N/A", "x", "y"]

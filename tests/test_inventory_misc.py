@@ -79,3 +79,12 @@ def test_g01_compaction_and_g03_retention(spark, tmp_dir):
     removed = vt.vacuum(retention_hours=0)
     assert removed == [v0] and vt.latest_version() == v1
     assert vt.read().count() == src.count()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+    from tablecheck.session import checkpoint_dir, is_one_machine
+    assert is_one_machine("local[8]") and is_one_machine("local") and not is_one_machine("local-cluster[2,1,1024]")
+    conf = SimpleNamespace(get=lambda *a: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
