@@ -99,12 +99,6 @@ def any_cell_equals(df_columns: list[tuple[str, str]], marker: str = ROW_TO_DELE
     return F.coalesce(reduce(or_, tests), F.lit(False))
 
 
-def minutes_between(end, start) -> Column:
-    """Whole-second difference in minutes as a double."""
-    return (F.unix_timestamp(col_of(end).cast("timestamp")) -
-            F.unix_timestamp(col_of(start).cast("timestamp"))) / F.lit(60.0)
-
-
 def pct_change(cur, prev, scale: int = 2) -> Column:
     """Percent change, null when the previous value is 0 or null (ANSI-safe)."""
     return F.round(F.try_divide((col_of(cur) - col_of(prev)) * F.lit(100.0), col_of(prev)), scale)

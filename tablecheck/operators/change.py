@@ -30,8 +30,13 @@ def assert_unique_keys(df: DataFrame, keys: list[str], what: str = "source") ->
         raise ValueError(f"{what} has duplicate keys {keys}; merge would be ambiguous")
 
 
-def upsert(target: DataFrame, staging: DataFrame, keys: list[str]) -> DataFrame:
-    """Delete matching keys from the target, insert every staging row."""
+def upsert(target: DataFrame, staging: DataFrame, keys: list[str], order_cols: list[str] | None = None) -> DataFrame:
+    """Delete matching keys from the target, insert the staging rows.  A key that repeats in
+    the staging rows is an error, or with ``order_cols`` its newest row wins."""
+    if order_cols:
+        staging = latest_per_key(staging, keys, order_cols)
+    else:
+        assert_unique_keys(staging, keys, "staging")
     return target.join(staging.select(*keys).distinct(), keys, "left_anti") \
         .unionByName(staging.select(*target.columns))
 
@@ -104,9 +109,10 @@ def row_hash(cols: list[str]) -> Column:
 
 def scd2(dim: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str], load_ts,
          close_missing: bool = False) -> DataFrame:
-    """M05 type 2. ``dim`` has keys + tracked + effective_from, effective_to,
+    """M05 type 2. A key may occur once in ``snapshot``.  ``dim`` has keys + tracked + effective_from, effective_to,
     is_current.  Changed keys: the current row is closed at ``load_ts`` and a
     new current row opens; new keys open a row; unchanged rows stay."""
+    assert_unique_keys(snapshot, keys, "snapshot")
     ts = F.lit(load_ts).cast(dim.schema["effective_from"].dataType)
     hist = dim.filter(~F.col("is_current"))
     cur = dim.filter(F.col("is_current")).withColumn("__h", row_hash(tracked))

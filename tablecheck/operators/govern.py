@@ -109,15 +109,18 @@ def add_lineage(df: DataFrame, pipeline: str, run_id: str, processed_at: _dt.dat
 
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: non-null count, null count, distinct count, min, max
-    (as text) — what ``ANALYZE TABLE ... FOR COLUMNS`` collects, in one pass."""
-    columns = columns or df.columns
-    aggs = []
-    for i, c in enumerate(columns):
-        x = F.col(f"`{c}`")
-        aggs += [F.count(x).alias(f"nn{i}"), F.sum(x.isNull().cast("long")).alias(f"nl{i}"),
-                 F.count_distinct(x).alias(f"nd{i}"), F.min(x).cast("string").alias(f"mi{i}"),
-                 F.max(x).cast("string").alias(f"ma{i}")]
-    wide = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', nn{i}, nl{i}, nd{i}, mi{i}, ma{i}" for i, c in enumerate(columns))
-    return wide.selectExpr(f"stack({len(columns)}, {parts}) AS (column_name, n_non_null, n_null, n_distinct, "
-                           "min_value, max_value)")
+    (as text) — what ``ANALYZE TABLE ... FOR COLUMNS`` collects.
+
+    One narrow aggregate per column: rows are first counted per value (combined on the map side), and the
+    statistics are read off those counts.  The scan reads that column only, and
+    no row is copied once per column as several distinct counts in one aggregate would."""
+    parts = []
+    for c in columns or df.columns:
+        values = df.groupBy(F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        known = F.col("v").isNotNull()
+        total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+        parts.append(values.agg(total(known).alias("n_non_null"), total(~known).alias("n_null"),
+                                F.count("v").alias("n_distinct"), F.min("v").cast("string").alias("min_value"),
+                                F.max("v").cast("string").alias("max_value"))
+                     .select(F.lit(c).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)

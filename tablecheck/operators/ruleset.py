@@ -3,8 +3,7 @@ ColumnCount, ColumnLength — as Python objects, no rule-text parser.
 
 Every rule contributes aggregate expressions to ONE ``agg`` over the data
 (map-side combined); the outcome table has one row per rule:
-rule, column, metric, status (PASS/FAIL).  Row-level variants of the same
-rules are plain ``Rule`` objects for the fused evaluator.
+rule, column, metric, status (PASS/FAIL).
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.operators.rules import BLOCK, CRITICAL, Rule
-
 _OPS = {">": lambda c, v: c > v, ">=": lambda c, v: c >= v, "<": lambda c, v: c < v,
         "<=": lambda c, v: c <= v, "=": lambda c, v: c == v, "!=": lambda c, v: c != v}
 
@@ -26,6 +23,7 @@ class DatasetRule:
     column: str
     metric: Column | None          # aggregate expression (None: schema-only rule)
     passes: object                 # python callable(metric_value) -> bool, or a bool for schema rules
+    by_value: bool = False         # needs its own aggregate over the column's value counts
 
 
 def is_complete(column: str) -> DatasetRule:
@@ -34,9 +32,8 @@ def is_complete(column: str) -> DatasetRule:
 
 
 def is_unique(column: str) -> DatasetRule:
-    """Every non-null value occurs once (count == count distinct)."""
-    m = F.count(F.col(column)) - F.count_distinct(F.col(column))
-    return DatasetRule("IsUnique", column, m, lambda v: (v or 0) == 0)
+    """Every non-null value occurs once; metric = repeats (rows less distinct values)."""
+    return DatasetRule("IsUnique", column, None, lambda v: (v or 0) == 0, by_value=True)
 
 
 def column_values(column: str, op: str, value) -> DatasetRule:
@@ -59,7 +56,7 @@ def column_count(n: int) -> DatasetRule:
 
 
 def evaluate_ruleset(df: DataFrame, rules: list[DatasetRule]) -> DataFrame:
-    """Q27: one aggregate for all data rules (metric = violations, PASS when 0),
+    """Q27: one aggregate for all data rules, and a narrow one for each uniqueness rule (metric = violations, PASS when 0),
     unpivoted with ``stack``; schema rules are literal rows.  Lazy: nothing
     is collected to the driver."""
     parts = []
@@ -70,9 +67,15 @@ def evaluate_ruleset(df: DataFrame, rules: list[DatasetRule]) -> DataFrame:
         rows = ", ".join(f"'{r.name}', '{r.column}', m{i}" for i, r in enumerate(data_rules))
         long = wide.selectExpr(f"stack({len(data_rules)}, {rows}) AS (rule, column_name, metric)")
         parts.append(long.withColumn("status", F.when(F.col("metric") == 0, "PASS").otherwise("FAIL")))
+    for r in rules:
+        if r.by_value:  # counted per value first: no row is copied for each distinct count
+            counts = df.filter(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("n"))
+            metric = counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("metric"))
+            parts.append(metric.select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"), "metric",
+                                       F.when(F.col("metric") == 0, "PASS").otherwise("FAIL").alias("status")))
     spark = df.sparkSession
     for r in rules:
-        if r.metric is None:
+        if r.metric is None and not r.by_value:
             n = len(df.columns)
             parts.append(spark.range(1).select(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"),
                                                F.lit(n).cast("long").alias("metric"),
@@ -81,18 +84,3 @@ def evaluate_ruleset(df: DataFrame, rules: list[DatasetRule]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def row_rule(rule: DatasetRule, op_value: tuple | None = None) -> Rule:
-    """Row-level form of IsComplete / ColumnValues / ColumnLength for the fused
-    evaluator (rows violating it are reported and blocked)."""
-    c = F.col(rule.column)
-    if rule.name == "IsComplete":
-        bad = c.isNull()
-    elif rule.name.startswith("ColumnValues") and op_value:
-        bad = ~F.coalesce(_OPS[op_value[0]](c, F.lit(op_value[1])), F.lit(True))
-    elif rule.name.startswith("ColumnLength") and op_value:
-        bad = ~F.coalesce(F.length(c.cast("string")).between(*op_value), F.lit(True))
-    else:
-        raise ValueError(f"{rule.name} has no row-level form")
-    return Rule(rule.name, rule.column, bad, c, CRITICAL, BLOCK, (), (rule.column,))

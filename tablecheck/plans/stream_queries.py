@@ -87,7 +87,7 @@ def dedup_stream(spark, sf):
     return S.keep_first(e.unionByName(replay), ["event_id"], "ts")
 
 
-_ARRIVAL = "(event_id // 500) + CASE WHEN event_id % 13 = 0 THEN 2 ELSE 0 END"
+_ARRIVAL = "(event_id // (SELECT max(event_id) // 20 + 1 FROM events)) + CASE WHEN event_id % 13 = 0 THEN 2 ELSE 0 END"
 
 
 @query("late_split", ("T08", "T09"),
@@ -102,7 +102,8 @@ def late_split(spark, sf):
     older than the watermark (max event time of earlier batches - 5 min) are
     routed to the dead-letter table."""
     e = _events(spark, sf).select("event_id", "ts")
-    batch = F.floor(F.col("event_id") / 500).cast("long") + F.when(F.col("event_id") % 13 == 0, 2).otherwise(0)
+    size = e.agg(F.floor(F.max("event_id") / 20) + 1).scalar()
+    batch = F.floor(F.col("event_id") / size).cast("long") + F.when(F.col("event_id") % 13 == 0, 2).otherwise(0)
     flagged = S.late_split_batch(e.withColumn("batch", batch), "ts", "batch", 300)
     return flagged.groupBy(F.when(F.col("is_late"), "dead_letter").otherwise("on_time").alias("destination")) \
         .agg(F.count(F.lit(1)).alias("n_rows"))
@@ -143,72 +144,161 @@ def bronze_silver_gold(spark, sf):
     return S.tumbling_agg(silver, "ts", "1 hour", ["event_type"], "value")
 
 
+@query("json_body", "T02",
+       "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_body(spark, sf):
+    """Message bodies (JSON text) parsed to typed columns with a declared schema."""
+    return S.parse_json_body(_events(spark, sf), "k bigint", body_col="props", keep=["event_id"])
+
+
 # =========================================================================== real streaming runs
-def _stage_events(spark, sf):
-    """Write ``events`` as one folder of files per day into the shared scratch
-    folder (the stream's source directory)."""
+def _scratch(spark, name):
     import uuid
     from tablecheck.session import scratch_path
-    root = scratch_path(spark, f"events-src-{uuid.uuid4().hex[:12]}")
-    e = S.event_time(_events(spark, sf), "ts")
-    e.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(root)
-    return root, e.schema, root + "-ckpt"
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _memory_name(prefix):
-    import uuid
-    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+def _stage_events(spark, sf, df=None):
+    """Write events (in any order, by any number of tasks) to a fresh folder: the stream's source."""
+    root = _scratch(spark, "events-src")
+    e = S.event_time(_events(spark, sf) if df is None else df, "ts")
+    e.write.parquet(root)
+    return root, e.schema
+
 
+_CLOSED = ("WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS window_start, event_type, count(*) AS n_events, "
+           f"{_SUM} FROM events GROUP BY 1, 2) SELECT window_start, window_start + INTERVAL 5 MINUTES AS window_end, "
+           "event_type, n_events, sum_value FROM w WHERE window_start + INTERVAL 5 MINUTES <= "
+           "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTES")
 
-@query("stream_tumbling", ("T01", "T03", "T08", "T12", "T15"),
-       "WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS window_start, event_type, count(*) AS n_events, "
-       f"{_SUM} FROM events GROUP BY 1, 2) SELECT window_start, window_start + INTERVAL 5 MINUTES AS window_end, "
-       "event_type, n_events, sum_value FROM w WHERE window_start + INTERVAL 5 MINUTES <= "
-       "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTES")
+
+@query("stream_tumbling", ("T01", "T03", "T08", "T12"), _CLOSED)
 def stream_tumbling(spark, sf):
     """A real Structured Streaming run: file source (available-now trigger,
-    checkpoint), 10-minute watermark, append mode -> closed windows only."""
-    src, schema, ckpt = _stage_events(spark, sf)
-    stream = S.file_stream(spark, src, schema, max_files_per_trigger=8)
-    agg = S.tumbling_agg(stream, "ts", "5 minutes", ["event_type"], "value", watermark="10 minutes")
-    name = _memory_name("tumble")
-    S.run_available_now(agg, ckpt, None, "append", fmt="memory", query_name=name)
-    return spark.table(name).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                                    F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                                    "event_type", "n_events", "sum_value")
-
-
-@query("stream_upsert", ("T11", "T15", "M01"), "SELECT event_id, ts, value FROM events")
+    checkpoint), 10-minute watermark, append mode -> closed windows only, into files.
+    The files hold no event-time order, so all that is available is one micro-batch: the watermark
+    moves after it and drops nothing."""
+    src, schema = _stage_events(spark, sf)
+    agg = S.tumbling_agg(S.file_stream(spark, src, schema), "ts", "5 minutes", ["event_type"], "value", watermark="10 minutes")
+    out = _scratch(spark, "tumbling")
+    S.run_available_now(agg, f"{out}-ckpt", out)
+    return spark.read.schema(agg.schema).parquet(out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n_events", "sum_value")
+
+
+@query("stream_complete", ("T12", "T15"), "SELECT event_type, count(*) AS n_events FROM events GROUP BY event_type")
+def stream_complete(spark, sf):
+    """Complete mode: every trigger's whole result replaces the one before (idempotent under replay)."""
+    src, schema = _stage_events(spark, sf)
+    counts = S.file_stream(spark, src, schema, max_files_per_trigger=2).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
+    out = _scratch(spark, "complete")
+    S.run_available_now(counts, f"{out}-ckpt", lambda df, _: df.write.mode("overwrite").parquet(out), "complete")
+    return spark.read.parquet(out)
+
+
+@query("stream_update", ("T12", "T11"), "SELECT event_type, count(*) AS n_events FROM events GROUP BY event_type")
+def stream_update(spark, sf):
+    """Update mode: each trigger emits the changed groups; the newest row per group is the state."""
+    src, schema = _stage_events(spark, sf)
+    counts = S.file_stream(spark, src, schema, max_files_per_trigger=2).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
+    out = _scratch(spark, "update")
+    S.run_available_now(counts, f"{out}-ckpt", S.change_sink(out, "counts"), "update")
+    return S.change_state(spark, out, ["event_type"], [])
+
+
+@query("stream_fan_out", "T16",
+       "SELECT event_type, count(*) AS n_raw, count(*) AS n_counted FROM events GROUP BY event_type")
+def stream_fan_out(spark, sf):
+    """One stream, two sinks: the raw audit copy and the aggregate of each micro-batch."""
+    src, schema = _stage_events(spark, sf)
+    raw, agg = _scratch(spark, "raw"), _scratch(spark, "agg")
+    sink = S.fan_out_sink(raw, agg, lambda b: b.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    S.run_available_now(S.file_stream(spark, src, schema, max_files_per_trigger=2), f"{raw}-ckpt", sink)
+    n = spark.read.parquet(raw).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_raw"))
+    return n.join(spark.read.parquet(agg).groupBy("event_type").agg(F.sum("n").alias("n_counted")), "event_type")
+
+
+@query("stream_session_max", ("T07", "T06"),
+       "WITH e AS (SELECT event_type, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTES OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS nw "
+       "FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)), "
+       "s AS (SELECT event_type, ts, sum(nw) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e), "
+       "f AS (SELECT *, min(ts) OVER (PARTITION BY event_type, sid) AS s0, max(ts) OVER (PARTITION BY event_type, sid) AS s1 FROM s) "
+       "SELECT event_type, min(ts) AS piece_start, max(ts) AS piece_end, count(*) AS n_events FROM f "
+       "WHERE s1 + INTERVAL 30 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR "
+       "GROUP BY event_type, sid, floor((epoch_us(ts) - epoch_us(s0)) / 7200000000)")
+def stream_session_max(spark, sf):
+    """Sessions of at most two hours from a stream whose events come in any order; closed sessions only."""
+    src, schema = _stage_events(spark, sf, _events(spark, sf).repartition(5))
+    out = _scratch(spark, "pieces")
+    pieces = S.sessions_max_duration_stream(S.file_stream(spark, src, schema), "ts", "event_type", 1800, 7200, "1 hour")
+    S.run_available_now(pieces, f"{out}-ckpt", out)
+    return spark.read.schema(pieces.schema).parquet(out).select(
+        "event_type", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("piece_start", "piece_end")], "n_events")
+
+
+@query("stream_late_split", ("T09", "T15"),
+       "WITH a AS (SELECT event_id, ts, event_id // (SELECT max(event_id) // 4 + 1 FROM events) + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS batch FROM events), "
+       "b AS (SELECT batch, max(ts) AS bmax FROM a GROUP BY batch), "
+       "w AS (SELECT batch, max(bmax) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 300 SECONDS AS wm FROM b) "
+       "SELECT CASE WHEN coalesce(a.ts < w.wm, false) THEN 'dead_letter' ELSE 'on_time' END AS destination, "
+       "count(*) AS n_rows FROM a JOIN w ON a.batch = w.batch GROUP BY 1")
+def stream_late_split(spark, sf):
+    """Files that arrive one after another, every 13th event one file late: a ``foreachBatch`` router
+    sends what is older than the watermark to the dead-letter table."""
+    e = S.event_time(_events(spark, sf).select("event_id", "ts"), "ts")
+    size = e.agg(F.floor(F.max("event_id") / 4) + 1).first()[0]
+    batch = F.floor(F.col("event_id") / size) + F.when(F.col("event_id") % 13 == 0, 1).otherwise(0)
+    src, out = _scratch(spark, "arrivals"), _scratch(spark, "routed")
+    for b in range(5):  # one file each, so one micro-batch each
+        e.filter(batch == b).coalesce(1).write.mode("append").parquet(src)
+    stream = S.file_stream(spark, src, e.schema, max_files_per_trigger=1)
+    S.run_available_now(stream, f"{out}-ckpt", S.late_router(out, "ts", 300))
+    return spark.read.parquet(f"{out}/rows").groupBy("destination").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _change_feed(spark, sf):
+    """Every event inserted, every fifth updated, every seventh deleted, in change order ``seq``."""
+    e = _events(spark, sf).select("event_id", "ts", "value", F.lit(0).alias("seq"), F.lit(False).alias("deleted"))
+    upd = e.filter("event_id % 5 = 0").withColumn("value", F.col("value") * 2).withColumn("seq", F.lit(1))
+    gone = e.filter("event_id % 7 = 0").withColumn("seq", F.lit(2)).withColumn("deleted", F.lit(True))
+    return e.unionByName(upd).unionByName(gone).repartition(6)
+
+
+@query("stream_upsert", ("T11", "T15", "M01"),
+       "SELECT event_id, ts, CASE WHEN event_id % 5 = 0 THEN value * 2 ELSE value END AS value FROM events WHERE event_id % 7 <> 0")
 def stream_upsert(spark, sf):
-    """foreachBatch merge into a versioned table, one version per micro-batch,
-    replays skipped by batch id; the final table equals the source."""
-    import uuid
-    from tablecheck.session import scratch_path
-    from tablecheck.sources.versions import VersionedTable
-    src, schema, ckpt = _stage_events(spark, sf)
-    vt = VersionedTable(spark, scratch_path(spark, f"stream-vt-{uuid.uuid4().hex[:12]}"))
-    stream = S.file_stream(spark, src, schema, max_files_per_trigger=10).select("event_id", "ts", "value")
-    S.run_available_now(stream, ckpt, S.upsert_sink(vt, ["event_id"]))
-    return vt.read().select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
-
-
-@query("json_body", "T02",
-       "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def json_body(spark, sf):
-    """Message bodies (JSON text) parsed to typed columns with a declared schema."""
-    return S.parse_json_body(_events(spark, sf), "k bigint", body_col="props", keep=["event_id"])
+    """foreachBatch upsert of a feed with inserts, updates and deletes in any order; then a second query with
+    a new checkpoint replays the whole feed.  The state is that of one run."""
+    src, schema = _stage_events(spark, sf, _change_feed(spark, sf))
+    out = _scratch(spark, "upsert")
+    for writer in ("first", "second"):
+        stream = S.file_stream(spark, src, schema, max_files_per_trigger=3)
+        S.run_available_now(stream, f"{out}-ckpt-{writer}", S.change_sink(out, writer))
+    state = S.change_state(spark, out, ["event_id"], ["seq"], "deleted")
+    return state.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
 
 
 @query("stream_changelog", ("T11", "T15", "M04"), "SELECT event_id, ts, value FROM events")
 def stream_changelog(spark, sf):
-    """Merge-on-read upsert sink: each micro-batch is one idempotent change
-    partition (O(batch) per trigger); the read folds newest-per-key."""
-    import uuid
-    from tablecheck.session import scratch_path
-    from tablecheck.sources.versions import KeyedChangeLog
-    src, schema, ckpt = _stage_events(spark, sf)
-    log = KeyedChangeLog(spark, scratch_path(spark, f"changelog-{uuid.uuid4().hex[:12]}"), ["event_id"],
-                         order_col="ts")
-    stream = S.file_stream(spark, src, schema, max_files_per_trigger=10).select("event_id", "ts", "value")
-    S.run_available_now(stream, ckpt, log.sink())
-    return log.read().select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+    """Change folders, one for each micro-batch; a replayed batch overwrites itself, and the read folds newest-per-key."""
+    src, schema = _stage_events(spark, sf)
+    out = _scratch(spark, "changes")
+    sink = S.change_sink(out, "events")
+
+    def twice(batch, batch_id):
+        sink(batch, batch_id)
+        sink(batch, batch_id)
+    S.run_available_now(S.file_stream(spark, src, schema, max_files_per_trigger=10).select("event_id", "ts", "value"), f"{out}-ckpt", twice)
+    return S.change_state(spark, out, ["event_id"], ["ts"]).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
+@query("bookmarked_job", ("M08", "T01", "M07"), "SELECT event_id, event_type FROM events")
+def bookmarked_job(spark, sf):
+    """Two runs of one job: the second finds the files added since, by its checkpoint, and reads no old file again."""
+    e = S.event_time(_events(spark, sf), "ts").select("event_id", "event_type")
+    src, out = _scratch(spark, "bookmark-src"), _scratch(spark, "bookmark")
+    for rest in (0, 1):
+        e.filter(F.col("event_id") % 2 == rest).write.mode("append").parquet(src)
+        S.run_available_now(S.file_stream(spark, src, e.schema), f"{out}-ckpt", out)
+    return spark.read.parquet(out)

@@ -11,15 +11,20 @@ derived from Spark-side aggregates; nothing row-level goes through the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Landing layout and marker texts.
 PARTITION_COLS = ("year", "month")
-FILE_NAME_FORMAT = "{data_type}_tripdata_{year:04d}-{month:02d}.parquet"
+MARKER_FIELDS = ["ingestion_date", "job_type", "data_period", "taxi_types", "total_files", "total_size_gb", "job_run_id",
+                 "latest_available_month", "publication_delay_months", "duplicate_files_skipped", "status"]
 MODE_CURRENT = "current"
 MODE_HISTORICAL = "historical"
 STATUS_SUCCESS = "SUCCESS"
@@ -63,9 +68,21 @@ def month_index(year: Column | str, month: Column | str) -> Column:
 
 def months_predicate(start_year: int, start_month: int, num_months: int,
                      year: str = "year", month: str = "month") -> Column:
-    """S01/S07 as a partition predicate on (year, month) — pruned at the scan."""
+    """S01/S07 on (year, month) columns: bounds on the year alone reach the scan even
+    where the two are ordinary columns; on partition columns all of it prunes."""
     lo = start_year * 12 + (start_month - 1)
-    return month_index(year, month).between(lo, lo + num_months - 1)
+    hi = lo + num_months - 1
+    y = F.col(year)
+    return (y >= lo // 12) & (y <= hi // 12) & month_index(year, month).between(lo, hi)
+
+
+def month_range_predicate(df: DataFrame, ts_col: str, start_year: int, start_month: int, num_months: int) -> Column:
+    """S01/S07 on an event time: a half-open range ``[first month, after the last)``, pushed to
+    the scan as plain comparisons."""
+    def first(index: int) -> Column:
+        return F.lit(f"{index // 12:04d}-{index % 12 + 1:02d}-01").cast(df.schema[ts_col].dataType)
+    lo = start_year * 12 + (start_month - 1)
+    return (F.col(ts_col) >= first(lo)) & (F.col(ts_col) < first(lo + num_months))
 
 
 # --------------------------------------------------------------------------- latest month, run modes
@@ -106,6 +123,14 @@ def run_mode_predicate(mode: str, latest_year: int, latest_month: int, base_year
     return reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
 
 
+def run_mode_range(df: DataFrame, ts_col: str, mode: str, latest_year: int, latest_month: int,
+                   base_year: int = 2024) -> Column:
+    """S07 on an event time (pushable); nothing to read gives false."""
+    parts = [month_range_predicate(df, ts_col, y, m, n)
+             for y, m, n in run_mode_window(mode, latest_year, latest_month, base_year)]
+    return reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
+
+
 # --------------------------------------------------------------------------- landing
 def union_types(frames: dict[str, DataFrame], type_col: str = "trip_type") -> DataFrame:
     """Several sources with drifting schemas -> one frame + literal type column."""
@@ -114,18 +139,23 @@ def union_types(frames: dict[str, DataFrame], type_col: str = "trip_type") -> Da
 
 
 def land(df: DataFrame, target: str, predicate: Column | None = None, fmt: str = "parquet",
-         max_records_per_file: int | None = None) -> None:
-    """Write the selected months as Hive partitions year=/month=
-    (repartitioned by the partition columns: one writer per month).
+         max_records_per_file: int | None = None, months: list[tuple[int, int]] | None = None) -> None:
+    """Write the selected months as Hive partitions year=/month=.
 
-    Dynamic partition overwrite: only partitions present in ``df`` are
-    replaced, so a re-run (or backfill) of the same months is idempotent."""
+    The rows are rebalanced by month: AQE cuts a large month into several writers and
+    packs small ones together.  Dynamic partition overwrite replaces the partitions
+    present in ``df``; with ``months`` (what the run covers), a month that has no rows any more
+    is replaced by an empty one, so a re-run or backfill is idempotent there too."""
     out = df.filter(predicate) if predicate is not None else df
-    w = (out.repartition(*PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = (out.hint("rebalance", *PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS).format(fmt))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(target)
+    if months:
+        present = {tuple(r) for r in out.select(*PARTITION_COLS).distinct().collect()}
+        for y, m in sorted(set(months) - present):
+            out.drop(*PARTITION_COLS).limit(0).write.mode("overwrite").format(fmt).save(f"{target}/year={y}/month={m}")
 
 
 # --------------------------------------------------------------------------- file inventory, ledger
@@ -187,14 +217,11 @@ def done_marker(landed: DataFrame, job_type: str, run_id: str, latest_year: int,
     if expected_months is not None:
         status = status.when(F.col("total_files") < expected_months, F.lit(STATUS_PARTIAL))
     status = status.otherwise(F.lit(STATUS_SUCCESS))
-    return a.select(
-        F.lit(ts).alias("ingestion_date"), F.lit(job_type).alias("job_type"), period.alias("data_period"),
-        F.array(*[F.lit(t) for t in types]).alias("taxi_types"), F.col("total_files"),
-        F.round(F.coalesce(F.col("bytes"), F.lit(0)) / F.lit(1024 ** 3), 2).alias("total_size_gb"),
-        F.lit(run_id).alias("job_run_id"),
-        F.lit(f"{latest_year:04d}-{latest_month:02d}").alias("latest_available_month"),
-        _publication_delay(latest_year, latest_month, ingestion_time).alias("publication_delay_months"),
-        F.lit(skipped).cast("long").alias("duplicate_files_skipped"), status.alias("status"))
+    values = [F.lit(ts), F.lit(job_type), period, F.array(*[F.lit(t) for t in types]), F.col("total_files"),
+              F.round(F.coalesce(F.col("bytes"), F.lit(0)) / F.lit(1024 ** 3), 2), F.lit(run_id),
+              F.lit(f"{latest_year:04d}-{latest_month:02d}"), _publication_delay(latest_year, latest_month, ingestion_time),
+              F.lit(skipped).cast("long"), status]
+    return a.select(*[v.alias(n) for v, n in zip(values, MARKER_FIELDS)])
 
 
 def _publication_delay(latest_year: int, latest_month: int, now: _dt.datetime | None) -> Column:
@@ -254,6 +281,22 @@ def _norm_path(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:(//)?", "file:")
 
 
+def footer_rows(files: DataFrame) -> DataFrame:
+    """``(path, footer_rows)``: the row count each Parquet footer declares, null where it cannot be read."""
+    def run(batches):
+        for batch in batches:
+            counts = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    store, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                    with store.open_input_file(place) as f:
+                        counts.append(pq.ParquetFile(f).metadata.num_rows)
+                except (OSError, pa.ArrowException):
+                    counts.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["path", "footer_rows"])
+    return files.select("path").mapInArrow(run, "path string, footer_rows long")
+
+
 def read_isolating_failures(spark: SparkSession, root: str, run_id: str, fmt: str = "parquet",
                             glob: str = "*.parquet", schema: T.StructType | str | None = None
                             ) -> tuple[DataFrame, DataFrame]:
@@ -261,9 +304,10 @@ def read_isolating_failures(spark: SparkSession, root: str, run_id: str, fmt: st
     job, and is *not* silent: the returned ledger marks it FAILED.
 
     Returns (data, ledger).  Corrupt files are skipped by the reader
-    (``ignoreCorruptFiles``); files that contributed no row are FAILED in the
-    ledger (an empty but valid file is reported the same way, which is the
-    safe side).  The data keeps the source path in ``_source_file``."""
+    (``ignoreCorruptFiles``), which may come after some of their rows; so the rows
+    each file delivered are held against its footer.  Fewer, or no readable footer, is FAILED, and
+    none of that file's rows are in the data; a valid empty file is SUCCESS.  Formats without
+    a footer are FAILED when a file with bytes gives no row.  The data keeps the source path in ``_source_file``."""
     inv = file_inventory(spark, root, glob)
     reader = (spark.read.format(fmt).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
@@ -271,10 +315,15 @@ def read_isolating_failures(spark: SparkSession, root: str, run_id: str, fmt: st
     # first file must not decide the schema)
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
     data = reader.load(root).withColumn("_source_file", F.col("_metadata.file_path"))
-    seen = data.select(_norm_path(F.col("_source_file")).alias("__p")).distinct().withColumn("__ok", F.lit(True))
-    led = inv.join(seen, _norm_path(inv["path"]) == seen["__p"], "left")
-    status = F.when(F.col("__ok"), F.lit(STATUS_SUCCESS)).otherwise(F.lit(STATUS_FAILED))
-    ledger = led.select("path", F.col("year").cast("int"), F.col("month").cast("int"), "size_bytes",
-                        F.col("modification_time").cast("timestamp"), status.alias("status"),
-                        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("landed_at"))
-    return data, ledger
+    given = data.groupBy(_norm_path(F.col("_source_file")).alias("__p")).agg(F.count(F.lit(1)).alias("__given"))
+    files = inv.join(footer_rows(inv), "path") if fmt == "parquet" else inv.withColumn(
+        "footer_rows", F.when(F.col("size_bytes") == 0, F.lit(0).cast("long")).otherwise(-1))
+    files = files.join(given, _norm_path(files["path"]) == given["__p"], "left")
+    got = F.coalesce("__given", F.lit(0))
+    whole = F.when(F.col("footer_rows") >= 0, got == F.col("footer_rows")).otherwise(F.col("footer_rows").isNotNull() & (got > 0))
+    status = F.when(whole, F.lit(STATUS_SUCCESS)).otherwise(F.lit(STATUS_FAILED))
+    ledger = files.select("path", F.col("year").cast("int"), F.col("month").cast("int"), "size_bytes",
+                          F.col("modification_time").cast("timestamp"), status.alias("status"),
+                          F.lit(run_id).alias("run_id"), F.current_timestamp().alias("landed_at"))
+    failed = files.filter(status == STATUS_FAILED).select(_norm_path(F.col("path")).alias("__f"))
+    return data.join(failed, _norm_path(F.col("_source_file")) == F.col("__f"), "left_anti"), ledger

@@ -1,4 +1,4 @@
-"""Readers, catalog tables and lookup loading.
+"""Readers, catalog tables and lookup loading.
 
 Thin on purpose: each function is the Spark call a user would write, plus
 the guard the reference lacked (errors surface, no SQL built from data,
@@ -83,19 +83,6 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
     return True
 
 
-def read_evolving(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Files appended with drifting schemas read as one frame
-    (``mergeSchema``: union of the columns, missing ones null)."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
-
-
-def query_files(spark: SparkSession, path: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
-    """Query files in place: ``SELECT ... FROM {src}`` over ``fmt.`path```."""
-    if fmt not in BUILTIN_FORMATS:
-        raise ValueError("query_files supports the built-in formats")
-    return spark.sql(select_sql.replace("{src}", f"{fmt}.`{path}`"))
-
-
 def read_month_range(spark: SparkSession, root: str, months: DataFrame | list[tuple[int, int]],
                      fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
     """S18 partition projection: read exactly the year=/month= directories of
@@ -144,17 +131,6 @@ def bulk_load(df: DataFrame, table_name: str, mode: str = "append") -> None:
         df.write.mode(mode).saveAsTable(table_name)
 
 
-def ctas(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
-    """CREATE TABLE ... AS SELECT."""
-    spark.sql(f"CREATE TABLE {name} USING {fmt} AS {select_sql}")
-    return spark.table(name)
-
-
-def create_view(df: DataFrame, name: str, global_view: bool = False) -> None:
-    """A named view over a (typically aggregated) frame for BI tools."""
-    (df.createOrReplaceGlobalTempView if global_view else df.createOrReplaceTempView)(name)
-
-
 def bucketed_copy(df: DataFrame, table_name: str, key: str | list[str], n_buckets: int,
                   sort: bool = True) -> DataFrame:
     """Write a bucketed (hash-distributed) table; two tables bucketed the

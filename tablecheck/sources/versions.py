@@ -1,125 +1,90 @@
-"""Versioned tables on plain Parquet.
+"""Snapshots on plain Parquet (S10, S11, M09, M10), file compaction (G01), Z-order layout.
 
-No table format (Delta/Iceberg) is available, so a table is:
+A published version is one complete snapshot folder plus one log entry that names it:
 
-* ``<root>/data/version=<n>/...`` — one complete snapshot per version;
-* ``<root>/versions/`` — a small Parquet log (version, published_at,
-  operation, batch_id, row_count), appended *after* the version's data is
-  completely written.  Readers only see versions listed in the log, so a
-  crashed or rejected write is invisible (stage → validate → publish, M09).
+* ``<root>/data/<version>-<attempt>/`` — the rows, written first;
+* ``<root>/versions/version=<n>/`` — a one-row log entry, written last and never overwritten.
 
-Reads of one version prune to one partition directory.  A single writer per
-table is assumed (no concurrent-commit protocol).
+Readers only see versions with a log entry, so a crashed or rejected write is invisible
+(stage → validate → publish).  Two writers of one version collide on the log
+entry, and the second fails.  This is a naming convention for snapshots, not a table
+format: there is no transaction log, no merge on read and no retention job
+(expire old folders with the store's lifecycle rules).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-VERSIONS_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("published_at", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("row_count", T.LongType()),
-])
+LOG_SCHEMA = "published_at timestamp, operation string, row_count long, path string, version long"
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.data_path = f"{self.root}/data"
         self.log_path = f"{self.root}/versions"
 
-    # -- log -----------------------------------------------------------------
     def history(self) -> DataFrame:
-        """Published versions (empty frame when nothing is published)."""
+        """Published versions.  Only a log that does not exist yet is empty; any other
+        read error propagates."""
         try:
-            return self.spark.read.schema(VERSIONS_SCHEMA).parquet(self.log_path)
-        except Exception:  # noqa: BLE001 - path does not exist yet
-            return self.spark.createDataFrame([], VERSIONS_SCHEMA)
+            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LOG_SCHEMA)
 
     def latest_version(self) -> int | None:
-        row = self.history().agg(F.max("version").alias("v")).first()
-        return None if row is None else row["v"]
+        return self.history().agg(F.max("version").alias("v")).first()["v"]
 
-    def has_batch(self, batch_id: int) -> bool:
-        """Was this micro-batch already published (idempotent replay)?"""
-        return not self.history().filter(F.col("batch_id") == batch_id).isEmpty()
-
-    # -- write -----------------------------------------------------------------
-    def publish(self, df: DataFrame, operation: str = "WRITE", batch_id: int | None = None,
-                validate=None) -> int:
-        """Write ``df`` as the next version, validate it, then append the log row.
+    def publish(self, df: DataFrame, operation: str = "WRITE", version: int | None = None, validate=None) -> int:
+        """Write ``df`` as ``version`` (default: the next one), validate it, then add its log entry.
 
         ``validate(staged_df) -> bool``; a failing validation leaves the
-        version unpublished (rollback = never listed)."""
-        latest = self.latest_version()
-        version = 0 if latest is None else latest + 1
-        path = f"{self.data_path}/version={version}"
-        df.write.mode("overwrite").parquet(path)
-        staged = self.spark.read.parquet(path)
+        version unpublished.  An existing version is never overwritten."""
+        if version is None:
+            latest = self.latest_version()
+            version = 0 if latest is None else latest + 1
+        path = f"{self.root}/data/{version}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
         if validate is not None and not validate(staged):
             raise ValueError(f"version {version} failed validation; not published")
-        count = staged.count()
-        log = self.spark.createDataFrame(
-            [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation, batch_id, count)],
-            VERSIONS_SCHEMA)
-        log.coalesce(1).write.mode("append").parquet(self.log_path)
+        entry = staged.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.current_timestamp().alias("published_at"), F.lit(operation).alias("operation"), "row_count", F.lit(path).alias("path"))
+        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.log_path}/version={version}")
         return version
 
-    # -- read ------------------------------------------------------------------
     def read(self, version: int | None = None, as_of: _dt.datetime | str | None = None) -> DataFrame:
         """A published version (latest by default, or the newest one
-        published at or before ``as_of``).  Only that partition is scanned."""
-        hist = self.history()
-        if version is None:
-            if as_of is not None:
-                hist = hist.filter(F.col("published_at") <= F.lit(as_of).cast("timestamp"))
-            row = hist.agg(F.max("version").alias("v")).first()
-            version = None if row is None else row["v"]
-            if version is None:
-                raise ValueError("no published version" + (f" at {as_of}" if as_of else ""))
-        elif hist.filter(F.col("version") == version).isEmpty():
-            raise ValueError(f"version {version} is not published")
-        return self.spark.read.parquet(f"{self.data_path}/version={version}")
-
-    # -- maintenance -----------------------------------------------------------
-    def compact(self, target_file_bytes: int = 128 * 1024 * 1024, version: int | None = None) -> int:
-        """Rewrite a version into files of about ``target_file_bytes``
-        as a new version (readers switch atomically when it is published)."""
-        df = self.read(version)
-        size = self._version_bytes(version if version is not None else self.latest_version())
-        n = max(1, -(-size // target_file_bytes))
-        return self.publish(df.repartition(int(n)), operation="COMPACT")
-
-    def vacuum(self, retention_hours: float = 168.0, keep_latest: bool = True) -> list[int]:
-        """Delete data of versions published before the retention horizon
-        (the latest version is always kept).  Returns removed versions."""
+        published at or before ``as_of``).  Only that folder is scanned."""
         hist = self.history()
-        horizon = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) - _dt.timedelta(hours=retention_hours)
-        latest = self.latest_version()
-        old = [r["version"] for r in hist.filter(F.col("published_at") < F.lit(horizon)).select("version").collect()
-               if not (keep_latest and r["version"] == latest)]
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for v in old:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.data_path}/version={v}")
-            p.getFileSystem(conf).delete(p, True)
-        return old
-
-    def _version_bytes(self, version: int) -> int:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.data_path}/version={version}")
-        return int(p.getFileSystem(conf).getContentSummary(p).getLength())
+        if version is not None:
+            hist = hist.filter(F.col("version") == version)
+        elif as_of is not None:
+            hist = hist.filter(F.col("published_at") <= F.lit(as_of).cast("timestamp"))
+        path = hist.agg(F.max_by("path", "version").alias("p")).first()["p"]
+        if path is None:
+            raise ValueError(f"no published version (version={version}, as_of={as_of})")
+        return self.spark.read.parquet(path)
+
+
+def compact_files(spark: SparkSession, source: str, target: str, target_file_bytes: int = 128 * 1024 * 1024) -> int:
+    """Copy a folder of many small Parquet files into files of about ``target_file_bytes``;
+    returns their number.  The caller switches readers to ``target``."""
+    from tablecheck.sources.ingest import file_inventory
+    size = file_inventory(spark, source).agg(F.sum("size_bytes")).first()[0] or 0
+    n = max(1, -(-size // target_file_bytes))
+    spark.read.parquet(source).repartition(int(n)).write.mode("errorifexists").parquet(target)
+    return int(n)
 
 
 def zorder(df: DataFrame, columns: list[str], n_partitions: int, bits: int = 16) -> DataFrame:
@@ -153,80 +118,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     from tablecheck.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-class KeyedChangeLog:
-    """T11 at scale: a merge-on-read upsert table for streaming sinks.
-
-    Each micro-batch is appended as its own ``batch_id=<n>`` partition
-    (dynamic partition overwrite: a replayed batch rewrites only itself), so
-    a sink costs O(batch), not O(table).  ``read()`` folds base + changes with
-    one aggregation (newest row per key by (batch_id, order column)), which
-    combines map-side; ``compact()`` publishes that state as a new base
-    version of a ``VersionedTable`` and only then drops the folded change
-    partitions (the base records the last folded batch, so a crash between
-    the two steps cannot double-apply anything).
-    """
-
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], order_col: str | None = None,
-                 delete_col: str | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keys = list(keys)
-        self.order_col = order_col
-        self.delete_col = delete_col
-        self.base = VersionedTable(spark, f"{self.root}/base")
-        self.changes_path = f"{self.root}/changes"
-
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long")) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("batch_id").parquet(self.changes_path)
-
-    def sink(self):
-        """``foreachBatch`` function."""
-        return lambda df, batch_id: self.append(df, batch_id)
-
-    def _folded_upto(self) -> int:
-        row = self.base.history().agg(F.max("batch_id").alias("b")).first()
-        return -1 if row is None or row["b"] is None else int(row["b"])
-
-    def _changes(self) -> DataFrame | None:
-        try:
-            ch = self.spark.read.parquet(self.changes_path)
-        except Exception:  # noqa: BLE001 - no batch written yet
-            return None
-        return ch.filter(F.col("batch_id") > F.lit(self._folded_upto()))
-
-    def read(self) -> DataFrame:
-        from tablecheck.operators.change import latest_per_key
-        ch = self._changes()
-        base = None
-        if self.base.latest_version() is not None:
-            base = self.base.read().withColumn("batch_id", F.lit(-1).cast("long"))
-        if ch is None and base is None:
-            raise ValueError("nothing written yet")
-        allrows = ch if base is None else (base if ch is None else base.unionByName(ch, allowMissingColumns=True))
-        order = ["batch_id"] + ([self.order_col] if self.order_col else [])
-        state = latest_per_key(allrows, self.keys, order)
-        if self.delete_col:
-            state = state.filter(~F.coalesce(F.col(self.delete_col), F.lit(False)))
-        return state.drop("batch_id")
-
-    def compact(self) -> int | None:
-        ch = self._changes()
-        if ch is None:
-            return None
-        top = ch.agg(F.max("batch_id").alias("b")).first()["b"]
-        if top is None:
-            return None
-        version = self.base.publish(self.read(), operation="COMPACT", batch_id=int(top))
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.changes_path)
-        fs = root.getFileSystem(conf)
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= int(top):
-                fs.delete(st.getPath(), True)
-        return version

@@ -5,9 +5,3 @@ runs on a batch DataFrame (for backfills and oracle tests) and on a streaming
 one.  Event times from the driver tables are TIMESTAMP_NTZ, which watermarks
 refuse, so ``event_time`` casts to TIMESTAMP (session zone is UTC).
 """
-
-from tablecheck.streaming.stream import (  # noqa: F401
-    dedup_within_watermark, event_time, file_stream, hopping_agg, keep_first, late_split_batch,
-    parse_json_body, route_late_batch, run_available_now, session_agg, sessions_batch, sessions_max_duration,
-    sessions_max_duration_stream, tumbling_agg, upsert_sink,
-)

@@ -2,10 +2,9 @@
 
 Windowed aggregates use ``window``/``session_window`` + ``withWatermark``, so
 Spark keeps one partial aggregate per open window in the state store and
-evicts it when the watermark passes (bounded state).  The one custom stateful
-operator — sessions with a maximum duration (T07) — uses
-``applyInPandasWithState`` with an event-time timeout; its state per key is a
-fixed handful of numbers.
+evicts it when the watermark passes (bounded state).  Sessions with a maximum
+duration (T07) are closed sessions cut into pieces by a projection, so events
+may arrive in any order within the watermark.
 """
 
 from __future__ import annotations
@@ -13,12 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tablecheck import functions as tf
 from tablecheck.operators.chunked import with_join_keys
 from tablecheck.operators.evaluate import evaluate
 from tablecheck.operators.rules import Rule
@@ -108,7 +107,7 @@ def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: i
     """
     gap_us = gap_seconds * 1_000_000
     per_chunk = max(1, chunk_seconds // gap_seconds)
-    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    t = tf.micros(df, ts_col)
     aggs = [F.min("__t").alias("__lo"), F.max("__t").alias("__hi"), F.count(F.lit(1)).alias("__n"),
             F.min(ts_col).alias("__lo_ts"), F.max(ts_col).alias("__hi_ts")]  # in the input's own type
     if value_col:
@@ -171,7 +170,7 @@ def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_secon
     starts = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds).select(*keys, "__b", "__s0")
     starts, nk = with_join_keys(starts, keys)
     starts = starts.select(*[F.col(c).alias(f"__j{c}") for c in nk + ["__b"]], "__s0")
-    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    t = tf.micros(df, ts_col)
     ev = df.select(*keys, ts_col, t.alias("__t")).filter(F.col("__t").isNotNull()) \
         .withColumn("__b", F.floor(F.col("__t") / gap_us))
     ev, _ = with_join_keys(ev, keys)
@@ -185,55 +184,23 @@ def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_secon
 
 def sessions_max_duration_stream(df: DataFrame, ts_col: str, key: str, gap_seconds: int, max_seconds: int,
                                  watermark: str) -> DataFrame:
-    """T07 stream: the same pieces with ``applyInPandasWithState``.
+    """T07 stream: the same pieces, emitted when a session closes.
 
-    State per key: (session_start, piece_index, piece_start, last_ts, n) in
-    microseconds.  A piece is emitted when a later event starts a new piece or
-    session, or when the watermark passes last_ts + gap (event-time timeout).
-    Events of a key are assumed to arrive in event-time order within the
-    watermark delay (older events are dropped by the watermark)."""
+    ``session_window`` merges events that arrive in any order within the watermark; a closed session's
+    event times (its state: one long per event) are then cut into pieces of ``max_seconds``
+    from the session's start by built-in array functions."""
     df = event_time(df, ts_col).withWatermark(ts_col, watermark)
-    key_type = df.schema[key].dataType.simpleString()
-    out_schema = f"{key} {key_type}, piece_start timestamp, piece_end timestamp, n_events long"
-    state_schema = "session_start long, piece_idx long, piece_start long, last_ts long, n long"
-    gap_us, max_us = gap_seconds * 1_000_000, max_seconds * 1_000_000
-
-    def emit(k, st):
-        return (k, pd.Timestamp(st[2], unit="us"), pd.Timestamp(st[3], unit="us"), st[4])
-
-    def fn(k, pdfs, state):
-        out = []
-        kval = k[0]
-        if state.hasTimedOut:
-            if state.exists:
-                out.append(emit(kval, state.get))
-                state.remove()
-        else:
-            ts = pd.concat([p[[ts_col]] for p in pdfs])[ts_col]
-            micros = sorted((pd.to_datetime(ts).astype("int64") // 1000).tolist())
-            st = list(state.get) if state.exists else None
-            for t in micros:
-                if st is None:
-                    st = [t, 0, t, t, 1]
-                elif t - st[3] > gap_us:
-                    out.append(emit(kval, st))
-                    st = [t, 0, t, t, 1]
-                else:
-                    idx = (t - st[0]) // max_us
-                    if idx != st[1]:
-                        out.append(emit(kval, st))
-                        st = [st[0], idx, t, t, 1]
-                    else:
-                        st[3] = max(st[3], t)
-                        st[4] += 1
-            if st is not None:
-                state.update(tuple(int(x) for x in st))
-                state.setTimeoutTimestamp(int(st[3] // 1000 + gap_us // 1000))
-        if out:
-            yield pd.DataFrame(out, columns=[key, "piece_start", "piece_end", "n_events"])
-
-    return df.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                  GroupStateTimeout.EventTimeTimeout)
+    closed = df.groupBy(F.session_window(ts_col, f"{gap_seconds} seconds").alias("w"), key) \
+        .agg(F.collect_list(F.unix_micros(ts_col)).alias("__t"))
+    closed = closed.select(key, "__t", F.array_min("__t").alias("__s"))
+
+    def piece(t: Column) -> Column:
+        return F.floor((t - F.col("__s")) / F.lit(max_seconds * 1_000_000))
+    pieces = closed.select("*", F.explode(F.array_distinct(F.transform("__t", piece))).alias("__p"))
+    pieces = pieces.select(key, F.filter("__t", lambda t: piece(t) == F.col("__p")).alias("__t"))
+    return pieces.select(key, F.timestamp_micros(F.array_min("__t")).alias("piece_start"),
+                         F.timestamp_micros(F.array_max("__t")).alias("piece_end"),
+                         F.size("__t").cast("long").alias("n_events"))
 
 
 # --------------------------------------------------------------------------- dedup, late data
@@ -266,37 +233,54 @@ def late_split_batch(df: DataFrame, ts_col: str, batch_col: str, delay_seconds:
     return out.withColumn("is_late", F.coalesce(F.col(ts_col) < F.col("watermark"), F.lit(False)))
 
 
-def route_late_batch(batch: DataFrame, watermark_value, ts_col: str, on_time_sink: Callable,
-                     dead_letter_sink: Callable) -> None:
-    """T09 stream form (inside ``foreachBatch``): rows older than the current
-    watermark go to the dead-letter sink, the rest to the main sink."""
-    if watermark_value is None:
-        on_time_sink(batch)
-        return
-    late = F.col(ts_col) < F.lit(watermark_value)
-    on_time_sink(batch.filter(~late))
-    dead_letter_sink(batch.filter(late))
+def late_router(path: str, ts_col: str, delay_seconds: int) -> Callable[[DataFrame, int], None]:
+    """T09 stream: a ``foreachBatch`` function.  The watermark of a batch is the newest event time of
+    the batches before it, less ``delay_seconds``; older rows go to ``destination=dead_letter``, the
+    others to ``destination=on_time``.  Rows and the batch's newest time are kept under its batch id, so a
+    replay overwrites itself and sees the same watermark."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = existing_parquet(spark, f"{path}/progress")
+        newest = None if seen is None else seen.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        late = F.lit(False) if newest is None else F.coalesce(
+            F.col(ts_col) < F.lit(newest) - F.expr(f"INTERVAL {delay_seconds} SECONDS"), F.lit(False))
+        for name, rows in (("dead_letter", batch.filter(late)), ("on_time", batch.filter(~late))):
+            rows.write.mode("overwrite").parquet(f"{path}/rows/destination={name}/batch_id={batch_id}")
+        batch.agg(F.max(ts_col).alias("newest")).write.mode("overwrite").parquet(f"{path}/progress/batch_id={batch_id}")
+    return sink
 
 
-# --------------------------------------------------------------------------- sinks
-def upsert_sink(vtable, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function merging each micro-batch into a
-    versioned table; a replayed batch id (after a restart) is skipped, so the
-    sink is idempotent and the query exactly-once end to end."""
-    from tablecheck.operators.change import upsert
+def existing_parquet(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if nothing was written there yet; other errors propagate."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
+
+# --------------------------------------------------------------------------- sinks
+def change_sink(path: str, writer: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps each micro-batch of changes in its own folder,
+    named by the writing query and the batch id: O(batch) per trigger, and a replayed batch
+    overwrites only itself.  ``writer`` must be unique for each checkpoint, since a
+    new checkpoint counts its batches from 0 again."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if vtable.has_batch(batch_id):
-            return
-        latest = vtable.latest_version()
-        if latest is None:
-            vtable.publish(batch, operation="STREAM_INSERT", batch_id=batch_id)
-        else:
-            merged = upsert(vtable.read(), batch.select(*vtable.read().columns), keys)
-            vtable.publish(merged, operation="STREAM_MERGE", batch_id=batch_id)
+        batch.write.mode("overwrite").parquet(f"{path}/writer={writer}/batch_id={batch_id}")
     return sink
 
 
+def change_state(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
+                 delete_col: str | None = None) -> DataFrame:
+    """The newest row of each key over all change folders (an aggregate), without deleted keys."""
+    from tablecheck.operators.change import latest_per_key
+    state = latest_per_key(spark.read.parquet(path), keys, [*order_cols, "batch_id"])
+    if delete_col:
+        state = state.filter(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
+    return state.drop("writer", "batch_id")
+
+
 def fan_out_sink(raw_path: str, agg_path: str, agg: Callable[[DataFrame], DataFrame]):
     """One ``foreachBatch`` writing the raw audit copy and the aggregate
     (both partitioned by batch id, so a replayed batch overwrites itself)."""

