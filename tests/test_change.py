@@ -55,3 +55,14 @@ def test_scd2_and_scd3(spark):
     d3 = spark.createDataFrame([(1, "x", None)], "k int, a string, prev_a string")
     out = C.scd3(d3, spark.createDataFrame([(1, "y")], "k int, a string"), ["k"], "a", "prev_a")
     assert tuple(out.first()) == (1, "y", "x")
+
+
+def test_repeated_keys_are_rejected_or_resolved(spark):
+    target = spark.createDataFrame([(1, "a", 0)], "k int, v string, seq int")
+    staging = spark.createDataFrame([(1, "b", 1), (1, "c", 2)], "k int, v string, seq int")
+    with pytest.raises(ValueError):
+        C.upsert(target, staging, ["k"])
+    assert [tuple(r) for r in C.upsert(target, staging, ["k"], ["seq"]).collect()] == [(1, "c", 2)]
+    dim = spark.sql("SELECT 1 AS k, 'a' AS v, DATE'2020-01-01' AS effective_from, CAST(NULL AS DATE) AS effective_to, true AS is_current")
+    with pytest.raises(ValueError):
+        C.scd2(dim, staging, ["k"], ["v"], "2024-01-01")

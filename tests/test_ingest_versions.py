@@ -1,5 +1,6 @@
 """S01–S09 landing/ledger/marker and M09–M12, G01–G03 versioned tables."""
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -76,10 +77,15 @@ def test_versioned_table_publish_time_travel_rollback(spark, tmp_dir):
     with pytest.raises(ValueError):
         vt.read(as_of=dt.datetime(2000, 1, 1))  # nothing was published back then
     assert vt.read(as_of=dt.datetime(2100, 1, 1)).count() == 50
-    assert vt.compact(target_file_bytes=1 << 30) == 2 and vt.read().count() == 50
-    removed = vt.vacuum(retention_hours=0)
-    assert sorted(removed) == [0, 1] and vt.read().count() == 50
-    assert vt.history().count() == 3
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        vt.publish(df, version=0)  # a version is never overwritten
+    assert vt.read(version=0).count() == 100 and vt.history().count() == 2
+    # an unreadable log is an error, not an empty table that the next publish would start over
+    for log in glob.glob(os.path.join(tmp_dir, "vt", "versions", "version=1", "part-*")):
+        with open(log, "wb") as fh:
+            fh.write(b"broken")
+    with pytest.raises(Exception):
+        vt.publish(df)
 
 
 def test_zorder_keeps_rows(spark):
@@ -107,3 +113,46 @@ def test_s04_corrupt_file_is_isolated_and_reported(spark, tmp_dir):
     st = {os.path.basename(r["path"]): r["status"] for r in ledger.collect()}
     assert st["part-broken.parquet"] == "FAILED"
     assert [v for k, v in st.items() if k != "part-broken.parquet"] == ["SUCCESS"] * (len(st) - 1)
+
+
+def test_s04_damaged_pages_are_failed_not_short(spark, tmp_dir):
+    """A file whose pages are damaged gives some rows and then stops: none of them are taken, and the ledger says FAILED.
+    A valid file without rows is SUCCESS."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    root = os.path.join(tmp_dir, "src")
+    os.makedirs(root)
+    for name, lo in (("a", 0), ("b", 100_000)):
+        pq.write_table(pa.table({"x": list(range(lo, lo + 100_000))}), f"{root}/{name}.parquet", row_group_size=10_000, compression="snappy")
+    pq.write_table(pa.table({"x": pa.array([], pa.int64())}), f"{root}/empty.parquet")
+    meta = pq.ParquetFile(f"{root}/b.parquet").metadata
+    with open(f"{root}/b.parquet", "r+b") as fh:
+        fh.seek(meta.row_group(6).column(0).data_page_offset)
+        fh.write(b"\xff" * 400)
+    data, ledger = I.read_isolating_failures(spark, root, "run-1", schema="x long")
+    st = {os.path.basename(r["path"]): r["status"] for r in ledger.collect()}
+    assert st == {"a.parquet": "SUCCESS", "b.parquet": "FAILED", "empty.parquet": "SUCCESS"}
+    assert data.agg(F.count("*"), F.max("x")).first() == (100_000, 99_999)
+
+
+def test_month_ranges_reach_the_scan_and_a_large_month_has_more_files(spark, tmp_dir):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    plan = o.filter(I.month_range_predicate(o, "o_orderdate", 1997, 11, 4))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1997-11-01" in plan and "LessThan(o_orderdate,1998-03-01" in plan
+    target = os.path.join(tmp_dir, "landed")
+    big = spark.range(0, 400_000, 1, 8).selectExpr("id", "sha2(cast(id as string), 256) AS h", "1996 AS year", "1 AS month")
+    small = spark.range(10).selectExpr("id", "'x' AS h", "1996 AS year", "2 AS month")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    try:
+        spark.conf.set(key, "4m")
+        I.land(big.unionAll(small), target)
+    finally:
+        spark.conf.unset(key)
+    assert len(glob.glob(f"{target}/year=1996/month=1/*.parquet")) > 1
+    plan = spark.read.parquet(target).filter(I.months_predicate(1996, 2, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert spark.read.parquet(target).filter(I.months_predicate(1996, 2, 1)).count() == 10
+    # the same months again, now without rows in February: the old ones go
+    I.land(big.limit(5), target, months=[(1996, 1), (1996, 2)])
+    assert sorted(r["month"] for r in spark.read.parquet(target).collect()) == [1] * 5

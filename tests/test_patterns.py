@@ -95,3 +95,22 @@ def test_chunked_windows_equal_plain_windows_on_a_hot_key(spark, width):
     got, exp = got.select(*cols), exp.select(*cols)
     assert got.count() == 6000
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_exact_median_equals_the_builtin(spark):
+    """Ties, one hot value, nulls, a null group and single rows."""
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.concat(F.lit("g"), F.col("id") % 9)).alias("g"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 4 == 0, 7.5).otherwise(F.col("id") * 7919 % 1000 - 300.25).alias("v"))
+    want = df.groupBy("g").agg(F.median("v").alias("m"))
+    for width in (1.0, 50.0, 1e6):
+        got = P.exact_median(df, ["g"], "v", width, "m")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_salted_join_salts_hot_keys_only(spark):
+    big = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("b"))
+    small = spark.range(3000).selectExpr("id AS k", "id * 2 AS s")
+    for how in ("inner", "left"):
+        got, want = P.salted_join(big, small, "k", 4, how), big.join(small, "k", how)
+        assert got.count() == want.count() == 3000 and got.exceptAll(want.select(*got.columns)).count() == 0

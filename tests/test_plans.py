@@ -2,10 +2,13 @@
 filters and projections reach the Parquet scan."""
 from tablecheck.operators.evaluate import evaluate, fail_counts_long
 from tablecheck.plans.catalog import QUERIES
+from tablecheck.plans import report_queries
 from tablecheck.plans.dq_queries import _rules_main
 from tablecheck.plans.fixtures import f1
 
 SF = "/root/testdata/sf0.001"
+# queries that write tables while they are built
+REPORTS = {n for n, f in QUERIES.items() if f.__module__ == report_queries.__name__ and not n.startswith("dq_")} | {"dq_row_counts", "dq_quarantine_write"}
 
 
 def _plan(df) -> str:
@@ -44,8 +47,8 @@ def test_dedup_is_an_aggregate_not_a_window(spark):
 SMALL_GLOBAL = {"dq_rule_counts", "dq_threshold", "dq_reconcile", "dq_layer_debug", "pii_scan", "column_stats",
                 "latest_month", "latest_month_fallback", "done_marker", "size_report", "incremental_load",
                 "scalar_subquery", "null_semantics", "describe", "moving_avg7", "mom_change", "mom_drop",
-                "late_split", "schema_evolution", "current_slice", "historical_slice", "ruleset"}
-WRITES = {"stream_tumbling", "stream_upsert", "time_travel", "version_latest", "schema_evolution",
+                "late_split", "schema_evolution", "current_slice", "historical_slice", "ruleset", "salted_join", "dq_missing_column"}
+WRITES = {*(n for n in QUERIES if n.startswith("stream_")), *REPORTS, "bookmarked_job", "time_travel", "version_latest", "schema_evolution",
           "partition_projection", "reference_csv", "generic_ingest"}
 
 

@@ -125,14 +125,10 @@ def test_m08_bookmark_picks_up_only_new_files(spark, tmp_dir):
     assert spark.read.parquet(out).count() == e.count()  # old files not re-read
 
 
-def test_t16_fan_out_and_t09_routing(spark, tmp_dir):
+def test_t16_fan_out(spark, tmp_dir):
     src, e = _events_dir(spark, tmp_dir, "fan")
     raw, agg = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "agg")
     sink = S.fan_out_sink(raw, agg, lambda b: b.groupBy("event_type").count())
     S.run_available_now(S.file_stream(spark, src, e.schema), os.path.join(tmp_dir, "ck_fan"), sink)
     assert spark.read.parquet(raw).count() == e.count()
     assert spark.read.parquet(agg).agg(F.sum("count")).first()[0] == e.count()
-    on_time, late = [], []
-    wm = e.agg(F.max("ts")).first()[0]
-    S.route_late_batch(e, wm, "ts", on_time.append, late.append)
-    assert on_time[0].count() + late[0].count() == e.count() and on_time[0].count() >= 1

@@ -1,22 +1,22 @@
 """Structured Streaming runs over staged files compared with the batch twins."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablecheck.operators import rules as R
 from tablecheck.operators.evaluate import evaluate
-from tablecheck.sources.versions import VersionedTable
 from tablecheck.streaming import stream as S
 
 SF = "/root/testdata/sf0.01"
 
 
-def _stage(spark, tmp_dir):
+def _stage(spark, tmp_dir, tasks=1):
+    """Events in shuffled order, written by ``tasks`` tasks."""
     src = os.path.join(tmp_dir, "events_src")
     e = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    e.withColumn("day", F.dayofmonth("ts")).write.partitionBy("day").parquet(src)
-    schema = e.schema
-    return src, schema, e
+    e.repartition(tasks, F.xxhash64("event_id")).sortWithinPartitions(F.xxhash64("event_id", "ts")).write.parquet(src)
+    return src, e.schema, e
 
 
 def _run(df, tmp_dir, name, mode="append"):
@@ -24,11 +24,12 @@ def _run(df, tmp_dir, name, mode="append"):
     return df.sparkSession.table(name)
 
 
-def test_tumbling_stream_equals_batch_for_closed_windows(spark, tmp_dir):
-    src, schema, e = _stage(spark, tmp_dir)
+@pytest.mark.parametrize("tasks", [1, 6])
+def test_tumbling_stream_equals_batch_for_closed_windows(spark, tmp_dir, tasks):
+    src, schema, e = _stage(spark, tmp_dir, tasks)
     stream = S.file_stream(spark, src, schema)
     out = _run(S.tumbling_agg(stream, "ts", "5 minutes", ["event_type"], "value", watermark="10 minutes"),
-               tmp_dir, "tumble_out")
+               tmp_dir, f"tumble_out{tasks}")
     batch = S.tumbling_agg(e, "ts", "5 minutes", ["event_type"], "value")
     wm = e.agg(F.max("ts")).first()[0]
     import datetime as dt
@@ -38,17 +39,32 @@ def test_tumbling_stream_equals_batch_for_closed_windows(spark, tmp_dir):
     assert out.select(*cols).exceptAll(closed.select(*cols)).count() == 0
 
 
-def test_session_max_stream_matches_batch_pieces(spark, tmp_dir):
-    src, schema, e = _stage(spark, tmp_dir)
+@pytest.mark.parametrize("tasks", [1, 6])
+def test_session_max_stream_matches_batch_pieces(spark, tmp_dir, tasks):
+    """Whatever the arrival order; only sessions still open at the watermark are missing."""
+    src, schema, e = _stage(spark, tmp_dir, tasks)
     stream = S.file_stream(spark, src, schema)
     out = _run(S.sessions_max_duration_stream(stream, "ts", "event_type", 1800, 7200, "0 seconds"),
-               tmp_dir, "smax_out")
+               tmp_dir, f"smax_out{tasks}")
     batch = S.sessions_max_duration(e, "ts", ["event_type"], 1800, 7200)
+    last = S.sessions_batch(e, "ts", ["event_type"], 1800).groupBy("event_type").agg(F.max("session_start").alias("open"))
+    closed = batch.join(last, "event_type").filter("piece_start < open")
     cols = ["event_type", "piece_start", "piece_end", "n_events"]
-    got, exp = out.select(*cols), batch.select(*cols)
-    assert got.exceptAll(exp).count() == 0  # everything emitted is a correct piece
-    n_keys = e.select("event_type").distinct().count()
-    assert exp.count() - got.count() <= n_keys  # only each key's still-open last piece is missing
+    got = out.select(*cols)
+    assert got.exceptAll(batch.select(*cols)).count() == 0  # everything emitted is a correct piece
+    assert closed.select(*cols).exceptAll(got).count() == 0
+
+
+def test_session_max_stream_takes_events_late_within_the_watermark(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "late_src")
+    ts = lambda *t: spark.createDataFrame([("a", x) for x in t], "k string, t string").selectExpr("k", "cast(t as timestamp) ts")
+    first = ts("2024-01-01 00:20:00", "2024-01-01 01:00:00")
+    for rows in (first, ts("2024-01-01 00:45:00"), ts("2024-01-01 09:00:00"), ts("2024-01-01 20:00:00")):
+        rows.coalesce(1).write.mode("append").parquet(src)
+    stream = S.file_stream(spark, src, first.schema, max_files_per_trigger=1)
+    out = _run(S.sessions_max_duration_stream(stream, "ts", "k", 1800, 7200, "60 minutes"), tmp_dir, "late_out")
+    got = sorted((str(r["piece_start"]), str(r["piece_end"]), r["n_events"]) for r in out.collect())
+    assert got[0] == ("2024-01-01 00:20:00", "2024-01-01 01:00:00", 3)
 
 
 def test_dedup_within_watermark(spark, tmp_dir):
@@ -69,16 +85,39 @@ def test_expectations_on_a_stream(spark, tmp_dir):
     assert out.count() == evaluate(e, rules).ok.count()
 
 
-def test_upsert_sink_is_idempotent(spark, tmp_dir):
-    src, schema, e = _stage(spark, tmp_dir)
-    vt = VersionedTable(spark, os.path.join(tmp_dir, "vt"))
-    sink = S.upsert_sink(vt, ["event_id"])
-    stream = S.file_stream(spark, src, schema, max_files_per_trigger=10).select("event_id", "ts", "value")
-    S.run_available_now(stream, os.path.join(tmp_dir, "ckpt_sink"), sink)
-    n_versions = vt.history().count()
-    assert vt.read().count() == e.count()
-    sink(e.select("event_id", "ts", "value").limit(5), 0)  # replay of batch 0 is skipped
-    assert vt.history().count() == n_versions
+def test_change_sink_replays_and_new_checkpoints(spark, tmp_dir):
+    """A replayed batch counts once; batch 0 of another query neither replaces nor is skipped for it."""
+    path = os.path.join(tmp_dir, "changes")
+    df = lambda *rows: spark.createDataFrame(rows, "k int, seq int, v string, gone boolean")
+    one, two = S.change_sink(path, "one"), S.change_sink(path, "two")
+    one(df((1, 0, "a", False), (2, 0, "b", False)), 0)
+    one(df((1, 1, "c", False), (3, 1, "d", False)), 1)
+    one(df((1, 1, "c", False), (3, 1, "d", False)), 1)
+    two(df((2, 2, "b", True), (4, 0, "e", False)), 0)
+    state = S.change_state(spark, path, ["k"], ["seq"], "gone")
+    assert sorted(map(tuple, state.collect())) == [(1, 1, "c"), (3, 1, "d"), (4, 0, "e")]
+
+
+def test_late_router_replays_see_the_same_watermark(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "late")
+    df = lambda *t: spark.createDataFrame([(x,) for x in t], "t string").selectExpr("cast(t as timestamp) ts")
+    sink = S.late_router(path, "ts", 300)
+    batches = [df("2024-01-01 10:00:00"), df("2024-01-01 10:20:00", "2024-01-01 09:54:00"), df("2024-01-01 10:16:00", "2024-01-01 10:14:00")]
+    for i in (0, 1, 2, 1, 2):
+        sink(batches[i], i)
+    got = {r["destination"]: r["count"] for r in spark.read.parquet(f"{path}/rows").groupBy("destination").count().collect()}
+    assert got == {"on_time": 3, "dead_letter": 2}
+
+
+def test_sessions_on_ntz_ignore_the_session_zone(spark):
+    """Two events 58 minutes apart across a missing hour are two sessions for a gap of ten minutes."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT 'a' AS k, TIMESTAMP_NTZ '2024-03-10 02:05:00' AS ts UNION ALL SELECT 'a', TIMESTAMP_NTZ '2024-03-10 03:03:00'")
+        assert S.sessions_batch(df, "ts", ["k"], 600).count() == 2 == S.session_agg(df, "ts", "10 minutes", ["k"]).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_parse_json_body(spark):
@@ -87,26 +126,6 @@ def test_parse_json_body(spark):
     assert tuple(out) == ("t1", 12.5, "yellow")
 
 
-def test_keyed_change_log_sink_merge_on_read(spark, tmp_dir):
-    from tablecheck.sources.versions import KeyedChangeLog
-    src, schema, e = _stage(spark, tmp_dir)
-    log = KeyedChangeLog(spark, os.path.join(tmp_dir, "kcl"), ["event_id"], order_col="ts")
-    stream = S.file_stream(spark, src, schema, max_files_per_trigger=7).select("event_id", "ts", "value")
-    S.run_available_now(stream, os.path.join(tmp_dir, "ck_kcl"), log.sink())
-    exp = e.select("event_id", "ts", "value")
-    assert log.read().exceptAll(exp).count() == 0 and log.read().count() == e.count()
-    # an update batch and a replay of it: applied once, newest value wins
-    upd = e.filter("event_id < 10").select("event_id", "ts", (F.col("value") + 1).alias("value"))
-    log.append(upd, 1000)
-    log.append(upd, 1000)
-    got = {r["event_id"]: r["value"] for r in log.read().filter("event_id < 10").collect()}
-    want = {r["event_id"]: r["value"] + 1 for r in e.filter("event_id < 10").collect()}
-    assert got == want and log.read().count() == e.count()
-    assert log.compact() == 0
-    assert log.read().count() == e.count() and {r["event_id"]: r["value"] for r in
-                                                log.read().filter("event_id < 10").collect()} == want
-
-
 def _sessions_brute(rows, gap_s):
     """Plain per-key scan: new session when the gap to the previous event is
     larger than ``gap_s``; rows with a null timestamp are in no session."""
