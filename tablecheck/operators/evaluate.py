@@ -58,6 +58,12 @@ def json_row(columns: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
 
 
+def with_row_id(df: DataFrame, name: str = SYSTEM_ID_COLUMNS[0]) -> DataFrame:
+    """A random UUID per row, for joins back within one run.  It is a system column: the
+    evaluator leaves it out of OK, of the report's JSON and of every comparison of rows."""
+    return df.withColumn(name, F.expr("uuid()"))
+
+
 def _violation_struct(r: Rule) -> Column:
     """Q25: the check tag of one violation (rule flag, column, value as text, severity)."""
     return F.struct(

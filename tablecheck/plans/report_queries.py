@@ -14,7 +14,7 @@ from tablecheck.operators import change as C
 from tablecheck.operators import rules as R
 from tablecheck.operators.checker import TableChecker
 from tablecheck.operators.dedup import check_duplicates
-from tablecheck.operators.evaluate import CheckContext, build_final_fail, evaluate
+from tablecheck.operators.evaluate import CheckContext, build_final_fail, evaluate, with_row_id
 from tablecheck.operators.lookup import master_filters
 from tablecheck.operators.reconcile import assert_not_empty, write_quarantine
 from tablecheck.plans.dq_queries import _ALL_BAD, _F1_TIE, _LI, _MAIN_SQL, COLS, CTX, F1, OBJ, SQL_NULL, _rules_main
@@ -128,6 +128,16 @@ def dq_quarantine_write(spark, sf):
         spark.read.parquet(bad).select(F.lit("quarantine"), "order_id", "ts_rank"))
 
 
+@query("row_identity", "Q23", F1 + f"SELECT count(*) AS n_rows, count(*) AS n_ids, 36 AS id_length, (SELECT count(*) FROM f1 WHERE NOT ({_ALL_BAD})) AS n_ok FROM f1")
+def row_identity(spark, sf):
+    """Every row gets its own id, and the id does not reach the OK rows."""
+    rows = with_row_id(f1(spark, sf))
+    ok = evaluate(rows, _rules_main(), CTX).ok.select(*COLS.split(", "))
+    n_ok = ok.agg(F.count(F.lit(1))).scalar()
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_temp_unique_id").alias("n_ids"),
+                    F.max(F.length("_temp_unique_id")).alias("id_length"), n_ok.alias("n_ok"))
+
+
 @query("empty_guard", ("Q31", "O03"), "SELECT o_orderstatus, count(*) = 0 AS stopped FROM orders GROUP BY o_orderstatus UNION ALL SELECT 'none', true")
 def empty_guard(spark, sf):
     """Each status's output is guarded; the empty one stops its job."""

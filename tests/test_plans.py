@@ -47,7 +47,7 @@ def test_dedup_is_an_aggregate_not_a_window(spark):
 SMALL_GLOBAL = {"dq_rule_counts", "dq_threshold", "dq_reconcile", "dq_layer_debug", "pii_scan", "column_stats",
                 "latest_month", "latest_month_fallback", "done_marker", "size_report", "incremental_load",
                 "scalar_subquery", "null_semantics", "describe", "moving_avg7", "mom_change", "mom_drop",
-                "late_split", "schema_evolution", "current_slice", "historical_slice", "ruleset", "salted_join", "dq_missing_column"}
+                "late_split", "schema_evolution", "current_slice", "historical_slice", "ruleset", "salted_join", "dq_missing_column", "row_identity"}
 WRITES = {*(n for n in QUERIES if n.startswith("stream_")), *REPORTS, "bookmarked_job", "time_travel", "version_latest", "schema_evolution",
           "partition_projection", "reference_csv", "generic_ingest"}
 
