@@ -111,7 +111,7 @@ def fit_cumulative(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_features: int = 2048, min_z: float = 5.0, min_lift: float = 4.0) -> Model:
     """Fit on at most ``max_rows`` labelled rows of ``df``."""
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg((F.max(label_col) > 0).alias("y")).orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
-    sample = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen.withColumnRenamed(id_col, "id"), "id")
+    sample = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id")  # at most max_rows ids
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(word_features)
@@ -133,14 +133,18 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     kept = [r[0] for r in counts.where((F.col("toxic") >= 3) & (F.col("n") < n_rows)).where((z >= min_z) & (p >= min_lift * q)).orderBy(z.desc(), "f").select("f").limit(max_features).collect()]
     if not kept:
         return Model()
-    pairs = F.filter(F.arrays_zip("f", "n"), lambda x: x["f"].isin(kept)) if len(kept) <= 50 else F.filter(F.arrays_zip("f", "n"), lambda x: F.array_contains(F.lit(kept), x["f"]))
-    rows = sparse.select("id", "y", "n_words", pairs.alias("x")).orderBy("id").collect()  # at most max_rows rows of kept features
     place = {f: i for i, f in enumerate(kept)}
-    row = np.array([i for i, r in enumerate(rows) for _ in r["x"]], np.int64)
-    col = np.array([place[x["f"]] for r in rows for x in r["x"]], np.int64)
-    dense = np.array([100 * x["n"] / r["n_words"] for r in rows for x in r["x"]], np.float64)
-    toxic = np.array([r["y"] for r in rows])
-    density = np.bincount(row, dense, len(rows))
+    own = sparse.select("id", "y", F.explode(F.arrays_zip("f", "n")).alias("x"), "n_words").select("id", "y", "x.f", (100 * F.col("x.n") / F.col("n_words")).alias("dense"))
+    hits = own.join(F.broadcast(sparse.sparkSession.createDataFrame([(f,) for f in kept], "f long")), "f").orderBy("id", "f").collect()  # kept features of at most max_rows rows
+    # Rows without any kept feature are alike: only their numbers count.
+    ids: dict = {}
+    row = np.array([ids.setdefault((r["id"], r["y"]), len(ids)) for r in hits], np.int64)
+    col = np.array([place[r["f"]] for r in hits], np.int64)
+    dense = np.array([r["dense"] for r in hits], np.float64)
+    toxic = np.array([y for _, y in ids], bool)
+    bare = n_toxic - int(toxic.sum())
+    toxic = np.concatenate((toxic, np.ones(bare, bool), np.zeros(n_rows - len(toxic) - bare, bool)))
+    density = np.bincount(row, dense, len(toxic))
     grades = np.where(toxic, 1 + (density > np.median(density[toxic])), 0)
     w, cuts = fit_cumulative(np.concatenate((row, row)), np.concatenate((col, col + len(kept))), np.concatenate((np.ones(len(row)), dense)), grades, 2 * len(kept))
     return Model({f: (float(w[i]), float(w[i + len(kept)])) for f, i in place.items()}, tuple(map(float, cuts)))
