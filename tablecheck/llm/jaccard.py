@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import connected_components, materialise, mix, ragged, shingle_hashes, signed, word_hashes
 
-SKETCH_BITS = 512
+#: Bits of the smallest sketch; a sketch has about one bit for every two shingles.
+LEAST_BITS = 256
 
 
 def shingle_set(text: str | None, k: int) -> np.ndarray:
@@ -42,7 +43,7 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text.encode("utf-8", "replace").lower().split()), k))
 
 
-def common_shingles(df: DataFrame, text_col: str, k: int, common: int, block: int = 2_000_000, least: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(df: DataFrame, text_col: str, k: int, common: int, block: int = 4_000_000, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """The corpus's commonest shingles, sorted, with their places in rising order of frequency.
 
     Every block of about ``block`` shingles reports those that ``least`` of its documents hold;
@@ -97,10 +98,9 @@ def shingle_table(df: DataFrame, id_col: str, text_col: str, k: int, percent: in
                 prefix = s[: prefix_length(len(s), percent)] if len(s) else s
                 prefixes.append(prefix)
                 prefix_ids.append(xxhash.xxh3_128_digest(prefix.tobytes()))
-                bits = np.bincount((mix(s) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketches.append(np.packbits(bits.astype(np.uint8)).view(np.uint64))
+                sketches.append(parity_sketch(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(set_ids, pa.binary()), pa.array(prefix_ids, pa.binary()), ragged(signed(np.concatenate(prefixes)), [len(p) for p in prefixes[1:]], pa.int64()), ragged(signed(np.concatenate(sketches)), [SKETCH_BITS // 64] * len(n), pa.int64())],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(set_ids, pa.binary()), pa.array(prefix_ids, pa.binary()), ragged(signed(np.concatenate(prefixes)), [len(p) for p in prefixes[1:]], pa.int64()), ragged(signed(np.concatenate(sketches)), [len(p) for p in sketches[1:]], pa.int64())],
                 names=["id", "n", "set_id", "prefix_id", "prefix", "sketch"],
             )
 
@@ -108,10 +108,26 @@ def shingle_table(df: DataFrame, id_col: str, text_col: str, k: int, percent: in
     return df.select(id_col, text_col).mapInArrow(run, f"id {kind}, n long, set_id binary, prefix_id binary, prefix array<long>, sketch array<long>")
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Bit b tells whether an odd number of the shingles hash to b; the width, a power of two, grows with the set.
+
+    Shared shingles cancel, so two sketches differ in at most as many bits as their sets have shingles apart.
+    Unrelated sets differ in about half the bits, more than a link allows."""
+    width = max(LEAST_BITS, 1 << (len(s) // 2).bit_length())
+    bits = np.bincount((mix(s) % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+
+
 def _may_link(percent: int) -> Column:
     """Size and bitmap filters on ``a_n, a_sketch, b_n, b_sketch``: true for every pair that links."""
-    differ = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return _sizes(percent) & ((100 + percent) * differ <= (100 - percent) * (F.col("a_n") + F.col("b_n")))
+    a, b = F.col("a_sketch"), F.col("b_sketch")
+
+    def folded(x: Column) -> Column:  # to half the width: bits that meet modulo the smaller width cancel or stay
+        half = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+    a, b = F.when(F.size(a) > F.size(b), folded(a)).otherwise(a), F.when(F.size(b) > F.size(a), folded(b)).otherwise(b)
+    differ = F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, x: n + x)
+    return F.when(_sizes(percent), (100 + percent) * differ <= (100 - percent) * (F.col("a_n") + F.col("b_n"))).otherwise(False)
 
 
 def _sizes(percent: int) -> Column:
@@ -165,12 +181,19 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     joined = connected_components(links)
     inside = materialise(members.join(joined.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "sketch", "g", F.coalesce("component", "id").alias("c")), "inside")
-    met = cells.join(inside.select("g", "c").distinct(), "g").select("key", "band", "c").distinct()
-    mixed = met.groupBy("key", "band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key", "band")
-    met = materialise(met.join(mixed, ["key", "band"]), "met")
-    across = met.withColumnRenamed("c", "ca").join(met.withColumnRenamed("c", "cb"), ["key", "band"]).where("ca < cb")
-    place = materialise(cells.join(mixed, ["key", "band"], "left_semi").select("key", "band", "g").join(inside, "g").select("key", "band", "c", "id", "n", "sketch"), "place")
-    rest = across.join(_side(_as(place, "a").withColumnRenamed("c", "ca"), "a"), ["key", "band", "ca"]).join(_side(_as(place, "b").withColumnRenamed("c", "cb"), "b"), ["key", "band", "cb"]).where(_may_link(percent)).select("a", "b").distinct()
+    spread = cells.join(inside.select("g", "c").distinct(), "g")
+    mixed = spread.groupBy("key", "band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key", "band")
+    place = materialise(cells.join(mixed, ["key", "band"]).select("key", "band", "g").join(inside, "g").select("key", "band", "c", "id", "n", "sketch"), "place")
+    # A cell's components meet once each; two that have one member there meet only if their members may link.
+    met = place.groupBy("key", "band", "c").agg(F.count("*").alias("m"), F.min(F.struct("n", "sketch")).alias("one"))
+    met = materialise(met.select("key", "band", "c", "m", "one.n", "one.sketch"), "met")
+    # Each pair of components once, the one with more members first (x); the other's only member is held against x's members
+    # as they are joined, so a large component doesn't meet every unrelated text of its cells.
+    x, y = _side(met, "a").withColumnsRenamed({"c": "x", "m": "mx"}), _side(met, "b").withColumnsRenamed({"c": "y", "m": "my"})
+    pairs = x.join(y, ["key", "band"]).where((F.col("mx") > F.col("my")) | ((F.col("mx") == F.col("my")) & (F.col("x") < F.col("y"))))
+    pairs = pairs.where((F.col("mx") > 1) | _may_link(percent)).select("key", "band", "x", "y", "my", "b_n", "b_sketch")
+    half = pairs.join(_side(place, "a").withColumnRenamed("c", "x"), ["key", "band", "x"]).where((F.col("my") > 1) | _may_link(percent)).select("key", "band", "y", "a", "a_n", "a_sketch")
+    rest = half.join(_side(place, "b").withColumnRenamed("c", "y"), ["key", "band", "y"]).where(_may_link(percent)).select("a", "b").distinct()
     # Groups of one prefix and size whose members fell into several components.
     split = inside.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
     within = inside.join(split, "g").select("g", "c", "id", "n", "sketch")
