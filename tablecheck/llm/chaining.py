@@ -1,18 +1,20 @@
 """Fuzzy substring deduplication by collinear chaining of k-mer seeds.
 
 1. Seeds: of the hashes of all runs of ``k`` words, the smallest of every ``window`` consecutive ones (robust
-   winnowing), so any ``window + k - 1`` equal words share a seed.  The i-th occurrence of a seed in a document is
-   a key of its own, so repeated lines pair in order.
-2. Every seed is paired with its first holder only (the smallest document id), never with all holders:
-   one match for each seed occurrence at most.
+   winnowing), so any ``window + k - 1`` equal words share a seed.
+2. Every seed is paired with its first holder (the smallest document id), the i-th occurrence with the i-th, so
+   repeated lines pair in order.
 3. The matches of a (document, holder) pair are chained: a Fenwick tree over positions in the holder gives the best
-   predecessor under a linear gap cost.  Chains are cut at gaps that no passage has.
-4. The words around each chain are aligned: equal runs between seeds are taken as they are, other gaps by edit
-   distance, and both ends are extended.  A passage of at least ``min_words`` words with ``percent`` of
-   its words matched is reported for the later document; the first holder keeps it.
+   predecessor under a linear gap cost.  Chains are cut at gaps that no passage has; one seed makes a chain.
+4. The words around each chain are aligned: equal runs between seeds are taken as they are, other gaps by their longest
+   common subsequence, and both ends are extended.  A part of at least ``min_words`` words
+   with ``percent`` of them matched is reported for the later document; the first holder keeps it.
+5. Text whose seeds all have earlier holders, but whose passage was not reported, is looked up by its runs of
+   ``min_words`` words among all such text: every exact run of ``min_words`` words is reported, also where its
+   phrases have other first holders.
 
-Skew: seeds are reduced to their first holder by partial aggregates; the join back is a plain
-equi-join that AQE can split; a chain group holds at most one document's seeds.
+Skew: seeds travel as one block for each bucket of keys and part of the documents, so a hot seed is a part of one
+block of each; a chain group holds at most one document's seeds.
 
 Edge cases: a null or short text and a null id give no passage; rows that repeat an id with one text are
 one document; where an id has several texts, passages are reported for one of them (the largest by its word
@@ -27,12 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import free_name, materialise, mix, shingle_hashes, signed, word_hashes
+from .common import free_name, materialise, shingle_hashes, signed, word_hashes
 
 K, WINDOW, MIN_WORDS, PERCENT = 5, 20, 50, 80
+#: Words between two seeds of a chain part; characters of text for a bucket of seeds, and most buckets.
+GAP, BUCKET_CHARS, BUCKETS = 45, 2_000_000, 2048
 GAP_COST = 0.1
 #: Words that an edit may replace, on either side, smallest first.
 EDITS = sorted(((i, j) for i in range(5) for j in range(5) if i or j), key=lambda e: (max(e), sum(e)))
@@ -55,14 +60,7 @@ def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.nd
         at = np.unique(np.lib.stride_tricks.sliding_window_view(runs, window).argmin(1) + np.arange(len(runs) - window + 1))
     else:
         at = np.array([runs.argmin()]) if len(runs) else np.empty(0, np.int64)
-    keys = runs[at]
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    start = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if len(ranked) else np.empty(0, np.int64)
-    nth = np.empty(len(keys), np.uint64)
-    nth[order] = np.arange(len(keys)) - np.repeat(start, np.diff(np.concatenate((start, [len(keys)]))))
-    with np.errstate(over="ignore"):
-        return np.where(nth > 0, mix(keys + nth * np.uint64(0x9E3779B97F4A7C15)), keys), at
+    return runs[at], at
 
 
 def chain(matches: list[tuple[int, int]], k: int = K, cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
@@ -104,112 +102,230 @@ def chain(matches: list[tuple[int, int]], k: int = K, cost: float = GAP_COST) ->
 
 
 def cut_chains(chains: list[list[tuple[int, int]]], most: int) -> Iterator[list[tuple[int, int]]]:
-    """Parts of chains without a gap over ``most`` words on either side, of two seeds at least."""
+    """Parts of chains without a gap over ``most`` words on either side."""
     for own in chains:
         start = 0
         for i in range(1, len(own) + 1):
             if i == len(own) or max(own[i][0] - own[i - 1][0], own[i][1] - own[i - 1][1]) > most:
-                if i - start > 1:
-                    yield own[start:i]
+                yield own[start:i]
                 start = i
 
 
-def matched(x: list, y: list) -> int:
-    """Words matched by an alignment of ``x`` and ``y`` (their longest common subsequence)."""
+def common(x: list, y: list) -> list[tuple[int, int, int]]:
+    """``(position, position, length)`` of the equal runs of a longest common subsequence."""
     lo = 0
     while lo < len(x) and lo < len(y) and x[lo] == y[lo]:
         lo += 1
     hi = 0
     while hi < len(x) - lo and hi < len(y) - lo and x[-1 - hi] == y[-1 - hi]:
         hi += 1
-    x, y = x[lo : len(x) - hi], y[lo : len(y) - hi]
-    row = [0] * (len(y) + 1)
-    for a in x:
-        corner = 0
-        for j, b in enumerate(y, 1):
-            corner, row[j] = row[j], corner + 1 if a == b else max(row[j], row[j - 1])
-    return lo + hi + row[-1]
+    runs, m, n = [(0, 0, lo)] if lo else [], len(x) - lo - hi, len(y) - lo - hi
+    at: dict = {}
+    for j in range(n):
+        at[y[lo + j]] = at.get(y[lo + j], 0) | 1 << j
+    if m and not at.keys().isdisjoint(x[lo : lo + m]):
+        row, rows, full = (1 << n) - 1, [], (1 << n) - 1  # a bit for each word of y: 0 where it makes the subsequence longer
+        for i in range(m):
+            u = row & at.get(x[lo + i], 0)
+            row = (row + u | row - u) & full
+            rows.append(row)
+        i, j, back = m, n, []
+        while i and j:
+            if rows[i - 1] >> j - 1 & 1:
+                j -= 1
+            else:
+                i -= 1
+                if not i or rows[i - 1] >> j - 1 & 1:
+                    j -= 1
+                    back.append((lo + i, lo + j, 1))
+        runs += back[::-1]
+    return runs + ([(len(x) - hi, len(y) - hi, hi)] if hi else [])
+
+
+def matched(x: list, y: list) -> int:
+    """Words matched by an alignment of ``x`` and ``y`` (their longest common subsequence)."""
+    return sum(n for _, _, n in common(x, y))
 
 
-def extend(x: list, y: list, i: int, j: int, step: int, again: int = 4) -> tuple[int, int, int]:
-    """Walk from ``(i, j)`` while words match; an edit of up to four words is passed if ``again`` words match after it.  Returns the ends and the matches."""
-    n = 0
+def extend(x: list, y: list, i: int, j: int, step: int) -> list[tuple[int, int, int]]:
+    """Walk from ``(i, j)`` while words match; an edit of up to four words is passed if enough words match after it.  Returns the equal runs, nearest first."""
+    out = []
 
-    def runs(a: int, b: int) -> bool:
+    def runs(a: int, b: int, again: int) -> bool:
         return all(0 <= a + step * t < len(x) and 0 <= b + step * t < len(y) and x[a + step * t] == y[b + step * t] for t in range(again))
 
     while True:
+        n = 0
         while 0 <= i < len(x) and 0 <= j < len(y) and x[i] == y[j]:
             i, j, n = i + step, j + step, n + 1
+        if n:
+            out.append((i, j, n) if step > 0 else (i + 1, j + 1, n))
+            if step > 0:
+                out[-1] = (i - n, j - n, n)
         for di, dj in EDITS:
-            if runs(i + step * di, j + step * dj):
+            if runs(i + step * di, j + step * dj, min(4, max(di, dj) + 1 + (di != dj))):
                 i, j = i + step * di, j + step * dj
                 break
         else:
-            return i, j, n
+            return out
 
 
-def align(x: list, y: list, seeds: list[tuple[int, int]], k: int = K) -> tuple[int, int, int, int, int]:
-    """``(start, stop, holder's start, holder's stop, matched words)`` of a chain's alignment over two word lists."""
+def beyond(x: list, y: list) -> list[tuple[int, int, int]]:
+    """Equal runs at the start of two word lists, as long as matched words outnumber the others."""
+    runs, score, best, most, i, j = common(x, y), 0, 0, 0, 0, 0
+    for m, (a, b, n) in enumerate(runs):
+        score += n - max(a - i, b - j)
+        if score > most:
+            best, most = m + 1, score
+        i, j = a + n, b + n
+    return runs[:best]
+
+
+def equal_runs(x: list, y: list, seeds: list[tuple[int, int]], k: int = K, reach: int = MIN_WORDS, whole: bool = False) -> list[tuple[int, int, int]]:
+    """``(position, holder's position, length)`` of the equal runs of a chain's alignment, in order and apart; ``whole``: with all that ``reach`` words at its ends have in common."""
     seeds = [(a, b) for a, b in seeds if x[a : a + k] == y[b : b + k]]
     if not seeds:
-        return 0, 0, 0, 0, 0
-    n, (i, j) = k, seeds[0]
+        return []
+    out = [] if whole else extend(x, y, seeds[0][0] - 1, seeds[0][1] - 1, -1)[::-1]
+    out.append((*seeds[0], k))
     for (a, b), (c, d) in zip(seeds, seeds[1:]):
         skip = max(k - (c - a), k - (d - b), 0)  # overlapping seeds count their words once
-        n += k - skip + (matched(x[a + k : c], y[b + k : d]) if not skip else 0)
-    left = extend(x, y, i - 1, j - 1, -1)
-    right = extend(x, y, seeds[-1][0] + k, seeds[-1][1] + k, 1)
-    return left[0] + 1, right[0], left[1] + 1, right[1], n + left[2] + right[2]
+        if not skip:
+            out += [(a + k + i, b + k + j, n) for i, j, n in common(x[a + k : c], y[b + k : d])]
+        out.append((c + skip, d + skip, k - skip))
+    if not whole:
+        out += extend(x, y, seeds[-1][0] + k, seeds[-1][1] + k, 1)
+    if whole or sum(n for _, _, n in out) > 2 * k:
+        (i, j, _), (c, d, n) = out[0], out[-1]
+        ends = common if whole else beyond
+        left = ends(x[max(0, i - reach) : i][::-1], y[max(0, j - reach) : j][::-1])
+        out = [(i - a - m, j - b - m, m) for a, b, m in left[::-1]] + out + [(c + n + a, d + n + b, m) for a, b, m in ends(x[c + n : c + n + reach], y[d + n : d + n + reach])]
+    joined = []
+    for i, j, n in out:
+        if joined and joined[-1][0] + joined[-1][2] == i and joined[-1][1] + joined[-1][2] == j:
+            joined[-1] = (*joined[-1][:2], joined[-1][2] + n)
+        elif n:
+            joined.append((i, j, n))
+    return joined
+
 
+def align(x: list, y: list, seeds: list[tuple[int, int]], k: int = K) -> tuple[int, int, int, int, int]:
+    """``(start, stop, holder's start, holder's stop, matched words)`` of a chain's alignment over two word lists."""
+    runs = equal_runs(x, y, seeds, k)
+    if not runs:
+        return 0, 0, 0, 0, 0
+    return runs[0][0], runs[-1][0] + runs[-1][2], runs[0][1], runs[-1][1] + runs[-1][2], sum(n for _, _, n in runs)
+
+
+def whole_part(runs: list[tuple[int, int, int]], min_words: int, percent: int) -> list[tuple[int, int, int, int, int]]:
+    if not runs:
+        return []
+    s, e, t, f, n = runs[0][0], runs[-1][0] + runs[-1][2], runs[0][1], runs[-1][1] + runs[-1][2], sum(n for _, _, n in runs)
+    return [(s, e, t, f, n)] if e - s >= min_words and 100 * n >= percent * max(e - s, f - t) else []
+
+
+def seed_blocks(df: DataFrame, id_col: str, text_col: str, k: int, window: int, min_words: int, buckets: int) -> DataFrame:
+    """Seeds as ``(bucket, seeds, pos, doc, ids)``: one row for each bucket of keys and about a million words; ``doc`` is an index into ``ids``."""
+
+    def block(ids: pa.Array, found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys = np.concatenate([a for _, a, _ in found])
+        order = np.argsort(keys, kind="stable")
+        keys, pos = keys[order], np.concatenate([p for _, _, p in found]).astype("<u4")[order]
+        doc = np.repeat([i for i, _, _ in found], [len(a) for _, a, _ in found])[order]
+        bucket = ((keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int32)
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]))
+        rows, at, lengths = [], [], []
+        for lo, hi in zip(edges, edges[1:]):
+            own, local = np.unique(doc[lo:hi], return_inverse=True)
+            rows.append((keys[lo:hi].astype("<u8").tobytes(), pos[lo:hi].tobytes(), local.astype("<u4").tobytes()))
+            at.append(own)
+            lengths.append(len(own))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), ids.take(pa.array(np.concatenate(at))))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), *(pa.array([r[c] for r in rows], pa.binary()) for c in range(3)), lists], names=["bucket", "seeds", "pos", "doc", "ids"])
 
-def seed_table(df: DataFrame, id_col: str, text_col: str, k: int, window: int, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                found = [seeds_of(word_hashes(w), k, window) if len(w) >= min_words else (np.empty(0, np.uint64), np.empty(0, np.int64)) for t in part.column(1) for w in [words_of(t.as_py())]]
-                n = np.array([len(a) for a, _ in found])
-                ids = part.column(0).take(pa.array(np.repeat(np.arange(len(n)), n)))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate([a for a, _ in found]))), ids, pa.array(np.concatenate([p for _, p in found]).astype(np.int32))], names=["seed", "id", "pos"])
+            found, n = [], 0
+            for i, text in enumerate(batch.column(1)):
+                w = words_of(text.as_py())
+                if len(w) >= min_words:
+                    found.append((i, *seeds_of(word_hashes(w), k, window)))
+                    n += len(w)
+                if found and (n >= 1_000_000 or i == batch.num_rows - 1):
+                    yield block(batch.column(0), found)
+                    found, n = [], 0
+            if found:
+                yield block(batch.column(0), found)
 
     kind = df.select(id_col).schema[0].dataType.simpleString()
-    return df.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, f"seed long, id {kind}, pos int")
+    return df.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, f"bucket int, seeds binary, pos binary, doc binary, ids array<{kind}>")
+
+
+def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
+    """``(id, ref, pos, ref_pos)``: the i-th occurrence of a seed with the i-th of its first holder."""
+
+    def run(table: pa.Table) -> pa.Table:
+        lists = table.column("ids").combine_chunks()
+        ids, starts = lists.flatten(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        key, pos, doc = (np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table.column(c)]) for c, kind in (("seeds", "<u8"), ("pos", "<u4"), ("doc", "<u4")))
+        doc = doc + np.repeat(starts[:-1], [len(v.as_buffer()) // 4 for v in table.column("doc")])
+        rank = pc.rank(ids, sort_keys="ascending", tiebreaker="dense").to_numpy()[doc]
+        order = np.lexsort((pos, rank, key))
+        key, pos, doc, rank = key[order], pos[order], doc[order], rank[order]
+        keep = np.concatenate(([True], (key[1:] != key[:-1]) | (rank[1:] != rank[:-1]) | (pos[1:] != pos[:-1])))  # rows that repeat an id
+        key, pos, doc, rank = key[keep], pos[keep], doc[keep], rank[keep]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        own = new | np.concatenate(([True], rank[1:] != rank[:-1]))
+        nth = np.arange(len(key)) - np.flatnonzero(own)[np.cumsum(own) - 1]
+        later = np.flatnonzero(rank != rank[first])
+        also = later[nth[later] > 0]
+        also = also[rank[first[also] + nth[also]] == rank[first[also]]]
+        later = later[nth[later] == 0]
+        a, b = np.concatenate((later, also)), np.concatenate((first[later], first[also] + nth[also]))
+        return pa.table([ids.take(pa.array(doc[a])), ids.take(pa.array(doc[b])), pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32))], names=["id", "ref", "pos", "ref_pos"])
+
+    return blocks.groupBy("bucket").applyInArrow(run, f"id {kind}, ref {kind}, pos int, ref_pos int")
+
+
+def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int) -> DataFrame:
+    """``(id, ref, a, b)``: parts of chains; without ``ref``, the starts and stops of text whose seeds all have earlier holders."""
 
-
-def _chained(grouped: DataFrame, kind: str, k: int, most: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for i, seeds in enumerate(batch.column(2)):
-                for own in cut_chains(chain(list(zip(seeds.values.field(0).to_pylist(), seeds.values.field(1).to_pylist())), k), most):
-                    rows.append((i, [a for a, _ in own], [b for _, b in own]))
+            rows, refs = [], []
+            for i, found in enumerate(batch.column(1)):
+                ref, pos, ref_pos = found.values.flatten()
+                pairs, by = list(zip(pos.to_pylist(), ref_pos.to_pylist())), {}
+                for m, r in enumerate(ref.to_pylist()):
+                    by.setdefault(r, []).append(m)
+                parts = [(p, own[0]) for own in by.values() for p in cut_chains(chain([pairs[m] for m in own], k), GAP)]
+                parts.sort(key=lambda p: p[0][0][0] - p[0][-1][0])
+                exact: list[tuple[int, int]] = []  # what is reported for sure
+                for p, m in parts:
+                    lo, hi = p[0][0], p[-1][0]
+                    if any(s <= lo and hi <= e for s, e in exact):
+                        continue
+                    if hi + k - lo >= min_words and p[0][0] - p[0][1] == p[-1][0] - p[-1][1] and all(c - a == d - b <= k for (a, b), (c, d) in zip(p, p[1:])):
+                        exact.append((lo, hi))
+                    rows.append((i, [a for a, _ in p], [b for _, b in p]))
+                    refs.append(ref[m].as_py())
+                at = np.unique([a for a, _ in pairs])
+                edges = np.concatenate(([0], np.flatnonzero(np.diff(at) > window) + 1, [len(at)]))
+                spans = [(max(0, int(at[lo]) - window + 1), int(at[hi - 1]) + k + window - 1) for lo, hi in zip(edges, edges[1:])]
+                spans = [(s, e) for s, e in spans if e - s >= min_words]
+                if spans:
+                    rows.append((i, [s for s, _ in spans], [e for _, e in spans]))
+                    refs.append(None)
             at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array([r[c] for r in rows], pa.list_(pa.int32())) for c in (1, 2))], names=["id", "ref", "a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(refs, batch.column(0).type), *(pa.array([r[c] for r in rows], pa.list_(pa.int32())) for c in (1, 2))], names=["id", "ref", "a", "b"])
 
+    grouped = hits.groupBy("id").agg(F.collect_list(F.struct("ref", "pos", "ref_pos")).alias("m"))  # at most one document's seeds
     return grouped.mapInArrow(run, f"id {kind}, ref {kind}, a array<int>, b array<int>")
 
 
-def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``(id, start, stop, ref_id, ref_start, ref_stop, matched, version)``: word ranges (stop exclusive) that an earlier document holds."""
-    kind, reach = df.select(id_col).schema[0].dataType.simpleString(), 2 * window + k
-    seeds = seed_table(df, id_col, text_col, k, window, min_words)
-    seeds = materialise(seeds, "seeds")
-    first = seeds.groupBy("seed").agg(F.min(F.struct("id", "pos")).alias("first"), F.max("id").alias("last")).where("first.id < last").select("seed", "first")
-    hits = seeds.join(first, "seed").where("id <> first.id").select("id", F.col("first.id").alias("ref"), F.struct("pos", F.col("first.pos").alias("ref_pos")).alias("m"))
-    grouped = hits.groupBy("id", "ref").agg(F.collect_list("m").alias("m")).where("size(m) > 1")  # at most one document's seeds
-    chains = materialise(_chained(grouped, kind, k, reach), "chains")
-
-    ids = materialise(chains.select(F.explode(F.array("id", "ref")).alias("id")).distinct(), "ids")
-    texts = df.select(F.col(id_col).alias("id"), text_col).join(ids, "id", "left_semi")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([short_hashes(t.as_py()) for t in part.column(1)], pa.binary())], names=["id", "words"])
-
-    words = materialise(texts.mapInArrow(hashed, f"id {kind}, words binary").groupBy("id").agg(F.max("words").alias("words")), "words")
+def _aligned(chains: DataFrame, words: DataFrame, kind: str, k: int, min_words: int, percent: int) -> DataFrame:
+    reach = max(GAP, min_words + 14)
 
     def around(seeds: str):  # the words a chain can reach, and where they start
         lo = F.greatest(F.lit(0), F.col(seeds)[0] - reach)
@@ -220,21 +336,96 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     lo, part = around("a")
     near = near.join(words, "id").select("id", "ref", "a", "b", "b_lo", "y", lo.alias("a_lo"), part.alias("x"), F.xxhash64("words").alias("version"))
 
-    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             a, b, b_lo, y, a_lo, x = (batch.column(i) for i in range(2, 8))
             for i in range(batch.num_rows):
                 p, q = a_lo[i].as_py(), b_lo[i].as_py()
-                s, e, t, f, n = align(np.frombuffer(x[i].as_buffer(), "<u4").tolist(), np.frombuffer(y[i].as_buffer(), "<u4").tolist(), [(u - p, v - q) for u, v in zip(a[i].as_py(), b[i].as_py())], k)
-                if e - s >= min_words and 100 * n >= percent * max(e - s, f - t):
-                    rows.append((i, s + p, e + p, t + q, f + q, n))
+                here = np.frombuffer(x[i].as_buffer(), "<u4").tolist()
+                there, seeds = np.frombuffer(y[i].as_buffer(), "<u4").tolist(), [(u - p, v - q) for u, v in zip(a[i].as_py(), b[i].as_py())]
+                runs = equal_runs(here, there, seeds, k, min_words)
+                good = whole_part(runs, min_words, percent)
+                rows += [(i, s + p, e + p, t + q, f + q, n) for s, e, t, f, n in good]
             at = pa.array([r[0] for r in rows], pa.int64())
             c = [pa.array([r[j] for r in rows], pa.int64()) for j in range(1, 6)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), c[0], c[1], batch.column(1).take(at), c[2], c[3], c[4], batch.column(8).take(at)], names=["id", "start", "stop", "ref_id", "ref_start", "ref_stop", "matched", "version"])
 
-    found = near.mapInArrow(aligned, f"id {kind}, start long, stop long, ref_id {kind}, ref_start long, ref_stop long, matched long, version long")
-    return found.withColumnRenamed("id", id_col)
+    return near.mapInArrow(run, f"id {kind}, start long, stop long, ref_id {kind}, ref_start long, ref_stop long, matched long, version long")
+
+
+def _long_runs(spans: DataFrame, kind: str, min_words: int, all_of_them: bool) -> DataFrame:
+    """``(run, id, pos)``: hashes of the runs of ``min_words`` words in the given text; those within reported passages only if asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = np.frombuffer(batch.column(3)[i].as_buffer(), "<u4").astype(np.uint64)
+                bare = np.ones(len(words), np.int64)
+                for s in batch.column(4)[i].as_py() or () if not all_of_them else ():
+                    bare[s["start"] : s["stop"]] = 0
+                bare = np.concatenate(([0], np.cumsum(bare)))
+                for lo, hi in zip(batch.column(1)[i].as_py(), batch.column(2)[i].as_py()):
+                    hi = min(hi, len(words))
+                    at = np.arange(lo, hi - min_words + 1)
+                    at = at[bare[at + min_words] > bare[at]]
+                    if len(at):
+                        keys = shingle_hashes(words[lo:hi], min_words)[at - lo]
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), batch.column(0).take(pa.array(np.full(len(at), i))), pa.array(at.astype(np.int32))], names=["run", "id", "pos"])
+
+    return spans.select("id", "a", "b", "words", "spans").mapInArrow(run, f"run long, id {kind}, pos int")
+
+
+def _outermost(found: DataFrame, kind: str) -> DataFrame:
+    """Without passages that lie in another one of their document; of equal ones the first holder's stays."""
+    columns = ["start", "stop", "ref_id", "ref_start", "ref_stop", "matched", "version"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, own in enumerate(batch.column(1).to_pylist()):
+                end = -1
+                for r in sorted(own, key=lambda r: (r["start"], -r["stop"], r["ref_id"], r["ref_start"])):
+                    if r["stop"] > end:
+                        rows.append((i, r))
+                        end = r["stop"]
+            of = batch.schema.field(1).type.value_type
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, _ in rows], pa.int64())), *(pa.array([r[c] for _, r in rows], of.field(c).type) for c in columns)], names=["id", *columns])
+
+    grouped = found.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("own"))  # at most one document's chains
+    return grouped.mapInArrow(run, f"id {kind}, start long, stop long, ref_id {kind}, ref_start long, ref_stop long, matched long, version long")
+
+
+def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``(id, start, stop, ref_id, ref_start, ref_stop, matched, version)``: word ranges (stop exclusive) that an earlier document holds."""
+    kind = df.select(id_col).schema[0].dataType.simpleString()
+    chars = df.agg(F.sum(F.length(text_col))).first()[0] or 0
+    buckets = min(BUCKETS, 1 + chars // BUCKET_CHARS)
+    hits = first_matches(seed_blocks(df, id_col, text_col, k, window, min_words, buckets), kind)
+    both = materialise(_chained(hits, kind, k, window, min_words), "chains")
+    chains = both.where("ref is not null")
+
+    ids = materialise(both.select(F.explode(F.array("id", "ref")).alias("id")).where("id is not null").distinct(), "ids")
+    texts = df.select(F.col(id_col).alias("id"), text_col).join(ids, "id", "left_semi")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([short_hashes(t.as_py()) for t in part.column(1)], pa.binary())], names=["id", "words"])
+
+    words = materialise(texts.mapInArrow(hashed, f"id {kind}, words binary").groupBy("id").agg(F.max("words").alias("words")), "words")
+    found = materialise(_aligned(chains, words, kind, k, min_words, percent), "found")
+
+    cover = found.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # at most one document's chains
+    spans = both.where("ref is null").join(words, "id").join(cover, "id", "left")
+    bare = materialise(_long_runs(spans, kind, min_words, False), "bare")
+    held = _long_runs(spans, kind, min_words, True).join(bare.select("run").distinct(), "run", "left_semi")
+    first = held.groupBy("run").agg(F.min(F.struct("id", "pos")).alias("first"))
+    more = bare.join(first, "run").where("first.id < id").select("id", F.col("first.id").alias("ref"), "pos", F.col("first.pos").alias("ref_pos"))
+    more = materialise(_chained(more, kind, k, window, min_words).where("ref is not null"), "more")
+    found = found.unionAll(_aligned(more, words, kind, k, min_words, percent))
+    return _outermost(found, kind).withColumnRenamed("id", id_col)
 
 
 def version_of(text: str | None) -> int:

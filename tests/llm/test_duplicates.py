@@ -145,6 +145,27 @@ def test_passage_edges(spark):
     assert chaining.passages(documents(spark, [])).collect() == []
 
 
+def reported(found):
+    spans = {}
+    for r in found.collect():
+        spans.setdefault(r["doc_id"], set()).update(range(r["start"], r["stop"]))
+    return spans
+
+
+def test_passage_of_phrases_that_stand_elsewhere(spark):
+    texts, want = [], []
+    for case, cuts in enumerate([[12] * 5, [20] * 3, [30] * 2, "overlapping"]):
+        words = prose(2000 + case, 60).split()
+        pieces = [(0, 33), (28, 60)] if cuts == "overlapping" else [(sum(cuts[:i]), sum(cuts[: i + 1])) for i in range(len(cuts))]
+        texts += [f"{prose(2100 + 10 * case + i, 40)} {' '.join(words[a:b])} {prose(2200 + 10 * case + i, 40)}" for i, (a, b) in enumerate(pieces)]
+        texts += [f"{prose(2300 + 10 * case + i, 70)} {' '.join(words)} {prose(2400 + 10 * case + i, 70)}" for i in range(2)]
+        want.append(len(texts) - 1)
+    spans = reported(chaining.passages(documents(spark, texts)))
+    for i in want:
+        assert spans[i] >= set(range(70, 130))
+    assert set(spans) == set(want)
+
+
 def pages():
     big = "<p>" + prose(70, 40_000) + "</p>"
     same = "<html>" + "x" * 200
