@@ -7,8 +7,8 @@
 3. The matches of a (document, holder) pair are chained: a Fenwick tree over positions in the holder gives the best
    predecessor under a linear gap cost.  Chains are cut at gaps that no passage has; one seed makes a chain.
 4. The words around each chain are aligned: equal runs between seeds are taken as they are, other gaps by their longest
-   common subsequence, and both ends are extended.  A part of at least ``min_words`` words
-   with ``percent`` of them matched is reported for the later document; the first holder keeps it.
+   common subsequence, and both ends are extended.  Of the alignment's equal runs, all stretches of at least
+   ``min_words`` words with ``percent`` of them matched are reported for the later document; the first holder keeps them.
 5. Text whose seeds all have earlier holders, but whose passage was not reported, is looked up by its runs of
    ``min_words`` words among all such text: every exact run of ``min_words`` words is reported, also where its
    phrases have other first holders.
@@ -217,11 +217,36 @@ def align(x: list, y: list, seeds: list[tuple[int, int]], k: int = K) -> tuple[i
     return runs[0][0], runs[-1][0] + runs[-1][2], runs[0][1], runs[-1][1] + runs[-1][2], sum(n for _, _, n in runs)
 
 
-def whole_part(runs: list[tuple[int, int, int]], min_words: int, percent: int) -> list[tuple[int, int, int, int, int]]:
-    if not runs:
+def segments(runs: list[tuple[int, int, int]], size: int, min_words: int = MIN_WORDS, percent: int = PERCENT) -> list[tuple[int, int, int, int, int]]:
+    """Stretches of an alignment with ``min_words`` words and ``percent`` of them matched, as few as hold every such stretch.
+
+    A stretch whose equal runs are shorter than ``min_words`` takes in words beside them, of the ``size`` words there are.
+    """
+    if not runs or sum(n for _, _, n in runs) * 100 < percent * min_words:
         return []
-    s, e, t, f, n = runs[0][0], runs[-1][0] + runs[-1][2], runs[0][1], runs[-1][1] + runs[-1][2], sum(n for _, _, n in runs)
-    return [(s, e, t, f, n)] if e - s >= min_words and 100 * n >= percent * max(e - s, f - t) else []
+    i, j, n = (np.array(c) for c in zip(*runs))
+    total, best = np.concatenate(([0], np.cumsum(n))), []
+    for s in range(len(runs)):  # the longest stretch from each run on
+        long = np.maximum(np.maximum(i[s:] + n[s:] - i[s], j[s:] + n[s:] - j[s]), min_words)
+        good = np.flatnonzero((total[s + 1 :] - total[s]) * 100 >= percent * long)
+        if len(good) and (not best or s + good[-1] > best[-1][1]):
+            best.append((s, s + int(good[-1])))
+            if best[-1][1] == len(runs) - 1:
+                break
+    kept = []
+    for s, e in best:
+        while len(kept) > 1 and s <= kept[-2][1]:  # the one between is held by its neighbours
+            kept.pop()
+        kept.append((s, e))
+    out = []
+    for s, e in kept:
+        start, stop = int(i[s]), int(i[e] + n[e])
+        if stop - start < min_words:
+            stop = min(size, start + min_words)
+            start = max(0, stop - min_words)
+        if stop - start >= min_words:
+            out.append((start, stop, int(j[s]), int(j[e] + n[e]), int(total[e + 1] - total[s])))
+    return out
 
 
 def seed_blocks(df: DataFrame, id_col: str, text_col: str, k: int, window: int, min_words: int, buckets: int) -> DataFrame:
@@ -345,7 +370,9 @@ def _aligned(chains: DataFrame, words: DataFrame, kind: str, k: int, min_words:
                 here = np.frombuffer(x[i].as_buffer(), "<u4").tolist()
                 there, seeds = np.frombuffer(y[i].as_buffer(), "<u4").tolist(), [(u - p, v - q) for u, v in zip(a[i].as_py(), b[i].as_py())]
                 runs = equal_runs(here, there, seeds, k, min_words)
-                good = whole_part(runs, min_words, percent)
+                good = segments(runs, len(here), min_words, percent)
+                if not good and sum(n for _, _, n in runs) > 2 * k:
+                    good = segments(equal_runs(here, there, seeds, k, min_words, True), len(here), min_words, percent)
                 rows += [(i, s + p, e + p, t + q, f + q, n) for s, e, t, f, n in good]
             at = pa.array([r[0] for r in rows], pa.int64())
             c = [pa.array([r[j] for r in rows], pa.int64()) for j in range(1, 6)]

@@ -166,6 +166,37 @@ def test_passage_of_phrases_that_stand_elsewhere(spark):
     assert set(spans) == set(want)
 
 
+def test_passages_beside_other_text(spark):
+    own = lambda n, i: " ".join(f"own{i}x{j}" for j in range(n))
+    texts, want = [], {}
+    for case in range(12):  # exact, different and exact words; exact words and a phrase after them
+        gap, one, two, phrase = 26 + case % 5, prose(2500 + case, 50), prose(2520 + case, 50), prose(2540 + case, 12)
+        texts += [f"{own(60, i)} {one} {own(gap, 1000 + i)} {two} {own(60, 2000 + i)}" for i in (2 * case, 2 * case + 1)]
+        want[len(texts) - 1] = {*range(60, 110), *range(110 + gap, 160 + gap)}
+        texts += [f"{own(60, 3000 + i)} {prose(2560 + case, 50)} {own(20, 4000 + i)} {phrase} {own(60, 5000 + i)}" for i in (2 * case, 2 * case + 1)]
+        want[len(texts) - 1] = {*range(60, 110)}
+    assert reported(chaining.passages(documents(spark, texts))) == want
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_segments_hold_every_stretch(seed):
+    rng = random.Random(seed)
+    runs, i, j = [], 0, 0
+    for _ in range(30):
+        i, j, n = i + rng.randrange(12), j + rng.randrange(12), rng.randint(1, 30)
+        runs.append((i, j, n))
+        i, j = i + n + 1, j + n + 1
+    held = set()
+    for s in range(30):
+        for e in range(s, 30):
+            a, b, n = runs[e][0] + runs[e][2] - runs[s][0], runs[e][1] + runs[e][2] - runs[s][1], sum(r[2] for r in runs[s : e + 1])
+            if a >= 50 and 100 * n >= 80 * max(a, b):
+                held.update(range(runs[s][0], runs[s][0] + a))
+    found = chaining.segments(runs, i)
+    assert held <= {x for s, e, *_ in found for x in range(s, e)}
+    assert all(e - s >= 50 and 100 * n >= 80 * max(e - s, f - t) for s, e, t, f, n in found)
+
+
 def pages():
     big = "<p>" + prose(70, 40_000) + "</p>"
     same = "<html>" + "x" * 200
