@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import free_name, materialise, shingle_hashes, signed, word_hashes
 
-K, WINDOW, MIN_WORDS, PERCENT = 5, 20, 50, 80
+K, WINDOW, MIN_WORDS, PERCENT = 5, 4, 50, 80
 #: Words between two seeds of a chain part; characters of text for a bucket of seeds, and most buckets.
 GAP, BUCKET_CHARS, BUCKETS = 45, 2_000_000, 2048
 GAP_COST = 0.1

@@ -197,6 +197,28 @@ def test_segments_hold_every_stretch(seed):
     assert all(e - s >= 50 and 100 * n >= 80 * max(e - s, f - t) for s, e, t, f, n in found)
 
 
+def test_passages_with_edits_against_brute_force(spark):
+    texts, cases = [], []
+    for size in (50, 60, 80, 100):
+        for percent in (5, 10, 20):
+            for i in range(20):
+                seed = 100_000 + 10_000 * percent + 100 * size + i
+                words = prose(seed, size)
+                for part in (words, edited(words, seed, size * percent // 100)):
+                    texts.append(f"{prose(seed + 1_000_000 + len(texts), 60)} {part} {prose(seed + 2_000_000 + len(texts), 60)}")
+                cases.append((len(texts) - 1, size, percent))
+    spans = reported(chaining.passages(documents(spark, texts)))
+    found = Counter()
+    for i, size, percent in cases:  # the full alignment has at least 80 % matched, so each case counts
+        x, y = texts[i].split()[60 : 60 + size], texts[i - 1].split()[60 : 60 + size]
+        assert 100 * chaining.matched(x, y) >= 80 * size
+        found[size, percent] += len(spans.get(i, set()) & set(range(60, 60 + size))) >= 0.8 * size
+    assert not {i for i in spans if i % 2 == 0}
+    assert all(found[size, percent] == 20 for size, _, percent in (c[1:2] + c[1:] for c in cases) if percent == 5)
+    assert all(found[size, 10] >= 19 for size in (50, 60, 80, 100)), found
+    assert all(found[size, 20] >= 16 for size in (50, 60, 80, 100)), found
+
+
 def pages():
     big = "<p>" + prose(70, 40_000) + "</p>"
     same = "<html>" + "x" * 200
