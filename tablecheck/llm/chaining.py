@@ -2,8 +2,8 @@
 
 1. Seeds: of the hashes of all runs of ``k`` words, the smallest of every ``window`` consecutive ones (robust
    winnowing), so any ``window + k - 1`` equal words share a seed.
-2. Every seed is paired with its first holder (the smallest document id), the i-th occurrence with the i-th, so
-   repeated lines pair in order.
+2. Every seed is paired with its first holder (the smallest document id): each occurrence with the holder's first
+   occurrence, and the i-th with the i-th, so repeated lines pair in order; two matches for each occurrence at most.
 3. The matches of a (document, holder) pair are chained: a Fenwick tree over positions in the holder gives the best
    predecessor under a linear gap cost.  Chains are cut at gaps that no passage has; one seed makes a chain.
 4. The words around each chain are aligned: equal runs between seeds are taken as they are, other gaps by their longest
@@ -287,7 +287,7 @@ def seed_blocks(df: DataFrame, id_col: str, text_col: str, k: int, window: int,
 
 
 def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
-    """``(id, ref, pos, ref_pos)``: the i-th occurrence of a seed with the i-th of its first holder."""
+    """``(id, ref, pos, ref_pos)``: every seed occurrence with its first holder's first occurrence, and the i-th with the i-th."""
 
     def run(table: pa.Table) -> pa.Table:
         lists = table.column("ids").combine_chunks()
@@ -306,7 +306,6 @@ def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
         later = np.flatnonzero(rank != rank[first])
         also = later[nth[later] > 0]
         also = also[rank[first[also] + nth[also]] == rank[first[also]]]
-        later = later[nth[later] == 0]
         a, b = np.concatenate((later, also)), np.concatenate((first[later], first[also] + nth[also]))
         return pa.table([ids.take(pa.array(doc[a])), ids.take(pa.array(doc[b])), pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32))], names=["id", "ref", "pos", "ref_pos"])
 

@@ -219,6 +219,16 @@ def test_passages_with_edits_against_brute_force(spark):
     assert all(found[size, 20] >= 16 for size in (50, 60, 80, 100)), found
 
 
+def test_passage_that_a_document_repeats(spark):
+    shared, other = prose(2600, 60), prose(2601, 60).split()
+    used = " ".join(f"{' '.join(other[i : i + 5])} {prose(2610 + i, 3)}" for i in range(56))  # each phrase once before
+    texts = [f"{prose(2620, 50)} {shared} {prose(2621, 50)}", f"{prose(2622, 50)} {shared} {prose(2623, 90)} {shared} {prose(2624, 50)}"]
+    texts += [f"{prose(2625, 50)} {' '.join(other)} {prose(2626, 50)}", f"{used} {' '.join(other)} {prose(2627, 50)}"]
+    spans = reported(chaining.passages(documents(spark, texts)))
+    assert spans[1] >= {*range(50, 110), *range(200, 260)} and set(spans) == {1, 3}
+    assert spans[3] >= set(range(56 * 8, 56 * 8 + 60))
+
+
 def pages():
     big = "<p>" + prose(70, 40_000) + "</p>"
     same = "<html>" + "x" * 200
