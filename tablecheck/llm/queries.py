@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chaining, jaccard, packing, pstable, quality, secrets, token_counts, toxicity, warc
+from . import bpe, chaining, jaccard, packing, pstable, quality, runs, secrets, token_counts, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents"))
 
 
+def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(_read(spark, sf_dir, "documents"), text=runs.planted()))
+
+
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_min_slack_packing": op2_min_slack_packing,
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_pstable_vectors": op8_pstable_vectors,
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
+    "op12_synchronising_runs": op12_synchronising_runs,
 }
 
 
@@ -131,8 +136,10 @@ WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documen
 g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) > 4)),
 twice AS (SELECT doc_id, gram FROM g GROUP BY doc_id, gram HAVING count(*) > 1),
 r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM g JOIN twice USING (doc_id, gram), range(5) t(j) GROUP BY doc_id),
-l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
-c AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ 	-]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id),
+c AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ 	-
+]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(r.n, 0) AS n_repeat_words,
   length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^!]', '', 'g')) AS n_marks
   FROM w LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
