@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chaining, jaccard, packing, pstable, quality, runs, secrets, token_counts, toxicity, warc
+from . import bpe, chaining, jaccard, packing, pstable, quality, runs, secrets, token_counts, toxicity, trie, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.periodic_runs(_read(spark, sf_dir, "documents"), text=runs.planted()))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    return trie.prefix_trie(_read(spark, sf_dir, "conversations"), head=F.pmod(F.crc32(conv.cast("string")), F.lit(6)), base=conv - conv % 100, max_head=5)
+
+
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_min_slack_packing": op2_min_slack_packing,
@@ -81,6 +86,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
     "op12_synchronising_runs": op12_synchronising_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
@@ -96,6 +102,10 @@ def _secret_spans(kind: int, pattern: str, group: int, least: int) -> str:
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+#: CRC-32 of a decimal number: bytes by list_reduce, eight steps of the reflected polynomial each.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
 ORACLES: dict[str, str] = {
     "op1_secret_ownership": f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repo, coalesce(text, '') AS text FROM documents),
@@ -131,6 +141,18 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec
 reach AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
 c AS (SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM v)
 SELECT *, vec_id = component_id AS kept FROM c""",
+    "op13_prefix_trie": f"""
+WITH t AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32.format("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS own, pos, turn FROM c JOIN t ON t.conv_id = base AND pos <= h UNION ALL SELECT c.conv_id, 1, pos, turn FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+s AS (SELECT conv_id, coalesce(turns, []) AS turns FROM c LEFT JOIN (SELECT conv_id, list(turn ORDER BY own, pos) AS turns FROM r GROUP BY conv_id) USING (conv_id)),
+p AS (SELECT conv_id, turns, d, turns[1:d] AS node FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM s)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = len(turns)), '') AS ends FROM p GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n_convs - 1) * length(node[d].t) ELSE 0 END AS saved FROM n LEFT JOIN k USING (node)),
+u AS (SELECT node[1:a] AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (SELECT *, unnest(range(d + 1)) AS a FROM f) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN u USING (node) LEFT JOIN n up ON f.d > 0 AND up.node = f.node[1:f.d - 1]""",
     "op10_quality_cascade": rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) > 4)),
