@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chaining, jaccard, packing, pstable, quality, runs, secrets, token_counts, toxicity, trie, warc
+from . import bpe, chaining, jaccard, multiindex, packing, pstable, quality, runs, secrets, token_counts, toxicity, trie, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents"))
 
 
+def op11_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(_read(spark, sf_dir, "embeddings"), asks=F.col("id") % 20 == 0)
+
+
 def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.periodic_runs(_read(spark, sf_dir, "documents"), text=runs.planted()))
 
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_pstable_vectors": op8_pstable_vectors,
     "op9_token_counts": op9_token_counts,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_inverted_multi_index": op11_inverted_multi_index,
     "op12_synchronising_runs": op12_synchronising_runs,
     "op13_prefix_trie": op13_prefix_trie,
 }
