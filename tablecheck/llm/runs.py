@@ -206,10 +206,16 @@ def planted(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """The text, with the tail of every tenth document (by a checksum of its id) made periodic: word ``i >= a`` becomes word ``a + (i - a) % p``."""
     h = F.crc32(F.col(id_col).cast("string"))
     words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD), F.lit(0))
-    n, g = F.size(words), F.floor(h / 10)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
-    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(F.transform(words, lambda w, i: F.get(words, F.when(i >= a, a + F.pmod(i - a, p)).otherwise(i).cast("int"))), " ")).otherwise(F.col(text_col))
+
+    def tail(x: Column) -> Column:  # words and their numbers are variables here, so they are made once and not for every word
+        w, a, p = x["w"], x["a"], x["p"]
+        return F.array_join(F.transform(w, lambda own, i: F.when(i < a, own).otherwise(F.get(w, (a + F.pmod(i - a, p)).cast("int")))), " ")
+
+    start = lambda x: F.struct(x["w"].alias("w"), F.pmod(x["g"], F.size(x["w"])).alias("a"), x["g"].alias("g"))
+    whole = lambda x: F.struct(x["w"].alias("w"), x["a"].alias("a"), (1 + F.floor((F.size(x["w"]) - x["a"]) / (3 + F.pmod(x["g"], F.lit(8))))).alias("p"))
+    some = F.filter(F.array(F.struct(words.alias("w"), F.floor(h / 10).alias("g"))), lambda x: F.size(x["w"]) > 0)
+    made = F.get(F.transform(F.transform(F.transform(some, start), whole), tail), 0)
+    return F.when(F.pmod(h, F.lit(10)) == 0, F.coalesce(made, F.col(text_col))).otherwise(F.col(text_col))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
