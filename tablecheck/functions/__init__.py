@@ -133,3 +133,10 @@ def morton_key(cols: list, bits: int = 16) -> Column:
 def sha256_masked(c, salt: str = "") -> Column:
     """SHA-256 hex of salt || value (null stays null)."""
     return F.sha2(F.concat(F.lit(salt), col_of(c).cast("string")), 256)
+
+
+def summand(value: Column, scale: int | None = None) -> Column:
+    """What a sum adds up: the value in its own type (a double stays a double, a decimal is exact), or, where the
+    caller names a ``scale``, the value as a decimal with so many places, which makes the sum exact and
+    independent of the order of rows."""
+    return value if scale is None else value.cast(f"decimal(38,{scale})")

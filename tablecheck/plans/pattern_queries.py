@@ -6,8 +6,8 @@ orders/purchases -> orders; logins -> events (user_id, day of ts);
 trip_revenue -> lineitem (year of ship date, type = l_returnflag);
 metrics -> daily order totals.
 
-Money sums are taken over DECIMAL(18,2) and cast back to DOUBLE, so Spark and
-DuckDB produce identical values whatever the summation order.
+Sums keep the columns' own type; measures have two decimals, so queries and oracles show sums with
+two, which are the same in any order of rows.  Running totals name a decimal type of their own.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def _t(spark, sf, name):
 
 
 def _money(c):
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    return F.round(F.sum(c), 2)
 
 
 # =========================================================================== joins
@@ -59,7 +59,7 @@ def exists(spark, sf):
 
 @query("broadcast_dim", ("J05", "A04"),
        "SELECT n.n_name, r.r_name, count(*) AS n_customers, "
-       "CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total_acctbal "
+       "round(sum(c.c_acctbal), 2) AS total_acctbal "
        "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey "
        "GROUP BY n.n_name, r.r_name")
 def broadcast_dim(spark, sf):
@@ -129,8 +129,8 @@ def scalar_subquery(spark, sf):
 # =========================================================================== aggregates
 @query("agg_multi", "A04",
        "SELECT l_returnflag, l_linestatus, count(*) AS n_lines, "
-       "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, "
-       "CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, "
+       "round(sum(l_extendedprice), 2) AS revenue, "
+       "round(sum(l_quantity), 2) AS sum_qty, "
        "round(avg(l_discount), 6) AS avg_disc FROM lineitem GROUP BY l_returnflag, l_linestatus")
 def agg_multi(spark, sf):
     return (_t(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus")
@@ -156,16 +156,16 @@ def median_approx(spark, sf):
 
 @query("pivot", "A07",
        "SELECT year(l_shipdate) AS year, "
-       "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'A') AS DOUBLE) AS A, "
-       "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'N') AS DOUBLE) AS N, "
-       "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS R "
+       "round(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'A'), 2) AS A, "
+       "round(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'N'), 2) AS N, "
+       "round(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'R'), 2) AS R "
        "FROM lineitem GROUP BY 1")
 def pivot(spark, sf):
     """Pivot with an explicit value list (no extra distinct job)."""
     li = _t(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
     out = li.groupBy("year").pivot("l_returnflag", ["A", "N", "R"]) \
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")))
-    return out.select("year", *[F.col(c).cast("double").alias(c) for c in ["A", "N", "R"]])
+        .agg(F.sum("l_extendedprice"))
+    return out.select("year", *[F.round(c, 2).alias(c) for c in ["A", "N", "R"]])
 
 
 @query("min_max", "A08",
@@ -186,7 +186,7 @@ def collect_distinct(spark, sf):
 
 
 _ROLLUP_SQL = ("SELECT l_returnflag, l_linestatus, count(*) AS n_lines, "
-               "CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty FROM lineitem GROUP BY {} ")
+               "round(sum(l_quantity), 2) AS sum_qty FROM lineitem GROUP BY {} ")
 
 
 @query("rollup", "A10", _ROLLUP_SQL.format("ROLLUP (l_returnflag, l_linestatus)"))
@@ -339,7 +339,7 @@ def running_range(spark, sf):
 
 
 _DAILY = ("WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, "
-          "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1) ")
+          "round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1) ")
 
 
 @query("moving_avg7", "W12",
@@ -351,11 +351,11 @@ def moving_avg7(spark, sf):
     d = P.periodic_totals(_t(spark, sf, _ORD), "o_orderdate", F.col("o_totalprice"), "day").withColumnRenamed(
         "period", "day")
     w = Window.orderBy("day").rowsBetween(-6, 0)
-    return d.select("day", "total", F.round(F.avg("total").over(w), 2).alias("ma7"))
+    return d.select("day", F.round("total", 2).alias("total"), F.round(F.avg("total").over(w), 2).alias("ma7"))
 
 
 _MONTHLY_TYPE = ("WITH m AS (SELECT l_returnflag, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, "
-                 "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2) ")
+                 "round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1, 2) ")
 
 
 @query("moving_avg_3m", "W13",
@@ -365,11 +365,11 @@ def moving_avg_3m(spark, sf):
     m = P.periodic_totals(_t(spark, sf, "lineitem"), "l_shipdate", F.col("l_extendedprice"), "month",
                           ["l_returnflag"])
     w = Window.partitionBy("l_returnflag").orderBy("period").rowsBetween(-2, 0)
-    return m.select("l_returnflag", "period", "total", F.round(F.avg("total").over(w), 2).alias("ma3"))
+    return m.select("l_returnflag", "period", F.round("total", 2).alias("total"), F.round(F.avg("total").over(w), 2).alias("ma3"))
 
 
 _MONTHLY = ("WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, "
-            "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1), "
+            "round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1), "
             "c AS (SELECT period, total, lag(total) OVER (ORDER BY period) AS prev_total FROM m) ")
 _PCT = "round(CASE WHEN prev_total = 0 THEN NULL ELSE (total - prev_total) * 100.0 / prev_total END, 2)"
 
@@ -377,7 +377,7 @@ _PCT = "round(CASE WHEN prev_total = 0 THEN NULL ELSE (total - prev_total) * 100
 @query("mom_change", "W14", _MONTHLY + f"SELECT period, total, prev_total, {_PCT} AS pct_change FROM c")
 def mom_change(spark, sf):
     m = P.periodic_totals(_t(spark, sf, _ORD), "o_orderdate", F.col("o_totalprice"), "month")
-    return P.period_change(m).select("period", "total", "prev_total", "pct_change")
+    return P.period_change(m).select("period", *[F.round(c, 2).alias(c) for c in ("total", "prev_total")], "pct_change")
 
 
 @query("mom_drop", "W15", _MONTHLY + f"SELECT period, total, prev_total, {_PCT} AS pct_change FROM c "

@@ -11,21 +11,27 @@ from tablecheck.operators import rules as R
 from tablecheck.operators.evaluate import evaluate
 from tablecheck.plans.fixtures import table
 from tablecheck.plans.registry import query
+from tablecheck.streaming import stateful
 from tablecheck.streaming import stream as S
 
-_SUM = "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value"
+#: Values have two decimals, so a sum shown with two is the same in any order of rows.
+_SUM = "round(sum(value), 2) AS sum_value"
 
 
 def _events(spark, sf):
     return table(spark, sf, "events")
 
 
+def _shown(df):
+    return df.withColumn("sum_value", F.round("sum_value", 2))
+
+
 @query("tumbling", "T03",
        "SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS window_start, "
        "time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS window_end, event_type, "
        f"count(*) AS n_events, {_SUM} FROM events GROUP BY 1, 2, 3")
 def tumbling(spark, sf):
-    return S.tumbling_agg(_events(spark, sf), "ts", "5 minutes", ["event_type"], "value")
+    return _shown(S.tumbling_agg(_events(spark, sf), "ts", "5 minutes", ["event_type"], "value"))
 
 
 @query("hopping", "T04",
@@ -34,7 +40,7 @@ def tumbling(spark, sf):
        f"SELECT b AS window_start, b + INTERVAL 10 MINUTES AS window_end, event_type, count(*) AS n_events, {_SUM} "
        "FROM m GROUP BY 1, 2, 3")
 def hopping(spark, sf):
-    return S.hopping_agg(_events(spark, sf), "ts", "10 minutes", "5 minutes", ["event_type"], "value")
+    return _shown(S.hopping_agg(_events(spark, sf), "ts", "10 minutes", "5 minutes", ["event_type"], "value"))
 
 
 _SESS = ("WITH e AS (SELECT user_id, ts, value, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL "
@@ -49,14 +55,14 @@ _SESS = ("WITH e AS (SELECT user_id, ts, value, CASE WHEN lag(ts) OVER (PARTITIO
 def session(spark, sf):
     """Gap sessions per user; batch form stitched from per-day fragments, so a
     very active user is not one task (streams use ``session_window``)."""
-    return S.sessions_batch(_events(spark, sf), "ts", ["user_id"], 1800, "value")
+    return _shown(S.sessions_batch(_events(spark, sf), "ts", ["user_id"], 1800, "value"))
 
 
 @query("session_window_builtin", "T06", _SESS + "SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTES AS "
        f"session_end, user_id, count(*) AS n_events, {_SUM} FROM s GROUP BY user_id, sid")
 def session_window_builtin(spark, sf):
     """The same sessions with Spark's ``session_window`` (the streaming form)."""
-    return S.session_agg(_events(spark, sf), "ts", "30 minutes", ["user_id"], "value")
+    return _shown(S.session_agg(_events(spark, sf), "ts", "30 minutes", ["user_id"], "value"))
 
 
 @query("session_max", "T07",
@@ -141,7 +147,7 @@ def bronze_silver_gold(spark, sf):
     rules = [R.expectation("known_type", F.col("event_type").isin("click", "view", "purchase"), R.DROP),
              R.expectation("has_value", F.col("value").isNotNull(), R.DROP)]
     silver = evaluate(bronze, rules).ok
-    return S.tumbling_agg(silver, "ts", "1 hour", ["event_type"], "value")
+    return _shown(S.tumbling_agg(silver, "ts", "1 hour", ["event_type"], "value"))
 
 
 @query("json_body", "T02",
@@ -182,7 +188,7 @@ def stream_tumbling(spark, sf):
     agg = S.tumbling_agg(S.file_stream(spark, src, schema), "ts", "5 minutes", ["event_type"], "value", watermark="10 minutes")
     out = _scratch(spark, "tumbling")
     S.run_available_now(agg, f"{out}-ckpt", out)
-    return spark.read.schema(agg.schema).parquet(out).select(
+    return _shown(spark.read.schema(agg.schema).parquet(out)).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n_events", "sum_value")
 
@@ -220,41 +226,72 @@ def stream_fan_out(spark, sf):
 
 
 @query("stream_session_max", ("T07", "T06"),
-       "WITH e AS (SELECT event_type, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTES OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS nw "
-       "FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)), "
+       "WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events), "
+       "e AS (SELECT event_type, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTES OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS nw "
+       "FROM events, m WHERE ts <= mark WINDOW w AS (PARTITION BY event_type ORDER BY ts)), "
        "s AS (SELECT event_type, ts, sum(nw) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e), "
-       "f AS (SELECT *, min(ts) OVER (PARTITION BY event_type, sid) AS s0, max(ts) OVER (PARTITION BY event_type, sid) AS s1 FROM s) "
-       "SELECT event_type, min(ts) AS piece_start, max(ts) AS piece_end, count(*) AS n_events FROM f "
-       "WHERE s1 + INTERVAL 30 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR "
-       "GROUP BY event_type, sid, floor((epoch_us(ts) - epoch_us(s0)) / 7200000000)")
+       "f AS (SELECT *, min(ts) OVER (PARTITION BY event_type, sid) AS s0 FROM s), "
+       "p AS (SELECT event_type, min(ts) AS piece_start, max(ts) AS piece_end, count(*) AS n_events FROM f "
+       "GROUP BY event_type, sid, floor((epoch_us(ts) - epoch_us(s0)) / 7200000000)) "
+       "SELECT p.* FROM p, m WHERE piece_end < (SELECT max(piece_end) FROM p q WHERE q.event_type = p.event_type) "
+       "OR piece_end + INTERVAL 30 MINUTES < mark")
 def stream_session_max(spark, sf):
-    """Sessions of at most two hours from a stream whose events come in any order; closed sessions only."""
+    """Sessions of at most two hours from a stream whose events come in any order; pieces that the watermark has closed."""
     src, schema = _stage_events(spark, sf, _events(spark, sf).repartition(5))
     out = _scratch(spark, "pieces")
-    pieces = S.sessions_max_duration_stream(S.file_stream(spark, src, schema), "ts", "event_type", 1800, 7200, "1 hour")
+    pieces = stateful.sessions_max_duration_stream(S.file_stream(spark, src, schema), "ts", "event_type", 1800, 7200, "1 hour")
     S.run_available_now(pieces, f"{out}-ckpt", out)
     return spark.read.schema(pieces.schema).parquet(out).select(
         "event_type", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("piece_start", "piece_end")], "n_events")
 
 
-@query("stream_late_split", ("T09", "T15"),
-       "WITH a AS (SELECT event_id, ts, event_id // (SELECT max(event_id) // 4 + 1 FROM events) + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS batch FROM events), "
-       "b AS (SELECT batch, max(ts) AS bmax FROM a GROUP BY batch), "
-       "w AS (SELECT batch, max(bmax) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 300 SECONDS AS wm FROM b) "
-       "SELECT CASE WHEN coalesce(a.ts < w.wm, false) THEN 'dead_letter' ELSE 'on_time' END AS destination, "
-       "count(*) AS n_rows FROM a JOIN w ON a.batch = w.batch GROUP BY 1")
-def stream_late_split(spark, sf):
-    """Files that arrive one after another, every 13th event one file late: a ``foreachBatch`` router
-    sends what is older than the watermark to the dead-letter table."""
+@query("stream_sliding_count", "T05",
+       "SELECT event_id, user_id, ts, n5 FROM (SELECT event_id, user_id, ts, count(*) OVER (PARTITION BY user_id "
+       "ORDER BY ts RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW) AS n5 FROM events) "
+       "WHERE n5 > 1 AND ts <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES")
+def stream_sliding_count(spark, sf):
+    """``sliding_count`` from a stream: events in any order, each user's count at every event that the watermark has passed."""
+    src, schema = _stage_events(spark, sf, _events(spark, sf).repartition(5))
+    out = _scratch(spark, "sliding")
+    counts = stateful.sliding_count_stream(S.file_stream(spark, src, schema), "ts", "user_id", 300, "10 minutes", "n5", ["event_id"]).filter("n5 > 1")
+    S.run_available_now(counts, f"{out}-ckpt", out)
+    return spark.read.schema(counts.schema).parquet(out).select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "n5")
+
+
+_ARRIVING = ("WITH a AS (SELECT event_id, ts, event_id // (SELECT max(event_id) // 4 + 1 FROM events) + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS batch FROM events), "
+             "b AS (SELECT batch, max(ts) AS bmax FROM a GROUP BY batch), "
+             "w AS (SELECT batch, max(bmax) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 300 SECONDS AS wm FROM b) ")
+
+
+def _arrive(spark, sf, name, router):
+    """Events land in five steps, every 13th one step late, and after each step a run routes what is new."""
     e = S.event_time(_events(spark, sf).select("event_id", "ts"), "ts")
     size = e.agg(F.floor(F.max("event_id") / 4) + 1).first()[0]
     batch = F.floor(F.col("event_id") / size) + F.when(F.col("event_id") % 13 == 0, 1).otherwise(0)
-    src, out = _scratch(spark, "arrivals"), _scratch(spark, "routed")
-    for b in range(5):  # one file each, so one micro-batch each
-        e.filter(batch == b).coalesce(1).write.mode("append").parquet(src)
-    stream = S.file_stream(spark, src, e.schema, max_files_per_trigger=1)
-    S.run_available_now(stream, f"{out}-ckpt", S.late_router(out, "ts", 300))
-    return spark.read.parquet(f"{out}/rows").groupBy("destination").agg(F.count(F.lit(1)).alias("n_rows"))
+    src, out = _scratch(spark, f"{name}-arrivals"), _scratch(spark, name)
+    for b in range(5):  # each step is one micro-batch, however many files it has
+        e.filter(batch == b).write.mode("append").parquet(src)
+        S.run_available_now(S.file_stream(spark, src, e.schema), f"{out}-ckpt", router(out))
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("stream_late_split", ("T09", "T15"),
+       _ARRIVING + "SELECT CASE WHEN coalesce(a.ts < w.wm, false) THEN 'dead_letter' ELSE 'on_time' END AS destination, "
+       "count(*) AS n_rows FROM a JOIN w ON a.batch = w.batch GROUP BY 1")
+def stream_late_split(spark, sf):
+    """A ``foreachBatch`` router sends what is older than the watermark to the dead-letter table."""
+    rows = _arrive(spark, sf, "routed", lambda out: S.late_router(out, "ts", 300))
+    return rows.groupBy("destination").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("stream_late_adjust", ("T09", "T15"),
+       _ARRIVING + "SELECT event_id, ts AS original_ts, CASE WHEN ts < wm - INTERVAL 3 DAYS THEN 'dead_letter' WHEN ts < wm THEN 'adjusted' ELSE 'on_time' END AS destination, "
+       "CASE WHEN ts < wm AND ts >= wm - INTERVAL 3 DAYS THEN greatest(ts, time_bucket(INTERVAL 5 MINUTES, wm)) ELSE ts END AS ts "
+       "FROM a JOIN w ON a.batch = w.batch")
+def stream_late_adjust(spark, sf):
+    """Late rows of up to three days are moved into the oldest open window and keep their own time; older ones are dead letters."""
+    rows = _arrive(spark, sf, "adjusted", lambda out: S.late_router(out, "ts", 300, 3 * 86_400, 300))
+    return rows.select("event_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("original_ts", "ts")], "destination")
 
 
 def _change_feed(spark, sf):

@@ -3,8 +3,7 @@
 Windowed aggregates use ``window``/``session_window`` + ``withWatermark``, so
 Spark keeps one partial aggregate per open window in the state store and
 evicts it when the watermark passes (bounded state).  Sessions with a maximum
-duration (T07) are closed sessions cut into pieces by a projection, so events
-may arrive in any order within the watermark.
+duration (T07) and counts per event (T05) as streams are in ``stateful``.
 """
 
 from __future__ import annotations
@@ -48,10 +47,10 @@ def event_time(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- windowed aggregates
-def _measure_aggs(value_col: str | None) -> list[Column]:
+def _measure_aggs(value_col: str | None, scale: int | None = None) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("n_events")]
     if value_col:
-        aggs.append(F.sum(F.col(value_col).cast("decimal(18,2)")).cast("double").alias("sum_value"))
+        aggs.append(F.sum(tf.summand(F.col(value_col), scale)).alias("sum_value"))
     return aggs
 
 
@@ -61,36 +60,36 @@ def _flatten_window(df: DataFrame, wcol: str) -> DataFrame:
 
 
 def tumbling_agg(df: DataFrame, ts_col: str, size: str, keys: list[str], value_col: str | None = None,
-                 watermark: str | None = None) -> DataFrame:
-    """Fixed, non-overlapping windows per key (count, exact sum)."""
+                 watermark: str | None = None, scale: int | None = None) -> DataFrame:
+    """Fixed, non-overlapping windows per key (count, sum of the values as they are; ``scale``: exact decimal sum)."""
     if watermark:
         df = event_time(df, ts_col).withWatermark(ts_col, watermark)
-    g = df.groupBy(F.window(ts_col, size).alias("w"), *keys).agg(*_measure_aggs(value_col))
+    g = df.groupBy(F.window(ts_col, size).alias("w"), *keys).agg(*_measure_aggs(value_col, scale))
     return _flatten_window(g, "w")
 
 
 def hopping_agg(df: DataFrame, ts_col: str, size: str, slide: str, keys: list[str],
-                value_col: str | None = None, watermark: str | None = None) -> DataFrame:
+                value_col: str | None = None, watermark: str | None = None, scale: int | None = None) -> DataFrame:
     """Overlapping windows (size, slide); each event counts in size/slide windows."""
     if watermark:
         df = event_time(df, ts_col).withWatermark(ts_col, watermark)
-    g = df.groupBy(F.window(ts_col, size, slide).alias("w"), *keys).agg(*_measure_aggs(value_col))
+    g = df.groupBy(F.window(ts_col, size, slide).alias("w"), *keys).agg(*_measure_aggs(value_col, scale))
     return _flatten_window(g, "w")
 
 
 def session_agg(df: DataFrame, ts_col: str, gap: str, keys: list[str], value_col: str | None = None,
-                watermark: str | None = None) -> DataFrame:
+                watermark: str | None = None, scale: int | None = None) -> DataFrame:
     """Gap-based sessions per key; a new session starts when the gap to the
     previous event is larger than ``gap``.  session_end = last event + gap."""
     if watermark:
         df = event_time(df, ts_col).withWatermark(ts_col, watermark)
-    g = df.groupBy(F.session_window(ts_col, gap).alias("w"), *keys).agg(*_measure_aggs(value_col))
+    g = df.groupBy(F.session_window(ts_col, gap).alias("w"), *keys).agg(*_measure_aggs(value_col, scale))
     return _flatten_window(g, "w").withColumnRenamed("window_start", "session_start") \
         .withColumnRenamed("window_end", "session_end")
 
 
 def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, chunk_seconds: int,
-                     value_col: str | None = None) -> DataFrame:
+                     value_col: str | None = None, scale: int | None = None) -> DataFrame:
     """Gap sessions from per-(key, gap bucket) partial aggregates.
 
     Time is cut into buckets as wide as the gap: events inside one bucket are
@@ -111,7 +110,7 @@ def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: i
     aggs = [F.min("__t").alias("__lo"), F.max("__t").alias("__hi"), F.count(F.lit(1)).alias("__n"),
             F.min(ts_col).alias("__lo_ts"), F.max(ts_col).alias("__hi_ts")]  # in the input's own type
     if value_col:
-        aggs.append(F.sum(F.col(value_col).cast("decimal(18,2)")).alias("__v"))
+        aggs.append(F.sum(tf.summand(F.col(value_col), scale)).alias("__v"))
     bk = df.select(*keys, ts_col, *([value_col] if value_col else []), t.alias("__t")) \
         .filter(F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / gap_us)) \
         .groupBy(*keys, "__b").agg(*aggs)
@@ -140,18 +139,18 @@ def _session_buckets(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: i
 
 
 def sessions_batch(df: DataFrame, ts_col: str, keys: list[str], gap_seconds: int, value_col: str | None = None,
-                   chunk_seconds: int = 86400) -> DataFrame:
+                   chunk_seconds: int = 86400, scale: int | None = None) -> DataFrame:
     """T06 batch twin of ``session_agg`` that stays parallel inside a hot key:
     session_start = first event, session_end = last event + gap (Spark's
-    ``session_window`` values), n_events, exact sum — all merged from the
+    ``session_window`` values), n_events, sum — all merged from the
     per-bucket partial aggregates of ``_session_buckets``; the events
     themselves are scanned and shuffled once, pre-aggregated."""
-    bk = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds, value_col)
+    bk = _session_buckets(df, ts_col, keys, gap_seconds, chunk_seconds, value_col, scale)
     aggs = [F.min("__lo_ts").alias("session_start"),
             (F.max("__hi_ts") + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("session_end"),
             F.sum("__n").alias("n_events")]
     if value_col:
-        aggs.append(F.sum("__v").cast("double").alias("sum_value"))
+        aggs.append(F.sum("__v").alias("sum_value"))
     out = bk.groupBy(*keys, "__s0").agg(*aggs)
     return out.select("session_start", "session_end", *keys,
                       *[c for c in out.columns if c in ("n_events", "sum_value")])
@@ -182,27 +181,6 @@ def sessions_max_duration(df: DataFrame, ts_col: str, keys: list[str], gap_secon
             .drop("__s0", "__piece"))
 
 
-def sessions_max_duration_stream(df: DataFrame, ts_col: str, key: str, gap_seconds: int, max_seconds: int,
-                                 watermark: str) -> DataFrame:
-    """T07 stream: the same pieces, emitted when a session closes.
-
-    ``session_window`` merges events that arrive in any order within the watermark; a closed session's
-    event times (its state: one long per event) are then cut into pieces of ``max_seconds``
-    from the session's start by built-in array functions."""
-    df = event_time(df, ts_col).withWatermark(ts_col, watermark)
-    closed = df.groupBy(F.session_window(ts_col, f"{gap_seconds} seconds").alias("w"), key) \
-        .agg(F.collect_list(F.unix_micros(ts_col)).alias("__t"))
-    closed = closed.select(key, "__t", F.array_min("__t").alias("__s"))
-
-    def piece(t: Column) -> Column:
-        return F.floor((t - F.col("__s")) / F.lit(max_seconds * 1_000_000))
-    pieces = closed.select("*", F.explode(F.array_distinct(F.transform("__t", piece))).alias("__p"))
-    pieces = pieces.select(key, F.filter("__t", lambda t: piece(t) == F.col("__p")).alias("__t"))
-    return pieces.select(key, F.timestamp_micros(F.array_min("__t")).alias("piece_start"),
-                         F.timestamp_micros(F.array_max("__t")).alias("piece_end"),
-                         F.size("__t").cast("long").alias("n_events"))
-
-
 # --------------------------------------------------------------------------- dedup, late data
 def dedup_within_watermark(df: DataFrame, keys: list[str], ts_col: str, watermark: str) -> DataFrame:
     """T10 stream: drop repeats of a key seen within the watermark delay
@@ -233,19 +211,33 @@ def late_split_batch(df: DataFrame, ts_col: str, batch_col: str, delay_seconds:
     return out.withColumn("is_late", F.coalesce(F.col(ts_col) < F.col("watermark"), F.lit(False)))
 
 
-def late_router(path: str, ts_col: str, delay_seconds: int) -> Callable[[DataFrame, int], None]:
-    """T09 stream: a ``foreachBatch`` function.  The watermark of a batch is the newest event time of
-    the batches before it, less ``delay_seconds``; older rows go to ``destination=dead_letter``, the
-    others to ``destination=on_time``.  Rows and the batch's newest time are kept under its batch id, so a
-    replay overwrites itself and sees the same watermark."""
+def late_router(path: str, ts_col: str, delay_seconds: int, adjust_seconds: int = 0,
+                window_seconds: int | None = None) -> Callable[[DataFrame, int], None]:
+    """T09 stream: a ``foreachBatch`` function that routes each row once, in one pass over the batch.
+
+    The watermark of a batch is the newest event time of the batches before it, less ``delay_seconds``.  Rows not older than it
+    go to ``destination=on_time``.  Of the older ones, those by at most ``adjust_seconds`` go to ``destination=adjusted``: they
+    are moved to the start of the oldest open window (windows of ``window_seconds``; the one the watermark lies in), unless they lie
+    in it already; the others go to ``destination=dead_letter``.  ``original_<ts>`` keeps every row's own time.  Rows and the
+    batch's newest time are kept under its batch id, so a replay overwrites itself and sees the same watermark."""
+    if adjust_seconds and not window_seconds:
+        raise ValueError("moving late rows into the oldest open window needs window_seconds")
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen = existing_parquet(spark, f"{path}/progress")
         newest = None if seen is None else seen.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
-        late = F.lit(False) if newest is None else F.coalesce(
-            F.col(ts_col) < F.lit(newest) - F.expr(f"INTERVAL {delay_seconds} SECONDS"), F.lit(False))
-        for name, rows in (("dead_letter", batch.filter(late)), ("on_time", batch.filter(~late))):
-            rows.write.mode("overwrite").parquet(f"{path}/rows/destination={name}/batch_id={batch_id}")
+        own, where = F.col(ts_col), F.lit("on_time")
+        moved = own
+        if newest is not None:
+            mark = F.lit(newest).cast(batch.schema[ts_col].dataType) - F.expr(f"INTERVAL {delay_seconds} SECONDS")
+            where = F.when(own < mark - F.expr(f"INTERVAL {adjust_seconds} SECONDS"), "dead_letter") \
+                .when(own < mark, "adjusted" if adjust_seconds else "dead_letter").otherwise("on_time")
+            if adjust_seconds:
+                oldest = F.window(mark.cast("timestamp"), f"{window_seconds} seconds").start.cast(batch.schema[ts_col].dataType)
+                moved = F.when(where == "adjusted", F.greatest(own, oldest)).otherwise(own)
+        rows = batch.select("*", where.alias("destination"), own.alias(f"original_{ts_col}")).withColumn(ts_col, moved)
+        rows.write.mode("overwrite").partitionBy("destination").parquet(f"{path}/rows/batch_id={batch_id}")
         batch.agg(F.max(ts_col).alias("newest")).write.mode("overwrite").parquet(f"{path}/progress/batch_id={batch_id}")
     return sink
 

@@ -28,9 +28,9 @@ def _run(df, tmp_dir, name, mode="append"):
 def test_tumbling_stream_equals_batch_for_closed_windows(spark, tmp_dir, tasks):
     src, schema, e = _stage(spark, tmp_dir, tasks)
     stream = S.file_stream(spark, src, schema)
-    out = _run(S.tumbling_agg(stream, "ts", "5 minutes", ["event_type"], "value", watermark="10 minutes"),
+    out = _run(S.tumbling_agg(stream, "ts", "5 minutes", ["event_type"], "value", "10 minutes", scale=2),
                tmp_dir, f"tumble_out{tasks}")
-    batch = S.tumbling_agg(e, "ts", "5 minutes", ["event_type"], "value")
+    batch = S.tumbling_agg(e, "ts", "5 minutes", ["event_type"], "value", scale=2)
     wm = e.agg(F.max("ts")).first()[0]
     import datetime as dt
     closed = batch.filter(F.col("window_end") <= F.lit(wm - dt.timedelta(minutes=10)))
@@ -39,34 +39,6 @@ def test_tumbling_stream_equals_batch_for_closed_windows(spark, tmp_dir, tasks):
     assert out.select(*cols).exceptAll(closed.select(*cols)).count() == 0
 
 
-@pytest.mark.parametrize("tasks", [1, 6])
-def test_session_max_stream_matches_batch_pieces(spark, tmp_dir, tasks):
-    """Whatever the arrival order; only sessions still open at the watermark are missing."""
-    src, schema, e = _stage(spark, tmp_dir, tasks)
-    stream = S.file_stream(spark, src, schema)
-    out = _run(S.sessions_max_duration_stream(stream, "ts", "event_type", 1800, 7200, "0 seconds"),
-               tmp_dir, f"smax_out{tasks}")
-    batch = S.sessions_max_duration(e, "ts", ["event_type"], 1800, 7200)
-    last = S.sessions_batch(e, "ts", ["event_type"], 1800).groupBy("event_type").agg(F.max("session_start").alias("open"))
-    closed = batch.join(last, "event_type").filter("piece_start < open")
-    cols = ["event_type", "piece_start", "piece_end", "n_events"]
-    got = out.select(*cols)
-    assert got.exceptAll(batch.select(*cols)).count() == 0  # everything emitted is a correct piece
-    assert closed.select(*cols).exceptAll(got).count() == 0
-
-
-def test_session_max_stream_takes_events_late_within_the_watermark(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "late_src")
-    ts = lambda *t: spark.createDataFrame([("a", x) for x in t], "k string, t string").selectExpr("k", "cast(t as timestamp) ts")
-    first = ts("2024-01-01 00:20:00", "2024-01-01 01:00:00")
-    for rows in (first, ts("2024-01-01 00:45:00"), ts("2024-01-01 09:00:00"), ts("2024-01-01 20:00:00")):
-        rows.coalesce(1).write.mode("append").parquet(src)
-    stream = S.file_stream(spark, src, first.schema, max_files_per_trigger=1)
-    out = _run(S.sessions_max_duration_stream(stream, "ts", "k", 1800, 7200, "60 minutes"), tmp_dir, "late_out")
-    got = sorted((str(r["piece_start"]), str(r["piece_end"]), r["n_events"]) for r in out.collect())
-    assert got[0] == ("2024-01-01 00:20:00", "2024-01-01 01:00:00", 3)
-
-
 def test_dedup_within_watermark(spark, tmp_dir):
     src = os.path.join(tmp_dir, "dup_src")
     e = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
