@@ -2,24 +2,30 @@
 
 1. Seeds: of the hashes of all runs of ``k`` words, the smallest of every ``window`` consecutive ones (robust
    winnowing), so any ``window + k - 1`` equal words share a seed.
-2. Every seed is paired with its first holder (the smallest document id): each occurrence with the holder's first
-   occurrence, and the i-th with the i-th, so repeated lines pair in order; two matches for each occurrence at most.
+2. Every seed is paired with an earlier holder: the first one (the smallest document id) or, where a block of documents holds
+   the key very often, the block's first. Each occurrence meets the holder's first occurrence, and the i-th
+   the i-th, so repeated lines pair in order; two matches for each occurrence at most.
 3. The matches of a (document, holder) pair are chained: a Fenwick tree over positions in the holder gives the best
-   predecessor under a linear gap cost.  Chains are cut at gaps that no passage has; one seed makes a chain.
-4. The words around each chain are aligned: equal runs between seeds are taken as they are, other gaps by their longest
+   predecessor under a linear gap cost.  Chains are cut at gaps that no passage has; one seed makes a chain. What lies in a
+   chain that is a passage for sure (its seeds alone match ``percent`` of its words) is not looked at again.
+4. Other text whose seeds stand close enough for a passage is looked up by pairs of seeds at most ``PAIR`` words apart, each pair with
+   its own first holder: so a passage is found, edited or not, whose phrases have other first holders.
+5. The words around each chain are aligned: equal runs between seeds are taken as they are, other gaps by their longest
    common subsequence, and both ends are extended.  Of the alignment's equal runs, all stretches of at least
    ``min_words`` words with ``percent`` of them matched are reported for the later document; the first holder keeps them.
-5. Text whose seeds all have earlier holders, but whose passage was not reported, is looked up by its runs of
+6. Text whose seeds all have earlier holders, and that is still not reported, is looked up by its runs of
    ``min_words`` words among all such text: every exact run of ``min_words`` words is reported, also where its
-   phrases have other first holders.
+   phrases and their pairs have other first holders (but for fewer than ``window`` words at an end, if a reported
+   passage of another holder stops there).
 
-Skew: seeds travel as one block for each bucket of keys and part of the documents, so a hot seed is a part of one
-block of each; a chain group holds at most one document's seeds.
+Skew: seeds travel as one block for each bucket of keys and block of documents, keys of 40 bits in byte planes; a key that a block
+holds over ``HOT`` times is matched inside the block, and only its first holder travels, so a bucket has at most ``HOT`` occurrences
+of a key from each block. Buckets hold ``BUCKET_CHARS`` characters' seeds each, whatever the size of the corpus. A chain group holds at
+most one document's seeds.
 
 Edge cases: a null or short text and a null id give no passage; rows that repeat an id with one text are
-one document; where an id has several texts, passages are reported for one of them (the largest by its word
-hashes) and cut from rows with that text only; an empty table gives no rows; other columns are
-ignored by ``passages`` and kept by ``cut_passages``.
+one document; where an id has several texts, each text is a document, later ones by their hash; an
+empty table gives no rows; other columns are ignored by ``passages`` and kept by ``cut_passages``.
 """
 
 from __future__ import annotations
@@ -31,13 +37,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import free_name, materialise, shingle_hashes, signed, word_hashes
+from .common import Memo, free_name, materialise, mix, shingle_hashes, signed
 
 K, WINDOW, MIN_WORDS, PERCENT = 5, 4, 50, 80
-#: Words between two seeds of a chain part; characters of text for a bucket of seeds, and most buckets.
-GAP, BUCKET_CHARS, BUCKETS = 45, 2_000_000, 2048
+#: Words between two seeds of a chain part, and between two seeds of a pair; characters of text for a bucket of seeds.
+GAP, PAIR, BUCKET_CHARS = 45, 30, 32_000_000
+#: Occurrences of a key in a block, and of a pair in a document, from which they are a common line's.
+HOT, REPEATS = 32, 8
+LOW = np.uint64((1 << 40) - 1)
 GAP_COST = 0.1
 #: Words that an edit may replace, on either side, smallest first.
 EDITS = sorted(((i, j) for i in range(5) for j in range(5) if i or j), key=lambda e: (max(e), sum(e)))
@@ -48,9 +58,17 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def short_hashes(text: str | None) -> bytes:
-    """The words as little-endian 32-bit hashes."""
-    return word_hashes(words_of(text)).astype("<u4").tobytes()
+def to_words(text: str | None, memo: Memo) -> bytes:
+    """The words as 24-bit hashes."""
+    w = words_of(text)
+    return np.fromiter(map(memo.__getitem__, w), np.uint64, len(w)).view(np.uint8).reshape(-1, 8)[:, :3].tobytes()
+
+
+def from_words(raw) -> np.ndarray:
+    part = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+    out = np.zeros((len(part), 4), np.uint8)
+    out[:, :3] = part
+    return out.reshape(-1).view("<u4")
 
 
 def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -249,55 +267,104 @@ def segments(runs: list[tuple[int, int, int]], size: int, min_words: int = MIN_W
     return out
 
 
-def seed_blocks(df: DataFrame, id_col: str, text_col: str, k: int, window: int, min_words: int, buckets: int) -> DataFrame:
-    """Seeds as ``(bucket, seeds, pos, doc, ids)``: one row for each bucket of keys and about a million words; ``doc`` is an index into ``ids``."""
+def planes(x: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of 64-bit numbers, first bytes first: planes of zeros cost nothing in a shuffle."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(raw, width: int) -> np.ndarray:
+    part = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    out = np.zeros((len(part), 8), np.uint8)
+    out[:, :width] = part
+    return out.reshape(-1).view("<u8")
+
+
+def ranks(ids: pa.Array, versions: np.ndarray) -> np.ndarray:
+    """Dense ranks of ``(id, version)``."""
+    rows = pa.table([ids, pa.array(versions)], names=["id", "v"])
+    order = pc.sort_indices(rows, sort_keys=[("id", "ascending"), ("v", "ascending")])
+    rows, out = rows.take(order), np.zeros(len(ids), np.int64)
+    if len(ids) > 1:
+        differ = [pc.not_equal(rows.column(c).slice(1), rows.column(c).slice(0, len(ids) - 1)).to_numpy() for c in ("id", "v")]
+        out[order.to_numpy()[1:]] = np.cumsum(differ[0] | differ[1])
+    return out
+
+
+def seed_blocks(docs: DataFrame, k: int, window: int, min_words: int, buckets: int) -> DataFrame:
+    """Seeds as ``(bucket, salt, seeds, pos, doc, ids, versions)``: one row for each bucket of keys and block of documents; ``doc`` is an index into ``ids``.
 
-    def block(ids: pa.Array, found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        keys = np.concatenate([a for _, a, _ in found])
-        order = np.argsort(keys, kind="stable")
-        keys, pos = keys[order], np.concatenate([p for _, _, p in found]).astype("<u4")[order]
-        doc = np.repeat([i for i, _, _ in found], [len(a) for _, a, _ in found])[order]
-        bucket = ((keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int32)
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]))
+    A block's occurrences of a key that it holds over ``HOT`` times stay together in a row of the block's own; only the
+    first one also goes to the key's bucket.
+    """
+    block_words = int(np.clip(64 * buckets, 1_000_000, 8_000_000))
+
+    def block(ids: pa.Array, versions: np.ndarray, salt: int, found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, pos = (np.concatenate([f[c] for f in found]) for c in (1, 2))
+        doc = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
+        order = np.lexsort((pos, ranks(ids, versions)[doc], key))
+        key, pos, doc = key[order], pos[order], doc[order]
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        edge = np.flatnonzero(first)
+        hot = np.repeat(np.diff(np.append(edge, len(key))) > HOT, np.diff(np.append(edge, len(key))))
+        bucket = ((key >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
         rows, at, lengths = [], [], []
-        for lo, hi in zip(edges, edges[1:]):
-            own, local = np.unique(doc[lo:hi], return_inverse=True)
-            rows.append((keys[lo:hi].astype("<u8").tobytes(), pos[lo:hi].tobytes(), local.astype("<u4").tobytes()))
+
+        def row(chosen: np.ndarray, bucket: int, salt: int) -> None:
+            own, local = np.unique(doc[chosen], return_inverse=True)
+            sub = key[chosen] & LOW
+            by = np.argsort(sub, kind="stable")
+            rows.append((bucket, salt, planes(np.diff(sub[by], prepend=np.uint64(0)), 5), planes(pos[chosen][by], 4), planes(local[by], 4)))
             at.append(own)
             lengths.append(len(own))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), ids.take(pa.array(np.concatenate(at))))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), *(pa.array([r[c] for r in rows], pa.binary()) for c in range(3)), lists], names=["bucket", "seeds", "pos", "doc", "ids"])
+
+        if hot.any():
+            row(np.flatnonzero(hot), -1, salt)
+        rest = np.flatnonzero(~hot | first)
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[rest])) + 1, [len(rest)]))
+        for lo, hi in zip(cuts, cuts[1:]):
+            row(rest[lo:hi], int(bucket[rest[lo]]), 0)
+        at, offsets = pa.array(np.concatenate(at)), pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, x.take(at)) for x in (ids, pa.array(versions))]
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 3)
+        return pa.RecordBatch.from_arrays([*(pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)), *lists], names=["bucket", "salt", "seeds", "pos", "doc", "ids", "versions"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, number = Memo(xxhash.xxh3_64_intdigest), TaskContext.get().partitionId() << 32
         for batch in batches:
+            versions = batch.column(1).to_numpy()
             found, n = [], 0
-            for i, text in enumerate(batch.column(1)):
+            for i, text in enumerate(batch.column(2)):
                 w = words_of(text.as_py())
                 if len(w) >= min_words:
-                    found.append((i, *seeds_of(word_hashes(w), k, window)))
+                    found.append((i, *seeds_of(np.fromiter(map(memo.__getitem__, w), np.uint64, len(w)), k, window)))
                     n += len(w)
-                if found and (n >= 1_000_000 or i == batch.num_rows - 1):
-                    yield block(batch.column(0), found)
+                if found and (n >= block_words or i == batch.num_rows - 1):
+                    number += 1
+                    yield block(batch.column(0), versions, number, found)
                     found, n = [], 0
             if found:
-                yield block(batch.column(0), found)
+                number += 1
+                yield block(batch.column(0), versions, number, found)
 
-    kind = df.select(id_col).schema[0].dataType.simpleString()
-    return df.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, f"bucket int, seeds binary, pos binary, doc binary, ids array<{kind}>")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"bucket long, salt long, seeds binary, pos binary, doc binary, ids array<{kind}>, versions array<long>")
 
 
 def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
-    """``(id, ref, pos, ref_pos)``: every seed occurrence with its first holder's first occurrence, and the i-th with the i-th."""
+    """``(id, v, ref, ref_v, pos, ref_pos)``: every seed occurrence with its first holder's first occurrence, and the i-th with the i-th."""
 
     def run(table: pa.Table) -> pa.Table:
         lists = table.column("ids").combine_chunks()
-        ids, starts = lists.flatten(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
-        key, pos, doc = (np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table.column(c)]) for c, kind in (("seeds", "<u8"), ("pos", "<u4"), ("doc", "<u4")))
-        doc = doc + np.repeat(starts[:-1], [len(v.as_buffer()) // 4 for v in table.column("doc")])
-        rank = pc.rank(ids, sort_keys="ascending", tiebreaker="dense").to_numpy()[doc]
+        ids, versions = lists.flatten(), table.column("versions").combine_chunks().flatten().to_numpy()
+        starts = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        raw = [table.column(c).to_pylist() for c in ("seeds", "pos", "doc")]
+        key = np.concatenate([np.cumsum(from_planes(r, 5)) for r in raw[0]])
+        pos = np.concatenate([from_planes(r, 4) for r in raw[1]]).astype(np.int64)
+        doc = np.concatenate([from_planes(r, 4).astype(np.int64) + s for r, s in zip(raw[2], starts)])
+        rank = ranks(ids, versions)[doc]
         order = np.lexsort((pos, rank, key))
         key, pos, doc, rank = key[order], pos[order], doc[order], rank[order]
-        keep = np.concatenate(([True], (key[1:] != key[:-1]) | (rank[1:] != rank[:-1]) | (pos[1:] != pos[:-1])))  # rows that repeat an id
+        keep = np.concatenate(([True], (key[1:] != key[:-1]) | (rank[1:] != rank[:-1]) | (pos[1:] != pos[:-1])))  # rows that repeat a document
         key, pos, doc, rank = key[keep], pos[keep], doc[keep], rank[keep]
         new = np.concatenate(([True], key[1:] != key[:-1]))
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -305,161 +372,304 @@ def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
         nth = np.arange(len(key)) - np.flatnonzero(own)[np.cumsum(own) - 1]
         later = np.flatnonzero(rank != rank[first])
         also = later[nth[later] > 0]
-        also = also[rank[first[also] + nth[also]] == rank[first[also]]]
+        also = also[first[also] + nth[also] < len(key)]
+        also = also[(rank[first[also] + nth[also]] == rank[first[also]]) & (key[first[also] + nth[also]] == key[also])]
         a, b = np.concatenate((later, also)), np.concatenate((first[later], first[also] + nth[also]))
-        return pa.table([ids.take(pa.array(doc[a])), ids.take(pa.array(doc[b])), pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32))], names=["id", "ref", "pos", "ref_pos"])
+        return pa.table([ids.take(pa.array(doc[a])), pa.array(versions[doc[a]]), ids.take(pa.array(doc[b])), pa.array(versions[doc[b]]), pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32))], names=["id", "v", "ref", "ref_v", "pos", "ref_pos"])
+
+    return blocks.groupBy("bucket", "salt").applyInArrow(run, f"id {kind}, v long, ref {kind}, ref_v long, pos int, ref_pos int")
+
 
-    return blocks.groupBy("bucket").applyInArrow(run, f"id {kind}, ref {kind}, pos int, ref_pos int")
+def numbers(values: pa.Array) -> np.ndarray:
+    """64-bit codes of ids, equal on every worker."""
+    if pa.types.is_integer(values.type):
+        return values.cast(pa.int64()).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return np.fromiter((xxhash.xxh3_64_intdigest(repr(x)) for x in values.to_pylist()), np.uint64, len(values))
+
+
+def seed_pairs(pos: np.ndarray, code: np.ndarray, k: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and positions of pairs of seeds at most ``PAIR`` words apart, where seeds stand close enough for a passage.
+
+    A pair that stands over ``REPEATS`` times belongs to repeated lines: its first place is enough.
+    """
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(pos) > GAP) + 1, [len(pos)]))
+    dense = np.zeros(len(pos), bool)
+    for lo, hi in zip(edges, edges[1:]):
+        if hi - lo > 2 and pos[hi - 1] + k - pos[lo] >= min_words // 2:
+            dense[lo:hi] = True
+    pos, code = pos[dense], code[dense]
+    keys, at, step = [], [], 1
+    while step < len(pos):
+        apart = pos[step:] - pos[:-step]
+        if not (apart <= PAIR).any():
+            break
+        take = (apart <= PAIR) & (apart >= k)
+        with np.errstate(over="ignore"):
+            keys.append(mix(code[:-step][take] * np.uint64(0x9E3779B97F4A7C15) + code[step:][take]))
+        at.append(pos[:-step][take])
+        step += 1
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    keys, at = np.concatenate(keys), np.concatenate(at)
+    order = np.lexsort((at, keys))
+    keys, at = keys[order], at[order]
+    edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    n = np.diff(np.append(edge, len(keys)))
+    keep = np.repeat(n <= REPEATS, n)
+    keep[edge] = True
+    return keys[keep], at[keep]
+
+
+def document_chains(refs: list, pos: np.ndarray, ref_pos: np.ndarray, k: int, min_words: int, percent: int) -> tuple[list[tuple], list[tuple[int, int]]]:
+    """``(ref, positions, holder's positions)`` of the parts of chains that need an alignment, and the spans that are passages for sure.
+
+    Occurrences of one seed that each stand alone become one row with the holder's position repeated.
+    """
+    by: dict = {}
+    for m, r in enumerate(refs):
+        by.setdefault(r, []).append(m)
+    a, b = pos.tolist(), ref_pos.tolist()
+    parts, alone = [], []
+    for r, own in by.items():
+        for part in cut_chains(chain([(a[m], b[m]) for m in own], k), GAP) if len(own) > 1 else [[(a[own[0]], b[own[0]])]]:
+            (parts if len(part) > 1 else alone).append((r, part))
+    parts.sort(key=lambda x: x[1][0][0] - x[1][-1][0])
+    sure: list[tuple[int, int]] = []
+    rows = []
+    for r, part in parts:
+        lo, hi = part[0][0], part[-1][0] + k
+        if any(s <= lo and hi <= e for s, e in sure):
+            continue
+        words = k + sum(min(k, c - x) for (x, _), (c, _) in zip(part, part[1:]))
+        if hi - lo >= min_words and 100 * words >= percent * max(hi - lo, part[-1][1] + k - part[0][1]) and all(c - x >= k or c - x == d - y for (x, y), (c, d) in zip(part, part[1:])):
+            sure.append((lo, hi))
+        rows.append((r, [x for x, _ in part], [y for _, y in part]))
+    lines: dict = {}
+    for r, [(x, y)] in alone:
+        if not any(s <= x and x + k <= e for s, e in sure):
+            lines.setdefault((r, y), []).append(x)
+    for (r, y), places in lines.items():
+        places.sort()
+        start = 0
+        for i in range(1, len(places) + 1):  # one row for places that are close, and not for too many words
+            if i == len(places) or places[i] - places[i - 1] > 2 * GAP or places[i] - places[start] > 4096:
+                rows.append((r, places[start:i], [y] * (i - start)))
+                start = i
+    return rows, sure
 
 
-def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int) -> DataFrame:
-    """``(id, ref, a, b)``: parts of chains; without ``ref``, the starts and stops of text whose seeds all have earlier holders."""
+def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, percent: int, again: bool) -> DataFrame:
+    """``(id, v, ref, ref_v, a, b, keys)``: parts of chains; without ``ref``, pairs of seeds (``keys`` at ``a``) and the starts and stops of text whose seeds all have earlier holders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, refs = [], []
-            for i, found in enumerate(batch.column(1)):
-                ref, pos, ref_pos = found.values.flatten()
-                pairs, by = list(zip(pos.to_pylist(), ref_pos.to_pylist())), {}
-                for m, r in enumerate(ref.to_pylist()):
-                    by.setdefault(r, []).append(m)
-                parts = [(p, own[0]) for own in by.values() for p in cut_chains(chain([pairs[m] for m in own], k), GAP)]
-                parts.sort(key=lambda p: p[0][0][0] - p[0][-1][0])
-                exact: list[tuple[int, int]] = []  # what is reported for sure
-                for p, m in parts:
-                    lo, hi = p[0][0], p[-1][0]
-                    if any(s <= lo and hi <= e for s, e in exact):
-                        continue
-                    if hi + k - lo >= min_words and p[0][0] - p[0][1] == p[-1][0] - p[-1][1] and all(c - a == d - b <= k for (a, b), (c, d) in zip(p, p[1:])):
-                        exact.append((lo, hi))
-                    rows.append((i, [a for a, _ in p], [b for _, b in p]))
-                    refs.append(ref[m].as_py())
-                at = np.unique([a for a, _ in pairs])
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(at) > window) + 1, [len(at)]))
-                spans = [(max(0, int(at[lo]) - window + 1), int(at[hi - 1]) + k + window - 1) for lo, hi in zip(edges, edges[1:])]
-                spans = [(s, e) for s, e in spans if e - s >= min_words]
-                if spans:
-                    rows.append((i, [s for s, _ in spans], [e for _, e in spans]))
+            for at in range(0, batch.num_rows, 256):
+                yield work(batch.slice(at, 256))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, refs, versions, keys = [], [], [], []
+        for i, found in enumerate(batch.column(2)):
+            ref, ref_v, pos, ref_pos = found.values.flatten()
+            pos, ref_pos = pos.to_numpy(), ref_pos.to_numpy()
+            names = list(zip(ref.to_pylist(), ref_v.to_pylist()))
+            chains, sure = document_chains(names, pos, ref_pos, k, min_words, percent)
+            for (r, v), a, b in chains:
+                rows.append((i, a, b))
+                refs.append(r)
+                versions.append(v)
+                keys.append(None)
+            if not again:
+                continue
+            order = np.lexsort((ref_pos, pos))
+            order = order[np.concatenate(([True], np.diff(pos[order]) > 0))]
+            at = pos[order].astype(np.int64)
+            with np.errstate(over="ignore"):  # a seed is named by its first holder's first place
+                code = mix(mix(numbers(ref) + ref_v.to_numpy().view(np.uint64) * np.uint64(31)) + ref_pos.astype(np.uint64))[order]
+            left = np.ones(len(at), bool)
+            for s, e in sure:
+                left &= (at < s) | (at + k > e)
+            pairs, places = seed_pairs(at[left], code[left], k, min_words)
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(at) > window) + 1, [len(at)]))
+            spans = [(max(0, int(at[lo]) - window + 1), int(at[hi - 1]) + k + window - 1) for lo, hi in zip(edges, edges[1:])]
+            spans = [(s, e) for s, e in spans if e - s >= min_words and not any(x <= s + window and e - window <= y for x, y in sure)]
+            for a, b, own in ((places.tolist(), [], signed(pairs).tolist()), ([s for s, _ in spans], [e for _, e in spans], None)):
+                if a:
+                    rows.append((i, a, b))
                     refs.append(None)
-            at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(refs, batch.column(0).type), *(pa.array([r[c] for r in rows], pa.list_(pa.int32())) for c in (1, 2))], names=["id", "ref", "a", "b"])
+                    versions.append(None)
+                    keys.append(own)
+        at = pa.array([r[0] for r in rows], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(refs, batch.column(0).type), pa.array(versions, pa.int64()), *(pa.array([r[c] for r in rows], pa.list_(pa.int32())) for c in (1, 2)), pa.array(keys, pa.list_(pa.int64()))], names=["id", "v", "ref", "ref_v", "a", "b", "keys"])
+
+    grouped = hits.groupBy("id", "v").agg(F.collect_list(F.struct("ref", "ref_v", "pos", "ref_pos")).alias("m"))  # at most one document's seeds
+    return grouped.mapInArrow(run, f"id {kind}, v long, ref {kind}, ref_v long, a array<int>, b array<int>, keys array<long>")
 
-    grouped = hits.groupBy("id").agg(F.collect_list(F.struct("ref", "pos", "ref_pos")).alias("m"))  # at most one document's seeds
-    return grouped.mapInArrow(run, f"id {kind}, ref {kind}, a array<int>, b array<int>")
+
+def alike(x: np.ndarray, y: np.ndarray, min_words: int) -> np.ndarray:
+    """Starts of the stretches of ``min_words`` words of ``x`` that may lie in a passage: seven in ten of their words are in ``y`` (a passage of four in five has such a stretch)."""
+    size = min(min_words, len(x))
+    total = np.concatenate(([0], np.cumsum(np.isin(x, y))))
+    return np.flatnonzero(10 * (total[size:] - total[:-size]) >= 7 * min_words)
+
+
+def align_row(x: np.ndarray, y: np.ndarray, a: list[int], b: list[int], k: int, min_words: int, percent: int) -> list[tuple[int, int, int, int, int]]:
+    """Passages around one chain, or around each of the places ``a`` of one seed."""
+    reach = max(GAP, min_words + 14)
+    lines = len(a) > 1 and b[0] == b[-1]
+    if lines or len(a) < 3:
+        starts = alike(x, y, min_words)
+        if not len(starts):
+            return []
+    there, out = y.tolist(), []
+    for place in a if lines else a[:1]:
+        seeds, at, here = list(zip(a, b)), 0, x
+        if lines:
+            if out and out[-1][0] <= place and place + k <= out[-1][1]:
+                continue
+            i = np.searchsorted(starts, place - reach)
+            if i == len(starts) or starts[i] > place + reach:
+                continue
+            at = max(0, place - reach)
+            seeds, here = [(place - at, b[0])], x[at : place + k + reach]
+        here = here.tolist()
+        runs = equal_runs(here, there, seeds, k, min_words)
+        good = segments(runs, len(here), min_words, percent)
+        if not good and sum(n for _, _, n in runs) > 2 * k:
+            good = segments(equal_runs(here, there, seeds, k, min_words, True), len(here), min_words, percent)
+        out += [(s + at, e + at, t, f, n) for s, e, t, f, n in good]
+    return out
 
 
 def _aligned(chains: DataFrame, words: DataFrame, kind: str, k: int, min_words: int, percent: int) -> DataFrame:
     reach = max(GAP, min_words + 14)
 
-    def around(seeds: str):  # the words a chain can reach, and where they start
-        lo = F.greatest(F.lit(0), F.col(seeds)[0] - reach)
-        return lo, F.substring("words", lo * 4 + 1, (F.element_at(seeds, -1) + k + reach - lo) * 4)
+    def around(first, last):  # the words a chain can reach, and where they start
+        lo = F.greatest(F.lit(0), first - reach)
+        return lo, F.substring("words", lo * 3 + 1, (last + k + reach - lo) * 3)
 
-    lo, part = around("b")
-    near = chains.join(words.withColumnRenamed("id", "ref"), "ref").select("id", "ref", "a", "b", lo.alias("b_lo"), part.alias("y"))
-    lo, part = around("a")
-    near = near.join(words, "id").select("id", "ref", "a", "b", "b_lo", "y", lo.alias("a_lo"), part.alias("x"), F.xxhash64("words").alias("version"))
+    lo, part = around(F.array_min("b"), F.array_max("b"))
+    near = chains.join(words.select(F.col("id").alias("ref"), F.col("v").alias("ref_v"), "words"), ["ref", "ref_v"]).select("id", "v", "ref", "ref_v", "a", "b", lo.alias("b_lo"), part.alias("y"))
+    lo, part = around(F.col("a")[0], F.element_at("a", -1))
+    near = near.join(words, ["id", "v"]).select("id", "v", "ref", "ref_v", "a", "b", "b_lo", "y", lo.alias("a_lo"), part.alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            a, b, b_lo, y, a_lo, x = (batch.column(i) for i in range(2, 8))
+            a, b, b_lo, y, a_lo, x = (batch.column(i) for i in range(4, 10))
             for i in range(batch.num_rows):
                 p, q = a_lo[i].as_py(), b_lo[i].as_py()
-                here = np.frombuffer(x[i].as_buffer(), "<u4").tolist()
-                there, seeds = np.frombuffer(y[i].as_buffer(), "<u4").tolist(), [(u - p, v - q) for u, v in zip(a[i].as_py(), b[i].as_py())]
-                runs = equal_runs(here, there, seeds, k, min_words)
-                good = segments(runs, len(here), min_words, percent)
-                if not good and sum(n for _, _, n in runs) > 2 * k:
-                    good = segments(equal_runs(here, there, seeds, k, min_words, True), len(here), min_words, percent)
+                good = align_row(from_words(x[i].as_buffer()), from_words(y[i].as_buffer()), [u - p for u in a[i].as_py()], [v - q for v in b[i].as_py()], k, min_words, percent)
                 rows += [(i, s + p, e + p, t + q, f + q, n) for s, e, t, f, n in good]
             at = pa.array([r[0] for r in rows], pa.int64())
             c = [pa.array([r[j] for r in rows], pa.int64()) for j in range(1, 6)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), c[0], c[1], batch.column(1).take(at), c[2], c[3], c[4], batch.column(8).take(at)], names=["id", "start", "stop", "ref_id", "ref_start", "ref_stop", "matched", "version"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), c[0], c[1], batch.column(2).take(at), c[2], c[3], c[4]], names=["id", "v", "start", "stop", "ref_id", "ref_start", "ref_stop", "matched"])
 
-    return near.mapInArrow(run, f"id {kind}, start long, stop long, ref_id {kind}, ref_start long, ref_stop long, matched long, version long")
+    return near.mapInArrow(run, f"id {kind}, v long, start long, stop long, ref_id {kind}, ref_start long, ref_stop long, matched long")
 
 
 def _long_runs(spans: DataFrame, kind: str, min_words: int, all_of_them: bool) -> DataFrame:
-    """``(run, id, pos)``: hashes of the runs of ``min_words`` words in the given text; those within reported passages only if asked."""
+    """``(run, id, v, pos)``: hashes of the runs of ``min_words`` words in the given text; those within reported passages only if asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words = np.frombuffer(batch.column(3)[i].as_buffer(), "<u4").astype(np.uint64)
+                words = from_words(batch.column(4)[i].as_buffer()).astype(np.uint64)
                 bare = np.ones(len(words), np.int64)
-                for s in batch.column(4)[i].as_py() or () if not all_of_them else ():
+                for s in batch.column(5)[i].as_py() or () if not all_of_them else ():
                     bare[s["start"] : s["stop"]] = 0
                 bare = np.concatenate(([0], np.cumsum(bare)))
-                for lo, hi in zip(batch.column(1)[i].as_py(), batch.column(2)[i].as_py()):
+                for lo, hi in zip(batch.column(2)[i].as_py(), batch.column(3)[i].as_py()):
                     hi = min(hi, len(words))
                     at = np.arange(lo, hi - min_words + 1)
                     at = at[bare[at + min_words] > bare[at]]
                     if len(at):
                         keys = shingle_hashes(words[lo:hi], min_words)[at - lo]
-                        yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), batch.column(0).take(pa.array(np.full(len(at), i))), pa.array(at.astype(np.int32))], names=["run", "id", "pos"])
+                        own = pa.array(np.full(len(at), i))
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), batch.column(0).take(own), batch.column(1).take(own), pa.array(at.astype(np.int32))], names=["run", "id", "v", "pos"])
+
+    return spans.select("id", "v", "a", "b", "words", "spans").mapInArrow(run, f"run long, id {kind}, v long, pos int")
+
 
-    return spans.select("id", "a", "b", "words", "spans").mapInArrow(run, f"run long, id {kind}, pos int")
+def _first_held(rows: DataFrame, asking: DataFrame, key: str) -> DataFrame:
+    """``(id, v, ref, ref_v, pos, ref_pos)``: each asking row with its key's first holder, another document; by a partial minimum, so a common key is combined before the shuffle."""
+    first = rows.groupBy(key).agg(F.min(F.struct("id", "v", "pos")).alias("first"), F.min("v").alias("lo"), F.max(F.struct("id", "v")).alias("last"))
+    first = first.where("first.id <> last.id or first.v <> last.v").select(key, "first")
+    held = asking.join(first, key).where("first.id <> id or first.v <> v")
+    return held.select("id", "v", F.col("first.id").alias("ref"), F.col("first.v").alias("ref_v"), "pos", F.col("first.pos").alias("ref_pos")).distinct()
 
 
 def _outermost(found: DataFrame, kind: str) -> DataFrame:
     """Without passages that lie in another one of their document; of equal ones the first holder's stays."""
-    columns = ["start", "stop", "ref_id", "ref_start", "ref_stop", "matched", "version"]
+    columns = ["start", "stop", "ref_id", "ref_start", "ref_stop", "matched"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, own in enumerate(batch.column(1).to_pylist()):
+            for i, own in enumerate(batch.column(2).to_pylist()):
                 end = -1
                 for r in sorted(own, key=lambda r: (r["start"], -r["stop"], r["ref_id"], r["ref_start"])):
                     if r["stop"] > end:
                         rows.append((i, r))
                         end = r["stop"]
-            of = batch.schema.field(1).type.value_type
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, _ in rows], pa.int64())), *(pa.array([r[c] for _, r in rows], of.field(c).type) for c in columns)], names=["id", *columns])
+            of, at = batch.schema.field(2).type.value_type, pa.array([i for i, _ in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *(pa.array([r[c] for _, r in rows], of.field(c).type) for c in columns), batch.column(1).take(at)], names=["id", *columns, "version"])
 
-    grouped = found.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("own"))  # at most one document's chains
+    grouped = found.groupBy("id", "v").agg(F.collect_list(F.struct(*columns)).alias("own"))  # at most one document's chains
     return grouped.mapInArrow(run, f"id {kind}, start long, stop long, ref_id {kind}, ref_start long, ref_stop long, matched long, version long")
 
 
-def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``(id, start, stop, ref_id, ref_start, ref_stop, matched, version)``: word ranges (stop exclusive) that an earlier document holds."""
-    kind = df.select(id_col).schema[0].dataType.simpleString()
-    chars = df.agg(F.sum(F.length(text_col))).first()[0] or 0
-    buckets = min(BUCKETS, 1 + chars // BUCKET_CHARS)
-    hits = first_matches(seed_blocks(df, id_col, text_col, k, window, min_words, buckets), kind)
-    both = materialise(_chained(hits, kind, k, window, min_words), "chains")
-    chains = both.where("ref is not null")
+def versioned(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """``df`` with ``name``: 0, or the hash of the row's text where its id has several texts."""
+    text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    several = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(f"{name}_of")).agg(F.min(text).alias("lo"), F.max(text).alias("hi")).where("lo <> hi").select(f"{name}_of")
+    n = several.count()
+    if not n:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    several = F.broadcast(several) if n <= 10_000 else several  # few ids with several texts
+    return df.join(several, F.col(id_col) == F.col(f"{name}_of"), "left").withColumn(name, F.when(F.col(f"{name}_of").isNotNull(), text).otherwise(F.lit(0))).drop(f"{name}_of")
 
-    ids = materialise(both.select(F.explode(F.array("id", "ref")).alias("id")).where("id is not null").distinct(), "ids")
-    texts = df.select(F.col(id_col).alias("id"), text_col).join(ids, "id", "left_semi")
+
+def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``(id, start, stop, ref_id, ref_start, ref_stop, matched, version)``: word ranges (stop exclusive) that an earlier document holds; ``version`` as ``versioned`` gives it."""
+    docs = versioned(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", "v").select("id", "v", "text")
+    kind = docs.schema["id"].dataType.simpleString()
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    hits = first_matches(seed_blocks(docs, k, window, min_words, 1 + chars // BUCKET_CHARS), kind)
+    both = materialise(_chained(hits, kind, k, window, min_words, percent, True), "chains")
+
+    # Text whose seeds have other first holders: pairs of seeds, with holders of their own.
+    pairs = both.where("keys is not null").select("id", "v", F.explode(F.arrays_zip("keys", "a")).alias("p")).select("id", "v", F.col("p.keys").alias("key"), F.col("p.a").alias("pos"))
+    more = _chained(_first_held(pairs, pairs, "key"), kind, k, window, min_words, percent, False)
+    chains = materialise(both.where("ref is not null").unionAll(more).select("id", "v", "ref", "ref_v", "a", "b").distinct(), "all-chains")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(xxhash.xxh3_64_intdigest)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([short_hashes(t.as_py()) for t in part.column(1)], pa.binary())], names=["id", "words"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([to_words(t.as_py(), memo) for t in part.column(2)], pa.binary())], names=["id", "v", "words"])
+
+    def words_of_some(rows: DataFrame) -> DataFrame:
+        return docs.join(rows, ["id", "v"], "left_semi").mapInArrow(hashed, f"id {kind}, v long, words binary").groupBy("id", "v").agg(F.first("words").alias("words"))
 
-    words = materialise(texts.mapInArrow(hashed, f"id {kind}, words binary").groupBy("id").agg(F.max("words").alias("words")), "words")
+    words = docs.mapInArrow(hashed, f"id {kind}, v long, words binary").groupBy("id", "v").agg(F.first("words").alias("words"))
     found = materialise(_aligned(chains, words, kind, k, min_words, percent), "found")
 
-    cover = found.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # at most one document's chains
-    spans = both.where("ref is null").join(words, "id").join(cover, "id", "left")
-    bare = materialise(_long_runs(spans, kind, min_words, False), "bare")
+    cover = found.groupBy("id", "v").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # at most one document's chains
+    spans = both.where("ref is null and keys is null").select("id", "v", "a", "b").join(cover, ["id", "v"], "left")
+    left = F.exists(F.arrays_zip("a", "b"), lambda s: ~F.exists(F.coalesce("spans", F.array()), lambda c: (c["start"] <= s["a"] + window) & (s["b"] - window <= c["stop"])))
+    spans = materialise(spans.withColumn("open", left), "spans")
+    if not spans.where("open").limit(1).count():
+        return _outermost(found, kind).withColumnRenamed("id", id_col)
+    spans = materialise(spans.join(words_of_some(spans.select("id", "v")), ["id", "v"]), "span-words")
+    bare = materialise(_long_runs(spans.where("open"), kind, min_words, False), "bare")
     held = _long_runs(spans, kind, min_words, True).join(bare.select("run").distinct(), "run", "left_semi")
-    first = held.groupBy("run").agg(F.min(F.struct("id", "pos")).alias("first"))
-    more = bare.join(first, "run").where("first.id < id").select("id", F.col("first.id").alias("ref"), "pos", F.col("first.pos").alias("ref_pos"))
-    more = materialise(_chained(more, kind, k, window, min_words).where("ref is not null"), "more")
-    found = found.unionAll(_aligned(more, words, kind, k, min_words, percent))
+    more = materialise(_chained(_first_held(held, bare, "run"), kind, k, window, min_words, percent, False), "more")
+    some = words_of_some(more.select("id", "v").unionAll(more.select(F.col("ref").alias("id"), F.col("ref_v").alias("v"))).distinct())
+    found = found.unionAll(_aligned(more.drop("keys"), some, kind, k, min_words, percent))
     return _outermost(found, kind).withColumnRenamed("id", id_col)
 
 
-def version_of(text: str | None) -> int:
-    """The hash of a text's words as Spark's ``xxhash64`` gives it."""
-    h = xxhash.xxh64_intdigest(short_hashes(text), seed=42)
-    return h - (1 << 64) if h >> 63 else h
-
-
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     """``text`` without the words in ``spans`` and the white space after them."""
     at = [m.start() for m in WORD.finditer(text)] + [len(text)]
@@ -474,18 +684,18 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def cut_passages(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with every found passage cut from the later document; rows whose text loses all its words go."""
-    cut_id, cuts = free_name(df, "cut_id"), free_name(df, "cut")
-    spans = found.groupBy(F.col(id_col).alias(cut_id)).agg(F.collect_list(F.struct("start", "stop", "version")).alias(cuts))  # at most one document's chains
-    rows = df.join(spans, F.col(id_col) == F.col(cut_id), "left").select(*df.columns, cuts)
+    cut_id, cut_v, cuts, version = (free_name(df, n) for n in ("cut_id", "cut_v", "cut", "version"))
+    spans = found.groupBy(F.col(id_col).alias(cut_id), F.col("version").alias(cut_v)).agg(F.collect_list(F.struct("start", "stop")).alias(cuts))  # at most one document's chains
+    rows = versioned(df, id_col, text_col, version)
+    rows = rows.join(spans, (F.col(id_col) == F.col(cut_id)) & (F.col(version) == F.col(cut_v)), "left").select(*df.columns, cuts)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, gone = [], []
             for text, cut in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                spans = [(s["start"], s["stop"]) for s in cut or () if s["version"] == version_of(text)]
-                texts.append(without(text, spans) if spans else text)
-                gone.append(bool(spans) and not WORD.search(texts[-1]))
+                texts.append(without(text, [(s["start"], s["stop"]) for s in cut]) if cut and text else text)
+                gone.append(bool(cut) and not WORD.search(texts[-1] or ""))
             columns = [*batch.columns[:-1]]
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array([not g for g in gone]))

@@ -216,7 +216,84 @@ def test_passages_with_edits_against_brute_force(spark):
     assert not {i for i in spans if i % 2 == 0}
     assert all(found[size, percent] == 20 for size, _, percent in (c[1:2] + c[1:] for c in cases) if percent == 5)
     assert all(found[size, 10] >= 19 for size in (50, 60, 80, 100)), found
-    assert all(found[size, 20] >= 16 for size in (50, 60, 80, 100)), found
+    assert all(found[size, 20] >= 18 for size in (50, 60, 80, 100)), found
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_edited_passages_whose_phrases_have_other_first_holders(spark, spread):
+    """Every phrase of five words stands in earlier documents: all in one document, or each in its own."""
+    cases, before, after = [], [], []
+    for size in (60, 100):
+        for percent in (2, 5, 10, 20):
+            for i in range(12):
+                seed = 500_000 + 10_000 * percent + 100 * size + i
+                words = prose(seed, size).split()
+                phrases = [" ".join(words[j : j + 5]) for j in range(size - 4)]
+                if spread and i < 4:
+                    before += [f"{prose(seed + 7 * j, 30)} {p} {prose(seed + 7 * j + 1, 30)}" for j, p in enumerate(phrases)]
+                else:
+                    before.append(" ".join(f"{p} {prose(seed + 11 * j, 4)}" for j, p in enumerate(phrases)))
+                if not spread or i < 4:
+                    for part in (" ".join(words), edited(" ".join(words), seed, max(1, size * percent // 100))):
+                        after.append(f"{prose(seed + 3_000_000 + len(after), 60)} {part} {prose(seed + 4_000_000 + len(after), 60)}")
+                    cases.append((len(after) - 1, size, percent))
+    spans = reported(chaining.passages(documents(spark, before + after)))
+    found, n = Counter(), Counter()
+    for i, size, percent in cases:
+        n[percent] += 1
+        found[percent] += len(spans.get(len(before) + i, set()) & set(range(60, 60 + size))) >= 0.8 * size
+    assert all(found[p] >= 0.9 * n[p] for p in n), (found, n)
+    assert not {i for i in spans if i < len(before)}
+
+
+def test_whole_result_against_brute_force(spark):
+    """Small documents of shared, mixed and edited stretches: every word of an exact run of fifty words that an earlier document holds is
+    reported, and every reported passage is one by its full alignment."""
+    rng = random.Random(77)
+    pieces = [prose(7000 + i, rng.randrange(30, 110)) for i in range(16)]
+    texts = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            piece = rng.choice(pieces)
+            parts.append(edited(piece, rng.randrange(10**6), len(piece.split()) * rng.choice((0, 0, 0, 5, 10)) // 100) if rng.random() < 0.5 else prose(rng.randrange(10**6), rng.randrange(1, 60)))
+        texts.append(" ".join(parts))
+    words = [t.split() for t in texts]
+    exact, seen = {}, {}
+    for i, w in enumerate(words):
+        runs = [tuple(w[j : j + 50]) for j in range(len(w) - 49)]
+        for j, run in enumerate(runs):
+            if run in seen:
+                exact.setdefault(i, set()).update(range(j, j + 50))
+        for run in runs:
+            seen.setdefault(run, i)
+    rows = chaining.passages(documents(spark, texts)).collect()
+    spans = {}
+    for r in rows:
+        assert r["ref_id"] < r["doc_id"] and r["stop"] - r["start"] >= 50
+        x, y = words[r["doc_id"]][r["start"] : r["stop"]], words[r["ref_id"]][r["ref_start"] : r["ref_stop"]]
+        assert 100 * chaining.matched(x, y) >= 80 * max(len(x), len(y)) and r["matched"] <= chaining.matched(x, y)
+        spans.setdefault(r["doc_id"], set()).update(range(r["start"], r["stop"]))
+    assert len(exact) > 60, len(exact)
+    assert all(len(own - spans.get(i, set())) < chaining.WINDOW for i, own in exact.items())  # another holder's run may be a word or three longer
+
+
+def test_both_texts_of_an_id_are_cut(spark):
+    passage = prose(8000, 80)
+    texts = [(1, f"{prose(8001, 50)} {passage}", "en", "a"), (2, f"{passage} {prose(8002, 70)}", "en", "a"), (2, f"{prose(8003, 60)} {passage} {prose(8004, 70)}", "en", "a"), (2, prose(8005, 90), "en", "a")]
+    docs = documents(spark, texts)
+    rest = sorted(len(r["text"].split()) for r in chaining.cut_passages(docs, chaining.passages(docs)).collect())
+    assert rest == [70, 90, 130, 130]
+
+
+def test_a_common_line_and_repeated_lines(spark):
+    line, passage = prose(8100, 14), prose(8101, 70)
+    texts = [f"{prose(8200 + i, 40)} {line} {prose(8300 + i, 40)}" for i in range(120)]
+    texts += ["\n".join([line] * 4 + [prose(8400 + i, 20)] + [line] * 30) for i in range(3)]
+    texts += [f"{prose(8500 + i, 30)} {passage} {prose(8600 + i, 30)}" for i in range(90)]
+    spans = reported(chaining.passages(documents(spark, texts).repartition(2)))
+    assert not {i for i in spans if i < 120} and all(len(spans[i]) >= 69 for i in range(124, 213))
+    assert all(len(spans[i]) >= 0.9 * 34 * 14 for i in (121, 122)) and 123 not in spans
 
 
 def test_passage_that_a_document_repeats(spark):
