@@ -351,7 +351,7 @@ def seed_blocks(docs: DataFrame, k: int, window: int, min_words: int, buckets: i
 
 
 def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
-    """``(id, v, ref, ref_v, pos, ref_pos)``: every seed occurrence with its first holder's first occurrence, and the i-th with the i-th."""
+    """``(id, v, ref, ref_v, pos, ref_pos, seed)``: every seed occurrence with its first holder's first occurrence, and the i-th with the i-th; ``seed`` is a part of its key."""
 
     def run(table: pa.Table) -> pa.Table:
         lists = table.column("ids").combine_chunks()
@@ -375,16 +375,9 @@ def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
         also = also[first[also] + nth[also] < len(key)]
         also = also[(rank[first[also] + nth[also]] == rank[first[also]]) & (key[first[also] + nth[also]] == key[also])]
         a, b = np.concatenate((later, also)), np.concatenate((first[later], first[also] + nth[also]))
-        return pa.table([ids.take(pa.array(doc[a])), pa.array(versions[doc[a]]), ids.take(pa.array(doc[b])), pa.array(versions[doc[b]]), pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32))], names=["id", "v", "ref", "ref_v", "pos", "ref_pos"])
+        return pa.table([ids.take(pa.array(doc[a])), pa.array(versions[doc[a]]), ids.take(pa.array(doc[b])), pa.array(versions[doc[b]]), pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32)), pa.array(key[a].astype("<u4").view(np.int32))], names=["id", "v", "ref", "ref_v", "pos", "ref_pos", "seed"])
 
-    return blocks.groupBy("bucket", "salt").applyInArrow(run, f"id {kind}, v long, ref {kind}, ref_v long, pos int, ref_pos int")
-
-
-def numbers(values: pa.Array) -> np.ndarray:
-    """64-bit codes of ids, equal on every worker."""
-    if pa.types.is_integer(values.type):
-        return values.cast(pa.int64()).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return np.fromiter((xxhash.xxh3_64_intdigest(repr(x)) for x in values.to_pylist()), np.uint64, len(values))
+    return blocks.groupBy("bucket", "salt").applyInArrow(run, f"id {kind}, v long, ref {kind}, ref_v long, pos int, ref_pos int, seed int")
 
 
 def seed_pairs(pos: np.ndarray, code: np.ndarray, k: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -408,9 +401,9 @@ def seed_pairs(pos: np.ndarray, code: np.ndarray, k: int, min_words: int) -> tup
             keys.append(mix(code[:-step][take] * np.uint64(0x9E3779B97F4A7C15) + code[step:][take]))
         at.append(pos[:-step][take])
         step += 1
-    if not keys:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    keys, at = np.concatenate(keys), np.concatenate(at)
+    keys, at = np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate([np.empty(0, np.int64), *at])
+    if not len(keys):
+        return keys, at
     order = np.lexsort((at, keys))
     keys, at = keys[order], at[order]
     edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -469,7 +462,7 @@ def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, pe
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, refs, versions, keys = [], [], [], []
         for i, found in enumerate(batch.column(2)):
-            ref, ref_v, pos, ref_pos = found.values.flatten()
+            ref, ref_v, pos, ref_pos, seed = found.values.flatten()
             pos, ref_pos = pos.to_numpy(), ref_pos.to_numpy()
             names = list(zip(ref.to_pylist(), ref_v.to_pylist()))
             chains, sure = document_chains(names, pos, ref_pos, k, min_words, percent)
@@ -480,11 +473,8 @@ def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, pe
                 keys.append(None)
             if not again:
                 continue
-            order = np.lexsort((ref_pos, pos))
-            order = order[np.concatenate(([True], np.diff(pos[order]) > 0))]
-            at = pos[order].astype(np.int64)
-            with np.errstate(over="ignore"):  # a seed is named by its first holder's first place
-                code = mix(mix(numbers(ref) + ref_v.to_numpy().view(np.uint64) * np.uint64(31)) + ref_pos.astype(np.uint64))[order]
+            at, one = np.unique(pos.astype(np.int64), return_index=True)
+            code = mix(seed.to_numpy()[one].view(np.uint32).astype(np.uint64) + np.uint64(1))
             left = np.ones(len(at), bool)
             for s, e in sure:
                 left &= (at < s) | (at + k > e)
@@ -501,7 +491,7 @@ def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, pe
         at = pa.array([r[0] for r in rows], pa.int64())
         return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(refs, batch.column(0).type), pa.array(versions, pa.int64()), *(pa.array([r[c] for r in rows], pa.list_(pa.int32())) for c in (1, 2)), pa.array(keys, pa.list_(pa.int64()))], names=["id", "v", "ref", "ref_v", "a", "b", "keys"])
 
-    grouped = hits.groupBy("id", "v").agg(F.collect_list(F.struct("ref", "ref_v", "pos", "ref_pos")).alias("m"))  # at most one document's seeds
+    grouped = hits.groupBy("id", "v").agg(F.collect_list(F.struct("ref", "ref_v", "pos", "ref_pos", "seed")).alias("m"))  # at most one document's seeds
     return grouped.mapInArrow(run, f"id {kind}, v long, ref {kind}, ref_v long, a array<int>, b array<int>, keys array<long>")
 
 
@@ -595,7 +585,7 @@ def _first_held(rows: DataFrame, asking: DataFrame, key: str) -> DataFrame:
     first = rows.groupBy(key).agg(F.min(F.struct("id", "v", "pos")).alias("first"), F.min("v").alias("lo"), F.max(F.struct("id", "v")).alias("last"))
     first = first.where("first.id <> last.id or first.v <> last.v").select(key, "first")
     held = asking.join(first, key).where("first.id <> id or first.v <> v")
-    return held.select("id", "v", F.col("first.id").alias("ref"), F.col("first.v").alias("ref_v"), "pos", F.col("first.pos").alias("ref_pos")).distinct()
+    return held.select("id", "v", F.col("first.id").alias("ref"), F.col("first.v").alias("ref_v"), "pos", F.col("first.pos").alias("ref_pos"), F.lit(0).alias("seed")).distinct()
 
 
 def _outermost(found: DataFrame, kind: str) -> DataFrame:

@@ -288,9 +288,9 @@ def test_both_texts_of_an_id_are_cut(spark):
 
 def test_a_common_line_and_repeated_lines(spark):
     line, passage = prose(8100, 14), prose(8101, 70)
-    texts = [f"{prose(8200 + i, 40)} {line} {prose(8300 + i, 40)}" for i in range(120)]
-    texts += ["\n".join([line] * 4 + [prose(8400 + i, 20)] + [line] * 30) for i in range(3)]
-    texts += [f"{prose(8500 + i, 30)} {passage} {prose(8600 + i, 30)}" for i in range(90)]
+    texts = [f"{prose(82_000 + i, 40)} {line} {prose(83_000 + i, 40)}" for i in range(120)]
+    texts += ["\n".join([line] * 4 + [prose(84_000 + i, 20)] + [line] * 30) for i in range(3)]
+    texts += [f"{prose(85_000 + i, 30)} {passage} {prose(86_000 + i, 30)}" for i in range(90)]
     spans = reported(chaining.passages(documents(spark, texts).repartition(2)))
     assert not {i for i in spans if i < 120} and all(len(spans[i]) >= 69 for i in range(124, 213))
     assert all(len(spans[i]) >= 0.9 * 34 * 14 for i in (121, 122)) and 123 not in spans
