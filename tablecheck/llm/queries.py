@@ -117,14 +117,15 @@ WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, concat_ws('/', source,
 found AS ({" UNION ALL ".join(_secret_spans(*x) for x in ((0, secrets.ASSIGN, 1, 6), (1, "AKIA[A-Z0-9]{16,}", 0, 20), (2, "[0-9a-f]{24,}", 0, 24), (3, "[A-Za-z0-9+/_-]{20,}", 0, 20)))}),
 spans AS (SELECT *, start + length(hit) AS stop FROM found WHERE kind < 3 OR (regexp_matches(val, '[0-9]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[A-Z]'))),
 apart AS (SELECT * FROM spans s WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind < 3 AND b.start < s.stop AND s.start < b.stop)),
-owned AS (SELECT val, count(DISTINCT owner) AS n_owners FROM apart GROUP BY val),
-judged AS (SELECT *, n_owners < 3 AND len(list_distinct(string_split(val, ''))) > 5 AS live, ['assign', 'access', 'hex', 'generic'][kind + 1] || ':' || start || ':' || stop AS name FROM apart JOIN owned USING (val)),
+owned AS (SELECT val, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, repo)) AS n_repos FROM apart GROUP BY val),
+judged AS (SELECT *, n_owners < 3 AND n_repos < 8 AND len(list_distinct(string_split(val, ''))) > 5 AS live, ['assign', 'access', 'hex', 'generic'][kind + 1] || ':' || start || ':' || stop AS name FROM apart JOIN owned USING (val)),
 kept AS (SELECT * FROM judged WHERE kind < 3 OR live),
 lists AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(name, ',' ORDER BY start, kind) AS spans,
-  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example FROM kept GROUP BY doc_id)
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example, max(n_owners) AS max_owners, max(n_repos) AS max_repos FROM kept GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(max_owners, 0) AS max_owners, coalesce(max_repos, 0) AS max_repos
 FROM documents LEFT JOIN lists USING (doc_id)""",
     "op3_warc_chunks": f"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),

@@ -11,18 +11,20 @@ the smallest id; the others become revisit records, whose HTTP header keeps the
 
 Archives are written below the shared folder through ``pyarrow.fs``, one file per task
 attempt; only files named in the committed manifest are read, so a retried task leaves no
-duplicate.  Files are cut at ``file_bytes``, so reading stays parallel.
+duplicate.  Every record is a gzip member.  Files are cut at ``file_bytes`` and read by a task each, so reading stays parallel.
 
 Edge cases: a null payload is empty; empty and small payloads are always responses; rows that repeat
-the id of the response are responses too; a null id never refers or is referred to unless
-all ids of its group are null, and such rows are responses; an empty table gives an empty archive;
+the id of the response are responses too, under the same record id; a row of a null id refers to the response like any other, is
+never referred to, and is a response where all ids of its group are null; an empty table gives an empty archive;
 other columns are ignored.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import materialise, new_folder
 
 CHUNK_BYTES = 1 << 16
+#: Compression level of a record; reading tasks at most, whatever the number of files.
+LEVEL, MAX_READERS = 3, 10_000
 CHUNKS = "record_id string, chunk_no long, data binary, payload_bytes long, payload_digest string, is_last boolean, record_type string, refers_to string, target_uri string, declared_digest string"
 
 
@@ -40,10 +44,14 @@ def plan_records(df: DataFrame, id_col: str = "page_id", uri_col: str = "url", p
     """``(id, uri, payload, n_bytes, digest, refers_to)``; ``refers_to`` is null for responses."""
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(uri_col), F.lit("")).alias("uri"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.select("*", F.octet_length("payload").cast("long").alias("n_bytes"), F.sha2("payload", 256).alias("digest"))
-    # Only digests that occur twice are joined, and they are counted by partial aggregates.
-    first = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(first, "digest", "left")
-    return rows.select("id", "uri", "payload", "n_bytes", "digest", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    # Only ids and digests are shuffled to find repeated payloads; a payload meets the written list of revisits, and moves for that only if
+    # the list is too large for the planner to broadcast.
+    large = rows.where(F.col("n_bytes") >= least).select("id", "digest")
+    first = large.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = large.join(first, "digest").where(~F.col("id").eqNullSafe(F.col("first"))).select(F.col("id").alias("again"), F.col("digest").alias("same"), "first").distinct()
+    again = materialise(again, "revisits")
+    rows = rows.join(again, (F.col("digest") == F.col("same")) & F.col("id").eqNullSafe(F.col("again")), "left")
+    return rows.select("id", "uri", "payload", "n_bytes", "digest", F.col("first").alias("refers_to"))
 
 
 def chunk_rows(records: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -67,31 +75,32 @@ def _header(id_, uri: str, n_bytes: int, digest: str, refers_to) -> bytes:
 
 
 def write_archives(chunks: DataFrame, file_bytes: int = 1 << 30) -> DataFrame:
-    """Write chunk rows to WARC files; returns the manifest ``(path, n_records, n_bytes)``."""
+    """Write chunk rows to WARC files, each record a gzip member of its own; returns the manifest ``(path, n_records, n_bytes)``."""
     spark, folder = chunks.sparkSession, new_folder(chunks.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         task = TaskContext.get()
-        out, files, name = None, [], ""
+        out, files, member = None, [], None
         for batch in batches:
             ids, uris, sizes, digests, refers, numbers = (c.to_pylist() for c in batch.columns[:6])
             for i, data in enumerate(batch.column(6)):
                 if numbers[i] == 0:
-                    if out is not None:
-                        out.write(b"\r\n\r\n")
+                    if member is not None:
+                        out.write(member.compress(b"\r\n\r\n") + member.flush())
                         if out.tell() >= file_bytes:
                             out = _close(out, files)
                     if out is None:
-                        name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{len(files):04d}.warc"
-                        out = store.open_output_stream(f"{base}/{name}")
+                        name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{len(files):04d}.warc.gz"
+                        out = store.open_output_stream(f"{base}/{name}", compression=None)
                         files.append([f"{folder}/{name}", 0, 0])
                     files[-1][1] += 1
-                    out.write(_header(ids[i], uris[i], sizes[i], digests[i], refers[i]))
-                out.write(data.as_buffer())
+                    member = zlib.compressobj(LEVEL, wbits=31)
+                    out.write(member.compress(_header(ids[i], uris[i], sizes[i], digests[i], refers[i])))
+                out.write(member.compress(data.as_buffer()))
         if out is not None:
-            out.write(b"\r\n\r\n")
+            out.write(member.compress(b"\r\n\r\n") + member.flush())
             _close(out, files)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*files)) or [()] * 3, (pa.string(), pa.int64(), pa.int64()))], names=["path", "n_records", "n_bytes"])
 
@@ -143,7 +152,7 @@ def stream_archive(stream, chunk_bytes: int) -> Iterator[tuple]:
 
 
 def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunk table of the archives in ``manifest``: one task streams a few files."""
+    """The chunk table of the archives in ``manifest``; the files are dealt over as many tasks as there are files, ``MAX_READERS`` at most."""
     names = [x.split()[0] for x in CHUNKS.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.bool_(), *[pa.string()] * 4]
 
@@ -153,7 +162,7 @@ def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFr
             for path in batch.column(0).to_pylist():
                 store, place = fs.FileSystem.from_uri(path)
                 rows, held = [], 0
-                with pa.BufferedInputStream(store.open_input_file(place), 1 << 20) as stream:
+                with pa.BufferedInputStream(store.open_input_file(place), 1 << 20) as raw, gzip.GzipFile(fileobj=raw) as stream:
                     for row in stream_archive(_Lines(stream), chunk_bytes):
                         rows.append(row)
                         held += len(row[2]) + 200
@@ -163,8 +172,8 @@ def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFr
                 if rows:
                     yield give(rows)
 
-    files = manifest.select("path").distinct()
-    return files.mapInArrow(run, CHUNKS)
+    files = manifest.select("path")
+    return files.repartitionByRange(max(1, min(files.count(), MAX_READERS)), "path").mapInArrow(run, CHUNKS)
 
 
 class _Lines:

@@ -342,3 +342,20 @@ def test_archive_edges(spark):
     assert Counter((r["id"], r["refers_to"]) for r in records.collect()) == Counter({(3, None): 2, (None, 3): 1, (4, 3): 1, (None, None): 1})
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(warc.chunk_rows(warc.plan_records(empty)))).collect() == []
+
+
+def test_many_archives_are_read_by_many_tasks(spark):
+    df = spark.createDataFrame([(i, "u", prose(i, 40)) for i in range(400)], "page_id long, url string, html string").repartition(80)
+    manifest = warc.write_archives(warc.chunk_rows(warc.plan_records(df)))
+    n = manifest.count()
+    table = warc.read_archives(manifest)
+    assert n == 80 and table.rdd.getNumPartitions() == n
+    from pyspark.sql import functions as F
+    tasks = table.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) > 60 and sum(r["count"] for r in tasks) == 400
+
+
+def test_payloads_are_not_shuffled_for_digests(spark):
+    df = spark.createDataFrame([(i, "u", prose(i % 30, 60)) for i in range(90)], "page_id long, url string, html string")
+    plan = warc.plan_records(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan

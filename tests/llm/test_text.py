@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -161,3 +162,29 @@ def test_gradient_of_the_cumulative_link():
     best = loss(w, cuts)
     for i in range(4):
         assert loss(w + 0.02 * np.eye(4)[i], cuts) > best and loss(w - 0.02 * np.eye(4)[i], cuts) > best
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    """Work in proportion to the spans: hexadecimal and generic values in one text of several megabytes."""
+    rng = random.Random(3)
+    words = [("".join(rng.choices("0123456789abcdef", k=32)) if i % 2 else "".join(rng.choices("abcXYZ0189", k=24)) + "aA1") for i in range(100_000)]
+    text = " ".join(words)
+    begun = time.time()
+    row = secrets.scan(documents(spark, [text])).first()
+    assert time.time() - begun < 120
+    base = [s for s in row["spans"] if s["kind"] == 2]
+    assert len(base) >= 50_000 and len(row["spans"]) > 90_000
+    at = 0
+    for i, w in enumerate(words[:2000]):
+        if i % 2:
+            assert any(s["start"] == at and s["stop"] == at + 32 for s in row["spans"][max(0, i - 3) : i + 3])
+        at += len(w) + 1
+
+
+def test_repositories_take_part(spark):
+    value = "token=Zx81kQp0Lm3n"
+    rows = [(i, value, f"lang{i}", "one") for i in range(9)] + [(20 + i, "token=Qw72mNb4Vc6x", f"lang{i}", "one") for i in range(3)]
+    from pyspark.sql import functions as F
+    got = {r["doc_id"]: r for r in secrets.digest(secrets.scan(documents(spark, rows), repo=F.concat_ws("/", "source", "lang"))).collect()}
+    assert all((got[i]["n_live"], got[i]["n_example"], got[i]["max_owners"], got[i]["max_repos"]) == (0, 1, 1, 9) for i in range(9))
+    assert all((got[i]["n_live"], got[i]["max_owners"], got[i]["max_repos"]) == (1, 1, 3) for i in (20, 21, 22))
