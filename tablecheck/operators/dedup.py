@@ -39,7 +39,7 @@ _UP = "__k_"
 def _key_exprs(df: DataFrame, keys: list[str]) -> list[Column]:
     """Case-insensitive key: upper() on string keys; nulls group together."""
     types = dict(df.dtypes)
-    return [(F.upper(F.col(k)) if types[k] == "string" else F.col(k)).alias(f"{_UP}{i}")
+    return [(F.upper(F.col(f"`{k}`")) if types[k] == "string" else F.col(f"`{k}`")).alias(f"{_UP}{i}")
             for i, k in enumerate(keys)]
 
 
@@ -49,7 +49,7 @@ def _order_value(df: DataFrame, c: str, descending: bool) -> list[Column]:
     Descending uses NULLS LAST (Spark's default for DESC); ascending uses
     NULLS FIRST.  Descending needs a numeric image of the value to negate."""
     dtype = df.schema[c].dataType
-    v = F.col(c)
+    v = F.col(f"`{c}`")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         num = tf.micros(df, c)
     elif isinstance(dtype, T.DateType):
@@ -117,14 +117,14 @@ def dedup_keep(df: DataFrame, keys: list[str], order_col: str | None = "_timesta
     best = (repeated.select(*_key_exprs(repeated, keys), rank.alias("_r"))
             .groupBy(*[f"{_UP}{i}" for i in range(len(keys))])
             .agg(F.min("_r").alias("_w")))
-    return once.select(*df.columns).unionByName(best.select(*_unpack("_w", where, list(df.columns))))
+    return once.select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(best.select(*_unpack("_w", where, list(df.columns))))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], case_insensitive: bool = False) -> DataFrame:
     """Keys that occur more than once, with their count."""
-    cols = _key_exprs(df, keys) if case_insensitive else [F.col(k).alias(k) for k in keys]
+    cols = _key_exprs(df, keys) if case_insensitive else [F.col(f"`{k}`").alias(k) for k in keys]
     names = [f"{_UP}{i}" for i in range(len(keys))] if case_insensitive else keys
-    out = df.select(*cols).groupBy(*names).agg(F.count(F.lit(1)).alias("dup_count"))
+    out = df.select(*cols).groupBy(*[F.col(f"`{n}`") for n in names]).agg(F.count(F.lit(1)).alias("dup_count"))
     out = out.filter(F.col("dup_count") > 1)
     if case_insensitive:
         out = out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "dup_count")
@@ -169,17 +169,18 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
 
     rank, where = _rank_struct(df, order_col, oldest)
     ranked = repeated.select(*_key_exprs(df, keys), rank.alias("_r"),
-                             *([F.col(folder_col)] if delete_by_path and folder_col in df.columns else []))
+                             *([F.col(f"`{folder_col}`")] if delete_by_path and folder_col in df.columns else []))
     aggs = [F.min("_r").alias("_w"), F.count(F.lit(1)).alias("_n")]
     if delete_by_path and folder_col in df.columns:
         # distinct folders per key: bounded by the number of files, not rows
-        aggs.append(F.array_sort(F.collect_set(folder_col)).alias("_folders"))
+        aggs.append(F.array_sort(F.collect_set(F.col(f"`{folder_col}`"))).alias("_folders"))
     best = ranked.groupBy(*kcols).agg(*aggs)
 
-    ok = once.select(*original).unionByName(best.select(*_unpack("_w", where, original)))
+    every = [F.col(f"`{c}`") for c in original]
+    ok = once.select(*every).unionByName(best.select(*_unpack("_w", where, original)))
     if null_pk == "blank":
         types = dict(df.dtypes)
-        ok = ok.select(*[F.coalesce(F.col(c), F.lit("")).alias(c)
+        ok = ok.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c)
                          if c in keys[:-1] and types[c] == "string" else F.col(f"`{c}`")
                          for c in original])
 
@@ -215,12 +216,12 @@ def check_duplicates(df: DataFrame, keys: list[str], ctx: CheckContext | None =
     lrow = losers.select(*row, *([F.col("_folders")] if "_folders" in losers.columns else []),
                          F.lit(FLAG_DUPLICATES).alias("_flag"))
     if no_key is not None:
-        lrow = lrow.unionByName(no_key.select(*original, F.lit(FLAG_NULLS).alias("_flag")), allowMissingColumns=True)
+        lrow = lrow.unionByName(no_key.select(*every, F.lit(FLAG_NULLS).alias("_flag")), allowMissingColumns=True)
     report = [
         F.lit(ctx.name).alias("object_name"),
         F.col("_flag").alias("check_passed"),
         F.lit(colname).alias("check_column_name"),
-        F.col(uniq).cast("string").alias("check_column_value"),
+        F.col(f"`{uniq}`").cast("string").alias("check_column_value"),
         F.lit(WARNING if is_warning else CRITICAL).alias("error_type"),
         _idpipeline(df).alias("idpipeline"),
     ]

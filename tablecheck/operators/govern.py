@@ -8,9 +8,10 @@ unpivoted with ``stack``.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.functions import sha256_masked
@@ -95,6 +96,60 @@ def pii_scan(df: DataFrame, columns: list[str] | None = None, patterns: dict[str
         .select("column_name", "pattern", "n_hits", F.round(F.col("n_hits") / F.col("__n"), 6).alias("hit_rate"))
 
 
+def luhn_valid(value: Column) -> Column:
+    """Whether a text of 12 to 19 digits (spaces and dashes aside) has a valid Luhn check digit."""
+    digits = F.regexp_replace(value, "[ -]", "")
+    each = F.transform(F.regexp_extract_all(F.reverse(digits), F.lit("[0-9]"), F.lit(0)), lambda x, i: x.cast("int") * (1 + i % 2))
+    total = F.aggregate(each, F.lit(0), lambda a, x: a + F.when(x > 9, x - 9).otherwise(x))
+    return F.when(digits.rlike("^[0-9]{12,19}$"), total % 10 == 0).otherwise(F.lit(False))
+
+
+def mod97_valid(value: Column) -> Column:
+    """Whether a text is an account number of two letters, two check digits and 11 to 30 letters or digits whose
+    rest modulo 97 is 1."""
+    text = F.upper(F.regexp_replace(value, " ", ""))
+    turned = F.concat(F.substring(text, 5, 40), F.substring(text, 1, 4))
+    codes = F.transform(F.regexp_extract_all(turned, F.lit("[0-9A-Z]"), F.lit(0)), lambda x: F.when(x.rlike("[0-9]"), F.ascii(x) - 48).otherwise(F.ascii(x) - 55))
+    rest = F.aggregate(codes, F.lit(0), lambda a, x: (a * F.when(x > 9, 100).otherwise(10) + x) % 97)
+    return F.when(text.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), rest == 1).otherwise(F.lit(False))
+
+
+#: Column classes in order of preference: name, kind, and what makes a whole value one.
+COLUMN_CLASSES: list[tuple[str, str, Callable[[Column], Column]]] = [
+    ("email", "PII", lambda v: v.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")),
+    ("iban", "financial", mod97_valid),
+    ("card_number", "financial", luhn_valid),
+    ("ssn", "PII", lambda v: v.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")),
+    ("phone", "PII", lambda v: v.rlike(r"^\+?[0-9][0-9 ().-]{5,18}[0-9]$") & (F.length(F.regexp_replace(v, "[^0-9]", "")).between(7, 15))),
+    ("ip_address", "PII", lambda v: v.rlike(r"^((25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.|$)){4}$")),
+]
+
+
+def classify_columns(df: DataFrame, columns: list[str] | None = None, least_share: float = 0.8,
+                     classes: list[tuple[str, str, Callable[[Column], Column]]] | None = None) -> DataFrame:
+    """One row for each column: ``(column_name, n_values, class, kind, share)``.
+
+    The class is that with the largest share of the column's non-blank values (ties: the earlier one), if it has at
+    least ``least_share`` of them; otherwise class and kind are null and ``share`` is the best one's.  Check digits decide
+    between numbers that look alike.  Custom classifiers are further ``(name, kind, test)``.  One scan and one aggregate over all
+    rows; columns other than strings are tested as text."""
+    classes = classes if classes is not None else COLUMN_CLASSES
+    columns = columns or [n for n, t in df.dtypes if t == "string"]
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.trim(F.col(f"`{c}`").cast("string"))
+        full = v.isNotNull() & (v != "")
+        aggs.append(F.count(F.when(full, 1)).alias(f"n{i}"))
+        aggs += [F.count(F.when(full & test(v), 1)).alias(f"h{i}_{j}") for j, (_, _, test) in enumerate(classes)]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_values"), F.array(*[
+        F.struct(F.col(f"h{i}_{j}").alias("hits"), F.lit(-j).alias("order"), F.lit(name).alias("class"), F.lit(kind).alias("kind"))
+        for j, (name, kind, _) in enumerate(classes)]).alias("found")) for i, c in enumerate(columns)]
+    each = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.column_name", "r.n_values", F.array_max("r.found").alias("best"))
+    share = F.coalesce(F.try_divide(F.col("best.hits"), F.col("n_values")), F.lit(0.0))
+    sure = (share >= least_share) & (F.col("n_values") > 0)
+    return each.select("column_name", "n_values", F.when(sure, F.col("best.class")).alias("class"), F.when(sure, F.col("best.kind")).alias("kind"), F.round(share, 6).alias("share"))
+
+
 def add_lineage(df: DataFrame, pipeline: str, run_id: str, processed_at: _dt.datetime | None = None,
                 with_file: bool = True) -> DataFrame:
     """Lineage columns per row: source file (from the scan's hidden
@@ -124,3 +179,16 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                                 F.max("v").cast("string").alias("max_value"))
                      .select(F.lit(c).alias("column_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def analyze_table(spark: SparkSession, name: str, columns: list[str]) -> DataFrame:
+    """Column statistics in the catalog, where the planner reads them (``spark.sql.cbo.enabled``), and as rows:
+    ``(column_name, n_rows, n_null, n_distinct, min_value, max_value)``.  Distinct counts are the catalog's estimates."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
+    total = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Statistics'").select(F.regexp_extract("data_type", "([0-9]+) rows", 1).cast("long").alias("n_rows"))
+    parts = []
+    for c in columns:
+        rows = spark.sql(f"DESCRIBE EXTENDED {name} `{c}`").select("info_name", "info_value")
+        pick = lambda n: F.max(F.when(F.col("info_name") == n, F.col("info_value")))
+        parts.append(rows.agg(pick("num_nulls").cast("long").alias("n_null"), pick("distinct_count").cast("long").alias("n_distinct"), pick("min").alias("min_value"), pick("max").alias("max_value")).select(F.lit(c).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, parts).select("column_name", total.scalar().alias("n_rows"), "n_null", "n_distinct", "min_value", "max_value")

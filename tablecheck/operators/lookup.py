@@ -82,35 +82,65 @@ def master_filters(df: DataFrame, rules: list[dict], ctx: CheckContext | None =
     """
     ctx = ctx or CheckContext()
     original = list(df.columns)
-    current = df
-    fails = []
-    for i, r in enumerate(rules):
-        if observations is not None:
-            # Rows entering each rule, counted by the job that runs anyway
-            from pyspark.sql import Observation
-            obs = Observation(f"master_{ctx.name}_{i}_{id(observations)}")
-            current = current.observe(obs, F.count(F.lit(1)).alias("rows_in"))
-            observations.append(obs)
-        master = r["master"]
-        where = r.get("where") or None
-        if where is not None and not _names_other_side(where, current, master):
-            master = master.filter(where)   # push the condition to the master side
-            where = None
-        keep, lose = semi_anti(current, r["filtered_column"], master, r["curated_column"], where)
-        fails.append(lose.select(
-            F.lit(ctx.name).alias("object_name"),
-            F.lit(FLAG_MASTER).alias("check_passed"),
-            F.lit(r["filtered_column"]).alias("check_column_name"),
-            F.col(r["filtered_column"]).cast("string").alias("check_column_value"),
-            F.lit(CRITICAL).alias("error_type"),
-            _idpipeline(df).alias("idpipeline"),
-            *([json_row(original).alias("json_row_data")] if with_json else []),
-            *[F.col(c) for c in (extra_cols or [])]))
-        current = keep
+    current, fails, step = df, [], 0
+    while step < len(rules):
+        # Rules whose masters stand alone become markers of one pass: one join per master, and the first marker that is missing names
+        # the rule.  A condition on columns of both sides is a step of its own.
+        alone = step
+        while alone < len(rules) and not _two_sided(rules[alone], current):
+            alone += 1
+        if alone == step:
+            rule = rules[step]
+            current = _counted(current, ctx, step, F.lit(True), observations)
+            current, lose = semi_anti(current, rule["filtered_column"], rule["master"], rule["curated_column"], rule["where"])
+            fails.append(_master_report(lose, F.lit(rule["filtered_column"]), F.col(rule["filtered_column"]), df, original, ctx, with_json, extra_cols))
+            step += 1
+            continue
+        flagged, markers = current, []
+        for i in range(step, alone):
+            rule, marker = rules[i], free_name(flagged, f"_m_master{i}")
+            master = rule["master"].filter(rule["where"]) if rule.get("where") else rule["master"]
+            flagged = add_lookup_marker(flagged, rule["filtered_column"], master, rule["curated_column"], marker)
+            markers.append(marker)
+        for i in range(step, alone):
+            before = reduce(lambda a, b: a & b, [F.col(m) for m in markers[:i - step]], F.lit(True))
+            flagged = _counted(flagged, ctx, i, before, observations)
+        passed = reduce(lambda a, b: a & b, [F.col(m) for m in markers])
+        name = reduce(lambda a, x: a.when(~F.col(x[1]), F.lit(x[0]["filtered_column"])), zip(rules[step:alone], markers), F.when(F.lit(False), ""))
+        value = reduce(lambda a, x: a.when(~F.col(x[1]), F.col(x[0]["filtered_column"]).cast("string")), zip(rules[step:alone], markers), F.when(F.lit(False), ""))
+        fails.append(_master_report(flagged.filter(~passed), name, value, df, original, ctx, with_json, extra_cols))
+        current, step = flagged.filter(passed).drop(*markers), alone
     fail = reduce(DataFrame.unionByName, fails) if fails else None
     return current, fail
 
 
+def _two_sided(rule: dict, data: DataFrame) -> bool:
+    return bool(rule.get("where")) and _names_other_side(rule["where"], data, rule["master"])
+
+
+def _counted(df: DataFrame, ctx: CheckContext, i: int, entering: Column, observations: list | None) -> DataFrame:
+    """The rows that enter rule ``i``, counted by the job that runs anyway."""
+    if observations is None:
+        return df
+    from pyspark.sql import Observation
+    obs = Observation(f"master_{ctx.name}_{i}_{id(observations)}")
+    observations.append(obs)
+    return df.observe(obs, F.count(F.when(entering, F.lit(1))).alias("rows_in"))
+
+
+def _master_report(rows: DataFrame, name: Column, value: Column, df: DataFrame, original: list[str], ctx: CheckContext,
+                   with_json: bool, extra_cols: list[str] | None) -> DataFrame:
+    return rows.select(
+        F.lit(ctx.name).alias("object_name"),
+        F.lit(FLAG_MASTER).alias("check_passed"),
+        name.alias("check_column_name"),
+        value.cast("string").alias("check_column_value"),
+        F.lit(CRITICAL).alias("error_type"),
+        _idpipeline(df).alias("idpipeline"),
+        *([json_row(original).alias("json_row_data")] if with_json else []),
+        *[F.col(c) for c in (extra_cols or [])])
+
+
 def _names_other_side(condition: str, data: DataFrame, master: DataFrame) -> bool:
     """True if the condition mentions a data column the master does not have."""
     import re

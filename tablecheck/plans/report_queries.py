@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablecheck.operators import change as C
@@ -197,19 +198,19 @@ def bronze_snapshot(spark, sf):
 
 
 @query("isolated_read", "S04",
-       "SELECT status, count(*) AS n_files, sum(n_rows) AS n_rows FROM (SELECT 'SUCCESS' AS status, count(*) AS n_rows FROM customer GROUP BY c_custkey % 3 "
+       "SELECT status, count(*) AS n_folders, sum(n_rows) AS n_rows FROM (SELECT 'SUCCESS' AS status, count(*) AS n_rows FROM customer GROUP BY c_custkey % 3 "
        "UNION ALL SELECT 'FAILED', 0) GROUP BY status")
 def isolated_read(spark, sf):
-    """Three good files and one that is no Parquet file: its failure is in the ledger, the others are read whole."""
+    """Three folders of good files and one of a file that is no Parquet file: its failure is in the ledger, the others are read whole."""
     root = _scratch(spark, "isolated")
     c = table(spark, sf, "customer")
     for rest in range(3):
-        c.filter(F.col("c_custkey") % 3 == rest).coalesce(1).write.parquet(f"{root}/good-{rest}")
-    c.limit(1).select("c_name").coalesce(1).write.text(f"{root}/bad")
+        c.filter(F.col("c_custkey") % 3 == rest).write.parquet(f"{root}/good-{rest}")
+    c.limit(1).select("c_name").write.text(f"{root}/bad")
     data, ledger = I.read_isolating_failures(spark, root, "run-1", glob="part-*", schema=c.schema)
     rows = data.groupBy(F.lit("SUCCESS").alias("status")).agg(F.count(F.lit(1)).alias("n_rows"))
-    files = ledger.groupBy("status").agg(F.count(F.lit(1)).alias("n_files"))
-    return files.join(rows, "status", "left").select("status", "n_files", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    files = ledger.groupBy("status").agg(F.count_distinct(F.regexp_extract("path", "(good-[0-9]|bad)/", 1)).alias("n_folders"))
+    return files.join(rows, "status", "left").select("status", "n_folders", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 @query("incremental_files", ("M07", "S03"), "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 4 >= 2")
@@ -223,14 +224,14 @@ def incremental_files(spark, sf):
     return spark.read.parquet(*[r["path"] for r in I.new_files(inv, ledger).collect()])  # file names only
 
 
-@query("compaction", "G01", "SELECT count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, 1 AS n_files FROM orders")
+@query("compaction", "G01", "SELECT count(*) AS n_rows, round(sum(o_totalprice), 2) AS total, 1 AS n_files FROM orders")
 def compaction(spark, sf):
     """Twenty small files copied into files of the target size (one, for tables of this size)."""
     small, large = _scratch(spark, "small"), _scratch(spark, "large")
     table(spark, sf, "orders").repartition(20).write.parquet(small)
     V.compact_files(spark, small, large, 1 << 30)
     back = spark.read.parquet(large).withColumn("file", F.input_file_name())
-    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"),
                     F.count_distinct("file").alias("n_files"))
 
 
@@ -253,9 +254,8 @@ def zorder_layout(spark, sf):
     V.zorder(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"], 6).write.parquet(path)
     back = spark.read.parquet(path).select("l_orderkey", "l_linenumber", morton_key(["l_partkey", "l_suppkey"]).alias("z"), F.input_file_name().alias("file"))
     ranges = back.groupBy("file").agg(F.min("z").alias("lo"), F.max("z").alias("hi"))
-    other = ranges.select(F.col("file").alias("o"), F.col("lo").alias("o_lo"), F.col("hi").alias("o_hi"))
-    files = ranges.withColumn("all", F.lit(1)).join(other.withColumn("all", F.lit(1)), "all")  # one row per written file
-    crossing = files.filter("file <> o AND lo < o_hi AND o_lo < hi").select("file").distinct()
+    after = F.lead("lo").over(Window.orderBy("lo", "hi"))  # one row per written file
+    crossing = ranges.withColumn("next", after).filter("next < hi").select("file")
     return back.join(crossing.withColumn("narrow", F.lit(False)), "file", "left").select("l_orderkey", "l_linenumber", F.coalesce("narrow", F.lit(True)).alias("narrow"))
 
 

@@ -11,7 +11,10 @@ derived from Spark-side aggregates; nothing row-level goes through the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import os
 import re
+import uuid
 from functools import reduce
 
 import pyarrow as pa
@@ -140,14 +143,25 @@ def union_types(frames: dict[str, DataFrame], type_col: str = "trip_type") -> Da
 
 def land(df: DataFrame, target: str, predicate: Column | None = None, fmt: str = "parquet",
          max_records_per_file: int | None = None, months: list[tuple[int, int]] | None = None) -> None:
-    """Write the selected months as Hive partitions year=/month=.
+    """Write the selected months as Hive partitions ``year=YYYY/month=MM``.
 
     The rows are rebalanced by month: AQE cuts a large month into several writers and
     packs small ones together.  Dynamic partition overwrite replaces the partitions
     present in ``df``; with ``months`` (what the run covers), a month that has no rows any more
-    is replaced by an empty one, so a re-run or backfill is idempotent there too."""
+    is replaced by an empty one, so a re-run or backfill is idempotent there too.
+    A table that was landed with unpadded months (``month=1``) keeps that layout; one that holds a month
+    in both forms is an error."""
+    from tablecheck.sources.readers import month_folders
+    spark = df.sparkSession
     out = df.filter(predicate) if predicate is not None else df
-    w = (out.hint("rebalance", *PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    years = {r[0] for r in out.select("year").distinct().collect()} | {y for y, _ in months or []}  # years, not rows
+    names = month_folders(spark, target, [y for y in years if y is not None])
+    plain = any(n == f"month={m}" for (_, m), n in names.items() if m < 10)
+    if plain and any(n == f"month={m:02d}" for (_, m), n in names.items() if m < 10):
+        raise ValueError(f"{target} holds padded and unpadded months")
+    width = 1 if plain else 2
+    named = out.withColumn("month", F.col("month").cast("string") if plain else F.lpad(F.col("month").cast("string"), 2, "0"))
+    w = (named.hint("rebalance", *PARTITION_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLS).format(fmt))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -155,16 +169,18 @@ def land(df: DataFrame, target: str, predicate: Column | None = None, fmt: str =
     if months:
         present = {tuple(r) for r in out.select(*PARTITION_COLS).distinct().collect()}
         for y, m in sorted(set(months) - present):
-            out.drop(*PARTITION_COLS).limit(0).write.mode("overwrite").format(fmt).save(f"{target}/year={y}/month={m}")
+            out.drop(*PARTITION_COLS).limit(0).write.mode("overwrite").format(fmt).save(f"{target}/year={y}/month={m:0{width}d}")
 
 
 # --------------------------------------------------------------------------- file inventory, ledger
-def file_inventory(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, glob: str = "*.parquet", modified_after: str | None = None) -> DataFrame:
     """Files under ``root`` with size and modification time, without
     reading their content (``binaryFile`` source, content column pruned).
     year/month are taken from Hive-style path segments when present."""
-    inv = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", "true").load(root)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after.replace(" ", "T")[:19])
+    inv = (reader.load(root)
            .select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modification_time")))
     y = F.regexp_extract("path", r"year=(\d{4})", 1)
     m = F.regexp_extract("path", r"month=(\d{1,2})", 1)
@@ -180,6 +196,20 @@ def new_files(inventory: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return inventory.join(done, "path", "left_anti")
 
 
+def files_modified_since(spark: SparkSession, root: str, ledger: DataFrame, overlap_seconds: int = 0,
+                         glob: str = "*.parquet") -> DataFrame:
+    """Files whose modification time is not older than the ledger's newest one less ``overlap_seconds``, and that the
+    ledger does not hold with that time.
+
+    The time bound prunes the listing (``modifiedAfter``); the ledger decides among files of equal or overlapping times, so
+    none is lost or repeated.  A file written again is new; ``overlap_seconds`` covers stores and writers whose
+    clocks differ.  An empty ledger takes every file."""
+    done = ledger.filter(F.col("status") == STATUS_SUCCESS).select("path", F.col("modification_time").alias("seen")).distinct()
+    newest = done.agg((F.max("seen") - F.expr(f"INTERVAL {overlap_seconds + 1} SECONDS")).cast("string").alias("t")).first()["t"]  # whole seconds, and the bound is exclusive
+    files = file_inventory(spark, root, glob, newest)
+    return files.join(done, (files["path"] == done["path"]) & (files["modification_time"] == done["seen"]), "left_anti")
+
+
 def ledger_rows(files: DataFrame, run_id: str, status: str = STATUS_SUCCESS) -> DataFrame:
     """Ledger entries for a run (one per file), ready to append."""
     return files.select("path", F.col("year").cast("int"), F.col("month").cast("int"), "size_bytes",
@@ -272,6 +302,104 @@ def next_watermark(df: DataFrame, watermark_col: str) -> DataFrame:
     return df.agg(F.max(watermark_col).alias("watermark"))
 
 
+class IncrementalLoad:
+    """Incremental loads under a persisted watermark.
+
+    * ``<root>/batches/batch=<n>/`` — the rows of one load, written first (a re-run overwrites them);
+    * ``<root>/control/batch=<n>.json`` — its control row ``(batch, low, high, row_count, loaded_at)``, created last and at once.
+
+    A load reads what is newer than the last control row's ``high`` and not newer than the newest value it
+    saw before reading, so rows that arrive meanwhile belong to the next load.  Readers see only batches with a control
+    row: a crash before it leaves a folder that the next load overwrites, a crash after it leaves nothing to
+    do, so no row is lost or read twice.  Of two loads at once one fails at the control row.  Rows of a watermark value
+    must be complete when a newer value is seen; ``lag`` (an interval text) keeps the newest part for later where they are not."""
+
+    def __init__(self, spark: SparkSession, root: str, watermark_col: str):
+        self.spark, self.root, self.watermark_col = spark, root.rstrip("/"), watermark_col
+
+    def control(self) -> DataFrame:
+        """The committed loads, one row each."""
+        schema = "batch long, low string, high string, row_count long, loaded_at string"
+        if not list_names(self.spark, f"{self.root}/control"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("mode", "FAILFAST").json(f"{self.root}/control")
+
+    def last(self) -> tuple[int, str | None]:
+        """Number and upper bound of the last committed load; ``(-1, None)`` before the first."""
+        row = self.control().agg(F.max(F.struct("batch", "high")).alias("r")).first()["r"]
+        return (row["batch"], row["high"]) if row else (-1, None)
+
+    def load(self, source: DataFrame, lag: str | None = None) -> int | None:
+        """Load what is new; returns the batch number, or None if nothing was."""
+        last, low = self.last()
+        kind = source.schema[self.watermark_col].dataType
+        new = incremental_since(source, self.watermark_col, low)
+        high = F.max(self.watermark_col) - F.expr(f"INTERVAL {lag}") if lag else F.max(self.watermark_col)
+        high = new.agg(high.cast("string").alias("high")).first()["high"]
+        if high is None:
+            return None
+        path = f"{self.root}/batches/batch={last + 1}"
+        new.filter(F.col(self.watermark_col) <= F.lit(high).cast(kind)).write.mode("overwrite").parquet(path)
+        n = self.spark.read.schema(source.schema).parquet(path).count()
+        if not n:
+            return None
+        row = {"batch": last + 1, "low": low, "high": high, "row_count": n, "loaded_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+        create_file(self.spark, f"{self.root}/control/batch={last + 1}.json", json.dumps(row) + "\n")
+        return last + 1
+
+    def read(self) -> DataFrame:
+        """The rows of all committed loads, with their batch."""
+        batches = [r["batch"] for r in self.control().select("batch").collect()]  # loads, not rows
+        if not batches:
+            raise ValueError(f"nothing has been loaded to {self.root}")
+        return self.spark.read.option("basePath", f"{self.root}/batches").parquet(*[f"{self.root}/batches/batch={b}" for b in batches])
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of the store; none if it does not exist."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(path)] if store.exists(path) else []
+
+
+def list_times(spark: SparkSession, folder: str) -> list[tuple[str, float]]:
+    """Names in a folder of the store with their modification times in seconds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in store.listStatus(path)] if store.exists(path) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder of the store."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that must not exist yet: written beside it, then renamed, which fails where the name is taken.
+
+    Of several writers one succeeds on stores whose rename does not replace a file (HDFS; local folders here by an exclusive
+    link).  Object stores that replace need a single writer."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    staged = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = store.create(staged, False)
+    out.write(text.encode())
+    out.close()
+    try:
+        if store.getScheme() == "file":  # a local rename replaces; a hard link never does
+            try:
+                os.link(staged.toUri().getPath(), target.toUri().getPath())
+            except FileExistsError:
+                raise FileExistsError(f"{path} exists already") from None
+        elif store.exists(target) or not store.rename(staged, target):
+            raise FileExistsError(f"{path} exists already")
+    finally:
+        store.delete(staged, False)
+
+
 # --------------------------------------------------------------------------- failure isolation
 STATUS_FAILED = "FAILED"
 
@@ -297,6 +425,69 @@ def footer_rows(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(run, "path string, footer_rows long")
 
 
+#: Types that hold every value of the ones before them.
+_WHOLE = ["tinyint", "smallint", "int", "bigint"]
+
+
+def wider_type(a: str, b: str) -> str:
+    """The narrowest type that holds every value of both: whole numbers widen, single precision and whole numbers of up to
+    32 bits widen to double, and what has no common number type becomes text."""
+    if a == b:
+        return a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.index)
+    if {a, b} <= {"tinyint", "smallint", "int", "float", "double"}:
+        return "double"
+    if {a, b} == {"date", "timestamp"}:
+        return "timestamp"
+    return "string"
+
+
+def file_schemas(files: DataFrame) -> DataFrame:
+    """``(path, fields)``: each Parquet file's columns as ``[(name, type)]``, from its footer; files are read by many tasks."""
+    simple = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float": "float", "double": "double",
+              "bool": "boolean", "string": "string", "large_string": "string", "binary": "binary", "date32[day]": "date"}
+
+    def kind(t: pa.DataType) -> str:
+        if pa.types.is_timestamp(t):
+            return "timestamp" if t.tz else "timestamp_ntz"
+        if pa.types.is_decimal(t):
+            return f"decimal({t.precision},{t.scale})"
+        if str(t) not in simple:
+            raise TypeError(f"columns of type {t} are not widened")
+        return simple[str(t)]
+
+    def run(batches):
+        for batch in batches:
+            fields = []
+            for path in batch.column(0).to_pylist():
+                store, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with store.open_input_file(place) as f:
+                    fields.append([{"name": c.name, "type": kind(c.type)} for c in pq.ParquetFile(f).schema_arrow])
+            shape = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fields, shape)], names=["path", "fields"])
+    return files.select("path").mapInArrow(run, "path string, fields array<struct<name: string, type: string>>")
+
+
+def read_widened(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """Parquet files whose columns changed type or came later, as one table without loss.
+
+    Files are grouped by their own schema; each group is read as it is and cast to the common wider types; a column that a
+    group lacks is null there.  (``mergeSchema`` stops at a column that was a number and is text now.)"""
+    groups = file_schemas(file_inventory(spark, root, glob)).groupBy("fields").agg(F.collect_list("path").alias("paths")).collect()  # file names
+    types: dict[str, str] = {}
+    for g in groups:
+        for f in g["fields"]:
+            types[f["name"]] = wider_type(types[f["name"]], f["type"]) if f["name"] in types else f["type"]
+    parts = []
+    for g in sorted(groups, key=lambda g: str(g["fields"])):
+        own = spark.read.schema(", ".join(f"`{f['name']}` {f['type']}" for f in g["fields"])).parquet(*g["paths"])
+        parts.append(own.select(*[F.col(f"`{f['name']}`").cast(types[f["name"]]).alias(f["name"]) for f in g["fields"]]))
+    if not parts:
+        raise ValueError(f"no files under {root}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_isolating_failures(spark: SparkSession, root: str, run_id: str, fmt: str = "parquet",
                             glob: str = "*.parquet", schema: T.StructType | str | None = None
                             ) -> tuple[DataFrame, DataFrame]:

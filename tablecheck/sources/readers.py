@@ -83,17 +83,33 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
     return True
 
 
+def month_folders(spark: SparkSession, root: str, years: list[int]) -> dict[tuple[int, int], str]:
+    """The ``year=/month=`` folders of some years, by number, however the month is written (``1``, ``01``).
+
+    One listing for each year, of folder names only.  Two folders of one month would be read twice: an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root, found = root.rstrip("/"), {}
+    for year in sorted(set(years)):
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/year={year}/month=*")
+        for status in pattern.getFileSystem(conf).globStatus(pattern) or []:
+            name = status.getPath().getName().split("=", 1)[1]
+            if not status.isDirectory() or not name.isdigit():
+                continue
+            if (year, int(name)) in found:
+                raise ValueError(f"{root} holds month {year}-{int(name):02d} twice: {found[year, int(name)]} and month={name}")
+            found[year, int(name)] = f"month={name}"
+    return found
+
+
 def read_month_range(spark: SparkSession, root: str, months: DataFrame | list[tuple[int, int]],
                      fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
     """S18 partition projection: read exactly the year=/month= directories of
-    a declared range (no listing of the whole table); ``basePath`` keeps
-    year/month as columns.  Months with no directory are skipped."""
+    a declared range; ``basePath`` keeps year/month as columns.  Folders are matched
+    by number (``month=1`` and ``month=01``); months with no directory are skipped."""
     pairs = months if isinstance(months, list) else [(r["year"], r["month"]) for r in months.collect()]
-    paths = [f"{root.rstrip('/')}/year={y}/month={m}" for y, m in pairs]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    existing = [p for p in paths if jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).exists(
-        jvm.org.apache.hadoop.fs.Path(p))]
+    root = root.rstrip("/")
+    folders = month_folders(spark, root, [y for y, _ in pairs])
+    existing = [f"{root}/year={y}/{folders[y, m]}" for y, m in pairs if (y, m) in folders]
     r = spark.read.format(fmt).option("basePath", root)
     if schema is not None:
         r = r.schema(schema)

@@ -3,26 +3,27 @@
 A published version is one complete snapshot folder plus one log entry that names it:
 
 * ``<root>/data/<version>-<attempt>/`` — the rows, written first;
-* ``<root>/versions/version=<n>/`` — a one-row log entry, written last and never overwritten.
+* ``<root>/versions/version=<n>.json`` — a one-row log entry, created last, at once, and never overwritten.
 
 Readers only see versions with a log entry, so a crashed or rejected write is invisible
 (stage → validate → publish).  Two writers of one version collide on the log
-entry, and the second fails.  This is a naming convention for snapshots, not a table
-format: there is no transaction log, no merge on read and no retention job
-(expire old folders with the store's lifecycle rules).
+entry, which only one of them can create (``create_file`` says on which stores).  This is a naming convention for snapshots, not a table
+format: there is no transaction log and no merge on read.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablecheck.sources.ingest import create_file, list_names, list_times, remove
+
 LOG_SCHEMA = "published_at timestamp, operation string, row_count long, path string, version long"
 
 
@@ -33,14 +34,11 @@ class VersionedTable:
         self.log_path = f"{self.root}/versions"
 
     def history(self) -> DataFrame:
-        """Published versions.  Only a log that does not exist yet is empty; any other
+        """Published versions.  Only a log that does not exist yet is empty; any
         read error propagates."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not list_names(self.spark, self.log_path):
             return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).option("mode", "FAILFAST").json(self.log_path)
 
     def latest_version(self) -> int | None:
         return self.history().agg(F.max("version").alias("v")).first()["v"]
@@ -58,11 +56,27 @@ class VersionedTable:
         staged = self.spark.read.schema(df.schema).parquet(path)
         if validate is not None and not validate(staged):
             raise ValueError(f"version {version} failed validation; not published")
-        entry = staged.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.current_timestamp().alias("published_at"), F.lit(operation).alias("operation"), "row_count", F.lit(path).alias("path"))
-        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.log_path}/version={version}")
+        entry = {"published_at": _dt.datetime.now(_dt.timezone.utc).isoformat(), "operation": operation, "row_count": staged.count(), "path": path, "version": version}
+        create_file(self.spark, f"{self.log_path}/version={version}.json", json.dumps(entry) + "\n")
         return version
 
+    def expire(self, before: _dt.datetime, keep_last: int = 1) -> list[int]:
+        """Drop the versions published before ``before``, but not the newest ``keep_last``; returns their numbers.
+
+        A version's log entry goes first, so from then on reading it fails clearly ("no published version"), then its
+        folder.  A run that stops between the two leaves folders without an entry; the next one removes those that were
+        written before ``before``, too, so it must be older than any write that is still going on."""
+        rows = self.history().select("version", "published_at", "path").orderBy(F.desc("version")).collect()  # versions, not rows
+        mark = self.spark.range(1).select(F.lit(before).cast("timestamp").alias("t")).first()["t"]
+        gone = [r for r in rows[max(1, keep_last):] if r["published_at"] < mark]
+        for r in gone:
+            remove(self.spark, f"{self.log_path}/version={r['version']}.json")
+        kept = {r["path"].rsplit("/", 1)[1] for r in rows} - {r["path"].rsplit("/", 1)[1] for r in gone}
+        for name, modified in list_times(self.spark, f"{self.root}/data"):
+            if name not in kept and (modified < mark.timestamp() or any(r["path"].endswith(f"/{name}") for r in gone)):
+                remove(self.spark, f"{self.root}/data/{name}")
+        return sorted(r["version"] for r in gone)
+
     def read(self, version: int | None = None, as_of: _dt.datetime | str | None = None) -> DataFrame:
         """A published version (latest by default, or the newest one
         published at or before ``as_of``).  Only that folder is scanned."""

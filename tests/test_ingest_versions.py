@@ -77,13 +77,12 @@ def test_versioned_table_publish_time_travel_rollback(spark, tmp_dir):
     with pytest.raises(ValueError):
         vt.read(as_of=dt.datetime(2000, 1, 1))  # nothing was published back then
     assert vt.read(as_of=dt.datetime(2100, 1, 1)).count() == 50
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(Exception, match="exists already"):
         vt.publish(df, version=0)  # a version is never overwritten
     assert vt.read(version=0).count() == 100 and vt.history().count() == 2
     # an unreadable log is an error, not an empty table that the next publish would start over
-    for log in glob.glob(os.path.join(tmp_dir, "vt", "versions", "version=1", "part-*")):
-        with open(log, "wb") as fh:
-            fh.write(b"broken")
+    with open(os.path.join(tmp_dir, "vt", "versions", "version=1.json"), "wb") as fh:
+        fh.write(b"broken")
     with pytest.raises(Exception):
         vt.publish(df)
 
@@ -149,7 +148,7 @@ def test_month_ranges_reach_the_scan_and_a_large_month_has_more_files(spark, tmp
         I.land(big.unionAll(small), target)
     finally:
         spark.conf.unset(key)
-    assert len(glob.glob(f"{target}/year=1996/month=1/*.parquet")) > 1
+    assert len(glob.glob(f"{target}/year=1996/month=01/*.parquet")) > 1
     plan = spark.read.parquet(target).filter(I.months_predicate(1996, 2, 1))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     assert spark.read.parquet(target).filter(I.months_predicate(1996, 2, 1)).count() == 10

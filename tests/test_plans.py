@@ -2,13 +2,13 @@
 filters and projections reach the Parquet scan."""
 from tablecheck.operators.evaluate import evaluate, fail_counts_long
 from tablecheck.plans.catalog import QUERIES
-from tablecheck.plans import report_queries
+from tablecheck.plans import load_queries, report_queries
 from tablecheck.plans.dq_queries import _rules_main
 from tablecheck.plans.fixtures import f1
 
 SF = "/root/testdata/sf0.001"
 # queries that write tables while they are built
-REPORTS = {n for n, f in QUERIES.items() if f.__module__ == report_queries.__name__ and not n.startswith("dq_")} | {"dq_row_counts", "dq_quarantine_write"}
+REPORTS = {n for n, f in QUERIES.items() if f.__module__ in (report_queries.__name__, load_queries.__name__) and not n.startswith("dq_")} | {"dq_row_counts", "dq_quarantine_write"}
 
 
 def _plan(df) -> str:
