@@ -19,8 +19,8 @@
    passage of another holder stops there).
 
 Skew: seeds travel as one block for each bucket of keys and block of documents, keys of 40 bits in byte planes; a key that a block
-holds over ``HOT`` times is matched inside the block, and only its first holder travels, so a bucket has at most ``HOT`` occurrences
-of a key from each block. Buckets hold ``BUCKET_CHARS`` characters' seeds each, whatever the size of the corpus. A chain group holds at
+holds over ``HOT`` times is matched inside the block, and only its first holder's occurrences travel, so a bucket has at most
+``HOT`` occurrences of a key, or one document's, from each block. Buckets hold the seeds of ``BUCKET_WORDS`` words each, whatever the size of the corpus. A chain group holds at
 most one document's seeds.
 
 Edge cases: a null or short text and a null id give no passage; rows that repeat an id with one text are
@@ -31,20 +31,22 @@ empty table gives no rows; other columns are ignored by ``passages`` and kept by
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Memo, free_name, materialise, mix, shingle_hashes, signed
+from .common import free_name, materialise, mix, shingle_hashes, signed
 
 K, WINDOW, MIN_WORDS, PERCENT = 5, 4, 50, 80
-#: Words between two seeds of a chain part, and between two seeds of a pair; characters of text for a bucket of seeds.
-GAP, PAIR, BUCKET_CHARS = 45, 30, 32_000_000
+#: Words between two seeds of a chain part, and between two seeds of a pair; words of text for a bucket of seeds.
+GAP, PAIR, BUCKET_WORDS = 45, 30, 5_000_000
 #: Occurrences of a key in a block, and of a pair in a document, from which they are a common line's.
 HOT, REPEATS = 32, 8
 LOW = np.uint64((1 << 40) - 1)
@@ -58,10 +60,10 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def to_words(text: str | None, memo: Memo) -> bytes:
-    """The words as 24-bit hashes."""
+def to_words(text: str | None) -> bytes:
+    """The words as 24-bit checksums."""
     w = words_of(text)
-    return np.fromiter(map(memo.__getitem__, w), np.uint64, len(w)).view(np.uint8).reshape(-1, 8)[:, :3].tobytes()
+    return np.fromiter(map(zlib.crc32, w), "<u4", len(w)).view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
 def from_words(raw) -> np.ndarray:
@@ -71,14 +73,27 @@ def from_words(raw) -> np.ndarray:
     return out.reshape(-1).view("<u4")
 
 
-def seeds_of(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and positions of the winnowed seeds of a document's word hashes."""
-    runs = shingle_hashes(words, k)
-    if len(runs) > window:
-        at = np.unique(np.lib.stride_tricks.sliding_window_view(runs, window).argmin(1) + np.arange(len(runs) - window + 1))
-    else:
-        at = np.array([runs.argmin()]) if len(runs) else np.empty(0, np.int64)
-    return runs[at], at
+def seeds_of(words: np.ndarray, lengths: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, positions and text numbers of the winnowed seeds of texts laid end to end, each of ``k + window`` words at least.
+
+    A run of ``k`` words is a seed if it is the first smallest one of some ``window`` consecutive runs of its text.
+    """
+    runs = shingle_hashes(words.astype(np.uint64), k)
+    stop = np.cumsum(lengths)
+    text = np.repeat(np.arange(len(lengths)), lengths)[: len(runs)]
+    inside = np.arange(len(runs)) + k <= stop[text]
+    h = np.where(inside, np.maximum(runs, np.uint64(1)), np.uint64(0))  # a zero ends every comparison
+    beyond = np.zeros(window - 1, np.uint64)
+    wide = np.concatenate((beyond, h, beyond))
+    reach = np.zeros(len(h), np.int64)
+    for step, beats in ((-1, np.less), (1, np.less_equal)):
+        still = np.ones(len(h), bool)
+        for d in range(1, window):
+            at = window - 1 + step * d
+            still &= beats(h, wide[at : at + len(h)])
+            reach += still
+    chosen = np.flatnonzero((reach >= window - 1) & inside)
+    return runs[chosen], chosen - (stop - lengths)[text[chosen]], text[chosen]
 
 
 def chain(matches: list[tuple[int, int]], k: int = K, cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
@@ -290,22 +305,23 @@ def ranks(ids: pa.Array, versions: np.ndarray) -> np.ndarray:
     return out
 
 
-def seed_blocks(docs: DataFrame, k: int, window: int, min_words: int, buckets: int) -> DataFrame:
+def seed_blocks(words: DataFrame, k: int, window: int, buckets: int) -> DataFrame:
     """Seeds as ``(bucket, salt, seeds, pos, doc, ids, versions)``: one row for each bucket of keys and block of documents; ``doc`` is an index into ``ids``.
 
-    A block's occurrences of a key that it holds over ``HOT`` times stay together in a row of the block's own; only the
-    first one also goes to the key's bucket.
+    A block's occurrences of a key that it holds over ``HOT`` times stay together in a row of the block's own; only those of
+    its first document also go to the key's bucket.
     """
     block_words = int(np.clip(64 * buckets, 1_000_000, 8_000_000))
 
-    def block(ids: pa.Array, versions: np.ndarray, salt: int, found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        key, pos = (np.concatenate([f[c] for f in found]) for c in (1, 2))
-        doc = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-        order = np.lexsort((pos, ranks(ids, versions)[doc], key))
-        key, pos, doc = key[order], pos[order], doc[order]
-        first = np.concatenate(([True], key[1:] != key[:-1]))
-        edge = np.flatnonzero(first)
-        hot = np.repeat(np.diff(np.append(edge, len(key))) > HOT, np.diff(np.append(edge, len(key))))
+    def block(ids: pa.Array, versions: np.ndarray, salt: int, raw: list) -> pa.RecordBatch:
+        lengths = np.array([len(r) // 3 for r in raw])
+        key, pos, doc = seeds_of(from_words(b"".join(raw)), lengths, k, window)
+        rank = ranks(ids, versions)[doc]
+        order = np.lexsort((pos, rank, key))
+        key, pos, doc, rank = key[order], pos[order], doc[order], rank[order]
+        edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        n = np.diff(np.append(edge, len(key)))
+        hot, first = np.repeat(n > HOT, n), rank == np.repeat(rank[edge], n)
         bucket = ((key >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
         rows, at, lengths = [], [], []
 
@@ -329,25 +345,18 @@ def seed_blocks(docs: DataFrame, k: int, window: int, min_words: int, buckets: i
         return pa.RecordBatch.from_arrays([*(pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)), *lists], names=["bucket", "salt", "seeds", "pos", "doc", "ids", "versions"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, number = Memo(xxhash.xxh3_64_intdigest), TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            versions = batch.column(1).to_numpy()
-            found, n = [], 0
-            for i, text in enumerate(batch.column(2)):
-                w = words_of(text.as_py())
-                if len(w) >= min_words:
-                    found.append((i, *seeds_of(np.fromiter(map(memo.__getitem__, w), np.uint64, len(w)), k, window)))
-                    n += len(w)
-                if found and (n >= block_words or i == batch.num_rows - 1):
-                    number += 1
-                    yield block(batch.column(0), versions, number, found)
-                    found, n = [], 0
-            if found:
-                number += 1
-                yield block(batch.column(0), versions, number, found)
+            size = np.cumsum(pc.binary_length(batch.column(2)).to_numpy().astype(np.int64) // 3)
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + block_words, "right")))
+                part, number = batch.slice(lo, hi - lo), number + 1
+                yield block(part.column(0), part.column(1).to_numpy(), number, part.column(2).to_pylist())
+                lo = hi
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"bucket long, salt long, seeds binary, pos binary, doc binary, ids array<{kind}>, versions array<long>")
+    kind = words.schema["id"].dataType.simpleString()
+    return words.select("id", "v", "words").mapInArrow(run, f"bucket long, salt long, seeds binary, pos binary, doc binary, ids array<{kind}>, versions array<long>")
 
 
 def first_matches(blocks: DataFrame, kind: str) -> DataFrame:
@@ -495,38 +504,48 @@ def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, pe
     return grouped.mapInArrow(run, f"id {kind}, v long, ref {kind}, ref_v long, a array<int>, b array<int>, keys array<long>")
 
 
-def alike(x: np.ndarray, y: np.ndarray, min_words: int) -> np.ndarray:
+def alike(x: list, y: list, min_words: int) -> list[int]:
     """Starts of the stretches of ``min_words`` words of ``x`` that may lie in a passage: seven in ten of their words are in ``y`` (a passage of four in five has such a stretch)."""
+    held = list(map(set(y).__contains__, x))
+    least = -(-7 * min_words // 10)
+    if sum(held) < least:
+        return []
+    total = [0, *accumulate(held)]
     size = min(min_words, len(x))
-    total = np.concatenate(([0], np.cumsum(np.isin(x, y))))
-    return np.flatnonzero(10 * (total[size:] - total[:-size]) >= 7 * min_words)
+    return [i for i in range(len(x) - size + 1) if total[i + size] - total[i] >= least]
 
 
 def align_row(x: np.ndarray, y: np.ndarray, a: list[int], b: list[int], k: int, min_words: int, percent: int) -> list[tuple[int, int, int, int, int]]:
     """Passages around one chain, or around each of the places ``a`` of one seed."""
     reach = max(GAP, min_words + 14)
     lines = len(a) > 1 and b[0] == b[-1]
-    if lines or len(a) < 3:
-        starts = alike(x, y, min_words)
-        if not len(starts):
-            return []
-    there, out = y.tolist(), []
-    for place in a if lines else a[:1]:
-        seeds, at, here = list(zip(a, b)), 0, x
-        if lines:
-            if out and out[-1][0] <= place and place + k <= out[-1][1]:
-                continue
-            i = np.searchsorted(starts, place - reach)
-            if i == len(starts) or starts[i] > place + reach:
-                continue
-            at = max(0, place - reach)
-            seeds, here = [(place - at, b[0])], x[at : place + k + reach]
-        here = here.tolist()
+    x, there = x.tolist(), y.tolist()
+    starts = alike(x, there, min_words) if lines or len(a) < 3 else [0]
+    if not starts:
+        return []
+
+    def passages_at(here: list, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
         runs = equal_runs(here, there, seeds, k, min_words)
         good = segments(runs, len(here), min_words, percent)
         if not good and sum(n for _, _, n in runs) > 2 * k:
             good = segments(equal_runs(here, there, seeds, k, min_words, True), len(here), min_words, percent)
-        out += [(s + at, e + at, t, f, n) for s, e, t, f, n in good]
+        return good
+
+    if not lines:
+        return passages_at(x, list(zip(a, b)))
+    out, known = [], {}
+    for place in a:
+        if out and out[-1][0] <= place and place + k <= out[-1][1]:
+            continue
+        i = bisect_left(starts, place - reach)
+        if i == len(starts) or starts[i] > place + reach:
+            continue
+        at = max(0, place - reach)
+        here = x[at : place + k + reach]
+        name = (place - at, *here)  # repeated lines have the same words around them
+        if name not in known:
+            known[name] = passages_at(here, [(place - at, b[0])])
+        out += [(s + at, e + at, t, f, n) for s, e, t, f, n in known[name]]
     return out
 
 
@@ -623,8 +642,18 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     """``(id, start, stop, ref_id, ref_start, ref_stop, matched, version)``: word ranges (stop exclusive) that an earlier document holds; ``version`` as ``versioned`` gives it."""
     docs = versioned(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", "v").select("id", "v", "text")
     kind = docs.schema["id"].dataType.simpleString()
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    hits = first_matches(seed_blocks(docs, k, window, min_words, 1 + chars // BUCKET_CHARS), kind)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                raw = [to_words(t.as_py()) for t in part.column(2)]
+                at = pa.array([i for i, r in enumerate(raw) if len(r) >= 3 * min_words], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array([r for r in raw if len(r) >= 3 * min_words], pa.binary())], names=["id", "v", "words"])
+
+    rows = materialise(docs.mapInArrow(coded, f"id {kind}, v long, words binary"), "words")
+    n_words = (rows.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // 3
+    hits = first_matches(seed_blocks(rows, k, window, 1 + n_words // BUCKET_WORDS), kind)
     both = materialise(_chained(hits, kind, k, window, min_words, percent, True), "chains")
 
     # Text whose seeds have other first holders: pairs of seeds, with holders of their own.
@@ -632,17 +661,8 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     more = _chained(_first_held(pairs, pairs, "key"), kind, k, window, min_words, percent, False)
     chains = materialise(both.where("ref is not null").unionAll(more).select("id", "v", "ref", "ref_v", "a", "b").distinct(), "all-chains")
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(xxhash.xxh3_64_intdigest)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([to_words(t.as_py(), memo) for t in part.column(2)], pa.binary())], names=["id", "v", "words"])
-
-    def words_of_some(rows: DataFrame) -> DataFrame:
-        return docs.join(rows, ["id", "v"], "left_semi").mapInArrow(hashed, f"id {kind}, v long, words binary").groupBy("id", "v").agg(F.first("words").alias("words"))
-
-    words = docs.mapInArrow(hashed, f"id {kind}, v long, words binary").groupBy("id", "v").agg(F.first("words").alias("words"))
+    one = lambda rows: rows.groupBy("id", "v").agg(F.first("words").alias("words"))  # noqa: E731  rows that repeat a document
+    words = one(rows)
     found = materialise(_aligned(chains, words, kind, k, min_words, percent), "found")
 
     cover = found.groupBy("id", "v").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # at most one document's chains
@@ -651,11 +671,12 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     spans = materialise(spans.withColumn("open", left), "spans")
     if not spans.where("open").limit(1).count():
         return _outermost(found, kind).withColumnRenamed("id", id_col)
-    spans = materialise(spans.join(words_of_some(spans.select("id", "v")), ["id", "v"]), "span-words")
+    spans = materialise(spans.join(one(rows.join(spans.select("id", "v"), ["id", "v"], "left_semi")), ["id", "v"]), "span-words")
     bare = materialise(_long_runs(spans.where("open"), kind, min_words, False), "bare")
     held = _long_runs(spans, kind, min_words, True).join(bare.select("run").distinct(), "run", "left_semi")
     more = materialise(_chained(_first_held(held, bare, "run"), kind, k, window, min_words, percent, False), "more")
-    some = words_of_some(more.select("id", "v").unionAll(more.select(F.col("ref").alias("id"), F.col("ref_v").alias("v"))).distinct())
+    both_sides = more.select("id", "v").unionAll(more.select(F.col("ref").alias("id"), F.col("ref_v").alias("v"))).distinct()
+    some = one(rows.join(both_sides, ["id", "v"], "left_semi"))
     found = found.unionAll(_aligned(more.drop("keys"), some, kind, k, min_words, percent))
     return _outermost(found, kind).withColumnRenamed("id", id_col)
 

@@ -9,7 +9,8 @@ exact cosine in double precision, in matrix blocks, each in the first table they
 Skew: equal vectors form one class with a multiplicity, so copies are never paired.  A bucket of more
 than ``block`` classes is cut into blocks by hash, and every pair of blocks is its own unit
 of work, so no bucket has to fit one task.  A block reports sums of links and a spanning
-forest of its links, never its pairs.
+forest of its links, never its pairs.  Buckets are first counted by their keys alone; a vector, in the numbers it
+came in, goes only to buckets that hold another class.
 
 Edge cases: a vector that is null, zero, empty or holds a null or a non-finite component links with nothing; vectors
 of different lengths never link; a repeated row counts as another vector; a null id keeps its links
@@ -41,20 +42,34 @@ def unit(values: list | None) -> np.ndarray | None:
     return v / np.sqrt(v @ v)
 
 
+def units(raw: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors from the bytes of vectors of one length."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def number_type(df: DataFrame, vec_col: str) -> str:
+    """How a vector's numbers are stored: in the column's own type."""
+    return "<f4" if df.schema[vec_col].dataType.elementType.typeName() == "float" else "<f8"
+
+
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``(id, key, vec)``: a digest and the bytes of each comparable vector, else null."""
+    """``(id, key, vec)``: a digest of the unit vector and the bytes of each comparable vector, else null."""
+    stored = number_type(df, vec_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = [unit(v) for v in batch.column(1).to_pylist()]
-            raw = [None if u is None else u.tobytes() for u in units]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if r is None else xxhash.xxh3_128_digest(r) for r in raw], pa.binary()), pa.array(raw, pa.binary())], names=["id", "key", "vec"])
+            rows = batch.column(1).to_pylist()
+            found = [unit(v) for v in rows]
+            raw = [None if u is None else np.asarray(v, np.float64).astype(stored).tobytes() for u, v in zip(found, rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if u is None else xxhash.xxh3_128_digest(u.tobytes()) for u in found], pa.binary()), pa.array(raw, pa.binary())], names=["id", "key", "vec"])
 
     kind = df.select(id_col).schema[0].dataType.simpleString()
     return df.select(id_col, vec_col).mapInArrow(run, f"id {kind}, key binary, vec binary")
 
 
-def coded(classes: DataFrame, n_tables: int, n_hashes: int, width: float, seed: int) -> DataFrame:
+def coded(classes: DataFrame, n_tables: int, n_hashes: int, width: float, seed: int, stored: str) -> DataFrame:
     """``classes`` with ``codes``: one 32-bit bucket for each table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,10 +81,10 @@ def coded(classes: DataFrame, n_tables: int, n_hashes: int, width: float, seed:
             for size in np.unique(sizes):
                 if size not in planes:
                     rng = np.random.default_rng([seed, int(size)])
-                    planes[size] = rng.standard_normal((size // 8, n_tables * n_hashes)), rng.random(n_tables * n_hashes) * width
+                    planes[size] = rng.standard_normal((size // np.dtype(stored).itemsize, n_tables * n_hashes)), rng.random(n_tables * n_hashes) * width
                 a, b = planes[size]
                 rows = np.flatnonzero(sizes == size)
-                x = np.frombuffer(b"".join(raw[i] for i in rows), np.float64).reshape(len(rows), -1)
+                x = units([raw[i] for i in rows], stored)
                 q = np.floor((x @ a + b) / width).astype(np.int64).view(np.uint64).reshape(len(rows), n_tables, n_hashes)
                 h = np.full((len(rows), n_tables), np.uint64(size))
                 with np.errstate(over="ignore"):
@@ -108,7 +123,7 @@ def _block_links(x: np.ndarray, codes: np.ndarray, own: np.ndarray, lo: int, hi:
     return linked @ copies, _forest(linked)
 
 
-def bucket_links(rows: DataFrame, least: float) -> DataFrame:
+def bucket_links(rows: DataFrame, least: float, stored: str) -> DataFrame:
     """``(key, links, root)`` from rows sorted by ``(tab, bucket, lo, hi)``: sums and a spanning forest for each block pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +143,7 @@ def bucket_links(rows: DataFrame, least: float) -> DataFrame:
                     at = start + np.flatnonzero(size == s)
                     if len(at) == 1:
                         continue
-                    x = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), -1)
+                    x = units([raw[i] for i in at], stored)
                     code = np.frombuffer(b"".join(codes[i] for i in at), "<u4").reshape(len(at), -1)
                     links, root = _block_links(x, code, own[at], cells[2, start], cells[3, start], cells[0, start], copies[at], least)
                     out.extend((keys[at[i]], int(links[i]), keys[at[root[i]]]) for i in np.flatnonzero(root >= 0))
@@ -160,19 +175,21 @@ def bucket_links(rows: DataFrame, least: float) -> DataFrame:
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = 0.95, n_tables: int = 16, n_hashes: int = 10, width: float = 2.0, block: int = 2048, seed: int = 7) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row."""
-    rows = materialise(vectors(df, id_col, vec_col), "vectors")
-    classes = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.first("vec").alias("vec"))
-    classes = materialise(coded(classes, n_tables, n_hashes, width, seed), "classes")
+    stored, found = number_type(df, vec_col), vectors(df, id_col, vec_col)
+    rows = materialise(found.select("id", "key"), "vectors")  # without the vectors, which are written once, by class
+    classes = found.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.first("vec").alias("vec"))
+    classes = materialise(coded(classes, n_tables, n_hashes, width, seed, stored), "classes")
 
     code = lambda t: F.conv(F.hex(F.substring("codes", t * 4 + 1, F.lit(4))), 16, 10).cast("long")
     slots = F.explode(F.sequence(F.lit(0), F.lit(n_tables - 1)))
     spread = classes.select("key", slots.alias("tab"), "codes").select("key", "tab", code(F.col("tab")).alias("bucket"))
-    large = spread.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
-    cut = spread.join(large, ["tab", "bucket"]).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("tab", "blocks"))).alias("cut"))  # at most n_tables entries
-    full = classes.join(cut, "key", "left").select("*", slots.alias("tab")).select("*", code(F.col("tab")).alias("bucket"), F.coalesce(F.col("cut")[F.col("tab")], F.lit(1)).alias("blocks"))
+    # Only keys and buckets are shuffled to find the buckets of several classes; a vector goes to those alone.
+    shared = spread.groupBy("tab", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("tab", "bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    places = spread.join(shared, ["tab", "bucket"]).groupBy("key").agg(F.collect_list(F.struct("tab", "bucket", "blocks")).alias("places"))  # at most n_tables entries
+    full = classes.join(places, "key").select("key", "copies", "vec", "codes", F.explode("places").alias("place")).select("key", "copies", "vec", "codes", "place.*")
     full = full.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cells = full.select("tab", "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "copies", "vec", "codes")
-    found = materialise(bucket_links(cells.repartition("tab", "bucket", "lo", "hi").sortWithinPartitions("tab", "bucket", "lo", "hi"), least), "links")
+    found = materialise(bucket_links(cells.repartition("tab", "bucket", "lo", "hi").sortWithinPartitions("tab", "bucket", "lo", "hi"), least, stored), "links")
 
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("copies"))
     near = connected_components(found.select(F.col("key").alias("a"), F.col("root").alias("b")).where("a <> b"))

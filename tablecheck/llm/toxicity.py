@@ -10,8 +10,8 @@ a lift, from counts that Spark aggregates) are kept, ``max_features`` at most.
 values: whether a text has it, and its occurrences per hundred words.  Labels tell toxic from clean
 only, so toxic rows are graded severe when their density of kept features is above the median.
 
-The model is fitted on at most ``max_rows`` labelled rows, chosen by a hash of their id; scoring covers
-every row, in one pass without a shuffle.
+The model is fitted on at most ``max_rows`` labelled rows, chosen by a hash of their id, one row for each id (of several texts that
+with the smallest hash); scoring covers every row, in one pass without a shuffle.
 
 Edge cases: a null text is empty; without labels, or with labels of one kind, no text is toxic; repeated
 rows get equal scores; labels repeated for one id count by their largest value; an empty table gives no
@@ -111,7 +111,8 @@ def fit_cumulative(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_features: int = 2048, min_z: float = 5.0, min_lift: float = 4.0) -> Model:
     """Fit on at most ``max_rows`` labelled rows of ``df``."""
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg((F.max(label_col) > 0).alias("y")).orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
-    sample = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id")  # at most max_rows ids
+    sample = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id")  # at most max_rows ids
+    sample = sample.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one row for each id, combined before the shuffle
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(word_features)
