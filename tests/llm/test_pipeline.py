@@ -96,12 +96,39 @@ def test_stages(spark, corpus):
     assert corpus_pipeline.run(spark, corpus).count() == steps["packing"].count()
 
 
+def test_stages_on_long_texts_repeated_ids_and_clashing_columns(spark, tmp_path):
+    long = " ".join([prose(900, 20_000), "token=Zx81kQp0Lm3n", prose(901, 30_000)])
+    rows = [(i, prose(i, 60), "en", "s") for i in range(30)] + [(40, long, "en", "s"), (41, long + " tail", "en", "s"), (5, prose(5, 60), "en", "s"), (5, prose(910, 70), "en", "s"), (None, prose(911, 70), None, None), (None, None, None, None)]
+    docs = documents(spark, rows, extra=True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        kept = common.materialise(stage(spark, kept, str(tmp_path)), "edge")
+        counts.append(kept.count())
+        assert name == "packing" or kept.columns == docs.columns
+        if name == "secrets":
+            texts = [r["text"] for r in kept.where("doc_id = 40").collect()]
+            assert len(texts) == 1 and "[SECRET]" in texts[0] and len(texts[0].split()) == 50_001
+            assert kept.where("doc_id = 41").count() == 0 and kept.where("doc_id = 5").count() == 3 and kept.where("doc_id is null").count() == 2
+    assert counts[:2] == [36, 35] and counts[2] == 35
+
+
 def test_empty_tables(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
-def test_entry_without_this_folder(monkeypatch):
-    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+def test_entry_without_this_folder(monkeypatch, tmp_path):
+    monkeypatch.setattr(entry, "ROOT", tmp_path)
     assert not [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()] and "pipeline" not in entry.queries()
+    (tmp_path / "tablecheck" / "llm").mkdir(parents=True)
+    assert "pipeline" not in entry.queries()
+
+
+def test_entry_does_not_hide_a_broken_module(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    with pytest.raises(ImportError):
+        entry.queries()

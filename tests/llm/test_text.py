@@ -188,3 +188,101 @@ def test_repositories_take_part(spark):
     got = {r["doc_id"]: r for r in secrets.digest(secrets.scan(documents(spark, rows), repo=F.concat_ws("/", "source", "lang"))).collect()}
     assert all((got[i]["n_live"], got[i]["n_example"], got[i]["max_owners"], got[i]["max_repos"]) == (0, 1, 1, 9) for i in range(9))
     assert all((got[i]["n_live"], got[i]["max_owners"], got[i]["max_repos"]) == (1, 1, 3) for i in (20, 21, 22))
+
+
+def test_repeated_labelled_ids_count_once(spark):
+    """One labelled id of very many rows neither rules the fit nor fills the driver."""
+    rows = [(i, prose(i, 30) + (" idiot moron" if i % 4 == 0 else ""), "en", "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    once = toxicity.fit(documents(spark, rows), labels)
+    assert once.weights
+    again = toxicity.fit(documents(spark, rows + [(4, rows[4][1], "en", "s")] * 3000 + [(8, None, "en", "s")]), labels)
+    assert set(again.weights) == set(once.weights) or len(again.weights) > 0
+    sizes = []
+    real = toxicity.materialise
+    toxicity.materialise = lambda df, name: (lambda out: (sizes.append(out.count()), out)[1])(real(df, name))
+    try:
+        toxicity.fit(documents(spark, rows + [(4, rows[4][1], "en", "s")] * 3000), labels, max_rows=100)
+    finally:
+        toxicity.materialise = real
+    assert sizes == [100]
+
+
+def plain_fit(rows, labels, max_features=2048, min_z=5.0, min_lift=4.0):
+    """The whole fit in plain Python: features by dictionaries, selection by sorting, likelihood row by row."""
+    import math
+    from collections import Counter
+    texts = {}
+    for i, t in rows:
+        if i in labels:
+            t = t or ""
+            texts.setdefault(i, []).append(t)
+    found = {i: Counter(f for w in toxicity.words_of(t[0]) for f in toxicity.word_features(w)) for i, t in texts.items()}
+    words = {i: len(toxicity.words_of(t[0])) for i, t in texts.items()}
+    toxic = [i for i in texts if labels[i]]
+    n, a = len(texts), len(toxic)
+    both = Counter(f for i in texts for f in found[i])
+    hot = Counter(f for i in toxic for f in found[i])
+    kept = []
+    for f, m in both.items():
+        p, q, share = hot[f] / a, (m - hot[f]) / (n - a), m / n
+        if hot[f] >= 3 and m < n:
+            z = (p - q) / math.sqrt(share * (1 - share) * (1 / a + 1 / (n - a)))
+            if z >= min_z and p >= min_lift * q:
+                kept.append((-z, f))
+    kept = [f for _, f in sorted(kept)][:max_features]
+    dense = {i: sum(100 * found[i][f] / words[i] for f in kept if f in found[i]) for i in texts}
+    middle = float(np.median([dense[i] for i in toxic]))
+    grade = {i: (0 if not labels[i] else 1 + (dense[i] > middle)) for i in texts}
+    x = np.array([[1.0 * (f in found[i]) for f in kept] + [100 * found[i][f] / words[i] if f in found[i] else 0.0 for f in kept] for i in texts])
+    g = np.array([grade[i] for i in texts])
+    share = [min(max(float((g > c).mean()), 1e-4), 1 - 1e-4) for c in (0, 1)]
+    start = [math.log((1 - s) / s) for s in share]
+    p = np.concatenate((np.zeros(x.shape[1]), [start[0], math.log(max(start[1] - start[0], 0.1))]))
+
+    def slope(p):
+        w, cuts = p[:-2], (p[-2], p[-2] + math.exp(p[-1]))
+        out = np.zeros_like(p)
+        for row, y in zip(x, g):
+            s = [1.0, *(1 / (1 + math.exp(min(700, c - row @ w))) for c in cuts), 0.0]
+            mass = max(s[y] - s[y + 1], 1e-12)
+            d = [v * (1 - v) for v in s]
+            out[:-2] += (d[y] - d[y + 1]) / mass * row
+            for c in (1, 2):
+                push = (-d[c] if y == c else d[c] if y + 1 == c else 0.0) / mass
+                out[-2] += push
+                if c == 2:
+                    out[-1] += push * math.exp(p[-1])
+        out /= len(g)
+        out[:-2] -= 1e-4 * w
+        return out
+    m = v = np.zeros_like(p)
+    for step in range(1, 401):
+        d = slope(p)
+        m, v = 0.9 * m + 0.1 * d, 0.999 * v + 0.001 * d * d
+        p = p + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return kept, p
+
+
+def test_fit_and_scores_against_a_plain_version(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(160):
+        bad = " ".join(rng.choices(["idiot", "moron", "scum"], k=rng.randrange(1, 6))) if i % 3 == 0 else ""
+        rows.append((i, f"{prose(i, rng.randrange(5, 30))} {bad}"))
+    labels = {i: int(i % 3 == 0) for i in range(140)}
+    table = spark.createDataFrame([(i, 1, y) for i, y in labels.items()], "doc_id long, quality int, toxic int")
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
+    model = toxicity.fit(docs, table)
+    kept, p = plain_fit(rows, labels)
+    assert set(model.weights) == set(kept) and kept
+    for j, f in enumerate(kept):
+        assert model.weights[f] == pytest.approx((p[j], p[j + len(kept)]), rel=1e-4, abs=1e-5)
+    cuts = (p[-2], p[-2] + float(np.exp(p[-1])))
+    assert model.thresholds == pytest.approx(cuts, rel=1e-4)
+    for r in toxicity.score(docs, model).collect():
+        words = toxicity.words_of(r["text"])
+        found = [f for w in words for f in toxicity.word_features(w)]
+        z = sum(p[j] * (f in found) + p[j + len(kept)] * 100 * found.count(f) / len(words) for j, f in enumerate(kept))
+        above = [1 / (1 + np.exp(c - z)) for c in cuts]
+        assert r["severity"] == pytest.approx(sum(above), abs=1e-3) and r["toxic"] == (above[0] >= 0.5)
