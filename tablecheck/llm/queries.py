@@ -147,6 +147,11 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec
 reach AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
 c AS (SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM v)
 SELECT *, vec_id = component_id AS kept FROM c""",
+    # The exact search: tables of up to 2,000 vectors are searched whole (``least``), larger ones by share.
+    "op11_inverted_multi_index": """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.x, b.x) AS score FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 20""",
     "op13_prefix_trie": f"""
 WITH t AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
 c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32.format("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
