@@ -33,6 +33,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -524,7 +525,11 @@ def align_row(x: np.ndarray, y: np.ndarray, a: list[int], b: list[int], k: int,
     if not starts:
         return []
 
+    held = Counter(there)
+
     def passages_at(here: list, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+        if len(seeds) < 3 and 100 * (Counter(here) & held).total() < percent * min_words:  # no alignment matches more words than both have
+            return []
         runs = equal_runs(here, there, seeds, k, min_words)
         good = segments(runs, len(here), min_words, percent)
         if not good and sum(n for _, _, n in runs) > 2 * k:
@@ -662,6 +667,11 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     chains = materialise(both.where("ref is not null").unionAll(more).select("id", "v", "ref", "ref_v", "a", "b").distinct(), "all-chains")
 
     one = lambda rows: rows.groupBy("id", "v").agg(F.first("words").alias("words"))  # noqa: E731  rows that repeat a document
+
+    def of(ids: DataFrame) -> DataFrame:  # the words of some documents; a list of half a million is broadcast
+        few = ids.count() <= 500_000
+        return one(rows.join(F.broadcast(ids) if few else ids, ["id", "v"], "left_semi"))
+
     words = one(rows)
     found = materialise(_aligned(chains, words, kind, k, min_words, percent), "found")
 
@@ -671,13 +681,12 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     spans = materialise(spans.withColumn("open", left), "spans")
     if not spans.where("open").limit(1).count():
         return _outermost(found, kind).withColumnRenamed("id", id_col)
-    spans = materialise(spans.join(one(rows.join(spans.select("id", "v"), ["id", "v"], "left_semi")), ["id", "v"]), "span-words")
+    spans = materialise(spans.join(of(spans.select("id", "v")), ["id", "v"]), "span-words")
     bare = materialise(_long_runs(spans.where("open"), kind, min_words, False), "bare")
     held = _long_runs(spans, kind, min_words, True).join(bare.select("run").distinct(), "run", "left_semi")
     more = materialise(_chained(_first_held(held, bare, "run"), kind, k, window, min_words, percent, False), "more")
     both_sides = more.select("id", "v").unionAll(more.select(F.col("ref").alias("id"), F.col("ref_v").alias("v"))).distinct()
-    some = one(rows.join(both_sides, ["id", "v"], "left_semi"))
-    found = found.unionAll(_aligned(more.drop("keys"), some, kind, k, min_words, percent))
+    found = found.unionAll(_aligned(more.drop("keys"), of(both_sides), kind, k, min_words, percent))
     return _outermost(found, kind).withColumnRenamed("id", id_col)
 
 
