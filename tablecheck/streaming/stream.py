@@ -8,6 +8,7 @@ duration (T07) and counts per event (T05) as streams are in ``stateful``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -265,7 +266,8 @@ def change_sink(path: str, writer: str) -> Callable[[DataFrame, int], None]:
 
 def change_state(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
                  delete_col: str | None = None) -> DataFrame:
-    """The newest row of each key over all change folders (an aggregate), without deleted keys."""
+    """The newest row of each key over all change folders (an aggregate), without deleted keys;
+    ``compact_changes`` keeps the folders few."""
     from tablecheck.operators.change import latest_per_key
     state = latest_per_key(spark.read.parquet(path), keys, [*order_cols, "batch_id"])
     if delete_col:
@@ -273,6 +275,26 @@ def change_state(spark: SparkSession, path: str, keys: list[str], order_cols: li
     return state.drop("writer", "batch_id")
 
 
+def compact_changes(spark: SparkSession, path: str, keys: list[str], order_cols: list[str]) -> int:
+    """Fold the change folders that exist into one, so reads don't grow with the history; returns how many were folded.
+
+    The folded rows (the newest of each key, deletions too) are written under a writer name of their own and the newest batch id
+    they come from, and then the folders they replace are removed.  Between the two, and where a folded batch is replayed,
+    a change is there twice, which ``change_state`` doesn't mind; batches that arrive meanwhile are not touched."""
+    from tablecheck.operators.change import latest_per_key
+    from tablecheck.sources.ingest import remove
+    rows = existing_parquet(spark, path)
+    seen = [] if rows is None else rows.select("writer", "batch_id").distinct().collect()  # batches, not rows
+    if len(seen) < 2:
+        return 0
+    own = reduce(lambda a, b: a | b, [(F.col("writer") == w) & (F.col("batch_id") == b) for w, b in seen])
+    folded = latest_per_key(rows.filter(own), keys, [*order_cols, "batch_id"]).drop("writer", "batch_id")
+    folded.write.parquet(f"{path}/writer=folded-{uuid.uuid4().hex[:12]}/batch_id={max(b for _, b in seen)}")
+    for w, b in seen:
+        remove(spark, f"{path}/writer={w}/batch_id={b}")
+    return len(seen)
+
+
 def fan_out_sink(raw_path: str, agg_path: str, agg: Callable[[DataFrame], DataFrame]):
     """One ``foreachBatch`` writing the raw audit copy and the aggregate
     (both partitioned by batch id, so a replayed batch overwrites itself)."""

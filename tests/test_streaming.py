@@ -70,6 +70,26 @@ def test_change_sink_replays_and_new_checkpoints(spark, tmp_dir):
     assert sorted(map(tuple, state.collect())) == [(1, 1, "c"), (3, 1, "d"), (4, 0, "e")]
 
 
+def test_folded_changes_give_the_same_state(spark, tmp_dir):
+    """A state is the same before and after folding, after a replay of a folded batch, and after further batches."""
+    path = os.path.join(tmp_dir, "changes")
+    df = lambda *rows: spark.createDataFrame(rows, "k int, v string, gone boolean")
+    sink = S.change_sink(path, "one")
+    batches = [df(*[(k, f"{b}-{k}", k % 5 == 0 and b == 2) for k in range(b, 40, b + 1)]) for b in range(5)]
+    state = lambda: sorted(map(tuple, S.change_state(spark, path, ["k"], [], "gone").collect()))
+    for b in range(4):
+        sink(batches[b], b)
+    before = state()
+    assert S.compact_changes(spark, path, ["k"], []) == 4 and state() == before
+    assert S.compact_changes(spark, path, ["k"], []) == 0
+    sink(batches[1], 1)  # a replay of a folded batch
+    assert state() == before
+    sink(batches[4], 4)
+    after = state()
+    assert after != before and S.compact_changes(spark, path, ["k"], []) == 3 and state() == after
+    assert S.compact_changes(spark, os.path.join(tmp_dir, "none"), ["k"], []) == 0
+
+
 def test_late_router_replays_see_the_same_watermark(spark, tmp_dir):
     path = os.path.join(tmp_dir, "late")
     df = lambda *t: spark.createDataFrame([(x,) for x in t], "t string").selectExpr("cast(t as timestamp) ts")
