@@ -122,26 +122,37 @@ def sessions_max_duration_stream(df: DataFrame, ts_col: str, key: str, gap_secon
 
 # --------------------------------------------------------------------------- T05
 class _Sliding(_KeyState):
-    """The event times and counts of a key's last ``range`` of time."""
+    """The keys, buckets, event times and counts of a group's last ``range`` of time; a group has many keys and buckets."""
 
-    def __init__(self, columns: list[str], give: list[str], range_us: int):
-        super().__init__(columns, "times array<long>, counts array<long>", range_us)
-        self.give, self.range_us = give, range_us
+    def __init__(self, columns: list[str], give: list[str], bucket_us: int, range_us: int):
+        super().__init__(columns, "keys array<string>, buckets array<long>, times array<long>, counts array<long>", range_us)
+        self.give, self.bucket_us, self.range_us = give, bucket_us, range_us
 
     def handleInputRows(self, key, rows, timerValues):
         frame = self.in_order(rows)
         if frame is None:
             return
-        held = self.state.get() if self.state.exists() else ([], [])
-        t = np.concatenate((np.array(held[0], np.int64), frame["__us"].to_numpy(np.int64)))
-        total = np.concatenate(([0], np.cumsum(np.concatenate((np.array(held[1], np.int64), frame["__n"].to_numpy(np.int64))))))
-        own = frame["__us"].to_numpy(np.int64)
-        frame["__total"] = total[np.searchsorted(t, own, "right")] - total[np.searchsorted(t, own - self.range_us, "left")]
-        stay = np.flatnonzero(t >= t[-1] - self.range_us)
-        times, first = np.unique(t[stay], return_index=True)
-        counts = np.add.reduceat(np.diff(total)[stay], first)
-        self.keep(int(t[-1]), (times.tolist(), counts.tolist()))
-        yield frame[self.give]
+        held = self.state.get() if self.state.exists() else ([], [], [], [])
+        names = np.concatenate((np.array(held[0], object), frame["__key"].to_numpy(object)))
+        b, t, n = (np.concatenate((np.array(old, np.int64), frame[c].to_numpy(np.int64)))
+                   for old, c in zip(held[1:], ("__bucket", "__us", "__n")))
+        code = pd.factorize(names)[0]
+        order = np.lexsort((t, b, code))
+        names, code, b, t, n = names[order], code[order], b[order], t[order], n[order]
+        part = np.cumsum(np.concatenate(([False], (np.diff(code) != 0) | (np.diff(b) != 0))))
+        # one number by (key, bucket), then time; parts are so far from each other that no range reaches into the one before
+        place = part * (self.bucket_us + 2 * self.range_us + 1) + (t - b * self.bucket_us + self.range_us)
+        total = np.concatenate(([0], np.cumsum(n)))
+        found = np.empty(len(t), np.int64)
+        found[order] = total[np.searchsorted(place, place, "right")] - total[np.searchsorted(place, place - self.range_us, "left")]
+        frame["__total"] = found[len(held[0]):]
+        stay = np.flatnonzero(t >= t.max() - self.range_us)  # later rows are later than all of these, whatever their key
+        first = np.unique(place[stay], return_index=True)[1]
+        kept = stay[first]
+        self.keep(int(t.max()), (names[kept].tolist(), b[kept].tolist(), t[kept].tolist(), np.add.reduceat(n[stay], first).tolist()))
+        own = frame.loc[frame["__own"], self.give]
+        if len(own):
+            yield own.reset_index(drop=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.state.clear()
@@ -149,12 +160,13 @@ class _Sliding(_KeyState):
 
 
 def sliding_count_stream(df: DataFrame, ts_col: str, key: str, range_seconds: int, watermark: str, out: str,
-                         carry: list[str] | None = None, bucket_seconds: int | None = None) -> DataFrame:
+                         carry: list[str] | None = None, bucket_seconds: int | None = None, groups: int = 512) -> DataFrame:
     """T05 stream: for every event the number of its key's events in ``[ts - range, ts]``, as ``trailing_window`` gives it.
 
     Rows are ``(key, ts, carry..., out)``, given away once the watermark has passed them.  Work and state are cut by (key, time bucket):
     the last ``range_seconds`` of a bucket are copied, as counts only, into the next one, so a key of a third of all events is many
-    groups.  State: counts by event time within one range."""
+    parts.  The parts are dealt to ``groups`` groups by their hash, since each group costs some calls between Spark and Python
+    in every trigger: one for each part would cost more than the counting.  State: counts by event time within one range."""
     carry = list(carry or [])
     bucket = (bucket_seconds or 12 * range_seconds) * 1_000_000
     if range_seconds * 1_000_000 > bucket:
@@ -169,9 +181,17 @@ def sliding_count_stream(df: DataFrame, ts_col: str, key: str, range_seconds: in
         key, ts_col, F.col("__c.b").alias("__bucket"), F.col("__c.own").alias("__own"),
         *[F.when(F.col("__c.own"), F.col(c)).alias(c) for c in carry])
     counts = _counts(rows, ts_col, [key, "__bucket", "__own", *carry], watermark)
-    kinds = {f.name: f.dataType for f in counts.schema.fields} | {"__total": T.LongType()}
-    columns = [key, "__us", "__own", *carry, "__n", "__total"]
-    shape = T.StructType([T.StructField(c, kinds[c]) for c in columns])
-    totals = counts.groupBy(key, "__bucket").transformWithStateInPandas(_Sliding(counts.columns, columns, range_seconds * 1_000_000), shape, "append", "eventTime")
-    return totals.filter("__own").select(key, F.timestamp_micros("__us").alias(ts_col), *carry, F.col("__total").alias(out),
-                                         F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__i")).drop("__i")
+    kinds = {f.name: f.dataType for f in counts.schema.fields}
+    given = list(dict.fromkeys([key, *carry]))
+    # whole numbers travel as text: beside nulls pandas would make them floats
+    text = {c for c in given if isinstance(kinds[c], T.IntegralType)}
+    counts = counts.select(
+        ts_col, *[(F.col(c).cast("string") if c in text else F.col(c)).alias(c) for c in given if c != ts_col], "__own", "__bucket", "__n", "__us",
+        F.col(key).cast("string").alias("__key"), F.pmod(F.xxhash64(key, "__bucket"), F.lit(groups)).alias("__group"))
+    columns = [*given, "__us", "__n", "__total"]
+    shape = T.StructType([T.StructField(c, T.LongType() if c.startswith("__") else T.StringType() if c in text else kinds[c]) for c in columns])
+    totals = counts.groupBy("__group").transformWithStateInPandas(
+        _Sliding(counts.columns, columns, bucket, range_seconds * 1_000_000), shape, "append", "eventTime")
+    back = {c: F.col(c).cast(kinds[c]).alias(c) if c in text else F.col(c) for c in given}
+    return totals.select(back[key], F.timestamp_micros("__us").alias(ts_col), *[back[c] for c in carry], F.col("__total").alias(out),
+                         F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__i")).drop("__i")
