@@ -155,3 +155,23 @@ def test_month_ranges_reach_the_scan_and_a_large_month_has_more_files(spark, tmp
     # the same months again, now without rows in February: the old ones go
     I.land(big.limit(5), target, months=[(1996, 1), (1996, 2)])
     assert sorted(r["month"] for r in spark.read.parquet(target).collect()) == [1] * 5
+
+
+def test_compaction_into_one_file_moves_no_rows(spark, tmp_dir):
+    from tablecheck.sources.versions import compact_files
+    small, large, three = (os.path.join(tmp_dir, n) for n in ("small", "large", "three"))
+    spark.range(30_000).repartition(20).write.parquet(small)
+    used = []
+    write = type(spark.range(0).write).parquet
+    try:
+        type(spark.range(0).write).parquet = lambda w, *a, **k: (used.append(w._df._jdf.queryExecution().executedPlan().toString()), write(w, *a, **k))[1]
+        assert compact_files(spark, small, large, 1 << 30) == 1
+    finally:
+        type(spark.range(0).write).parquet = write
+    assert "Coalesce" in used[0] and "Exchange" not in used[0]
+    size = sum(os.path.getsize(os.path.join(small, f)) for f in os.listdir(small) if f.endswith(".parquet"))
+    assert compact_files(spark, small, three, -(-size // 3)) == 3
+    for path, n in ((large, 1), (three, 3)):
+        back = spark.read.parquet(path)
+        assert sorted(r["id"] for r in back.collect()) == list(range(30_000))
+        assert sum(f.endswith(".parquet") for f in os.listdir(path)) == n
