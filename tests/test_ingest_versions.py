@@ -157,6 +157,18 @@ def test_month_ranges_reach_the_scan_and_a_large_month_has_more_files(spark, tmp
     assert sorted(r["month"] for r in spark.read.parquet(target).collect()) == [1] * 5
 
 
+def test_zorder_cuts_a_larger_input_into_more_ranges(spark, tmp_dir):
+    from tablecheck.sources.ingest import file_bytes
+    src = os.path.join(tmp_dir, "a folder=1%")  # the name of a file is a URI
+    spark.range(20_000).select((F.col("id") * 7919 % 1000).alias("a"), (F.col("id") % 977).alias("b")).repartition(3).write.parquet(src)
+    df = spark.read.parquet(src)
+    size = sum(os.path.getsize(os.path.join(src, f)) for f in os.listdir(src) if f.endswith(".parquet"))
+    assert file_bytes(df) == size == file_bytes(df.unionAll(df)) and file_bytes(spark.range(3)) == 0
+    z = zorder(df, ["a", "b"], 2, partition_bytes=size // 5)
+    assert z.rdd.getNumPartitions() in (5, 6) and zorder(df, ["a", "b"], 2).rdd.getNumPartitions() == 2
+    assert z.exceptAll(df).count() == 0 and z.count() == 20_000
+
+
 def test_compaction_into_one_file_moves_no_rows(spark, tmp_dir):
     from tablecheck.sources.versions import compact_files
     small, large, three = (os.path.join(tmp_dir, n) for n in ("small", "large", "three"))
