@@ -104,12 +104,14 @@ def test_t05_counts_equal_a_plain_scan(spark, tmp_dir, steps, disorder, bucket):
 def test_t05_many_keys_are_few_groups(spark, tmp_dir):
     big = 2**53 + 1  # no float has it
     rows = [(k, BASE + dt.timedelta(seconds=s), big + 2 * k + s // 60) for k in range(400) for s in (0, 60)] + [(-1, BASE + dt.timedelta(days=1), 0)]
+    rows += [(None, BASE + dt.timedelta(seconds=s), big - s) for s in (3, 5)]  # null is one key, and the others stay whole numbers beside it
     path = os.path.join(tmp_dir, "many")
     spark.createDataFrame(rows, "k long, ts timestamp, e long").coalesce(1).write.parquet(path)
     counts = ST.sliding_count_stream(S.file_stream(spark, path, "k long, ts timestamp, e long"), "ts", "k", 300, "1 minute", "n", ["e"], groups=3)
     seen = []
     q = S.run_available_now(counts, os.path.join(tmp_dir, "ckpt"), lambda batch, _: seen.extend(batch.collect()))
-    assert sorted((r["k"], r["e"], r["n"]) for r in seen) == sorted((k, big + 2 * k + i, i + 1) for k in range(400) for i in (0, 1))
+    want = [(k, big + 2 * k + i, i + 1) for k in range(400) for i in (0, 1)] + [(None, big - 3, 1), (None, big - 5, 2)]
+    assert sorted((r["k"] or -9, r["e"], r["n"]) for r in seen) == sorted((k or -9, *r) for k, *r in want)
     kept = [o["numRowsUpdated"] for p in q.recentProgress for o in p["stateOperators"] if "transform" in o["operatorName"].lower()]
     assert kept and max(kept) <= 6  # a value and a timer for each group, not for each key
 
