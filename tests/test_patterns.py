@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tablecheck.operators import patterns as P
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_w10_vs_w11_frames(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "id int, v int")
@@ -37,6 +39,25 @@ def test_band_join_equals_brute_force(spark):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
+def test_band_join_spreads_pairs_and_keeps_them(spark):
+    rows = [(i, "xyz"[i % 3] if i % 17 else None, None if i % 41 == 0 else float("nan") if i % 43 == 0 else (i * 37 % 101 - 50) / 4) for i in range(300)]
+    rows += [(i, *rows[i][1:]) for i in range(0, 300, 7)] + [(None, "x", 0.0), (900, "x", 1e9), (901, "x", 1e9 + 1.5)]
+    df, again = (spark.createDataFrame(rows, "id long, g string, x double") for _ in range(2))
+    pairs = lambda keep: sorted((a[0], b[0], a[2], b[2]) for a in rows for b in rows if a[1] is not None and a[1] == b[1]
+                                and None not in (a[2], b[2]) and abs(a[2] - b[2]) <= 1.5 and keep(a[0], b[0]))
+    by_id = pairs(lambda a, b: None not in (a, b) and a < b)
+    cols = ("id_a", "id_b", "x_a", "x_b")
+    twin = P.band_join(df, df, ["g"], "x", 1.5, "id", "id")
+    assert sorted(tuple(r) for r in twin.select(*cols).collect()) == by_id
+    assert sorted(tuple(r) for r in P.band_join(df, again, ["g"], "x", 1.5, "id", "id").select(*cols).collect()) == by_id
+    known = [r for r in P.band_join(df, again, ["g"], "x", 1.5).select(*cols).collect() if None not in (r["id_a"], r["id_b"])]
+    assert sorted(tuple(r) for r in known) == pairs(lambda a, b: None not in (a, b))
+    assert twin.columns == [c + s for s in ("_a", "_b") for c in df.columns]
+    plan = P.band_join(*[spark.read.parquet(f"{SF}/customer.parquet")] * 2, ["c_mktsegment"], "c_acctbal", 100.0, "c_custkey", "c_custkey") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_trailing_window_equals_plain_range_window(spark):
     base = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([(i, base + dt.timedelta(seconds=i * 37 % 20000), float(i % 11))
