@@ -12,8 +12,8 @@
    linear in the prefixes).  Candidates pass a size filter and a parity bitmap that bounds
    the symmetric difference from below; survivors are verified on the whole sets.
 4. Components of these links are computed, and only then all remaining candidate pairs, those
-   of one cell whose components differ, are expanded and verified in the same way.  Pairs inside one
-   component cannot change it.  The result is exact.
+   of one cell whose components differ, are expanded and verified in the same way; two components that meet in many
+   cells meet once, with all their members.  Pairs inside one component cannot change it.  The result is exact.
 
 Edge cases: a null text or one without words has no shingles and links with nothing; a text of fewer
 words than a shingle is one shingle; a null id links with nothing and has no component; a row that repeats an
@@ -34,6 +34,8 @@ from .common import connected_components, materialise, mix, ragged, shingle_hash
 
 #: Bits of the smallest sketch; a sketch has about one bit for every two shingles.
 LEAST_BITS = 256
+#: Members of a component that meet another component's in one part.
+PART = 1000
 
 
 def shingle_set(text: str | None, k: int) -> np.ndarray:
@@ -158,6 +160,35 @@ def verified(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, k: int
     return both.where(100 * inter >= percent * (F.size("x") + F.size("y") - inter)).select("a", "b").distinct()
 
 
+def across(place: DataFrame, inside: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of two components that share a cell and may link, with repeats; ``inside`` holds all members ``(id, n, sketch, c)``, ``place`` those of each cell.
+
+    Copies of one text share most of their cells.  Where the cells of two components hold more pairs than their members make,
+    all members meet once instead, so a pair is not made again for every cell.
+    """
+    # A cell's components meet once each; two that have one member there meet only if their members may link.
+    met = place.groupBy("key", "band", "c").agg(F.count("*").alias("m"), F.min(F.struct("n", "sketch")).alias("one"))
+    met = materialise(met.select("key", "band", "c", "m", "one.n", "one.sketch"), "met")
+    x, y = _side(met, "a").withColumnsRenamed({"c": "x", "m": "mx"}), _side(met, "b").withColumnsRenamed({"c": "y", "m": "my"})
+    pairs = x.join(y, ["key", "band"]).where((F.col("x") < F.col("y")) & ((F.col("mx") > 1) | (F.col("my") > 1) | _may_link(percent)))
+    pairs = materialise(pairs.select("key", "band", "x", "y", (F.col("mx") * F.col("my")).alias("made")), "meetings")
+
+    size = inside.groupBy("c").agg(F.count("*").alias("m"))
+    whole = pairs.groupBy("x", "y").agg(F.sum("made").alias("made"))
+    whole = whole.join(size.select(F.col("c").alias("x"), F.col("m").alias("mx")), "x").join(size.select(F.col("c").alias("y"), F.col("m").alias("my")), "y")
+    whole = materialise(whole.where(F.col("made") > F.col("mx") * F.col("my")), "whole")
+    half = pairs.join(whole, ["x", "y"], "left_anti").select("key", "band", "x", "y").join(_side(place, "a").withColumnRenamed("c", "x"), ["key", "band", "x"])
+    by_cell = half.join(_side(place, "b").withColumnRenamed("c", "y"), ["key", "band", "y"]).where(_may_link(percent)).select("a", "b")
+
+    # The smaller component's members go to every part of the larger one.
+    flip, parts = F.col("mx") < F.col("my"), F.ceil(F.greatest("mx", "my") / PART)
+    ends = whole.select(F.when(flip, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(flip, F.col("x")).otherwise(F.col("y")).alias("y"), parts.alias("parts"))
+    large = _side(inside.select("id", "n", "sketch", F.col("c").alias("x")).join(ends.select("x", "parts").distinct(), "x"), "a").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
+    small = _side(inside.select("id", "n", "sketch", F.col("c").alias("y")), "b").join(ends, "y").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    at_once = large.drop("parts").join(small.drop("parts"), ["x", "part"]).where(_may_link(percent)).select("a", "b")
+    return by_cell.unionAll(at_once)
+
+
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85, common: int = 200_000) -> DataFrame:
     """``(id, n_shingles, component_id)``: rows link when 100 * intersection >= percent * union."""
     table = materialise(shingle_table(df, id_col, text_col, k, percent, common), "shingles")
@@ -184,16 +215,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spread = cells.join(inside.select("g", "c").distinct(), "g")
     mixed = spread.groupBy("key", "band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key", "band")
     place = materialise(cells.join(mixed, ["key", "band"]).select("key", "band", "g").join(inside, "g").select("key", "band", "c", "id", "n", "sketch"), "place")
-    # A cell's components meet once each; two that have one member there meet only if their members may link.
-    met = place.groupBy("key", "band", "c").agg(F.count("*").alias("m"), F.min(F.struct("n", "sketch")).alias("one"))
-    met = materialise(met.select("key", "band", "c", "m", "one.n", "one.sketch"), "met")
-    # Each pair of components once, the one with more members first (x); the other's only member is held against x's members
-    # as they are joined, so a large component doesn't meet every unrelated text of its cells.
-    x, y = _side(met, "a").withColumnsRenamed({"c": "x", "m": "mx"}), _side(met, "b").withColumnsRenamed({"c": "y", "m": "my"})
-    pairs = x.join(y, ["key", "band"]).where((F.col("mx") > F.col("my")) | ((F.col("mx") == F.col("my")) & (F.col("x") < F.col("y"))))
-    pairs = pairs.where((F.col("mx") > 1) | _may_link(percent)).select("key", "band", "x", "y", "my", "b_n", "b_sketch")
-    half = pairs.join(_side(place, "a").withColumnRenamed("c", "x"), ["key", "band", "x"]).where((F.col("my") > 1) | _may_link(percent)).select("key", "band", "y", "a", "a_n", "a_sketch")
-    rest = half.join(_side(place, "b").withColumnRenamed("c", "y"), ["key", "band", "y"]).where(_may_link(percent)).select("a", "b").distinct()
+    rest = across(place, inside, percent).distinct()
     # Groups of one prefix and size whose members fell into several components.
     split = inside.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
     within = inside.join(split, "g").select("g", "c", "id", "n", "sketch")

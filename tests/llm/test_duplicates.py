@@ -39,6 +39,17 @@ def test_jaccard_join_is_exact(spark, k, percent, common_size):
     assert all(r["n_shingles"] == len(shingles(texts[r["doc_id"]], k)) for r in rows) and len(rows) == len(texts)
 
 
+def test_components_that_meet_in_many_cells_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART", 2)
+    member = "id long, n long, sketch array<long>, c long"
+    inside = [(i, 100, [0] * 4, 1 if i < 6 else i) for i in range(1, 9)] + [(9, 100, [-1] * 4, 9)]
+    cells = [(key, 1, i) for key in range(50) for i in (1, 2, 3, 4, 5, 6, 9)] + [(99, 1, 2), (99, 1, 7), (98, 1, 7), (98, 1, 8)]  # 7 meets only 2 of the larger component
+    rows = {r[0]: r for r in inside}
+    place = spark.createDataFrame([(key, band, rows[i][3], *rows[i][:3]) for key, band, i in cells], "key long, band long, c long, id long, n long, sketch array<long>")
+    got = [tuple(sorted(r)) for r in jaccard.across(place, spark.createDataFrame(inside, member), 80).collect()]
+    assert sorted(got) == [(1, 6), (2, 6), (2, 7), (3, 6), (4, 6), (5, 6), (7, 8)]
+
+
 def test_jaccard_edges(spark):
     text = prose(1, 50)
     rows = jaccard.jaccard_join(documents(spark, [(5, text, "en", "a"), (None, text, None, None), (7, text, "en", "a"), (7, text, "en", "a"), (7, "quite other words stand here", "en", "a"), (8, None, "en", "a")])).collect()
