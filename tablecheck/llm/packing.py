@@ -21,6 +21,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cached_property
@@ -29,6 +30,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -37,6 +39,10 @@ from .common import Memo, byte_alphabet, materialise
 
 #: A word whose letters and trailing ASCII signs are separate pre-tokens.
 LETTERS_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:-;=?@\[-`{}~]*)").fullmatch
+SIGNS = bytes(c for c in range(33, 127) if LETTERS_SIGNS("a" + chr(c)) and not chr(c).isalpha())
+
+#: Bytes of text whose words are looked up together.
+BLOCK_BYTES = 8_000_000
 
 
 class WordEncoder:
@@ -66,17 +72,25 @@ class WordEncoder:
 
     @cached_property
     def parts(self) -> Memo:
-        merge = self.tokenizer.model.tokenize  # of one normalised pre-token in the byte alphabet
-        return Memo(lambda part: np.array([t.id for t in merge(part.encode().decode("latin-1").translate(self.alphabet))], "<u4").tobytes(), 400_000)
+        return Memo(self._part, 400_000)
 
     @cached_property
     def words(self) -> Memo:
         return Memo(self._word, 300_000)
 
+    def _part(self, part: bytes) -> bytes:
+        """Ids of one normalised pre-token; printable ASCII stands for itself in the byte alphabet."""
+        shown = part.decode() if part.isascii() else part.decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        letters = word.rstrip(SIGNS)
+        if letters.isalpha():  # ASCII letters only
+            signs = word[len(letters) :]
+            return self.parts[letters.lower()] + self.parts[signs] if signs else self.parts[letters.lower()]
         text = word.decode("utf-8", "replace")
         found = LETTERS_SIGNS(text)
         if not found or not text.isascii() and ("Σ" in text or "İ" in text or not is_normalized("NFC", text)):
@@ -85,12 +99,34 @@ class WordEncoder:
         letters = letters.lower()
         if not letters.isalpha() or not is_normalized("NFC", letters):
             return self._encode(text)
-        return self.parts[letters] + (self.parts[signs] if signs else b"")
+        return self.parts[letters.encode()] + (self.parts[signs.encode()] if signs else b"")
 
     def __call__(self, text: str | None) -> bytes:
         words = self.words
         return b"".join([words[w] for w in (text or "").encode("utf-8", "replace").split()]) + self.end_id.to_bytes(4, "little")
 
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """``self(text)`` of every text; a word is looked up once for each block of texts."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+        lo = 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + BLOCK_BYTES, "right")))
+            yield from self._block(texts.slice(lo, hi - lo))
+            lo = hi
+
+    def _block(self, texts: pa.Array) -> Iterator[bytes]:
+        split, words, end = pc.ascii_split_whitespace(texts), self.words, self.end_id.to_bytes(4, "little")
+        found = split.flatten().dictionary_encode()  # with an empty word beside outer white space, which has no ids
+        ids = [words[w] for w in found.dictionary.cast(pa.binary()).to_pylist()]
+        length, word = np.fromiter(map(len, ids), np.int64, len(ids)) // 4, found.indices.to_numpy()
+        n = length[word]
+        stop = np.concatenate(([0], np.cumsum(n)))
+        out = np.frombuffer(b"".join(ids), "<u4")[np.arange(stop[-1]) + np.repeat((np.cumsum(length) - length)[word] - stop[:-1], n)]
+        edges = stop[np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))]
+        for lo, hi in zip(edges, edges[1:]):
+            yield out[lo:hi].tobytes() + end
+
 
 def fill(counts: Counter, room: int) -> tuple[int, Counter]:
     """The largest sum of at most ``room`` that lengths in ``counts`` can make, and how often each is taken."""
@@ -217,8 +253,8 @@ def pack(df: DataFrame, encode: WordEncoder, capacity: int = 4096, max_slack: in
         packer, schema = Packer(capacity, max_slack, task << 32), None
         for batch in batches:
             schema = schema or _schema(batch.schema.field(0).type, id_col)
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                packer.add(doc.as_py(), own(text.as_py()))
+            for doc, ids in zip(batch.column(0), own.texts(batch.column(1))):
+                packer.add(doc.as_py(), ids)
                 if packer.tokens >= block_tokens:
                     packer.pack()
                 if len(packer.rows) >= 4000:

@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tablecheck.llm import bpe, packing, queries, token_counts
+from tablecheck.llm import bpe, common, packing, queries, token_counts
 from tests.llm.helpers import ODD, documents, prose
 
 ALPHABET = ["a", " ", "\n", "\t", "  ", "!", "1", "é", "ß", "漢", "\x1c", "\x85", "\xa0", " ", "'s", "'S", "<|endoftext|>", "́", "😀", "İ", "ⅷ", "²", "<|", "the", " the", "Σ", "ª가"]
@@ -138,3 +139,17 @@ def test_query_digests(spark):
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(f"doc_id = {row['doc_id']}").first()["text"]
     assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert row["n_tokens"] > 0
+
+
+def test_texts_are_encoded_by_blocks(monkeypatch):
+    encode = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    texts = [*ODD, " outer \x0b space\n", "Ünï’s it's DON'T!!! x́y a\x1cb c\x85d Word... WORD,", *(f"again and again {i}" for i in range(500))]
+    want = [b"".join(int(i).to_bytes(4, "little") for i in [*encode.tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for t in texts]
+    looked = []
+    monkeypatch.setattr(common.Memo, "__getitem__", lambda self, key: looked.append(key) or dict.__getitem__(self, key), raising=False)
+    for size in (1, 200, 8_000_000):
+        monkeypatch.setattr(packing, "BLOCK_BYTES", size)
+        looked.clear()
+        assert list(encode.texts(pa.array(texts, pa.string()))) == want
+    assert looked.count(b"again") == 1  # a thousand times in the texts
+    assert list(encode.texts(pa.array([None, None]))) == [b"\2\0\0\0"] * 2 and not list(encode.texts(pa.array([], pa.string())))
