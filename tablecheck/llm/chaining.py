@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import free_name, materialise, mix, shingle_hashes, signed
+from .common import free_name, materialise, mix, shingle_hashes, signed, word_blocks
 
 K, WINDOW, MIN_WORDS, PERCENT = 5, 4, 50, 80
 #: Words between two seeds of a chain part, and between two seeds of a pair; words of text for a bucket of seeds.
@@ -67,6 +67,14 @@ def to_words(text: str | None) -> bytes:
     return np.fromiter(map(zlib.crc32, w), "<u4", len(w)).view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
+def texts_to_words(texts: pa.Array) -> Iterator[bytes]:
+    """``to_words`` of every text; each distinct word of a block of texts is summed once."""
+    for distinct, number, edges in word_blocks(pc.ascii_lower(texts.cast(pa.string())), 2_000_000):
+        sums = np.fromiter(map(zlib.crc32, distinct), "<u4", len(distinct)).view(np.uint8).reshape(-1, 4)[:, :3][number]
+        for lo, hi in zip(edges, edges[1:]):
+            yield sums[lo:hi].tobytes()
+
+
 def from_words(raw) -> np.ndarray:
     part = np.frombuffer(raw, np.uint8).reshape(-1, 3)
     out = np.zeros((len(part), 4), np.uint8)
@@ -197,8 +205,9 @@ def extend(x: list, y: list, i: int, j: int, step: int) -> list[tuple[int, int,
             if step > 0:
                 out[-1] = (i - n, j - n, n)
         for di, dj in EDITS:
-            if runs(i + step * di, j + step * dj, min(4, max(di, dj) + 1 + (di != dj))):
-                i, j = i + step * di, j + step * dj
+            a, b = i + step * di, j + step * dj
+            if 0 <= a < len(x) and 0 <= b < len(y) and x[a] == y[b] and runs(a, b, min(4, max(di, dj) + 1 + (di != dj))):
+                i, j = a, b
                 break
         else:
             return out
@@ -306,6 +315,21 @@ def ranks(ids: pa.Array, versions: np.ndarray) -> np.ndarray:
     return out
 
 
+def in_order(key: np.ndarray, rank: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """``np.lexsort((pos, rank, key))``; where rows stand by rank and position already, by two sorts that need not be stable."""
+    if not ((rank[1:] > rank[:-1]) | (rank[1:] == rank[:-1]) & (pos[1:] >= pos[:-1])).all():
+        return np.lexsort((pos, rank, key))
+    order = np.argsort(key)
+    sub = key[order]
+    places = np.cumsum(np.concatenate((sub[:1] != sub[:1], sub[1:] != sub[:-1])), dtype=np.uint64)
+    del sub
+    places <<= np.uint64(32)
+    places |= order.view(np.uint64)
+    places.sort()
+    places &= np.uint64((1 << 32) - 1)
+    return places.view(np.int64)
+
+
 def seed_blocks(words: DataFrame, k: int, window: int, buckets: int) -> DataFrame:
     """Seeds as ``(bucket, salt, seeds, pos, doc, ids, versions)``: one row for each bucket of keys and block of documents; ``doc`` is an index into ``ids``.
 
@@ -318,7 +342,7 @@ def seed_blocks(words: DataFrame, k: int, window: int, buckets: int) -> DataFram
         lengths = np.array([len(r) // 3 for r in raw])
         key, pos, doc = seeds_of(from_words(b"".join(raw)), lengths, k, window)
         rank = ranks(ids, versions)[doc]
-        order = np.lexsort((pos, rank, key))
+        order = in_order(key, rank, pos)
         key, pos, doc, rank = key[order], pos[order], doc[order], rank[order]
         edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         n = np.diff(np.append(edge, len(key)))
@@ -434,7 +458,10 @@ def document_chains(refs: list, pos: np.ndarray, ref_pos: np.ndarray, k: int, mi
     a, b = pos.tolist(), ref_pos.tolist()
     parts, alone = [], []
     for r, own in by.items():
-        for part in cut_chains(chain([(a[m], b[m]) for m in own], k), GAP) if len(own) > 1 else [[(a[own[0]], b[own[0]])]]:
+        if len(own) == 1:
+            alone.append((r, [(a[own[0]], b[own[0]])]))
+            continue
+        for part in cut_chains(chain([(a[m], b[m]) for m in own], k), GAP):
             (parts if len(part) > 1 else alone).append((r, part))
     parts.sort(key=lambda x: x[1][0][0] - x[1][-1][0])
     sure: list[tuple[int, int]] = []
@@ -443,9 +470,10 @@ def document_chains(refs: list, pos: np.ndarray, ref_pos: np.ndarray, k: int, mi
         lo, hi = part[0][0], part[-1][0] + k
         if any(s <= lo and hi <= e for s, e in sure):
             continue
-        words = k + sum(min(k, c - x) for (x, _), (c, _) in zip(part, part[1:]))
-        if hi - lo >= min_words and 100 * words >= percent * max(hi - lo, part[-1][1] + k - part[0][1]) and all(c - x >= k or c - x == d - y for (x, y), (c, d) in zip(part, part[1:])):
-            sure.append((lo, hi))
+        if hi - lo >= min_words:
+            words = k + sum(min(k, c - x) for (x, _), (c, _) in zip(part, part[1:]))
+            if 100 * words >= percent * max(hi - lo, part[-1][1] + k - part[0][1]) and all(c - x >= k or c - x == d - y for (x, y), (c, d) in zip(part, part[1:])):
+                sure.append((lo, hi))
         rows.append((r, [x for x, _ in part], [y for _, y in part]))
     lines: dict = {}
     for r, [(x, y)] in alone:
@@ -471,10 +499,11 @@ def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, pe
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, refs, versions, keys = [], [], [], []
-        for i, found in enumerate(batch.column(2)):
-            ref, ref_v, pos, ref_pos, seed = found.values.flatten()
-            pos, ref_pos = pos.to_numpy(), ref_pos.to_numpy()
-            names = list(zip(ref.to_pylist(), ref_v.to_pylist()))
+        ref, ref_v, *of_all = batch.column(2).flatten().flatten()
+        all_names, of_all = list(zip(ref.to_pylist(), ref_v.to_pylist())), [c.to_numpy() for c in of_all]
+        stops = np.cumsum(batch.column(2).value_lengths().to_numpy())
+        for i, (lo, hi) in enumerate(zip([0, *stops], stops)):
+            names, (pos, ref_pos, seed) = all_names[lo:hi], (c[lo:hi] for c in of_all)
             chains, sure = document_chains(names, pos, ref_pos, k, min_words, percent)
             for (r, v), a, b in chains:
                 rows.append((i, a, b))
@@ -484,7 +513,7 @@ def _chained(hits: DataFrame, kind: str, k: int, window: int, min_words: int, pe
             if not again:
                 continue
             at, one = np.unique(pos.astype(np.int64), return_index=True)
-            code = mix(seed.to_numpy()[one].view(np.uint32).astype(np.uint64) + np.uint64(1))
+            code = mix(seed[one].view(np.uint32).astype(np.uint64) + np.uint64(1))
             left = np.ones(len(at), bool)
             for s, e in sure:
                 left &= (at < s) | (at + k > e)
@@ -527,8 +556,14 @@ def align_row(x: np.ndarray, y: np.ndarray, a: list[int], b: list[int], k: int,
 
     held = Counter(there)
 
+    def too_few(here: list) -> bool:  # no alignment matches more words than both have
+        return 100 * (Counter(here) & held).total() < percent * min_words
+
+    if too_few(x):
+        return []
+
     def passages_at(here: list, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
-        if len(seeds) < 3 and 100 * (Counter(here) & held).total() < percent * min_words:  # no alignment matches more words than both have
+        if lines and too_few(here):
             return []
         runs = equal_runs(here, there, seeds, k, min_words)
         good = segments(runs, len(here), min_words, percent)
@@ -570,9 +605,12 @@ def _aligned(chains: DataFrame, words: DataFrame, kind: str, k: int, min_words:
         for batch in batches:
             rows = []
             a, b, b_lo, y, a_lo, x = (batch.column(i) for i in range(4, 10))
-            for i in range(batch.num_rows):
-                p, q = a_lo[i].as_py(), b_lo[i].as_py()
-                good = align_row(from_words(x[i].as_buffer()), from_words(y[i].as_buffer()), [u - p for u in a[i].as_py()], [v - q for v in b[i].as_py()], k, min_words, percent)
+            b_lo, a_lo = b_lo.to_numpy(), a_lo.to_numpy()
+            n = a.value_lengths().to_numpy()  # as many as in b
+            stop = np.cumsum(n).tolist()
+            a, b = ((c.flatten().to_numpy() - np.repeat(lo, n)).tolist() for c, lo in ((a, a_lo), (b, b_lo)))
+            for i, (lo, hi, p, q) in enumerate(zip([0, *stop], stop, a_lo.tolist(), b_lo.tolist())):
+                good = align_row(from_words(x[i].as_buffer()), from_words(y[i].as_buffer()), a[lo:hi], b[lo:hi], k, min_words, percent)
                 rows += [(i, s + p, e + p, t + q, f + q, n) for s, e, t, f, n in good]
             at = pa.array([r[0] for r in rows], pa.int64())
             c = [pa.array([r[j] for r in rows], pa.int64()) for j in range(1, 6)]
@@ -652,7 +690,7 @@ def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                raw = [to_words(t.as_py()) for t in part.column(2)]
+                raw = list(texts_to_words(part.column(2)))
                 at = pa.array([i for i, r in enumerate(raw) if len(r) >= 3 * min_words], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array([r for r in raw if len(r) >= 3 * min_words], pa.binary())], names=["id", "v", "words"])
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -89,6 +90,21 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
 
 
+def word_blocks(texts: pa.Array, block_bytes: int = 8_000_000) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """For every block of texts: its distinct words, the number of each word in turn, and where the texts start and the last one stops."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    size, lo = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)), 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + block_bytes, "right")))
+        split = pc.ascii_split_whitespace(texts.slice(lo, hi - lo))
+        found = split.flatten().dictionary_encode()
+        words, number = found.dictionary.cast(pa.binary()).to_pylist(), found.indices.to_numpy()
+        kept = np.fromiter(map(bool, words), bool, len(words))[number]  # outer white space gives an empty word
+        edges = np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))]
+        yield words, number[kept], edges
+        lo = hi
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (fixed public constants of splitmix64)."""
     with np.errstate(over="ignore"):

@@ -30,12 +30,11 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from .common import Memo, byte_alphabet, materialise
+from .common import Memo, byte_alphabet, materialise, word_blocks
 
 #: A word whose letters and trailing ASCII signs are separate pre-tokens.
 LETTERS_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:-;=?@\[-`{}~]*)").fullmatch
@@ -107,25 +106,16 @@ class WordEncoder:
 
     def texts(self, texts: pa.Array) -> Iterator[bytes]:
         """``self(text)`` of every text; a word is looked up once for each block of texts."""
-        texts = pc.fill_null(texts.cast(pa.string()), "")
-        size = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
-        lo = 0
-        while lo < len(texts):
-            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + BLOCK_BYTES, "right")))
-            yield from self._block(texts.slice(lo, hi - lo))
-            lo = hi
-
-    def _block(self, texts: pa.Array) -> Iterator[bytes]:
-        split, words, end = pc.ascii_split_whitespace(texts), self.words, self.end_id.to_bytes(4, "little")
-        found = split.flatten().dictionary_encode()  # with an empty word beside outer white space, which has no ids
-        ids = [words[w] for w in found.dictionary.cast(pa.binary()).to_pylist()]
-        length, word = np.fromiter(map(len, ids), np.int64, len(ids)) // 4, found.indices.to_numpy()
-        n = length[word]
-        stop = np.concatenate(([0], np.cumsum(n)))
-        out = np.frombuffer(b"".join(ids), "<u4")[np.arange(stop[-1]) + np.repeat((np.cumsum(length) - length)[word] - stop[:-1], n)]
-        edges = stop[np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))]
-        for lo, hi in zip(edges, edges[1:]):
-            yield out[lo:hi].tobytes() + end
+        words, end = self.words, self.end_id.to_bytes(4, "little")
+        for distinct, number, edges in word_blocks(texts, BLOCK_BYTES):
+            ids = [words[w] for w in distinct]
+            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            n = length[number]
+            stop = np.concatenate(([0], np.cumsum(n)))
+            out = np.frombuffer(b"".join(ids), "<u4")[np.arange(stop[-1]) + np.repeat((np.cumsum(length) - length)[number] - stop[:-1], n)]
+            edges = stop[edges]
+            for lo, hi in zip(edges, edges[1:]):
+                yield out[lo:hi].tobytes() + end
 
 
 def fill(counts: Counter, room: int) -> tuple[int, Counter]:

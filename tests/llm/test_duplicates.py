@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablecheck.llm import chaining, common, jaccard, pstable, warc
@@ -96,6 +97,29 @@ def test_recall_at_the_threshold(spark):
     assert sum(r["n_links"] for r in pstable.near_vectors(df).collect()) >= 0.95 * 800
 
 
+def test_texts_that_share_too_few_words_are_not_aligned(monkeypatch):
+    rng, calls = np.random.default_rng(5), []
+    x, y = (rng.integers(0, 1 << 24, 160).astype("<u4") for _ in range(2))
+    for at in (60, 80, 100):
+        y[at : at + 5] = x[at : at + 5]
+    aligned = chaining.equal_runs
+    monkeypatch.setattr(chaining, "equal_runs", lambda *a: calls.append(a) or aligned(*a))
+    assert chaining.align_row(x, y, [60, 80, 100], [60, 80, 100], 5, 50, 80) == [] and not calls  # fifteen words in common
+    y[50:110] = x[50:110]
+    assert [r[:2] for r in chaining.align_row(x, y, [60, 80, 100], [60, 80, 100], 5, 50, 80)] == [(50, 110)] and calls
+
+
+def test_words_of_blocks_and_order_of_seeds():
+    texts = [*ODD, None, " outer \x0b space\n", "a\x1cb c\x85d É e\x00f"]
+    assert list(chaining.texts_to_words(pa.array(texts, pa.string()))) == [chaining.to_words(t) for t in texts]
+    assert list(chaining.texts_to_words(pa.array([], pa.string()))) == []
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3000):
+        key, rank, pos = rng.integers(0, 900, n).astype(np.uint64) << np.uint64(50), rng.integers(0, 40, n), rng.integers(0, 99, n)
+        for by in (np.arange(n), np.lexsort((pos, rank))):
+            assert chaining.in_order(key[by], rank[by], pos[by]).tolist() == np.lexsort((pos[by], rank[by], key[by])).tolist()
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_chain_score_is_the_best(seed):
     rng = random.Random(seed)
