@@ -14,9 +14,10 @@ from tablecheck import functions as tf
 from tablecheck.operators import rules as R
 from tablecheck.operators.dedup import check_duplicates
 from tablecheck.operators.evaluate import (CheckContext, Evaluation, build_final_fail, build_final_output,
-                                           evaluate, free_name)
+                                           evaluate, free_name, rows_of_all)
 from tablecheck.operators.lookup import (add_lookup_marker, config_isin, lookup_rule, master_filters,
                                          rows_lookup)
+from tablecheck.sources.ingest import file_parts
 
 
 def rows_to_delete(df: DataFrame, marker: str = tf.ROW_TO_DELETE_MARKER) -> DataFrame:
@@ -161,9 +162,7 @@ class TableChecker:
         ev = evaluate(marked, rules, self.ctx, **kw)
         if not self.set_checks:
             return ev
-        passed = self.data
-        for ok, _ in self.set_checks:
-            passed = passed.intersect(ok.select(*passed.columns))
+        passed = rows_of_all([self.data, *[ok for ok, _ in self.set_checks]], file_parts(self.data))
         for marker, column, lookup, lookup_cols in self.lookups:
             passed = add_lookup_marker(passed, column, lookup, lookup_cols, marker)
         fail = ev.fail

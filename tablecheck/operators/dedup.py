@@ -26,6 +26,7 @@ from tablecheck import functions as tf
 from tablecheck.operators.chunked import with_join_keys
 from tablecheck.operators.evaluate import CheckContext, _idpipeline, json_row
 from tablecheck.operators.rules import CRITICAL, FLAG_DUPLICATES, FLAG_NULLS, WARNING
+from tablecheck.sources.ingest import file_parts
 
 # Report texts of the duplicate check.
 MULTIPLE_PKS_NAME = "Multiple PKs"
@@ -95,10 +96,15 @@ def _unpack(struct_col: str, where: dict, columns: list[str]) -> list[Column]:
 
 def _split_repeated(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of keys that occur once, rows of keys that repeat); case-insensitive keys,
-    nulls are one key."""
+    nulls are one key.
+
+    In a large input the keys are dealt before they are counted, to as many partitions as its files ask for: neither
+    the table of keys of a scan's task nor the rows that a task joins grow with the input."""
     names = [f"{_UP}{i}" for i in range(len(keys))]
     keyed, on = with_join_keys(df.select("*", *_key_exprs(df, keys)), names, "__j")
-    dup = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*on)
+    parts = file_parts(df)
+    counted = keyed.select(*on).repartition(parts, *on) if parts else keyed
+    dup = counted.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*on)
     helpers = [*names, *on]
     return keyed.join(dup, on, "left_anti").drop(*helpers), keyed.join(dup, on, "left_semi").drop(*helpers)
 

@@ -245,6 +245,20 @@ def build_final_output(*oks: DataFrame, distinct: bool = True) -> DataFrame:
     return out
 
 
+def rows_of_all(sides: list[DataFrame], n_partitions: int | None = None) -> DataFrame:
+    """The distinct rows of the first side that every other side holds too (columns by name, nulls equal): their intersection, by one
+    shuffle of all sides instead of a distinct and a join of whole rows for each.
+
+    The rows are dealt before they are counted: whole rows hardly repeat within a task of the scan, whose table of them would hold
+    all that it reads."""
+    columns, side = sides[0].columns, free_name(sides[0], "_m_side")
+    every = [F.col(f"`{c}`") for c in columns]
+    rows = reduce(DataFrame.unionByName, [d.select(*every, F.lit(i).alias(side)) for i, d in enumerate(sides)])
+    dealt = rows.repartition(n_partitions, *every) if n_partitions else rows.repartition(*every)
+    held = [F.max(F.col(side) == i).alias(f"{side}{i}") for i in range(len(sides))]
+    return dealt.groupBy(*every).agg(*held).filter(reduce(and_, [F.col(f"{side}{i}") for i in range(len(sides))])).select(*every)
+
+
 def split_ok_fail(tagged: DataFrame, flag_col: str = "check_value"):
     """Q26. Two filters over one plan on a tagged ``check_value`` column."""
     return tagged.filter(F.col(flag_col) == "OK"), tagged.filter(F.col(flag_col) == "FAIL")

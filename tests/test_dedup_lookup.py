@@ -196,3 +196,41 @@ def test_two_fixes_of_one_column_compose(spark):
     fix = R.pattern_check("c", "<b>(.*)</b>", "match_incorrect", remove_marker=True).with_action(R.REPORT)
     assert sorted(r[0] for r in evaluate(df, [dummy, fix]).ok.collect()) == ["N/A", "x", "y"]
     assert sorted(r[0] for r in evaluate(df, [fix, dummy]).ok.collect()) == ["N/A", "x", "y"]
+
+
+def test_rows_of_all_is_the_intersection(spark):
+    """Nulls are equal, repeats of one side count once, columns go by name."""
+    from tablecheck.operators.evaluate import rows_of_all
+    a = spark.createDataFrame([("x", 1), ("x", 1), (None, 2), ("y", None), (None, None), ("z", 9)], "k string, `n.1` int")
+    b = spark.createDataFrame([(1, "x"), (2, None), (None, "y"), (None, None), (8, "z"), (8, "z")], "`n.1` int, k string")
+    c = spark.createDataFrame([("x", 1), ("y", None), (None, None), (None, None), ("only", 3)], "k string, `n.1` int")
+    want = sorted(map(tuple, a.intersect(b.select("k", "`n.1`")).intersect(c).collect()), key=str)
+    for n in (None, 5):
+        assert sorted(map(tuple, rows_of_all([a, b, c], n).collect()), key=str) == want == [("x", 1), ("y", None), (None, None)]
+    assert rows_of_all([a]).count() == 5 and rows_of_all([a, b.limit(0)]).count() == 0
+
+
+def test_evaluate_all_deals_a_large_input(spark, tmp_dir, monkeypatch):
+    """Keys and whole rows are dealt to as many partitions as the files ask for before a task counts them; the rows stay the same."""
+    from tablecheck.operators import checker, dedup
+    from tablecheck.sources import ingest
+    spark.sql("SELECT IF(id % 7 = 0, NULL, concat(IF(id % 2 = 0, 'k', 'K'), id DIV 2 % 40)) AS k, CAST(id % 5 AS STRING) AS n, id DIV 3 AS _timestamp "
+              "FROM range(300)").write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    size, cores = ingest.file_bytes(df), spark.sparkContext.defaultParallelism
+    assert ingest.file_parts(df) is None and ingest.file_parts(spark.range(9), 1) is None
+    assert ingest.file_parts(df, 10) == -(-size // 10) > cores and ingest.file_parts(df, -(-size // cores)) is None
+    seen = []
+    for parts in (None, 61):
+        monkeypatch.setattr(checker, "file_parts", lambda d: parts)
+        monkeypatch.setattr(dedup, "file_parts", lambda d: parts)
+        c = checker.TableChecker(df, "t")
+        c.check_nulls(False, ["n"])
+        ok, _ = c.check_duplicates_with_PKs(False, ["k"])
+        c.check_master_filters([dict(filtered_column="n", master=spark.createDataFrame([("1",), ("3",)], "m string"), curated_column="m")])
+        out = c.evaluate_all().ok
+        seen.append((sorted(map(tuple, ok.collect())), sorted(map(tuple, out.collect()))))
+        keys, whole = (d._jdf.queryExecution().sparkPlan().toString() for d in (ok, out))
+        assert ("61), REPARTITION_BY_NUM" in keys) == (parts == 61) and "REPARTITION_BY" in whole and "<=>" not in whole
+        assert [p for p in out._jdf.queryExecution().executedPlan().toString().split("Exchange ") if "REPARTITION_BY_NUM" in p and " 61)" not in p] == []
+    assert seen[0] == seen[1] and len(seen[0][0]) > len(seen[0][1]) > 0
