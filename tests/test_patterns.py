@@ -1,5 +1,7 @@
 """Window/join patterns: golden rows and brute-force equivalence."""
 import datetime as dt
+import os
+import random
 
 import pytest
 
@@ -58,6 +60,29 @@ def test_band_join_spreads_pairs_and_keeps_them(spark):
     assert "Broadcast" not in plan and "REPARTITION_BY_NUM" in plan
 
 
+def test_band_join_of_dense_rows_is_whole_and_small_on_disk(spark, tmp_dir, monkeypatch):
+    """Several blocks in one bucket (repeated and null ids, equal values, more tasks than shuffle partitions), and files of less than a byte a pair."""
+    rng = random.Random(3)
+    rows = [(None if i % 90 == 0 else i - i % 2, "x", rng.choice([1.0, rng.random()])) for i in range(700)]
+    df, again = (spark.createDataFrame(rows, "id long, g string, x double") for _ in range(2))
+    want = sorted((a[0], b[0], a[2], b[2]) for a in rows for b in rows if None not in (a[0], b[0]) and a[0] < b[0] and abs(a[2] - b[2]) <= 0.75)
+    monkeypatch.setattr(P, "BAND_TASK_ROWS", 200)
+    for frame in (df, again):
+        got = P.band_join(df, frame, ["g"], "x", 0.75, "id", "id").select("id_a", "id_b", "x_a", "x_b")
+        assert sorted(tuple(r) for r in got.collect()) == want
+    monkeypatch.undo()
+    rows = [(i * 37, f"Customer#{i * 37:09d}", "x", round(rng.random() * 3, 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, name string, g string, x double").coalesce(1)
+    out = P.band_join(df, df, ["g"], "x", 1.5, "id", "id").select("name_a", "name_b", "g_a", "x_a", "x_b")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Generate inline") < plan.index("Coalesce") < plan.index("SortMergeJoin")  # else a task holds the pairs of a block with all its bucket
+    out.write.parquet(f"{tmp_dir}/pairs")
+    pairs = spark.read.parquet(f"{tmp_dir}/pairs").count()
+    assert pairs == sum(abs(a[3] - b[3]) <= 1.5 for i, a in enumerate(rows) for b in rows[i + 1:])
+    size = sum(os.path.getsize(f"{tmp_dir}/pairs/{f}") for f in os.listdir(f"{tmp_dir}/pairs") if f.startswith("part-"))
+    assert size / pairs < 1.0
+
+
 def test_trailing_window_equals_plain_range_window(spark):
     base = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([(i, base + dt.timedelta(seconds=i * 37 % 20000), float(i % 11))
